@@ -16,7 +16,7 @@ def percent(part: Column, whole: Column) -> Column:
     Integer arithmetic, so that the rounding (half up) is exact.
     """
     tenths = F.when(
-        whole > 0, F.floor((part * 2000 + whole) / (whole * 2)).cast("bigint")
+        whole > 0, F.call_function("div", part * 2000 + whole, whole * 2)
     )
     return (tenths.cast(DecimalType(9, 0)) / F.lit(10)).cast(DecimalType(6, 1))
 

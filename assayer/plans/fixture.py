@@ -80,8 +80,10 @@ def bronze_events(
 
 def as_bronze(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     event_id, user_id, ts = F.col("event_id"), F.col("user_id"), F.col("ts")
-    k = F.from_json("props", PROPS_SCHEMA)["k"]
     user = user_id.cast("string")
+    # Parsed in a projection of its own, so once per row and not once per use.
+    events = events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    k = F.col("k")
     columns = {
         "event_id": event_id.cast("string"),
         "user_id": F.when(event_id % 20 != 0, user),
@@ -245,4 +247,5 @@ def _pick(position: Column, values: tuple[str, ...]) -> Column:
     chain = F
     for number, value in head:
         chain = chain.when(position == number, value)
-    return chain.otherwise(last[1])
+    _, other = last
+    return chain.otherwise(other)

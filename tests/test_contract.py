@@ -1,0 +1,182 @@
+from __future__ import annotations
+
+from datetime import datetime
+from decimal import Decimal
+
+import pytest
+from conftest import plan_of
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from assayer.constants import SILVER_SCHEMA
+from assayer.operators.accounting import drop_accounting
+from assayer.operators.contract import EVENT_CONTRACT, conform, require_values
+from assayer.operators.silver import to_silver, to_strict_silver
+from assayer.session import new_workspace
+
+# One defect each, with the reason it must be given.
+DEFECTS = [
+    ({"user_id": None}, "missing_required"),
+    ({"event_id": None}, "missing_required"),
+    ({"event_ts": None}, "missing_required"),
+    ({"amount": None}, "missing_required"),
+    ({"amount": float("nan")}, "missing_required"),
+    ({"event_ts": "garbage"}, "bad_event_ts"),
+    ({"amount": 1e12}, "amount_out_of_range"),
+    ({"amount": float("inf")}, "amount_out_of_range"),
+    ({"amount": -1e12}, "amount_out_of_range"),
+    ({"amount": 0.0}, "non_positive_amount"),
+    ({"amount": 0.004}, "non_positive_amount"),
+    ({"amount": -5.0}, "non_positive_amount"),
+    ({"event_type": "signup"}, "bad_event_type"),
+    ({"event_type": "Purchase"}, "bad_event_type"),
+    ({"event_type": None}, "bad_event_type"),
+    # The first violated rule counts.
+    ({"user_id": None, "amount": -1.0}, "missing_required"),
+    ({"event_ts": "garbage", "event_type": "signup"}, "bad_event_ts"),
+    # Defects that are allowed.
+    ({}, "ok"),
+    ({"category": None}, "ok"),
+    ({"email": None, "ip_address": None}, "ok"),
+    ({"quantity": 2**40}, "ok"),
+    ({"ingested_at": "garbage"}, "ok"),
+    ({"event_ts": "2024-01-01"}, "ok"),
+]
+
+
+def numbered(bronze):
+    return bronze(
+        *[{**change, "session_id": str(i)} for i, (change, _) in enumerate(DEFECTS)]
+    )
+
+
+def test_each_defect_has_its_reason(bronze):
+    df = numbered(bronze)
+    judged = df.select("session_id", EVENT_CONTRACT.first_reason(df).alias("reason"))
+    found = {int(row.session_id): row.reason for row in judged.collect()}
+    assert found == {i: reason for i, (_, reason) in enumerate(DEFECTS)}
+
+
+def test_silver_keeps_exactly_the_rows_that_are_ok(bronze):
+    kept = {int(row.session_id) for row in to_silver(numbered(bronze)).collect()}
+    assert kept == {i for i, (_, reason) in enumerate(DEFECTS) if reason == "ok"}
+
+
+def test_accounting_covers_every_row_and_reason(bronze):
+    rows = drop_accounting(numbered(bronze)).orderBy("position").collect()
+    names = [row.reason for row in rows]
+    assert names == EVENT_CONTRACT.reason_names(bronze({}))
+    wanted = [reason for _, reason in DEFECTS]
+    assert [row.rows for row in rows] == [wanted.count(name) for name in names]
+    assert sum(row.rows for row in rows) == len(DEFECTS)
+
+
+def test_accounting_of_nothing(bronze):
+    rows = drop_accounting(bronze({}).where("false")).collect()
+    assert {(row.rows, row.rows_pct) for row in rows} == {(0, None)}
+
+
+def test_percent_rounds_half_up(bronze):
+    events = bronze(*[{"user_id": None}] * 1, *[{}] * 7)
+    found = {row.reason: row.rows_pct for row in drop_accounting(events).collect()}
+    assert found["missing_required"] == Decimal("12.5")
+    events = bronze(*[{"user_id": None}] * 1, *[{}] * 15)
+    found = {row.reason: row.rows_pct for row in drop_accounting(events).collect()}
+    assert found["missing_required"] == Decimal("6.3")
+
+
+@pytest.mark.parametrize(
+    ("raw", "typed"),
+    [
+        (0.005, "0.01"),
+        (0.004, "0.00"),
+        (1.005, "1.01"),
+        (2.675, "2.68"),
+        (1e12, None),
+        (float("nan"), None),
+        (9999999999.99, "9999999999.99"),
+    ],
+)
+def test_amount_in_contract_type(bronze, raw, typed):
+    row = bronze({"amount": raw}).select(EVENT_CONTRACT.typed("amount")).first()
+    assert row[0] == (None if typed is None else Decimal(typed))
+
+
+@pytest.mark.parametrize(
+    ("raw", "typed"),
+    [
+        ("garbage", None),
+        ("2024-01-01T00:01:30", datetime(2024, 1, 1, 0, 1, 30)),
+        ("2024-01-01T00:01:30.000250", datetime(2024, 1, 1, 0, 1, 30, 250)),
+        ("2024-01-01", datetime(2024, 1, 1)),
+    ],
+)
+def test_time_in_contract_type(bronze, raw, typed):
+    value = EVENT_CONTRACT.typed("event_ts").cast("timestamp_ntz")
+    assert bronze({"event_ts": raw}).select(value).first()[0] == typed
+
+
+def test_required_values_drop_null_and_nan(bronze):
+    df = bronze({}, {"amount": None}, {"amount": float("nan")}, {"amount": 0.0})
+    assert require_values(df, ("amount",)).count() == 2
+
+
+def test_strict_silver_has_the_contract_schema(bronze):
+    silver = to_strict_silver(bronze({}, {"email": None, "ip_address": None}))
+    assert silver.schema == SILVER_SCHEMA
+    first, second = silver.orderBy(F.col("email_hash").asc_nulls_last()).collect()
+    assert first.ip_masked == "192.x.x.x"
+    assert (second.email_hash, second.ip_masked) == (None, None)
+    assert first.amount == Decimal("10.00") and first.quantity == 2
+
+
+def test_silver_carries_extra_columns(bronze):
+    df = bronze({}).withColumn("origin", F.lit(7))
+    silver = to_silver(df, carry=["origin"])
+    assert silver.columns == [*SILVER_SCHEMA.names, "origin"]
+
+
+def test_conform_fills_drops_and_orders(spark):
+    df = spark.createDataFrame([(1, "x", 2.5)], "extra int, b string, a double")
+    schema = StructType().add("a", "double").add("b", "string").add("c", "integer")
+    result = conform(df, schema)
+    assert result.columns == ["a", "b", "c"]
+    assert tuple(result.first()) == (2.5, "x", None)
+
+
+def test_conform_fails_on_null_in_non_null_column(spark):
+    schema = StructType().add("a", "string", False).add("n", "integer", False)
+    df = spark.createDataFrame([("x", 1), (None, 2)], "a string, n int")
+    with pytest.raises(Exception, match="null in non-null column a"):
+        conform(df, schema).collect()
+    assert conform(df.where("a is not null"), schema).schema == schema
+
+
+def test_conform_refuses_missing_non_null_column(spark):
+    schema = StructType().add("a", "string", False)
+    with pytest.raises(AnalysisException):
+        conform(spark.range(1), schema)
+
+
+def test_silver_plan_is_one_stage_with_pushed_filters(spark, bronze):
+    folder = new_workspace(spark, "test-plan")
+    bronze({}, {"amount": -1.0}).write.parquet(folder)
+    plan = plan_of(to_silver(spark.read.parquet(folder)))
+    assert "Exchange" not in plan and "Python" not in plan
+    pushed = next(line for line in plan.splitlines() if "PushedFilters" in line)
+    for part in (
+        "IsNotNull(user_id)",
+        "IsNotNull(amount)",
+        "IsNotNull(event_id)",
+        "IsNotNull(event_ts)",
+        "GreaterThan(amount,0.0)",
+        "In(event_type",
+    ):
+        assert part in pushed
+    assert "user_agent" not in plan
+
+
+def test_unselected_masks_cost_nothing(bronze):
+    plan = plan_of(to_silver(bronze({})).select("event_id"))
+    assert "sha2" not in plan
