@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DecimalType, TimestampType
 
-from assayer.constants import MONEY
+from assayer.constants import MONEY, MONEY_TOTAL
 
 
 def coerce(value: Column, to: DataType) -> Column:
@@ -39,7 +39,7 @@ def exact_average(total: Column, count: Column) -> Column:
     tie is at least 1/(2e6 * count) away from it, so the detour changes no
     result for groups of fewer than 10**12 rows.
     """
-    quotient = total.cast(DecimalType(22, 2)) / count.cast(DecimalType(15, 0))
+    quotient = total.cast(MONEY_TOTAL) / count.cast(DecimalType(15, 0))
     # A group without amounts has count 0; its average is null, not an error.
     safe = F.when(count > 0, quotient)
     return F.round(safe.cast(DecimalType(16, 6)), 2)

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayer.constants import MONEY_TOTAL, REVENUE_EVENT, REVENUE_GRAIN
+from assayer.constants import MONEY, MONEY_TOTAL, REVENUE_EVENT, REVENUE_GRAIN
 from assayer.functions.coercion import bucket, exact_average
 
 MEASURES = (
@@ -57,19 +57,23 @@ def revenue_rollup(rows: DataFrame, spec: Rollup = REVENUE_PER_HOUR) -> DataFram
 
     Revenue is the plain sum of the amounts. Spark plans the exact distinct
     count as a first aggregation per (group, buyer): rows are combined before
-    the shuffle and a hot group is spread over its buyers.
+    the shuffle and a hot group is spread over its buyers. The average comes
+    from the sum that is there already: ``avg`` would keep a second decimal
+    sum per group, which made the whole rollup about a tenth slower.
     """
+    _require_money(rows, spec)
     needed = rows.select(
         spec.bucket(), *spec.keys, spec.amount, spec.row_id, spec.buyer
     )
-    return needed.groupBy(*spec.group).agg(
-        F.round(F.sum(spec.amount), 2).alias("total_revenue"),
+    sums = needed.groupBy(*spec.group).agg(
+        F.sum(spec.amount).alias("amount_sum"),
+        F.count(spec.amount).alias("amount_count"),
         F.count(spec.row_id).alias("transaction_count"),
-        F.round(F.avg(spec.amount), 2).alias("avg_order_value"),
         F.max(spec.amount).alias("max_order_value"),
         F.min(spec.amount).alias("min_order_value"),
         F.count_distinct(spec.buyer).alias("unique_buyers"),
     )
+    return _with_average(sums, spec)
 
 
 def revenue_per_hour(silver: DataFrame) -> DataFrame:
@@ -86,6 +90,7 @@ def buyer_partials(
     reading the rows again, with exact distinct buyers. ``bucket`` replaces
     the truncated time, for instance by an event-time window.
     """
+    _require_money(rows, spec)
     chosen = spec.bucket() if bucket is None else bucket.alias(spec.bucket_name)
     return rows.groupBy(chosen, *spec.keys, spec.buyer).agg(
         F.sum(spec.amount).cast(MONEY_TOTAL).alias("amount_sum"),
@@ -117,7 +122,7 @@ def measures_from_partials(
     """The measures of ``revenue_rollup`` from one partial per buyer."""
     by = list(spec.group) if group is None else list(group)
     sums = partials.groupBy(*by).agg(
-        F.sum("amount_sum").cast(MONEY_TOTAL).alias("total_revenue"),
+        F.sum("amount_sum").cast(MONEY_TOTAL).alias("amount_sum"),
         F.sum("row_count").alias("transaction_count"),
         F.sum("amount_count").alias("amount_count"),
         F.max("amount_max").alias("max_order_value"),
@@ -125,10 +130,24 @@ def measures_from_partials(
         # One row per buyer is left, so counting the non-null ones is exact.
         F.count(spec.buyer).alias("unique_buyers"),
     )
-    average = exact_average(F.col("total_revenue"), F.col("amount_count"))
-    return sums.withColumn("avg_order_value", average).select(
-        *spec.group, *MEASURES
-    )
+    return _with_average(sums, spec)
+
+
+def _with_average(sums: DataFrame, spec: Rollup) -> DataFrame:
+    total, count = F.col("amount_sum"), F.col("amount_count")
+    return sums.withColumns(
+        {
+            "total_revenue": F.round(total, 2),
+            "avg_order_value": exact_average(total, count),
+        }
+    ).select(*spec.group, *MEASURES)
+
+
+def _require_money(rows: DataFrame, spec: Rollup) -> None:
+    """The averages are exact for this type only."""
+    actual = rows.schema[spec.amount].dataType
+    if actual != MONEY:
+        raise TypeError(f"{spec.amount} must be {MONEY.simpleString()}, not {actual}")
 
 
 def negative_revenue(gold: DataFrame) -> DataFrame:
