@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from assayer.operators.contract import EVENT_CONTRACT, Contract
-from assayer.operators.gold import clean_revenue
 
 
 def percent(part: Column, whole: Column) -> Column:
@@ -61,20 +60,14 @@ def layer_summary(
 ) -> DataFrame:
     """One row per layer: records, rows dropped before Silver, clean revenue.
 
-    Each layer is reduced to one row before they are put together. On written
-    tables the counts come from the Parquet footers.
+    Each layer is read once and reduced to one row before they are put
+    together. On written tables the counts come from the Parquet footers.
     """
+    healthy = F.when(F.col("total_revenue") > 0, F.col("total_revenue"))
     layers = (
         _counted(bronze, "bronze")
         .unionByName(_counted(silver, "silver"))
-        .unionByName(_counted(gold, "gold"))
-        .unionByName(
-            clean_revenue(gold).select(
-                F.lit("gold").alias("layer"),
-                F.lit(0).cast("bigint").alias("records"),
-                "total_revenue",
-            )
-        )
+        .unionByName(_counted(gold, "gold", revenue=F.sum(healthy)))
     )
     wide = layers.agg(
         *[
@@ -87,7 +80,7 @@ def layer_summary(
     no_count = F.lit(None).cast("bigint")
     no_pct = F.lit(None).cast(DecimalType(6, 1))
     no_revenue = F.lit(None).cast(DecimalType(38, 2))
-    revenue = F.col("total_revenue").cast(DecimalType(38, 2))
+    revenue = F.col("total_revenue")
     rows = F.array(
         _summary_row("bronze", no_count, no_pct, no_revenue),
         _summary_row("silver", dropped, percent(dropped, F.col("bronze")), no_revenue),
@@ -96,12 +89,12 @@ def layer_summary(
     return wide.select(F.inline(rows))
 
 
-def _counted(df: DataFrame, layer: str) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("records")).select(
-        F.lit(layer).alias("layer"),
-        "records",
-        F.lit(None).cast(DecimalType(33, 2)).alias("total_revenue"),
-    )
+def _counted(df: DataFrame, layer: str, revenue: Column | None = None) -> DataFrame:
+    measured = F.lit(None) if revenue is None else revenue
+    return df.agg(
+        F.count(F.lit(1)).alias("records"),
+        measured.cast(DecimalType(38, 2)).alias("total_revenue"),
+    ).select(F.lit(layer).alias("layer"), "records", "total_revenue")
 
 
 def _summary_row(layer: str, dropped: Column, pct: Column, revenue: Column) -> Column:

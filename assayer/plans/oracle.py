@@ -225,6 +225,8 @@ left join judged j on j.reason = r.reason
 group by r.position, r.reason"""),
     "pii_email_hash": _bronze("select event_id, sha256(email) as email_hash from bronze"),
     "pii_ip_mask": _bronze(f"select event_id, {IP_MASK} as ip_masked from bronze"),
+    "pii_sql_functions": _bronze(f"""
+select event_id, sha256(email) as email_hash, {IP_MASK} as ip_masked from bronze"""),
     "pii_documents": f"""
 with found as (
   select doc_id, nullif(regexp_extract(text, '{EMAIL}'), '') as email,
@@ -237,6 +239,8 @@ from found where email is not null or ip_address is not null""",
     "gold_total_clean_revenue": _history("""
 select cast(sum(total_revenue) as decimal(18,2)) as total_revenue
 from contents where snapshot_id = 2 and total_revenue > 0"""),
+    "gold_negative_rows": _history(f"""
+select {GOLD_COLUMNS} from contents where snapshot_id = 2 and total_revenue < 0"""),
     "gold_negative_audit": _history("""
 select cast(s.snapshot_id as bigint) as snapshot_id, n.operation, s.records,
   s.records - lag(s.records) over (order by s.snapshot_id) as record_change,

@@ -8,10 +8,15 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Settings the library relies on or profits from. None of them depends on the
-# size of the data: AQE picks the number of reduce tasks and splits skewed
-# join partitions from the sizes it measures.
+# size of the data: from the sizes it measures, AQE merges small reduce tasks
+# and splits skewed ones. (It never makes more reduce tasks than
+# spark.sql.shuffle.partitions, so a large cluster raises that.)
 SETTINGS = {
+    # Times without an offset are read as UTC.
     "spark.sql.session.timeZone": "UTC",
+    # The default, INT96, has no min/max in the Parquet footer, so that a
+    # filter on a time could not skip anything.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

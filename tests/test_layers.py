@@ -2,6 +2,8 @@ from __future__ import annotations
 
 from decimal import Decimal
 
+import pyarrow.parquet as parquet
+from conftest import plan_of
 from pyspark.sql import functions as F
 
 from assayer.constants import SILVER_SCHEMA
@@ -45,6 +47,18 @@ def test_job_from_json_to_gold_with_an_incident(spark):
     assert operations == ["restore", "append", "replace"]
 
 
+def test_files_let_a_time_filter_skip(spark):
+    """Written times have min/max in the footers, and the filter reaches them."""
+    layers = Layers.under(spark, new_workspace(spark, "test-job"))
+    layers.build(fixture.bronze_events(spark, SF))
+    silver = layers.silver.read()
+    footer = parquet.ParquetFile(silver.inputFiles()[0].removeprefix("file:")).metadata
+    times = footer.row_group(0).column(silver.columns.index("event_ts"))
+    assert times.path_in_schema == "event_ts" and times.statistics.has_min_max
+    plan = plan_of(silver.where("event_ts >= timestamp'2024-01-20'"))
+    assert "GreaterThanOrEqual(event_ts" in plan
+
+
 def test_build_again_replaces_and_keeps_history(spark):
     layers = Layers.under(spark, new_workspace(spark, "test-job"))
     events = fixture.bronze_events(spark, SF)
