@@ -45,6 +45,12 @@ def plain_time(name: str) -> Column:
     return F.col(name).cast("timestamp_ntz").alias(name)
 
 
+def plain_instant(name: str) -> Column:
+    """A point in time as its UTC clock time, whatever the session zone is."""
+    local = F.col(name).cast("timestamp_ntz")
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), local).alias(name)
+
+
 def plain_sum(name: str) -> Column:
     return F.col(name).cast(DecimalType(18, 2)).alias(name)
 
@@ -243,7 +249,7 @@ def snapshot_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     history = fixture.gold_history(spark, sf_dir).table.history()
     return history.select(
         "snapshot_id",
-        plain_time("committed_at"),
+        plain_instant("committed_at"),
         "operation",
         "summary.added_records",
         "summary.total_records",
@@ -253,7 +259,7 @@ def snapshot_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snapshot_expire(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = fixture.gold_history(spark, sf_dir).table
     return table.expirable(now=fixture.EXPIRY_NOW).select(
-        "commit_id", plain_time("committed_at"), "added_records"
+        "commit_id", plain_instant("committed_at"), "added_records"
     )
 
 

@@ -3,9 +3,12 @@ from __future__ import annotations
 import random
 from collections import defaultdict
 from datetime import datetime
-from decimal import ROUND_HALF_UP, Decimal
+from decimal import ROUND_HALF_UP, Decimal, localcontext
 
+import pytest
 from conftest import plan_of
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from assayer.functions.coercion import exact_average
@@ -101,6 +104,42 @@ def test_exact_average_equals_decimal_average(spark):
     assert both.where("g = 0").first().merged == Decimal("19.44")
 
 
+@settings(
+    max_examples=10,
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
+@given(
+    st.lists(
+        st.tuples(
+            st.integers(1, 10**15),
+            st.one_of(st.integers(1, 200), st.integers(1, 10**9)),
+        ),
+        min_size=30,
+    )
+)
+def test_exact_average_of_any_total_and_count(spark, pairs):
+    with localcontext() as context:
+        context.prec = 60
+        expected = [
+            half_up(half_up(Decimal(cents).scaleb(-2) / n, "1e-6"), "0.01")
+            for cents, n in pairs
+        ]
+    # An average of amounts fits decimal(12,2).
+    kept = [i for i, value in enumerate(expected) if value < 10**10]
+    rows = [(i, Decimal(pairs[i][0]).scaleb(-2), pairs[i][1]) for i in kept]
+    df = spark.createDataFrame(rows, "i int, total decimal(22,2), n bigint")
+    result = df.select("i", exact_average(F.col("total"), F.col("n")).alias("a"))
+    assert {r.i: r.a for r in result.collect()} == {i: expected[i] for i in kept}
+
+
+def test_amounts_of_another_type_are_refused(spark):
+    df = sales(spark, random_rows(3)).withColumn("amount", F.lit(1.0))
+    for rollup in (revenue_rollup, buyer_partials):
+        with pytest.raises(TypeError, match="decimal"):
+            rollup(df)
+
+
 def test_group_without_amounts(spark):
     when = datetime(2024, 1, 1)
     df = sales(spark, [("1", "u", "a", None, when)])

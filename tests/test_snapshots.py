@@ -239,3 +239,14 @@ def test_workspace_lies_in_the_shared_folder(spark):
     shared = spark.conf.get(CHECKPOINT_DIR)
     one, two = new_workspace(spark, "x"), new_workspace(spark, "x")
     assert one.startswith(shared) and one != two
+
+
+def test_workspace_on_a_cluster_needs_the_shared_folder():
+    class Session:
+        def __init__(self, **conf):
+            self.conf = {key.replace("_", "."): value for key, value in conf.items()}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        new_workspace(Session(spark_master="yarn"), "x")
+    local = new_workspace(Session(spark_master="local[2]"), "x")
+    assert Path(local).is_dir()

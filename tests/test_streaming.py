@@ -131,6 +131,40 @@ def test_repeated_batch_changes_nothing(spark, bronze, work):
     assert once == rows(revenue_per_hour(first.unionByName(second)))
 
 
+def test_stream_recovers_from_a_failure_between_its_writes(spark, bronze, work):
+    class Failing(RevenueStream):
+        def _overwrite(self, df, path, *folders):
+            if path == self.gold_path:
+                raise RuntimeError("lost")
+            super()._overwrite(df, path, *folders)
+
+    land(bronze, work, purchase(1, "00:10:00", 2.0), purchase(2, "01:10:00", 4.0))
+    source = to_silver(stream_json_events(spark, f"{work}/in"))
+    failing = Failing(work).start(source, f"{work}/checkpoint")
+    with pytest.raises(Exception, match="lost"):
+        failing.awaitTermination()
+    land(bronze, work, purchase(3, "00:20:00", 6.0, "u2"))
+    stream = RevenueStream(work)
+    stream.start(source, f"{work}/checkpoint").awaitTermination()
+    everything = to_silver(read_json_events(spark, f"{work}/in"))
+    assert rows(stream.read_gold(spark)) == rows(revenue_per_hour(everything))
+
+
+def test_gold_stream_reads_only_needed_fields(spark, bronze, work):
+    """The masks are not computed for a stream that does not show them."""
+    plans = []
+
+    class Watching(RevenueStream):
+        def process(self, batch, batch_id):
+            plans.append(batch.columns)
+            super().process(batch, batch_id)
+
+    land(bronze, work, purchase(1, "00:10:00"))
+    source = to_silver(stream_json_events(spark, f"{work}/in"))
+    Watching(work).start(source, f"{work}/checkpoint").awaitTermination()
+    assert plans == [["event_ts", "category", "amount", "event_id", "user_id"]]
+
+
 def test_batch_without_purchases(spark, bronze, work):
     stream = RevenueStream(work)
     stream.process(to_silver(bronze(purchase(1, "00:10:00"))), 0)
