@@ -20,12 +20,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from assayer.constants import BRONZE_SCHEMA
 from assayer.functions.coercion import to_money
 from assayer.operators.contract import EVENT_CONTRACT
-from assayer.operators.gold import (
-    Rollup,
-    revenue_per_hour,
-    revenue_rollup,
-    sorted_for_sink,
-)
+from assayer.operators.gold import Rollup, revenue_per_hour, sorted_for_sink
 from assayer.operators.silver import to_silver
 from assayer.session import new_workspace
 from assayer.sources.events import parse_json
@@ -80,14 +75,14 @@ def bronze_events(
 
 def as_bronze(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     event_id, user_id, ts = F.col("event_id"), F.col("user_id"), F.col("ts")
-    user = user_id.cast("string")
+    user, day = user_id.cast("string"), F.date_format(ts, "yyyyMMdd")
     # Parsed in a projection of its own, so once per row and not once per use.
     events = events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
     k = F.col("k")
     columns = {
         "event_id": event_id.cast("string"),
         "user_id": F.when(event_id % 20 != 0, user),
-        "session_id": F.concat(F.lit("s"), user, F.lit("-"), F.date_format(ts, "yyyyMMdd")),
+        "session_id": F.concat(F.lit("s"), user, F.lit("-"), day),
         "event_type": F.col("event_type"),
         "product_id": F.concat(F.lit("PROD-"), (k + 1000).cast("string")),
         "product_name": F.concat(F.lit("Product "), k.cast("string")),
@@ -129,8 +124,8 @@ def silver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw JSON text of each event next to its parsed fields."""
-    events = table(spark, sf_dir, "events")
-    return events.select("event_id", "props", parse_json("props", PROPS_SCHEMA).alias("parsed"))
+    parsed = parse_json("props", PROPS_SCHEMA).alias("parsed")
+    return table(spark, sf_dir, "events").select("event_id", "props", parsed)
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,7 +231,8 @@ def json_landing(spark: SparkSession, sf_dir: str, batches: int = 4) -> Landing:
     path = new_workspace(spark, "landing")
     quarter = F.floor(F.minute("ts") / 15).alias("quarter")
     events = table(spark, sf_dir, "events").select("*", quarter)
-    as_bronze(events, keep=("quarter",)).write.mode("overwrite").partitionBy("quarter").json(path)
+    feed = as_bronze(events, keep=("quarter",))
+    feed.write.mode("overwrite").partitionBy("quarter").json(path)
     files = len(spark.read.schema(BRONZE_SCHEMA).json(path).inputFiles())
     return Landing(path, max(1, ceil(files / batches)))
 

@@ -274,6 +274,12 @@ select cast(s.snapshot_id as bigint) as snapshot_id, s.committed_at, s.operation
   (select count(*) from commits c where c.commit_id = s.snapshot_id) as added_records,
   n.records as total_records
 from snapshots s join sizes n using (snapshot_id)
+order by s.committed_at desc, s.snapshot_id desc limit 5"""),
+    "snapshot_history_sql": _history("""
+select cast(s.snapshot_id as bigint) as snapshot_id, s.operation,
+  n.records as total_records,
+  (select records from sizes where snapshot_id = 4) as current_rows
+from snapshots s join sizes n using (snapshot_id)
 order by s.committed_at desc, s.snapshot_id desc limit 5"""),
     "snapshot_as_of": _history(f"""
 select {GOLD_COLUMNS} from contents where snapshot_id = 1"""),

@@ -256,6 +256,19 @@ def snapshot_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def snapshot_history_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest snapshots and the rows they leave, asked for in SQL."""
+    fixture.gold_history(spark, sf_dir).table.create_views("revenue_per_hour")
+    return spark.sql(
+        """
+        SELECT snapshot_id, operation, summary.total_records,
+          (SELECT count(*) FROM revenue_per_hour) AS current_rows
+        FROM revenue_per_hour_snapshots
+        ORDER BY committed_at DESC, snapshot_id DESC LIMIT 5
+        """
+    )
+
+
 def snapshot_expire(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = fixture.gold_history(spark, sf_dir).table
     return table.expirable(now=fixture.EXPIRY_NOW).select(
@@ -347,6 +360,7 @@ QUERIES: dict[str, Query] = {
     "layer_summary": layer_summary_report,
     "snapshot_append": snapshot_append,
     "snapshot_history": snapshot_history,
+    "snapshot_history_sql": snapshot_history_sql,
     "snapshot_as_of": snapshot_as_of,
     "snapshot_restore": snapshot_restore,
     "snapshot_expire": snapshot_expire,

@@ -17,6 +17,10 @@ SETTINGS = {
     # The default, INT96, has no min/max in the Parquet footer, so that a
     # filter on a time could not skip anything.
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # Stream state on local disk instead of the executor heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

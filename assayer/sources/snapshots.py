@@ -117,16 +117,26 @@ class SnapshotTable:
                 raise
             return self.spark.createDataFrame([], LEDGER_SCHEMA)
 
-    def history(self, n: int = HISTORY_LENGTH) -> DataFrame:
-        """The newest ``n`` snapshots, newest first."""
+    def snapshots(self) -> DataFrame:
+        """One row per snapshot: id, time, operation and counts."""
         summary = F.struct("added_records", "total_records").alias("summary")
-        return (
-            self.ledger()
-            .orderBy(F.desc("committed_at"), F.desc("snapshot_id"))
-            .limit(n)
-            .select("snapshot_id", "committed_at", "operation", summary)
+        return self.ledger().select(
+            "snapshot_id", "committed_at", "operation", summary
         )
 
+    def history(self, n: int = HISTORY_LENGTH) -> DataFrame:
+        """The newest ``n`` snapshots, newest first."""
+        newest = (F.desc("committed_at"), F.desc("snapshot_id"))
+        return self.snapshots().orderBy(*newest).limit(n)
+
+    def create_views(self, name: str) -> None:
+        """Make the table known to SQL, as it is now.
+
+        ``name`` has the current rows and ``name_snapshots`` the snapshots.
+        """
+        self.read().createOrReplaceTempView(name)
+        self.snapshots().createOrReplaceTempView(f"{name}_snapshots")
+
     # -- upkeep -------------------------------------------------------------
 
     def expirable(

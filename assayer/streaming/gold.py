@@ -4,7 +4,7 @@ Two forms with different treatment of late events:
 
 * ``windowed_revenue``: pure event-time state. An hour is emitted once, when
   the watermark has passed it; events that come later are dropped by Spark.
-* ``start_revenue``: partial results are kept in a table. An hour is corrected
+* ``RevenueStream``: partial results are kept in a table. An hour is corrected
   whenever events for it arrive, however late.
 """
 

@@ -36,8 +36,9 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     for name in TABLES:
         path = Path(sf_dir) / f"{name}.parquet"
         if path.exists():
+            files = f"{path}/*.parquet" if path.is_dir() else path
             connection.execute(
-                f"create view {name} as select * from read_parquet('{path}')"
+                f"create view {name} as select * from read_parquet('{files}')"
             )
     return connection
 

@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import random
 from collections import Counter
-from datetime import datetime
 
 import pytest
 from conftest import plan_of

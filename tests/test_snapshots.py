@@ -5,6 +5,7 @@ from decimal import Decimal
 from pathlib import Path
 
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -58,6 +59,23 @@ def test_history_is_newest_first(spark, table):
     assert table.history(1).first().snapshot_id == 7
 
 
+def test_history_is_a_top_k(table, spark):
+    table.replace(numbers(spark, 1))
+    plan = plan_of(table.history())
+    assert "TakeOrderedAndProject" in plan and "Exchange" not in plan
+
+
+def test_views(spark, table):
+    table.replace(numbers(spark, 1, 2))
+    table.append(numbers(spark, 3))
+    table.create_views("numbers")
+    assert spark.sql("select sum(n) from numbers").first()[0] == 6
+    newest = spark.sql(
+        "select snapshot_id from numbers_snapshots order by committed_at desc limit 1"
+    )
+    assert newest.first()[0] == 1 == table.current_id()
+
+
 def test_reads_list_only_visible_commits(spark, table):
     table.replace(numbers(spark, 1))
     table.append(numbers(spark, 2))
