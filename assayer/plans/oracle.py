@@ -192,6 +192,18 @@ BRONZE_ROWS = _bronze("select * exclude (load) from bronze")
 SILVER_ROWS = _silver(f"select {SILVER_COLUMNS} from silver")
 GOLD_ROWS = _gold(f"select {GOLD_COLUMNS} from gold")
 
+LAYER_SUMMARY = _gold(f"""
+select 'bronze' as layer, count(*) as records, cast(null as bigint) as dropped,
+  cast(null as decimal(6,1)) as dropped_pct, cast(null as decimal(18,2)) as total_revenue
+from bronze
+union all
+select 'silver', s.n, b.n - s.n, {_percent('(b.n - s.n)', 'b.n')}, null
+from (select count(*) as n from bronze) b, (select count(*) as n from silver) s
+union all
+select 'gold', count(*), null, null,
+  cast(sum(total_revenue) filter (where total_revenue > 0) as decimal(18,2))
+from gold""")
+
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 IPV4 = r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}"
 
@@ -256,17 +268,8 @@ with sold as (select *, cast(l_extendedprice as decimal(12,2)) as amount from li
 select date_trunc('day', l_shipdate) as day_bucket, l_returnflag,
   {measures('amount', 'l_orderkey', 'l_suppkey')}
 from sold group by all""",
-    "layer_summary": _gold(f"""
-select 'bronze' as layer, count(*) as records, cast(null as bigint) as dropped,
-  cast(null as decimal(6,1)) as dropped_pct, cast(null as decimal(18,2)) as total_revenue
-from bronze
-union all
-select 'silver', s.n, b.n - s.n, {_percent('(b.n - s.n)', 'b.n')}, null
-from (select count(*) as n from bronze) b, (select count(*) as n from silver) s
-union all
-select 'gold', count(*), null, null,
-  cast(sum(total_revenue) filter (where total_revenue > 0) as decimal(18,2))
-from gold"""),
+    "layer_summary": LAYER_SUMMARY,
+    "layer_build": LAYER_SUMMARY,
     "snapshot_append": _history(f"""
 select {GOLD_COLUMNS} from contents where snapshot_id = 2"""),
     "snapshot_history": _history("""

@@ -27,6 +27,7 @@ from assayer.operators.gold import (
 from assayer.operators.lineage import trace_gold_to_silver, trace_silver_to_bronze
 from assayer.operators.silver import to_silver, to_strict_silver
 from assayer.plans import fixture
+from assayer.plans.layers import Layers
 from assayer.session import new_workspace
 from assayer.sources.events import CORRUPT, read_json_events, stream_json_events
 from assayer.streaming.gold import RevenueStream, start_windowed_revenue
@@ -225,6 +226,13 @@ def layer_summary_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def layer_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job: all three layers written, then summed up from the tables."""
+    layers = Layers.under(spark, new_workspace(spark, "layers"))
+    layers.build(fixture.bronze_events(spark, sf_dir))
+    return layers.summary().withColumn("total_revenue", plain_sum("total_revenue"))
+
+
 # -- Versions ---------------------------------------------------------------
 
 
@@ -358,6 +366,7 @@ QUERIES: dict[str, Query] = {
     "orders_per_day": orders_per_day,
     "lineitem_per_day": lineitem_per_day,
     "layer_summary": layer_summary_report,
+    "layer_build": layer_build,
     "snapshot_append": snapshot_append,
     "snapshot_history": snapshot_history,
     "snapshot_history_sql": snapshot_history_sql,

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import tempfile
 from datetime import datetime, timedelta, timezone
 from decimal import Decimal
 from pathlib import Path
@@ -197,7 +198,7 @@ def test_audit_shows_the_incident(spark):
         row(0, "Electronics", "30.00", 2, "15.00", "10.00", "20.00", 2),
         row(1, "Apparel", "5.00", 1, "5.00", "5.00", "5.00", 1),
     ]
-    # The batch of the reference incident, in proper types.
+    # The incident batch, in proper types.
     bad = [
         row(0, "Electronics", "-99999.99", 999, "-100.00", "-50.00", "-200.00", 0),
         row(1, "Apparel", "-88888.88", 888, "-80.00", "-30.00", "-150.00", 0),
@@ -254,7 +255,7 @@ def test_namespace_location(spark):
 
 
 def test_workspace_lies_in_the_shared_folder(spark):
-    shared = spark.conf.get(CHECKPOINT_DIR)
+    shared = spark.conf.get(CHECKPOINT_DIR, tempfile.gettempdir())
     one, two = new_workspace(spark, "x"), new_workspace(spark, "x")
     assert one.startswith(shared) and one != two
 
