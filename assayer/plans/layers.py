@@ -29,10 +29,12 @@ class Layers:
     gold: SnapshotTable
 
     @staticmethod
-    def under(spark: SparkSession, root: str) -> Layers:
+    def under(spark: SparkSession, root: str, silver_by_day: bool = False) -> Layers:
+        """``silver_by_day`` suits a Silver that is too large to read whole."""
+        days_of = "event_ts" if silver_by_day else None
         return Layers(
             bronze=layer_table(spark, root, "bronze", "events"),
-            silver=layer_table(spark, root, "silver", "events"),
+            silver=layer_table(spark, root, "silver", "events", days_of),
             gold=layer_table(spark, root, "gold", "revenue_per_hour"),
         )
 
@@ -61,11 +63,12 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--events", required=True, help="folder of raw events")
     parser.add_argument("--format", choices=("json", "parquet"), default="json")
     parser.add_argument("--root", required=True, help="folder of the tables")
+    parser.add_argument("--silver-by-day", action="store_true")
     options = parser.parse_args(arguments)
 
     spark = build_session("build-layers")
     read = {"json": read_json_events, "parquet": read_parquet_events}[options.format]
-    layers = Layers.under(spark, options.root)
+    layers = Layers.under(spark, options.root, options.silver_by_day)
     layers.build(read(spark, options.events))
     layers.summary().show(truncate=False)
     layers.drops().show(truncate=False)

@@ -16,15 +16,15 @@ def ensure_namespaces(
     """Create the databases of the layers in the catalog, if they are missing."""
     for name in names:
         location = "" if root is None else f" LOCATION '{root.rstrip('/')}/{name}'"
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{location}")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{location}")
 
 
 def layer_table(
-    spark: SparkSession, root: str, layer: str, name: str
+    spark: SparkSession, root: str, layer: str, name: str, days_of: str | None = None
 ) -> SnapshotTable:
     """The versioned table ``layer.name`` under ``root``, in the layer's codec."""
     path = f"{root.rstrip('/')}/{layer}/{name}"
-    return SnapshotTable(spark, path, codec=LAYER_CODECS[layer])
+    return SnapshotTable(spark, path, codec=LAYER_CODECS[layer], days_of=days_of)
 
 
 def save_catalog_table(df: DataFrame, layer: str, name: str, mode: str) -> None:

@@ -5,6 +5,9 @@ Layout of a table folder::
     data/_commit_id=<n>/   the rows that commit n wrote, never changed later
     ledger/                one row per snapshot
 
+A large table of events can have one folder per day in each commit, so that a
+read of some days lists and opens nothing else.
+
 A snapshot lists the commits visible in it. Rows are written first and the
 ledger row last, so a write that fails half-way is never visible and a repeat
 of it replaces what it left. There must be one writer at a time.
@@ -14,13 +17,14 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from datetime import datetime, timedelta, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
+    DateType,
     LongType,
     StringType,
     StructField,
@@ -32,6 +36,7 @@ from assayer.constants import HISTORY_LENGTH, RETENTION_DAYS
 from assayer.operators.contract import conform
 
 COMMIT_ID = "_commit_id"
+DAY = "_day"
 
 REPLACE = "replace"
 APPEND = "append"
@@ -51,12 +56,23 @@ LEDGER_SCHEMA = (
 
 
 class SnapshotTable:
-    """One versioned table under ``path``."""
+    """One versioned table under ``path``.
+
+    With ``days_of``, the name of a time column, commits are split by its day.
+    A table must always be opened with the same ``days_of``.
+    """
 
-    def __init__(self, spark: SparkSession, path: str, codec: str = "zstd"):
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        codec: str = "zstd",
+        days_of: str | None = None,
+    ):
         self.spark = spark
         self.path = path.rstrip("/")
         self.codec = codec
+        self.days_of = days_of
 
     # -- commits ------------------------------------------------------------
 
@@ -103,6 +119,15 @@ class SnapshotTable:
         """The rows that were visible in ``snapshot_id``."""
         return self._rows(self._entry(snapshot_id), commit_column)
 
+    def read_days(self, first: date, last: date) -> DataFrame:
+        """The current rows of the days from ``first`` to ``last``."""
+        if self.days_of is None:
+            raise ValueError("this table is not split by day")
+        entry = self._require_current()
+        rows = self._read_commits(entry.live, _schema_of(entry))
+        chosen = rows.where(F.col(DAY).between(F.lit(first), F.lit(last)))
+        return chosen.drop(COMMIT_ID, DAY)
+
     def current_id(self) -> int:
         """The id of the newest snapshot."""
         return self._require_current().snapshot_id
@@ -206,13 +231,21 @@ class SnapshotTable:
         parent: Row | None,
         committed_at: datetime | None,
     ) -> int:
-        if COMMIT_ID in df.columns:
-            raise ValueError(f"{COMMIT_ID} is a reserved column name")
+        reserved = {COMMIT_ID, DAY}.intersection(df.columns)
+        if reserved:
+            raise ValueError(f"reserved column names: {sorted(reserved)}")
         commit = _next_id(parent)
         folder = self._commit_path(commit)
         # No snapshot refers to this id yet. Whatever lies here was left by a
         # write that failed before its ledger row.
-        df.write.mode("overwrite").option("compression", self.codec).parquet(folder)
+        if self.days_of is None:
+            writer = df.write
+        else:
+            # No shuffle: a task writes the days it has, which are few as long
+            # as events arrive in order, and a hot day stays spread over tasks.
+            writer = df.withColumn(DAY, F.to_date(self.days_of)).write
+            writer = writer.partitionBy(DAY)
+        writer.mode("overwrite").option("compression", self.codec).parquet(folder)
         # A count without columns is answered from the Parquet footers.
         added = self.spark.read.schema(df.schema).parquet(folder).count()
         appending = operation == APPEND
@@ -277,18 +310,21 @@ class SnapshotTable:
         return f"{self.path}/data/{COMMIT_ID}={commit}"
 
     def _rows(self, entry: Row, commit_column: str | None) -> DataFrame:
-        rows = self._read_commits(entry.live, _schema_of(entry))
+        rows = self._read_commits(entry.live, _schema_of(entry)).drop(DAY)
         if commit_column is None:
             return rows.drop(COMMIT_ID)
         return rows.withColumnRenamed(COMMIT_ID, commit_column)
 
     def _read_commits(self, commits: Sequence[int], schema: StructType) -> DataFrame:
         """Rows of the given commits; the folders of others are not even listed."""
-        with_commit = StructType([*schema.fields, StructField(COMMIT_ID, LongType())])
+        folders = [StructField(COMMIT_ID, LongType())]
+        if self.days_of is not None:
+            folders.append(StructField(DAY, DateType()))
+        with_folders = StructType([*schema.fields, *folders])
         if not commits:
-            return self.spark.createDataFrame([], with_commit)
+            return self.spark.createDataFrame([], with_folders)
         return (
-            self.spark.read.schema(with_commit)
+            self.spark.read.schema(with_folders)
             .option("basePath", f"{self.path}/data")
             .parquet(*[self._commit_path(commit) for commit in commits])
         )

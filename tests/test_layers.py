@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from datetime import date
 from decimal import Decimal
 
 import pyarrow.parquet as parquet
@@ -69,6 +70,17 @@ def test_build_again_replaces_and_keeps_history(spark):
     assert layers.gold.read_as_of(0).drop("computed_at").exceptAll(first).count() == 0
 
 
+def test_silver_by_day(spark):
+    layers = Layers.under(spark, new_workspace(spark, "test-job"), silver_by_day=True)
+    layers.build(fixture.bronze_events(spark, SF))
+    day = date(2024, 1, 7)
+    one_day = layers.silver.read_days(day, day)
+    every = layers.silver.read()
+    assert one_day.columns == every.columns == SILVER_SCHEMA.names
+    assert one_day.count() == every.where(F.to_date("event_ts") == F.lit(day)).count() > 0
+    assert layers.summary().where("layer = 'silver'").first().records == every.count()
+
+
 def test_command_line(spark, capsys):
     landing = fixture.json_landing(spark, SF)
     root = new_workspace(spark, "test-main")

@@ -1,12 +1,14 @@
 from __future__ import annotations
 
 import tempfile
-from datetime import datetime, timedelta, timezone
+from datetime import date, datetime, timedelta, timezone
 from decimal import Decimal
 from pathlib import Path
 
 import pytest
 from conftest import plan_of
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -179,6 +181,68 @@ def test_expirable_reports_what_no_kept_snapshot_needs(spark, table):
     assert table.ledger().count() == 4
 
 
+def test_table_split_by_day(spark):
+    table = SnapshotTable(spark, new_workspace(spark, "test-days"), days_of="at")
+
+    def days(*numbers):
+        rows = [(n, datetime(2024, 1, n, 12)) for n in numbers]
+        return spark.createDataFrame(rows, "n int, at timestamp")
+
+    table.replace(days(1, 2, 3))
+    table.append(days(2, 3, 4))
+    assert table.read().columns == ["n", "at"]
+    assert contents(table.read()) == [1, 2, 2, 3, 3, 4]
+    assert contents(table.read_as_of(0)) == [1, 2, 3]
+    chosen = table.read_days(date(2024, 1, 2), date(2024, 1, 3))
+    assert contents(chosen) == [2, 2, 3, 3]
+    assert chosen.columns == ["n", "at"]
+    filters = next(x for x in plan_of(chosen).splitlines() if "PartitionFilters" in x)
+    assert "_day" in filters
+    assert table.ledger().orderBy("snapshot_id").collect()[1].total_records == 6
+    with pytest.raises(ValueError, match="reserved"):
+        table.replace(days(1).withColumn("_day", F.current_date()))
+    plain = SnapshotTable(spark, new_workspace(spark, "test-days"))
+    plain.replace(days(1))
+    with pytest.raises(ValueError, match="not split by day"):
+        plain.read_days(date(2024, 1, 1), date(2024, 1, 1))
+
+
+@settings(
+    max_examples=3,
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
+@given(
+    st.lists(
+        st.tuples(
+            st.sampled_from(["replace", "append", "append", "restore"]),
+            st.integers(0, 99),
+        ),
+        min_size=4,
+        max_size=7,
+    )
+)
+def test_any_sequence_of_commits(spark, steps):
+    """Every snapshot keeps showing what a plain list model says it holds."""
+    table = SnapshotTable(spark, new_workspace(spark, "test-model"))
+    model: list[list[int]] = []
+    for operation, number in steps:
+        if operation == "replace" or not model:
+            table.replace(numbers(spark, number))
+            model.append([number])
+        elif operation == "append":
+            table.append(numbers(spark, number, -number))
+            model.append([*model[-1], number, -number])
+        else:
+            target = number % len(model)
+            table.restore(target)
+            model.append(list(model[target]))
+    for snapshot, rows in enumerate(model):
+        assert contents(table.read_as_of(snapshot)) == sorted(rows)
+    sizes = {r.snapshot_id: r.total_records for r in table.ledger().collect()}
+    assert sizes == {i: len(rows) for i, rows in enumerate(model)}
+
+
 def test_audit_shows_the_incident(spark):
     """Two bad rows are appended, found, and gone again after the restore."""
     gold = layer_table(spark, new_workspace(spark, "test-gold"), "gold", "revenue")
