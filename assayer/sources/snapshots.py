@@ -270,22 +270,20 @@ class SnapshotTable:
         committed_at: datetime | None,
     ) -> int:
         snapshot_id = _next_id(parent)
-        entry = Row(
-            snapshot_id=snapshot_id,
-            parent_id=None if parent is None else parent.snapshot_id,
-            committed_at=committed_at or datetime.now(timezone.utc),
-            operation=operation,
-            live=live,
-            added_records=added,
-            total_records=total,
-            table_schema=table_schema,
-        )
-        (
-            self.spark.createDataFrame([entry], LEDGER_SCHEMA)
-            .coalesce(1)
-            .write.mode("append")
-            .parquet(f"{self.path}/ledger")
-        )
+        entry = {
+            "snapshot_id": snapshot_id,
+            "parent_id": None if parent is None else parent.snapshot_id,
+            "committed_at": _utc_text(committed_at or datetime.now(timezone.utc)),
+            "operation": operation,
+            "live": live,
+            "added_records": added,
+            "total_records": total,
+            "table_schema": table_schema,
+        }
+        # One row from a literal: a single task and a single file.
+        parsed = F.from_json(F.lit(json.dumps(entry)), LEDGER_SCHEMA).alias("entry")
+        row = self.spark.range(1, numPartitions=1).select(parsed).select("entry.*")
+        row.write.mode("append").parquet(f"{self.path}/ledger")
         return snapshot_id
 
     def _current_entry(self) -> Row | None:
@@ -334,5 +332,10 @@ def _schema_of(entry: Row) -> StructType:
     return StructType.fromJson(json.loads(entry.table_schema))
 
 
+def _utc_text(moment: datetime) -> str:
+    """ISO text with offset; a time without a zone is one of this machine."""
+    return moment.astimezone(timezone.utc).isoformat()
+
+
 def _next_id(parent: Row | None) -> int:
     return 0 if parent is None else parent.snapshot_id + 1

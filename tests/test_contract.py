@@ -131,6 +131,32 @@ def test_strict_silver_has_the_contract_schema(bronze):
     assert first.amount == Decimal("10.00") and first.quantity == 2
 
 
+def test_raw_types_may_differ(bronze):
+    """Amounts as text and times as timestamps are judged by the same rules."""
+    amounts = ["12.345", "abc", "-1", "0.004", None]
+    raw = bronze(*[{"product_name": a} for a in amounts], {"event_ts": None})
+    raw = raw.withColumns(
+        {
+            "amount": F.when(F.col("event_ts").isNull(), "1").otherwise(
+                F.col("product_name")
+            ),
+            "event_ts": F.to_timestamp("event_ts"),
+        }
+    )
+    judged = raw.select(EVENT_CONTRACT.first_reason(raw).alias("reason")).collect()
+    assert [row.reason for row in judged] == [
+        "ok",
+        "amount_out_of_range",
+        "non_positive_amount",
+        "non_positive_amount",
+        "missing_required",
+        "missing_required",
+    ]
+    kept = to_silver(raw).collect()
+    assert [row.amount for row in kept] == [Decimal("12.35")]
+    assert to_strict_silver(raw).schema == SILVER_SCHEMA
+
+
 def test_silver_carries_extra_columns(bronze):
     df = bronze({}).withColumn("origin", F.lit(7))
     silver = to_silver(df, carry=["origin"])

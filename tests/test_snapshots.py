@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import tempfile
+import time
 from datetime import date, datetime, timedelta, timezone
 from decimal import Decimal
 from pathlib import Path
@@ -62,6 +63,18 @@ def test_history_is_newest_first(spark, table):
     assert table.history(1).first().snapshot_id == 7
 
 
+def test_time_of_a_commit_is_kept_exactly(spark, table):
+    moment = datetime(2024, 2, 29, 23, 59, 59, 123456, tzinfo=timezone.utc)
+    elsewhere = moment.astimezone(timezone(timedelta(hours=5, minutes=30)))
+    table.replace(numbers(spark, 1), moment)
+    table.append(numbers(spark, 2), elsewhere)
+    table.append(numbers(spark, 3))
+    micros = table.ledger().orderBy("snapshot_id").select(F.unix_micros("committed_at"))
+    first, second, now = [row[0] for row in micros.collect()]
+    assert first == second == int(moment.timestamp()) * 10**6 + 123456
+    assert abs(now / 10**6 - time.time()) < 60
+
+
 def test_history_is_a_top_k(table, spark):
     table.replace(numbers(spark, 1))
     plan = plan_of(table.history())
