@@ -17,7 +17,8 @@ from assayer.session import build_session  # noqa: E402
 def spark(tmp_path_factory):
     session = build_session(
         "tests",
-        "local[8]",
+        # A task may fail once, as it may on a cluster.
+        "local[8,2]",
         {
             "spark.sql.shuffle.partitions": "8",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
