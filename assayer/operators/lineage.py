@@ -8,11 +8,14 @@ from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from assayer.operators.gold import REVENUE_PER_HOUR, Rollup, purchases
 
-# Upper bound of the rows that are ever sent to all executors.
+# What is sent to all executors has at most this many rows, with at most this
+# many bytes of text in their keys: less than 100 MB in all.
 BROADCAST_ROWS = 100_000
+BROADCAST_KEY_BYTES = 640
 
 
 def trace_gold_to_silver(
@@ -27,26 +30,33 @@ def trace_gold_to_silver(
     ``gold`` should be a written table: it is read more than once. It has one
     row per key, but a key may stand for a large part of all events. Therefore
 
-    * a Gold table of at most ``broadcast_rows`` rows, which is counted first,
+    * a Gold table of at most ``broadcast_rows`` rows, which is measured first,
       is broadcast, and the events do not move at all;
     * of a larger one only the hot keys are broadcast. Hot is a key with at
       least 1/``broadcast_rows`` of all transactions, so that there cannot be
       more than ``broadcast_rows`` of them. The other keys are joined by a
       shuffle in which no key has more than that share.
+
+    Keys with more than ``BROADCAST_KEY_BYTES`` of text are never broadcast; if
+    such a key is hot, the skew handling of the shuffle join splits it.
     """
     events = purchases(silver).select(
         spec.bucket(), *spec.keys, spec.row_id, spec.amount, *carry
     )
     groups = gold.select(*spec.group, "total_revenue", "transaction_count")
+    key_bytes = _text_bytes(groups, spec.group)
     size = groups.agg(
         F.count(F.lit(1)).alias("rows"),
         F.sum("transaction_count").alias("transactions"),
+        F.coalesce(F.max(key_bytes), F.lit(0)).alias("key_bytes"),
     ).first()
-    if size.rows <= broadcast_rows:
+    if size.rows <= broadcast_rows and size.key_bytes <= BROADCAST_KEY_BYTES:
         traced = _join(events, F.broadcast(groups), spec.group)
     else:
         hot_from = max(1, ceil(size.transactions / broadcast_rows))
-        is_hot = F.col("transaction_count") >= hot_from
+        is_hot = (F.col("transaction_count") >= hot_from) & (
+            key_bytes <= BROADCAST_KEY_BYTES
+        )
         hot = F.broadcast(groups.where(is_hot))
         cold_events = _join(events, hot, spec.group, "left_anti")
         cold = _join(cold_events, groups.where(~is_hot), spec.group)
@@ -92,9 +102,21 @@ def bronze_rows_behind(
     semi-join: repeated keys on either side do not multiply rows.
     """
     wanted = silver.select(*keys).distinct()
+    # The null-safe join does not reuse the shuffle of the distinct. That is on
+    # purpose: only between two shuffles of its own can it split a skewed key.
     return _join(bronze, wanted, keys, "left_semi")
 
 
+def _text_bytes(df: DataFrame, names: Sequence[str]) -> Column:
+    """Bytes of the text columns among ``names``."""
+    sizes = [
+        F.coalesce(F.octet_length(name), F.lit(0))
+        for name in names
+        if isinstance(df.schema[name].dataType, StringType)
+    ]
+    return reduce(lambda a, b: a + b, sizes, F.lit(0))
+
+
 def _mark(df: DataFrame, keys: Sequence[str], silver: int = 0, bronze: int = 0):
     return df.select(
         *keys,

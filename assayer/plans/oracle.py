@@ -302,6 +302,12 @@ select g.hour_bucket, g.category, g.total_revenue, g.transaction_count,
 from silver s join gold g on date_trunc('hour', s.event_ts) = g.hour_bucket
   and s.category is not distinct from g.category
 where s.event_type = 'purchase'"""),
+    "lineage_gold_to_bronze": _silver("""
+select b.* exclude (load), cast(b.load as bigint) as bronze_commit
+from bronze b
+where exists (
+  select 1 from silver s
+  where s.load = b.load and s.event_id = b.event_id and s.event_type = 'purchase')"""),
     "lineage_silver_to_bronze": _silver("""
 select cast(s.load as bigint) as bronze_commit, s.event_id,
   count(*) as silver_rows,

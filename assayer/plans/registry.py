@@ -24,7 +24,11 @@ from assayer.operators.gold import (
     revenue_per_hour,
     revenue_rollup,
 )
-from assayer.operators.lineage import trace_gold_to_silver, trace_silver_to_bronze
+from assayer.operators.lineage import (
+    bronze_rows_behind,
+    trace_gold_to_silver,
+    trace_silver_to_bronze,
+)
 from assayer.operators.silver import to_silver, to_strict_silver
 from assayer.plans import fixture
 from assayer.plans.layers import Layers
@@ -303,6 +307,15 @@ def lineage_gold_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lineage_gold_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw events behind all Gold rows, unchanged, with their commit."""
+    gold = fixture.gold_history(spark, sf_dir).table.read()
+    bronze = fixture.bronze_history(spark, sf_dir).read(commit_column="bronze_commit")
+    silver = to_silver(bronze, carry=["bronze_commit"])
+    sold = trace_gold_to_silver(gold, silver, carry=["bronze_commit"])
+    return bronze_rows_behind(sold, bronze, ["bronze_commit", "event_id"])
+
+
 def lineage_silver_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze = fixture.bronze_history(spark, sf_dir).read(commit_column="bronze_commit")
     silver = to_silver(bronze, carry=["bronze_commit"])
@@ -374,6 +387,7 @@ QUERIES: dict[str, Query] = {
     "snapshot_restore": snapshot_restore,
     "snapshot_expire": snapshot_expire,
     "lineage_gold_to_silver": lineage_gold_to_silver,
+    "lineage_gold_to_bronze": lineage_gold_to_bronze,
     "lineage_silver_to_bronze": lineage_silver_to_bronze,
     "stream_silver": stream_silver,
     "stream_gold": stream_gold,

@@ -85,6 +85,28 @@ def test_only_hot_keys_of_a_large_gold_are_broadcast(spark, layers):
     assert "SortMergeJoin Inner" in plan
 
 
+def test_long_keys_are_not_broadcast(spark, bronze):
+    """Not even if there are few of them; the result is the same."""
+    label = "long " * 500
+    silver = to_silver(
+        bronze(*[{**change, "category": label} for change in events(60)], {})
+    )
+    folder = new_workspace(spark, "test-long")
+    revenue_per_hour(silver).write.parquet(folder)
+    gold = spark.read.parquet(folder)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        traced = trace_gold_to_silver(gold, silver)
+        assert "SortMergeJoin Inner" in plan_of(traced)
+        found = Counter((r.category, r.event_id) for r in traced.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    sold = silver.where("event_type = 'purchase'").collect()
+    assert found == Counter((r.category, r.event_id) for r in sold)
+    assert {category for category, _ in found} == {label, "Books"}
+
+
 def test_trace_of_selected_gold_rows(layers):
     _, silver, gold = layers
     one = gold.where("category = 'Books'")
@@ -128,6 +150,20 @@ def test_bronze_rows_behind_a_selection(layers):
     assert sorted(row.session_id for row in found.collect()) == expected
 
 
+def test_selection_of_a_hot_id_can_be_split(spark, layers):
+    """AQE splits a skewed join only if both sides come straight from a shuffle."""
+    raw, silver, _ = layers
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = plan_of(bronze_rows_behind(silver, raw, ["event_id"])).splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    join = next(i for i, line in enumerate(lines) if "SortMergeJoin LeftSemi" in line)
+    below = [line for line in lines[join:] if "Sort (" in line or "Exchange (" in line]
+    assert ["Sort" in line for line in below[:4]] == [True, False, True, False]
+
+
 def test_origin_columns_name_the_exact_raw_row(spark, bronze):
     folder = new_workspace(spark, "test-origin")
     bronze(*events(100)).repartition(3).write.parquet(folder)
