@@ -54,11 +54,12 @@ class Contract:
     def reasons(self, raw: DataFrame) -> list[tuple[str, Column]]:
         """(reason, is violated) in the order in which they are judged.
 
-        Each condition is true or false, never null, as long as the earlier
-        ones did not hold.
+        Each condition is true or false, never null.
         """
         missing = reduce(
-            lambda a, b: a | b, [is_missing(raw, name) for name in self.required]
+            lambda a, b: a | b,
+            [is_missing(raw, name) for name in self.required],
+            F.lit(False),
         )
         rules = [(MISSING_REQUIRED, missing)]
         by_time_first = sorted(
@@ -70,7 +71,8 @@ class Contract:
             reason = f"{name}_out_of_range" if numeric else f"bad_{name}"
             rules.append((reason, self.typed(name).isNull()))
         for name in self.positive:
-            rules.append((f"non_positive_{name}", self.typed(name) <= 0))
+            is_positive = F.coalesce(self.typed(name) > 0, F.lit(False))
+            rules.append((f"non_positive_{name}", ~is_positive))
         for name, values in self.accepted.items():
             known = F.col(name).isin(*values)
             rules.append((f"bad_{name}", F.col(name).isNull() | ~known))
@@ -95,9 +97,7 @@ class Contract:
         conditions: the null checks, the accepted values and the sign of a raw
         number reach the Parquet scan, where they skip whole row groups.
         """
-        kept = raw
-        for name in self.required:
-            kept = kept.where(F.col(name).isNotNull())
+        kept = require_values(raw, self.required)
         for name, values in self.accepted.items():
             kept = kept.where(F.col(name).isin(*values))
         for name in self.positive:

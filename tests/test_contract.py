@@ -5,13 +5,20 @@ from decimal import Decimal
 
 import pytest
 from conftest import plan_of
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from assayer.constants import SILVER_SCHEMA
 from assayer.operators.accounting import drop_accounting
-from assayer.operators.contract import EVENT_CONTRACT, conform, require_values
+from assayer.operators.contract import (
+    EVENT_CONTRACT,
+    Contract,
+    conform,
+    require_values,
+)
 from assayer.operators.silver import to_silver, to_strict_silver
 from assayer.session import new_workspace
 
@@ -63,6 +70,57 @@ def test_silver_keeps_exactly_the_rows_that_are_ok(bronze):
     assert kept == {i for i, (_, reason) in enumerate(DEFECTS) if reason == "ok"}
 
 
+@settings(
+    max_examples=6,
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
+@given(
+    st.lists(
+        st.fixed_dictionaries(
+            {
+                "user_id": st.sampled_from([None, "u1", "", "u2"]),
+                "amount": st.one_of(st.none(), st.floats(), st.floats(-1, 100)),
+                "event_type": st.sampled_from(["purchase", "view", "signup", None]),
+                "event_ts": st.one_of(
+                    st.datetimes(
+                        min_value=datetime(1971, 1, 1), max_value=datetime(2100, 1, 1)
+                    ).map(datetime.isoformat),
+                    st.sampled_from([None, "", "x", "2024", "2024-13-01", "12:00"]),
+                ),
+            }
+        ),
+        min_size=30,
+        max_size=60,
+    )
+)
+def test_kept_rows_are_the_ok_rows(bronze, changes):
+    df = bronze(*[{**c, "session_id": str(i)} for i, c in enumerate(changes)])
+    reasons = df.select("session_id", EVENT_CONTRACT.first_reason(df).alias("reason"))
+    ok = {row.session_id for row in reasons.collect() if row.reason == "ok"}
+    silver = to_strict_silver(df).collect()
+    assert sorted(row.session_id for row in silver) == sorted(ok)
+    assert all(row.amount > 0 and row.event_ts is not None for row in silver)
+
+
+def test_other_contracts(spark):
+    """Rules agree for columns that are not required, and without any."""
+    rows = [(1, 2.0, "a"), (2, float("nan"), "b"), (3, None, None), (4, -1.0, "a")]
+    raw = spark.createDataFrame(rows, "id int, x double, s string")
+    schema = StructType().add("id", "integer").add("x", "double").add("s", "string")
+    narrow = StructType().add("id", "integer").add("x", "decimal(4,1)")
+    for contract, ids in [
+        (Contract(schema), [1, 2, 3, 4]),
+        (Contract(schema, required=("x",)), [1, 4]),
+        (Contract(schema, accepted={"s": ("a",)}), [1, 4]),
+        (Contract(narrow, positive=("x",)), [1]),
+        (Contract(narrow, required=("x",)), [1, 4]),
+    ]:
+        assert [row.id for row in contract.keep(raw).collect()] == ids
+        ok = raw.where(contract.first_reason(raw) == "ok")
+        assert [row.id for row in ok.collect()] == ids
+
+
 def test_accounting_covers_every_row_and_reason(bronze):
     rows = drop_accounting(numbered(bronze)).orderBy("position").collect()
     names = [row.reason for row in rows]
