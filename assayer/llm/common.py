@@ -103,14 +103,16 @@ def binary_rows(flat: np.ndarray, lengths: np.ndarray) -> pa.Array:
 # -- tables and files in the shared folder -------------------------------------
 
 
-def written(spark: SparkSession, frame: DataFrame, purpose: str) -> DataFrame:
+def written(
+    spark: SparkSession, frame: DataFrame, purpose: str, codec: str = "snappy"
+) -> DataFrame:
     """The frame as a table in the shared folder, read again.
 
     This cuts the lineage: a lost executor costs no more than the tasks it ran,
     and what is random or costly is settled once.
     """
     folder = new_workspace(spark, f"llm-{purpose}")
-    frame.write.mode("overwrite").parquet(folder)
+    frame.write.mode("overwrite").option("compression", codec).parquet(folder)
     return spark.read.schema(frame.schema).parquet(folder)
 
 

@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayer.llm import ans, bpe, langid, packing, simhash, warc
+from assayer.llm import (
+    ans,
+    bpe,
+    langid,
+    maxent,
+    merkle,
+    packing,
+    quality,
+    simhash,
+    warc,
+)
 from assayer.llm.common import crc_mod
 from assayer.session import new_workspace
 
@@ -61,6 +71,34 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(_documents(spark, sf_dir))
+    names = (
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "n_lines", "n_bad_lines", "kept_chars",
+    )
+    return judged.select("doc_id", *[F.col(f"quality.{n}").alias(n) for n in names])
+
+
+def op6_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = merkle.edited_fingerprints(_documents(spark, sf_dir))
+    own, changed = F.col("own"), F.col("changed")
+    return found.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        own["root"].alias("fingerprint"),
+        changed["root"].alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+        merkle.changed_sections(own, changed).alias("changed_sections"),
+    )
+
+
+def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.score_documents(_documents(spark, sf_dir), folds=7, held_out=2)
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_workspace(spark, "tokens")
     files = ans.write_ids(_documents(spark, sf_dir), folder, WORD_BPE, end_id=1)
@@ -83,6 +121,9 @@ QUERIES: dict[str, Query] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_warc": op3_warc,
     "op4_simhash": op4_simhash,
+    "op5_quality_rules": op5_quality_rules,
+    "op6_merkle": op6_merkle,
+    "op7_language_model": op7_language_model,
     "op9_token_files": op9_token_files,
     "op10_language_id": op10_language_id,
 }
