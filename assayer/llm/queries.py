@@ -17,6 +17,7 @@ from assayer.llm import (
     packing,
     quality,
     simhash,
+    suffix,
     warc,
 )
 from assayer.llm.common import crc_mod
@@ -99,6 +100,18 @@ def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent.score_documents(_documents(spark, sf_dir), folds=7, held_out=2)
 
 
+def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix.repeated_spans(_documents(spark, sf_dir))
+    lost = F.col("n_bytes") - F.octet_length("kept")
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        lost.cast("long").alias("n_removed"),
+        F.size("begins").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_workspace(spark, "tokens")
     files = ans.write_ids(_documents(spark, sf_dir), folder, WORD_BPE, end_id=1)
@@ -124,6 +137,7 @@ QUERIES: dict[str, Query] = {
     "op5_quality_rules": op5_quality_rules,
     "op6_merkle": op6_merkle,
     "op7_language_model": op7_language_model,
+    "op8_suffix_array": op8_suffix_array,
     "op9_token_files": op9_token_files,
     "op10_language_id": op10_language_id,
 }
