@@ -19,6 +19,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -158,18 +159,17 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def predict_rows(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of ``docs`` plus the struct ``language`` (lang_pred, score).
+    """Each row of ``docs`` as a struct, ``document``, and its ``language``.
 
-    A Pandas UDF on the text keeps every row with its other columns, so that
-    nothing has to be joined back by ids that may repeat.
+    ``language`` has ``lang_pred`` and ``score``. A Pandas UDF on the text keeps
+    the row's other columns with it, so that nothing has to be joined back by
+    ids that may repeat.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")
-    def of(column):
-        import pandas as pd
-
-        arrow = pa.record_batch({"text": pa.array(column.fillna(""), pa.string())})
+    def language(column: pd.Series) -> pd.DataFrame:
+        arrow = pa.record_batch({"text": pa.array(column, pa.string())})
         named, sure = [], []
         for piece in pieces(iter([arrow]), limit=SCORE_BYTES):
             one, two = shared.value.predict(piece["text"])
@@ -177,5 +177,7 @@ def predict_rows(docs: DataFrame, model: Model) -> DataFrame:
             sure += two.tolist()
         return pd.DataFrame({"lang_pred": named, "score": sure})
 
-
-    return docs.withColumn("language", of("text"))
+    text = F.coalesce("text", F.lit(""))
+    return docs.select(
+        F.struct(*docs.columns).alias("document"), language(text).alias("language")
+    )

@@ -114,10 +114,10 @@ def pack(
 
     ``pieces`` has ``doc_id``, ``piece`` and ``length`` (1 to ``capacity``)
     among its columns. Each task packs its share by itself. Its pieces come in
-    a fixed order, so that a repeated task gives the same sequences.
+    a fixed order, so that a repeated task gives the same sequences. Columns that
+    have the names of the added ones are replaced.
     """
-    if {"sequence_id", "offset"} & {c.lower() for c in pieces.columns}:
-        raise ValueError("pieces already have a column sequence_id or offset")
+    pieces = pieces.drop("sequence_id", "offset")
     # The hash is that of the whole row, so that rows without an id spread too.
     shared = pieces.repartition(max(1, tasks), "doc_id", "piece", "length")
     shared = shared.sortWithinPartitions("doc_id", "piece", "length")

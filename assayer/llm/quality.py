@@ -127,14 +127,12 @@ def line_passes(line: Column) -> Column:
 
 
 def judge(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with a struct ``quality`` added.
+    """Each row of ``docs`` as a struct, ``document``, and its ``quality``.
 
-    Its fields: ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``,
+    The fields of ``quality``: ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``,
     ``n_repeat_words``, ``base_failed``, ``n_lines``, ``n_bad_lines``,
     ``kept_chars``, ``clean_text`` and ``kept``.
     """
-    if "quality" in {c.lower() for c in docs.columns}:
-        raise ValueError("the documents already have a column quality")
     text = F.coalesce(F.col("text"), F.lit(""))
 
     def fields(words: Column, lines: Column, good: Column) -> Column:
@@ -176,4 +174,5 @@ def judge(docs: DataFrame) -> DataFrame:
             ),
         ),
     )
-    return docs.withColumn("quality", let(made, verdict))
+    judged = let(made, verdict).alias("quality")
+    return docs.select(F.struct(*docs.columns).alias("document"), judged)

@@ -78,7 +78,8 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "n_lines", "n_bad_lines", "kept_chars",
     )
-    return judged.select("doc_id", *[F.col(f"quality.{n}").alias(n) for n in names])
+    doc_id = F.col("document.doc_id").alias("doc_id")
+    return judged.select(doc_id, *[F.col(f"quality.{n}").alias(n) for n in names])
 
 
 def op6_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -100,16 +100,27 @@ def _majority(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return result
 
 
-def fingerprint_documents(docs: DataFrame, width: int = 4) -> DataFrame:
-    """``doc_id`` and ``fingerprint`` (64 bits as a signed long)."""
+def fingerprint_documents(
+    docs: DataFrame, width: int = 4, carry: list[str] | None = None
+) -> DataFrame:
+    """``doc_id`` and ``fingerprint`` (64 bits as a signed long).
+
+    The columns named in ``carry`` come along in a struct, ``carried``.
+    """
+    others = [F.struct(*carry).alias("carried")] if carry else []
+    chosen = texts(docs, *others)
+    schema = "doc_id long, fingerprint long"
+    if carry:
+        schema += f", carried {chosen.schema['carried'].dataType.simpleString()}"
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = fingerprints(batch["text"], width).view(np.int64)
-        return pa.record_batch({"doc_id": batch["doc_id"], "fingerprint": pa.array(found)})
+        columns = {"doc_id": batch["doc_id"], "fingerprint": pa.array(found)}
+        if carry:
+            columns["carried"] = batch["carried"]
+        return pa.record_batch(columns)
 
-    return texts(docs).mapInArrow(
-        per_piece(run, limit=4 << 20), "doc_id long, fingerprint long"
-    )
+    return chosen.mapInArrow(per_piece(run, limit=4 << 20), schema)
 
 
 # -- links -------------------------------------------------------------------------
@@ -277,25 +288,40 @@ def _whole_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarra
 
 
 def link_documents(
-    docs: DataFrame, width: int = 4, distance: int = 4, segments: int = 9
+    docs: DataFrame,
+    width: int = 4,
+    distance: int = 4,
+    segments: int = 9,
+    carry: list[str] | None = None,
 ) -> DataFrame:
-    """``doc_id``, ``fingerprint`` (signed long) and ``component_id``.
+    """``doc_id``, ``fingerprint`` (signed long), ``component_id`` and ``stays``.
 
     ``component_id`` is the smallest ``doc_id`` that can be reached over links
-    between fingerprints of at most ``distance`` differing bits.
+    between fingerprints of at most ``distance`` differing bits. ``stays`` is
+    true for one row of each component, one with that id. The columns named in
+    ``carry`` come along in a struct, ``carried``.
     """
     spark = docs.sparkSession
-    marked = written(spark, fingerprint_documents(docs, width), "fingerprints")
+    # Rows are numbered as they are written: ids may repeat or be null.
+    numbered = fingerprint_documents(docs, width, carry).withColumn(
+        "row", F.monotonically_increasing_id()
+    )
+    marked = written(spark, numbered, "fingerprints", "zstd")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     nodes = written(
-        spark,
-        marked.groupBy("fingerprint").agg(F.min("doc_id").alias("least")),
-        "nodes",
+        spark, marked.groupBy("fingerprint").agg(F.min(order).alias("least")), "nodes"
     )
     links = fingerprint_links(nodes.select("fingerprint"), distance, segments)
     group = components(links).withColumnRenamed("node", "fingerprint")
     joined = nodes.join(group, "fingerprint", "left").select(
         "fingerprint", "least", F.coalesce("component", "fingerprint").alias("component")
     )
-    least = joined.groupBy("component").agg(F.min("least").alias("component_id"))
-    found = joined.join(least, "component").select("fingerprint", "component_id")
-    return marked.join(found, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    least = joined.groupBy("component").agg(F.min("least").alias("first"))
+    found = joined.join(least, "component").select("fingerprint", "first")
+    return marked.join(found, "fingerprint").select(
+        "doc_id",
+        "fingerprint",
+        F.col("first.doc_id").alias("component_id"),
+        (F.col("row") == F.col("first.row")).alias("stays"),
+        *(["carried"] if carry else []),
+    )

@@ -569,7 +569,7 @@ def _sending(work: Callable[[Block], Iterator[dict]]):
 
 
 def _blocks(docs: DataFrame, carry: list[str], block_bytes: int) -> DataFrame:
-    """One row per block; other columns of its documents travel in ``carried``."""
+    """One row per block; the documents' other columns travel in ``carried``."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 32
@@ -581,16 +581,16 @@ def _blocks(docs: DataFrame, carry: list[str], block_bytes: int) -> DataFrame:
                 "lengths": _one_list(pa.array([len(t) for t in raw], pa.int64())),
                 "data": pa.array([b"".join(raw)], pa.binary()),
             }
-            for name in carry:
-                columns[f"carried_{name}"] = _one_list(batch[name])
+            if carry:
+                columns["carried"] = _one_list(batch["carried"])
             yield pa.record_batch(columns)
 
     text = F.coalesce("text", F.lit("")).alias("text")
-    chosen = docs.select("doc_id", text, *carry)
-    kinds = dict(chosen.dtypes)
+    others = [F.struct(*carry).alias("carried")] if carry else []
+    chosen = docs.select("doc_id", text, *others)
     schema = "block long, docs array<long>, lengths array<long>, data binary"
-    for name in carry:
-        schema += f", `carried_{name}` array<{kinds[name]}>"
+    if carry:
+        schema += f", carried array<{dict(chosen.dtypes)['carried']}>"
     return written(docs.sparkSession, chosen.mapInArrow(make, schema), "blocks", "zstd")
 
 
@@ -610,7 +610,9 @@ def repeated_spans(
     hot: int = HOT,
 ) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``begins``, ``ends`` (the spans to be removed, in
-    bytes), ``kept`` (the bytes that remain) and the columns named in ``carry``.
+    bytes) and ``kept`` (the bytes that remain).
+
+    The columns named in ``carry`` come along in a struct, ``carried``.
     """
     spark = docs.sparkSession
     carry = carry or []
@@ -662,15 +664,15 @@ def repeated_spans(
             stop = np.concatenate([found.last[known_.repeats], single, merged]) + LENGTH
             columns = _cut(block, first, stop)
             columns["doc_id"] = row["docs"][0].values
-            for name in carry:
-                columns[name] = row[f"carried_{name}"][0].values
+            if carry:
+                columns["carried"] = row["carried"][0].values
             yield pa.record_batch({name: columns[name] for name in names})
 
-    names = ["doc_id", "n_bytes", "begins", "ends", "kept", *carry]
+    names = ["doc_id", "n_bytes", "begins", "ends", "kept"]
     schema = "doc_id long, n_bytes long, begins array<long>, ends array<long>, kept binary"
-    for name in carry:
-        kind = dict(docs.dtypes)[name]
-        schema += f", `{name}` {kind}"
+    if carry:
+        names.append("carried")
+        schema += f", carried {dict(blocks.dtypes)['carried'][6:-1]}"
     return blocks.mapInArrow(finish, schema)
 
 
