@@ -39,7 +39,10 @@ NAVIGATION = (
     r"|about(?: us)?|next|previous|back|top|share|print|site ?map|faq|help|blog|shop|cart"
     r"|skip to content|read more|load more|go to top)\b\W*)+$"
 )
-SEPARATED = r"(?:[^|»›•·]{1,40}[|»›•·]){3,}"
+#: Menus put one of these marks behind every few words: at least three in a line,
+#: and one in this many characters.
+SEPARATORS = "|»›•·"
+CHARACTERS_PER_SEPARATOR = 40
 BOILERPLATE = (
     r"(?i)all rights reserved|licensed under|released under the|copyright (?:\(c\)|©|[0-9])"
     r"|terms of (?:use|service)|privacy policy|cookie policy|uses? cookies|enable javascript"
@@ -115,11 +118,13 @@ def line_passes(line: Column) -> Column:
     length = F.length(line)
     marks = length - _without(line, MARKS)
     marked = (marks >= 3) & (marks * 100 > length * MOST_MARKS_PERCENT)
+    separators = length - _without(line, SEPARATORS)
+    menu = (separators >= 3) & (separators * CHARACTERS_PER_SEPARATOR >= length)
     bad = (
         ~line.rlike(r"\p{L}")
         | marked
+        | menu
         | line.rlike(NAVIGATION)
-        | line.rlike(SEPARATED)
         | line.rlike(BOILERPLATE)
         | line.rlike(UNENDED)
     )
@@ -174,5 +179,7 @@ def judge(docs: DataFrame) -> DataFrame:
             ),
         ),
     )
-    judged = let(made, verdict).alias("quality")
+    # A filter on the verdict is not pushed below a generator, where it would be
+    # worked out once more.
+    judged = F.explode(F.array(let(made, verdict))).alias("quality")
     return docs.select(F.struct(*docs.columns).alias("document"), judged)
