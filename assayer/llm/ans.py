@@ -15,7 +15,7 @@ numbers of tokens, as 64-bit integers, zlib); the blocks. The table is a file
 of its own, and the header of each file has its crc32.
 
 Defined results: a null text is empty, so that its document has the end id
-only; documents with equal ids stand side by side, ordered by their text; a
+only; documents with equal ids stand side by side, ordered by a hash of their text; a
 null ``doc_id`` comes first; an empty table gives no files and no rows.
 """
 
@@ -246,7 +246,9 @@ def write_ids(
     """
     spark = docs.sparkSession
     raw = f"{folder}/raw"
-    schema = "shard int, doc_ids binary, lengths binary, ids long, counts array<long>"
+    schema = (
+        "shard int, doc_ids binary, lengths binary, ids long, seen array<int>, counts array<long>"
+    )
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
@@ -273,22 +275,36 @@ def write_ids(
             return
         save_file(raw, _raw_name(shard), iter([data]))
         sizes = np.concatenate(lengths).astype("<i8")
+        seen = np.flatnonzero(counts)
         yield pa.record_batch(
             {
                 "shard": pa.array([shard], pa.int32()),
                 "doc_ids": pa.array([np.concatenate(doc_ids).astype("<i8").tobytes()]),
                 "lengths": pa.array([sizes.tobytes()]),
                 "ids": pa.array([int(sizes.sum())], pa.int64()),
-                "counts": pa.array([counts.tolist()], pa.list_(pa.int64())),
+                "seen": pa.array([seen.tolist()], pa.list_(pa.int32())),
+                "counts": pa.array([counts[seen].tolist()], pa.list_(pa.int64())),
             }
         )
 
-    ordered = texts(docs).repartitionByRange("doc_id", "text")
-    ordered = ordered.sortWithinPartitions("doc_id", "text")
+    # The range bounds are sampled keys: they hold a hash, not the text.
+    ordered = texts(docs).repartitionByRange("doc_id", F.xxhash64("text"))
+    ordered = ordered.sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
     shards = written(spark, ordered.mapInArrow(tokenize, schema), "shards")
 
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(0, np.int64)
+        for batch in batches:
+            ids = np.asarray(batch["seen"].flatten())
+            found = np.bincount(ids, np.asarray(batch["counts"].flatten()), len(total))
+            found = found.astype(np.int64)
+            found[: len(total)] += total
+            total = found
+        seen = np.flatnonzero(total)
+        yield pa.record_batch({"id": pa.array(seen, pa.int32()), "n": pa.array(total[seen])})
+
     # One row per id of the vocabulary and one small row per file.
-    each = shards.select(F.posexplode("counts").alias("id", "n")).where("n > 0")
+    each = shards.select("seen", "counts").mapInArrow(add_up, "id int, n long")
     totals = each.groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max([r["id"] for r in totals], default=-1) + 1, np.int64)
     for row in totals:
