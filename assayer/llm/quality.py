@@ -21,7 +21,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: White space and symbols of the base rules.
-SPACES = " \t\n\x0b\f\r"
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 
@@ -44,9 +43,9 @@ NAVIGATION = (
 SEPARATORS = "|»›•·"
 CHARACTERS_PER_SEPARATOR = 40
 BOILERPLATE = (
-    r"(?i)all rights reserved|licensed under|released under the|copyright (?:\(c\)|©|[0-9])"
+    r"(?i)\b(?:all rights reserved|licensed under|released under the|copyright (?:\(c\)|©|[0-9])"
     r"|terms of (?:use|service)|privacy policy|cookie policy|uses? cookies|enable javascript"
-    r"|subscribe to (?:our|the)|click here|lorem ipsum|powered by \w+"
+    r"|subscribe to (?:our|the)|click here|lorem ipsum|powered by \w)"
 )
 #: A line that does not end a sentence needs this many words.
 UNENDED = r"^[\x20\x09-\x0D]*(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]+){0,3}[^\x20\x09-\x0D]*[^\x20\x09-\x0D.!?:;,…\"'”’»)\]][\x20\x09-\x0D]*$"
@@ -57,8 +56,14 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _without(text: Column, characters: str) -> Column:
-    return F.length(F.translate(text, characters, ""))
+def _count(text: Column, characters: str) -> Column:
+    """How many of the characters of a text are among these."""
+    others = "[^" + "".join(f"\\x{{{ord(c):x}}}" for c in characters) + "]+"
+    return F.length(F.regexp_replace(text, others, ""))
+
+
+def _word_characters(text: Column) -> Column:
+    return F.length(F.regexp_replace(text, SPACE, "")).cast("long")
 
 
 def words_of(text: Column) -> Column:
@@ -116,9 +121,8 @@ def repeated_words(words: Column, width: int = 3) -> Column:
 def line_passes(line: Column) -> Column:
     """The line rules; blank lines pass."""
     length = F.length(line)
-    marks = length - _without(line, MARKS)
+    marks, separators = _count(line, MARKS), _count(line, SEPARATORS)
     marked = (marks >= 3) & (marks * 100 > length * MOST_MARKS_PERCENT)
-    separators = length - _without(line, SEPARATORS)
     menu = (separators >= 3) & (separators * CHARACTERS_PER_SEPARATOR >= length)
     bad = (
         ~line.rlike(r"\p{L}")
@@ -145,8 +149,8 @@ def judge(docs: DataFrame) -> DataFrame:
         clean = F.array_join(good, "\n")
         return F.struct(
             n_words.alias("n_words"),
-            _without(text, SPACES).cast("long").alias("word_chars"),
-            (F.length(text) - _without(text, SYMBOLS)).cast("long").alias("n_symbols"),
+            _word_characters(text).alias("word_chars"),
+            _count(text, SYMBOLS).cast("long").alias("n_symbols"),
             duplicate_lines(text).cast("long").alias("n_dup_lines"),
             repeated_words(words).alias("n_repeat_words"),
             F.size(lines).cast("long").alias("n_lines"),
@@ -157,7 +161,9 @@ def judge(docs: DataFrame) -> DataFrame:
     def verdict(q: Column) -> Column:
         few = q["n_words"] < LEAST_WORDS
         repeated = 100 * q["n_repeat_words"] > MOST_REPEATED_PERCENT * q["n_words"]
-        kept_chars = _without(q["clean_text"], SPACES).cast("long")
+        kept_chars = F.when(q["n_bad_lines"] == 0, q["word_chars"]).otherwise(
+            _word_characters(q["clean_text"])
+        )
         lost = 100 * (q["word_chars"] - kept_chars) > MOST_LOST_PERCENT * q["word_chars"]
         names = (
             "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
