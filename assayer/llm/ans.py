@@ -113,8 +113,8 @@ def encode_blocks(ids: np.ndarray, table: Table) -> list[bytes]:
     """The ids in blocks of ``BLOCK``, coded side by side."""
     count = -(-len(ids) // BLOCK)
     steps = STEPS * STRETCHES
-    filler = ids[0] if len(ids) else 0
-    padded = np.full(count * BLOCK, filler, np.uint32)
+    # The last block is filled up with the id that costs least.
+    padded = np.full(count * BLOCK, table.freq.argmax() if count else 0, np.uint32)
     padded[: len(ids)] = ids
     # By step, then block and lane.
     lanes = padded.reshape(count, steps, LANES).transpose(1, 0, 2).reshape(steps, -1)

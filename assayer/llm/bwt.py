@@ -2,11 +2,16 @@
 
 A shard is a collection of strings, each with a terminator of its own behind
 it. Shards are merged as Holt and McMillan do: the merged transform is described
-by an interleave, which shard each of its entries comes from. The interleave
-starts as one shard after the other. Each round walks the transforms in the
-order of the interleave and deals the entries out by their symbol, which sorts
-them by one more symbol; suffixes are not sorted again. A round in which two
-neighbours are told apart gives the length of their longest common prefix.
+by an interleave, the order in which its entries are taken from the shards. The
+interleave starts as one shard after the other. Each round walks the transforms
+in the order of the interleave and deals the entries out by their symbol, which
+sorts them by one more symbol; suffixes are not sorted again. Entries that have
+not been told apart by then form an interval: their common prefix is as long as
+there were rounds.
+
+Two kinds of entries leave the interleave early: those that are alone in their
+interval, since they are settled, and those whose suffix is too near the begin
+of its string to become, in the rounds that remain, one of the wanted length.
 """
 
 from __future__ import annotations
@@ -58,55 +63,54 @@ def shard(data: np.ndarray, lengths: np.ndarray) -> Shard:
     return Shard(before.astype(np.uint16), count, string[order], offset[order])
 
 
+def _walk(part: Shard) -> np.ndarray:
+    """Where the walk goes from each entry: to the suffix that is one symbol longer.
+
+    From the entry of a whole string it goes nowhere (-1).
+    """
+    order = np.argsort(part.transform, kind="stable")
+    to = np.empty(len(order), np.int64)
+    to[order] = np.arange(len(order))
+    to[order[: part.strings]] = -1
+    return to
+
+
 @dataclass(frozen=True)
 class Merged:
-    """The merged order up to a number of symbols.
+    """Intervals of suffixes that have ``depth`` symbols in common.
 
-    ``source``: the shard of each entry; ``common``: the length of the longest
-    common prefix with the entry before, at most ``depth``; ``group``: entries
-    that agree in ``depth`` symbols have the same number.
+    ``string`` (counted over all shards), ``offset`` and ``group`` of each of
+    their entries, in merged order. ``shared`` has, for the strings' suffixes in
+    the order of the shards' transforms, in how many rounds they were in an
+    interval with others: the longest prefix that they share, as far as it was
+    followed.
     """
 
-    source: np.ndarray
-    common: np.ndarray
+    string: np.ndarray
+    offset: np.ndarray
     group: np.ndarray
+    shared: np.ndarray
 
 
 def merge(shards: list[Shard], depth: int) -> Merged:
-    """Interleave the shards by ``depth`` symbols."""
-    sizes = [len(s.transform) for s in shards]
+    """Refine the interleave of the shards for ``depth`` rounds."""
+    base = np.cumsum([0] + [len(s.transform) for s in shards])
     symbols = np.concatenate([s.transform for s in shards])
-    total, ends = len(symbols), sum(s.strings for s in shards)
-    # The terminators come first, in the order of the shards and strings.
-    first = np.repeat(np.arange(len(shards)), [s.strings for s in shards])
-    kind = np.uint16 if len(shards) < 1 << 16 else np.int64
-    source = np.repeat(np.arange(len(shards)), sizes).astype(kind)
-    group = np.zeros(total, np.int64)
-    common = np.full(total, depth, np.int64)
-    common[:1] = 0
+    offset = np.concatenate([s.offset for s in shards])
+    to = np.concatenate([_walk(s) + b for s, b in zip(shards, base)])
+    strings = np.cumsum([0] + [s.strings for s in shards])
+    string = np.concatenate([s.string + n for s, n in zip(shards, strings)])
+    shared = np.zeros(len(symbols), np.int64)
+    entry = np.flatnonzero(offset >= depth)
+    group = np.zeros(len(entry), np.int64)
     for length in range(1, depth + 1):
-        merged = np.empty(total, np.uint16)
-        merged[np.argsort(source, kind="stable")] = symbols
-        order = np.argsort(merged, kind="stable")[ends:]  # ends: all terminators
-        dealt, before = merged[order], group[order]
-        new = np.ones(total, bool)
-        new[ends + 1 :] = (dealt[1:] != dealt[:-1]) | (before[1:] != before[:-1])
-        source = np.concatenate([first, source[order]]).astype(kind)
-        group = np.cumsum(new) - 1
-        fresh = new & (common == depth)
-        fresh[0] = False
-        common[fresh] = length - 1
-        if group[-1] == total - 1:
-            break
-    return Merged(source, common, group)
-
-
-def suffixes(shards: list[Shard], merged: Merged) -> tuple[np.ndarray, np.ndarray]:
-    """Of each merged entry the string (counted over all shards) and the offset."""
-    base = np.cumsum([0] + [s.strings for s in shards])
-    place = np.argsort(merged.source, kind="stable")
-    string = np.empty(len(place), np.int64)
-    offset = np.empty(len(place), np.int64)
-    string[place] = np.concatenate([s.string + b for s, b in zip(shards, base)])
-    offset[place] = np.concatenate([s.offset for s in shards])
-    return string, offset
+        symbol = symbols[entry]
+        order = np.argsort(symbol, kind="stable")
+        order = order[np.searchsorted(symbol[order], 1) :]  # no symbol before: END
+        symbol, before, entry = symbol[order], group[order], to[entry[order]]
+        new = np.ones(len(entry) + 1, bool)
+        new[1:-1] = (symbol[1:] != symbol[:-1]) | (before[1:] != before[:-1])
+        together = ~(new[:-1] & new[1:])
+        entry, group = entry[together], np.cumsum(new[:-1])[together]
+        shared[entry] = length
+    return Merged(string[entry], offset[entry], group, shared)

@@ -70,14 +70,14 @@ BLOCK_BYTES = 8 << 20
 #: Windows hashed at a time, so that the arrays stay in the processor's cache.
 CHUNK = 1 << 17
 #: Text of a bucket of questions, and of one of merged shards.
-ASK_BYTES = 32 << 20
-MERGE_BYTES = 8 << 20
-LEAST_BUCKETS = 16
+ASK_BYTES = 4 << 20
+MERGE_BYTES = 2 << 20
+LEAST_BUCKETS = 64
 MOST_BUCKETS = 1 << 20
 #: Bytes of reaches in a shard.
 SHARD_BYTES = 1 << 16
 #: Reaches of a core that are merged in one task.
-HOT = 20_000
+HOT = 4096
 
 _LAST = np.int64(2**63 - 1)
 _MIX = [
@@ -519,11 +519,8 @@ def _merge_bucket(rows: pa.Table) -> pa.Table:
         blocks.append(np.full(count, block))
     told, owner = np.concatenate(sent), np.concatenate(blocks)
     merged = bwt.merge(shards, LENGTH)
-    string, offset = bwt.suffixes(shards, merged)
-    size = np.bincount(merged.group)
-    repeated = np.flatnonzero(size[merged.group] > 1)
-    group, string, offset = merged.group[repeated], string[repeated], offset[repeated]
-    place = told["place"][string] + offset
+    string, group = merged.string, merged.group
+    place = told["place"][string] + merged.offset
     whose = owner[string]
     order = np.lexsort((place, whose, told["doc"][string], group))
     group, whose, place = group[order], whose[order], place[order]
