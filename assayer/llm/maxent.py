@@ -69,8 +69,8 @@ FEATURES_PER_TOKEN = 4
 CHUNK = 512
 
 ROUNDS = 2
-BATCH = 16384
-RATE = 0.15
+BATCH = 32768
+RATE = 0.3
 
 #: Bytes of text in a block.
 BLOCK_BYTES = 32 << 20
@@ -285,60 +285,77 @@ def _model(blocks: DataFrame, counted: DataFrame) -> Model:
 
 
 def features(hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The rows of weights of each token's history, without the bias."""
+    """The rows of weights of each token's history, without the bias: one line of
+    the result per kind of feature."""
     at = np.arange(len(hashes)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     before = []
     for back in (1, 2, 3):
-        word = np.full(len(hashes), 0x51ED27, np.uint64)  # stands before the first word
-        there = np.flatnonzero(at >= back)
-        word[there] = hashes[there - back]
+        word = np.empty(len(hashes), np.uint64)
+        word[back:] = hashes[:-back]
+        word[at < back] = 0x51ED27  # stands before the first word
         before.append(word)
     one, two, three = before
-    mix = np.uint64(0x9E3779B97F4A7C15)
+    mix, four = np.uint64(0x9E3779B97F4A7C15), np.uint64(4)
     codes = (
-        one * np.uint64(4),
-        (one * np.uint64(0x100000001B3) + two) * np.uint64(4) + np.uint64(1),
-        two * np.uint64(4) + np.uint64(2),
-        three * np.uint64(4) + np.uint64(3),
+        one * four,
+        (one * np.uint64(0x100000001B3) + two) * four + np.uint64(1),
+        two * four + np.uint64(2),
+        three * four + np.uint64(3),
     )
-    found = np.empty((len(hashes), FEATURES_PER_TOKEN), np.int64)
+    found = np.empty((FEATURES_PER_TOKEN, len(hashes)), np.uint16)
     for k, code in enumerate(codes):
-        mixed = ((code + np.uint64(1)) * mix) ^ (code >> np.uint64(29))
-        found[:, k] = (mixed * mix) >> np.uint64(64 - 14)
+        mixed = code * mix
+        mixed ^= code >> np.uint64(29)
+        mixed *= mix
+        found[k] = mixed >> np.uint64(64 - 14)
     return np.maximum(found, 1)
 
 
-def _softmax(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """P(class | history) of each row of features."""
-    total = weights[rows[:, 0]]
-    for k in range(1, rows.shape[1]):
-        total += weights[rows[:, k]]
+def _exponentials(weights: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """exp of each class's weight for each token, and their sums."""
+    total = weights.take(rows[0], 0)
+    for row in rows[1:]:
+        total += weights.take(row, 0)
     total += weights[0]
-    total -= total.max(1, keepdims=True)
+    np.clip(total, -40, 40, out=total)
     np.exp(total, out=total)
-    total /= total.sum(1, keepdims=True)
+    return total, total @ np.ones(total.shape[1], np.float32)
+
+
+def class_probabilities(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """P(class | history) of each token."""
+    total, sums = _exponentials(weights, rows)
+    total /= sums[:, None]
     return total
 
 
+def _sums_by_row(values: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every row of weights the sum of the values of the tokens that have it as
+    a feature, and how many there are."""
+    flat = rows.ravel().astype(np.int64)
+    sums = np.empty((values.shape[1], FEATURES), np.float32)
+    for line, column in zip(sums, np.ascontiguousarray(values.T, np.float64)):
+        line[:] = np.bincount(flat, np.tile(column, len(rows)), FEATURES)
+    return np.ascontiguousarray(sums.T), np.bincount(flat, minlength=FEATURES)
+
+
 def gradient_steps(
     weights: np.ndarray, squares: np.ndarray, rows: np.ndarray, classes: np.ndarray
 ) -> None:
     """One pass of AdaGrad over the tokens, in batches; changes the arrays."""
     for first in range(0, len(classes), BATCH):
-        some, want = rows[first : first + BATCH], classes[first : first + BATCH]
-        error = _softmax(weights, some)
+        some, want = rows[:, first : first + BATCH], classes[first : first + BATCH]
+        error = class_probabilities(weights, some)
         error[np.arange(len(want)), want] -= 1
-        flat = some.astype(np.uint16).ravel()
-        order = np.argsort(flat, kind="stable")
-        ordered = flat[order]
-        starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-        touched = np.concatenate([[0], ordered[starts]])
-        slope = np.add.reduceat(error[order // FEATURES_PER_TOKEN], starts, axis=0)
-        slope = np.concatenate([error.sum(0, keepdims=True), slope])
-        weight = np.diff(np.concatenate([starts, [len(flat)]]))
-        slope /= np.sqrt(np.concatenate([[len(want)], weight]))[:, None].astype(np.float32)
-        squares[touched] += slope * slope
-        weights[touched] -= RATE * slope / np.sqrt(squares[touched])
+        slope, times = _sums_by_row(error, some)
+        slope[0], times[0] = error.sum(0), len(want)
+        slope /= np.sqrt(np.maximum(times, 1))[:, None].astype(np.float32)
+        step = slope * slope
+        squares += step
+        np.sqrt(squares, out=step)
+        np.divide(slope, step, out=step)
+        step *= np.float32(RATE)
+        weights -= step
 
 
 def _block_rows(batches: Iterator[pa.RecordBatch], folder: str):
@@ -435,9 +452,8 @@ def _score(blocks: DataFrame, folder: str, model: Model) -> DataFrame:
                 each = inner[part]
                 for first in range(0, len(part), BATCH):
                     some = slice(first, first + BATCH)
-                    chance = _softmax(own.weights, rows[some])
-                    picked = chance[np.arange(len(chance)), want[some]]
-                    each[some] += np.log10(np.maximum(picked, 1e-30))
+                    total, sums = _exponentials(own.weights, rows[:, some])
+                    each[some] += np.log10(total[np.arange(len(total)), want[some]] / sums)
                 known.append(np.add.reduceat((entries.counts[part] > 0).astype(np.int64), starts))
                 base_score.append(np.add.reduceat(base[part], starts))
                 score.append(np.add.reduceat(each, starts))
