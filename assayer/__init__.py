@@ -1,7 +1,7 @@
 """Event layers for Spark: raw events, cleaned events, hourly revenue.
 
 Everything is a function from DataFrame to DataFrame, built from Spark's own
-expressions, except ``SnapshotTable``, which keeps versions of a Parquet table.
+expressions.
 """
 
 from assayer.functions.masking import mask_email, mask_ip, register_sql_functions
@@ -18,29 +18,32 @@ from assayer.operators.lineage import trace_gold_to_silver, trace_silver_to_bron
 from assayer.operators.silver import to_silver, to_strict_silver
 from assayer.session import build_session
 from assayer.sources.events import read_json_events, read_parquet_events
-from assayer.sources.layers import ensure_namespaces, layer_table
-from assayer.sources.snapshots import SnapshotTable
+from assayer.sources.layers import ensure_namespaces, save_table
+from assayer.sources.snapshots import audit, ledger_of, read_as_of, sums_by_load
 
 __all__ = [
-    "EVENT_CONTRACT",
     "Contract",
+    "EVENT_CONTRACT",
     "Rollup",
-    "SnapshotTable",
+    "audit",
     "build_session",
     "clean_revenue",
     "conform",
     "drop_accounting",
     "ensure_namespaces",
     "layer_summary",
-    "layer_table",
+    "ledger_of",
     "mask_email",
     "mask_ip",
     "negative_revenue",
+    "read_as_of",
     "read_json_events",
     "read_parquet_events",
     "register_sql_functions",
     "revenue_per_hour",
     "revenue_rollup",
+    "save_table",
+    "sums_by_load",
     "to_silver",
     "to_strict_silver",
     "trace_gold_to_silver",

@@ -34,12 +34,22 @@ def exact_average(total: Column, count: Column) -> Column:
     """``total / count`` rounded half up to six and then to two decimals.
 
     This is what ``round(avg(amount), 2)`` gives for a decimal(12,2) column,
-    but computed from a sum and a count, which can be merged. The quotient is
-    first held with 18 decimals. A quotient that is not exactly on a rounding
-    tie is at least 1/(2e6 * count) away from it, so the detour changes no
-    result for groups of fewer than 10**12 rows.
+    but computed from a sum and a count, which can be merged. All of it is
+    division of whole numbers, so that there is no group too large for it. A
+    group without amounts has the average null.
     """
-    quotient = total.cast(MONEY_TOTAL) / count.cast(DecimalType(15, 0))
-    # A group without amounts has count 0; its average is null, not an error.
-    safe = F.when(count > 0, quotient)
-    return F.round(safe.cast(DecimalType(16, 6)), 2)
+    whole = DecimalType(19, 0)
+    # Null instead of a division by zero.
+    n = F.nullif(count, F.lit(0)).cast(whole)
+    cents = (F.abs(total.cast(MONEY_TOTAL)) * 100).cast(DecimalType(24, 0))
+    quotient, rest = _div(cents, n), cents % n
+    # Four more digits, then half up; away from zero, as the sign comes last.
+    millionths = quotient * 10_000 + _div(rest * 20_000 + n, n * 2)
+    rounded = _div(millionths + 5_000, F.lit(10_000))
+    signed = F.when(total < 0, -rounded).otherwise(rounded)
+    return (signed.cast(DecimalType(16, 0)) / F.lit(100)).cast(DecimalType(13, 2))
+
+
+def _div(part: Column, whole: Column) -> Column:
+    """The integral part of a quotient, as a bigint."""
+    return F.call_function("div", part, whole)

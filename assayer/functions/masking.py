@@ -1,7 +1,8 @@
 """Masking of personal data with built-in expressions only.
 
 Both masks stay inside whole-stage code generation: no Python worker is
-started, and a filter next to them can still move down to the scan.
+started, and a filter next to them can still move down to the scan. Each rule is
+stated once, as SQL text over its argument.
 """
 
 from __future__ import annotations
@@ -11,28 +12,26 @@ from pyspark.sql import functions as F
 
 from assayer.constants import MASKED_IP_TAIL, MASKED_IP_UNKNOWN
 
+# The address is hashed as it is: no trimming and no change of case.
+EMAIL_RULE = "sha2({value}, 256)"
+# The parts are not checked to be numbers. Everything that does not have four
+# parts (IPv6 and the empty string too) is masked as a whole. Limit -1 keeps
+# trailing empty parts: "1.2.3." has four parts.
+IP_RULE = (
+    "CASE WHEN size(split({value}, '[.]', -1)) = 4 "
+    f"THEN concat(substring_index({{value}}, '.', 1), '{MASKED_IP_TAIL}') "
+    f"WHEN {{value}} IS NOT NULL THEN '{MASKED_IP_UNKNOWN}' END"
+)
 
-def mask_email(email: Column | str) -> Column:
-    """SHA-256 of the address as lower-case hex; null stays null.
-
-    The address is hashed as it is: no trimming and no change of case.
-    """
-    return F.sha2(_col(email), 256)
 
+def mask_email(email: str) -> Column:
+    """SHA-256 of the address in a column as lower-case hex; null stays null."""
+    return F.expr(EMAIL_RULE.format(value=email))
 
-def mask_ip(ip: Column | str) -> Column:
-    """Keep the first of exactly four dot-separated parts; null stays null.
 
-    The parts are not checked to be numbers. Everything that does not have
-    four parts (IPv6 and the empty string too) is masked as a whole.
-    """
-    ip = _col(ip)
-    # Limit -1 keeps trailing empty parts: "1.2.3." has four parts.
-    has_four_parts = F.size(F.split(ip, r"\.", -1)) == 4
-    return F.when(
-        has_four_parts,
-        F.concat(F.substring_index(ip, ".", 1), F.lit(MASKED_IP_TAIL)),
-    ).when(ip.isNotNull(), F.lit(MASKED_IP_UNKNOWN))
+def mask_ip(ip: str) -> Column:
+    """Keep the first of exactly four dot-separated parts; null stays null."""
+    return F.expr(IP_RULE.format(value=ip))
 
 
 def register_sql_functions(spark: SparkSession) -> None:
@@ -40,18 +39,11 @@ def register_sql_functions(spark: SparkSession) -> None:
 
     They are SQL functions, which Catalyst inlines into the calling plan.
     """
-    spark.sql(
-        "CREATE OR REPLACE TEMPORARY FUNCTION mask_email(email STRING) "
-        "RETURNS STRING RETURN sha2(email, 256)"
-    )
-    spark.sql(
-        "CREATE OR REPLACE TEMPORARY FUNCTION mask_ip(ip STRING) "
-        "RETURNS STRING RETURN CASE "
-        "WHEN size(split(ip, '[.]', -1)) = 4 "
-        f"THEN concat(substring_index(ip, '.', 1), '{MASKED_IP_TAIL}') "
-        f"WHEN ip IS NOT NULL THEN '{MASKED_IP_UNKNOWN}' END"
-    )
-
-
-def _col(value: Column | str) -> Column:
-    return F.col(value) if isinstance(value, str) else value
+    for name, argument, rule in (
+        ("mask_email", "email", EMAIL_RULE),
+        ("mask_ip", "ip", IP_RULE),
+    ):
+        spark.sql(
+            f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({argument} STRING) "
+            f"RETURNS STRING RETURN {rule.format(value=argument)}"
+        )

@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from assayer.operators.contract import EVENT_CONTRACT, Contract
+from assayer.constants import REVENUE_EVENT
+from assayer.operators.contract import EVENT_CONTRACT, OK, Contract
+from assayer.operators.gold import REVENUE_PER_HOUR
 
 
 def percent(part: Column, whole: Column) -> Column:
@@ -76,6 +78,39 @@ def layer_summary(
         ],
         F.max("total_revenue").alias("total_revenue"),
     )
+    return _summary(wide)
+
+
+def layer_summary_of(bronze: DataFrame, contract: Contract = EVENT_CONTRACT) -> DataFrame:
+    """The same from raw events alone, in one pass over them.
+
+    Events are combined by whether they pass the contract and, for purchases
+    that do, by the group of the hourly rollup; the layers' counts and the
+    revenue follow from those few rows.
+    """
+    kept = contract.first_reason(bronze) == OK
+    sold = kept & (F.col("event_type") == REVENUE_EVENT)
+    hour = F.when(sold, REVENUE_PER_HOUR.typed_bucket(contract))
+    keys = [F.when(sold, F.col(k)).alias(k) for k in REVENUE_PER_HOUR.keys]
+    amount = F.when(sold, contract.typed(REVENUE_PER_HOUR.amount))
+    judged = bronze.select(
+        kept.alias("kept"), sold.alias("sold"), hour.alias("hour"), *keys, amount.alias("amount")
+    )
+    groups = judged.groupBy("kept", "sold", "hour", *REVENUE_PER_HOUR.keys).agg(
+        F.count(F.lit(1)).alias("records"), F.sum("amount").alias("revenue")
+    )
+    revenue = F.sum(F.when(F.col("sold") & (F.col("revenue") > 0), F.col("revenue")))
+    wide = groups.agg(
+        F.coalesce(F.sum("records"), F.lit(0)).alias("bronze"),
+        F.coalesce(F.sum(F.when(F.col("kept"), F.col("records"))), F.lit(0)).alias("silver"),
+        F.count_if("sold").alias("gold"),
+        revenue.cast(DecimalType(38, 2)).alias("total_revenue"),
+    )
+    return _summary(wide)
+
+
+def _summary(wide: DataFrame) -> DataFrame:
+    """One row per layer from one row with all counts."""
     dropped = F.col("bronze") - F.col("silver")
     no_count = F.lit(None).cast("bigint")
     no_pct = F.lit(None).cast(DecimalType(6, 1))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from assayer.constants import MONEY, MONEY_TOTAL, REVENUE_EVENT, REVENUE_GRAIN
 from assayer.functions.coercion import bucket, exact_average
+from assayer.operators.contract import Contract
 
 MEASURES = (
     "total_revenue",
@@ -43,6 +44,10 @@ class Rollup:
     def bucket(self) -> Column:
         return bucket(F.col(self.ts), self.grain).alias(self.bucket_name)
 
+    def typed_bucket(self, contract: Contract) -> Column:
+        """The bucket of a raw row, whose time still has to be read."""
+        return bucket(contract.typed(self.ts), self.grain)
+
 
 REVENUE_PER_HOUR = Rollup()
 

@@ -1,21 +1,20 @@
-"""Tracing rows back: Gold to the Silver events, Silver to the Bronze rows."""
+"""Tracing rows back: Gold to the Silver events, Silver to the Bronze rows.
+
+Rows are told apart by where they come from, not by ids that may repeat: a
+Silver row carries the file and the row of its Bronze row
+(``sources.events.ORIGIN``), a Gold row the load it was made of.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from assayer.operators.gold import REVENUE_PER_HOUR, Rollup, purchases
-
-# What is sent to all executors has at most this many rows, with at most this
-# many bytes of text in their keys: less than 100 MB in all.
-BROADCAST_ROWS = 100_000
-BROADCAST_KEY_BYTES = 640
+from assayer.sources.events import ORIGIN
 
 
 def trace_gold_to_silver(
@@ -23,45 +22,33 @@ def trace_gold_to_silver(
     silver: DataFrame,
     spec: Rollup = REVENUE_PER_HOUR,
     carry: Sequence[str] = (),
-    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """For each Gold row the Silver purchases behind it, one row per event.
 
-    ``gold`` should be a written table: it is read more than once. It has one
-    row per key, but a key may stand for a large part of all events. Therefore
-
-    * a Gold table of at most ``broadcast_rows`` rows, which is measured first,
-      is broadcast, and the events do not move at all;
-    * of a larger one only the hot keys are broadcast. Hot is a key with at
-      least 1/``broadcast_rows`` of all transactions, so that there cannot be
-      more than ``broadcast_rows`` of them. The other keys are joined by a
-      shuffle in which no key has more than that share.
+    A Gold table that was appended to has a key once per load: name the load's
+    column among the keys of ``spec``, and it is part of the join. A key that
+    Gold has twice all the same fails the job, as there is no telling which of
+    its rows an event belongs to.
 
-    Keys with more than ``BROADCAST_KEY_BYTES`` of text are never broadcast; if
-    such a key is hot, the skew handling of the shuffle join splits it.
+    One null-safe equi-join. AQE broadcasts Gold if it has measured it to be
+    small, and splits a key that stands for a large part of all events.
     """
     events = purchases(silver).select(
         spec.bucket(), *spec.keys, spec.row_id, spec.amount, *carry
     )
-    groups = gold.select(*spec.group, "total_revenue", "transaction_count")
-    key_bytes = _text_bytes(groups, spec.group)
-    size = groups.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.sum("transaction_count").alias("transactions"),
-        F.coalesce(F.max(key_bytes), F.lit(0)).alias("key_bytes"),
-    ).first()
-    if size.rows <= broadcast_rows and size.key_bytes <= BROADCAST_KEY_BYTES:
-        traced = _join(events, F.broadcast(groups), spec.group)
-    else:
-        hot_from = max(1, ceil(size.transactions / broadcast_rows))
-        is_hot = (F.col("transaction_count") >= hot_from) & (
-            key_bytes <= BROADCAST_KEY_BYTES
-        )
-        hot = F.broadcast(groups.where(is_hot))
-        cold_events = _join(events, hot, spec.group, "left_anti")
-        cold = _join(cold_events, groups.where(~is_hot), spec.group)
-        traced = _join(events, hot, spec.group).unionByName(cold)
-    return traced.select(
+    groups = gold.groupBy(*spec.group).agg(
+        F.count(F.lit(1)).alias("times"),
+        F.any_value("total_revenue").alias("total_revenue"),
+        F.any_value("transaction_count").alias("transaction_count"),
+    )
+    fail = F.raise_error(F.lit("lineage: Gold has a key more than once"))
+    count = F.when(F.col("times") == 1, F.col("transaction_count")).otherwise(
+        fail.cast("bigint")
+    )
+    groups = groups.select(
+        *spec.group, "total_revenue", count.alias("transaction_count")
+    )
+    return _join(events, groups, spec.group).select(
         *spec.group,
         "total_revenue",
         "transaction_count",
@@ -72,15 +59,14 @@ def trace_gold_to_silver(
 
 
 def trace_silver_to_bronze(
-    silver: DataFrame, bronze: DataFrame, keys: Sequence[str]
+    silver: DataFrame, bronze: DataFrame, keys: Sequence[str] = ORIGIN
 ) -> DataFrame:
     """Per key of Silver: how many Silver and how many Bronze rows carry it.
 
-    ``bronze_rows`` is 1 for an unambiguous origin, more if the id repeats and
-    0 for an orphan. Nothing is joined: both sides are counted by key in one
-    aggregation, so an id that repeats very often is combined within the tasks
-    and never multiplies. (For an exact row see ``read_parquet_events`` with
-    ``with_origin``, whose columns Silver can carry.)
+    By origin, both are 1, and ``bronze_rows`` is 0 for an orphan; by an id
+    that repeats they say how often. Nothing is joined: both sides are counted
+    by key in one aggregation, so a key that repeats very often is combined
+    within the tasks and never multiplies.
     """
     marked = _mark(silver, keys, silver=1).unionByName(_mark(bronze, keys, bronze=1))
     return (
@@ -94,12 +80,13 @@ def trace_silver_to_bronze(
 
 
 def bronze_rows_behind(
-    silver: DataFrame, bronze: DataFrame, keys: Sequence[str]
+    silver: DataFrame, bronze: DataFrame, keys: Sequence[str] = ORIGIN
 ) -> DataFrame:
     """The unchanged Bronze rows whose key occurs in ``silver``.
 
-    Meant for a selection of Silver rows, such as those behind one Gold row. A
-    semi-join: repeated keys on either side do not multiply rows.
+    By origin, these are the very rows that became the Silver rows: another raw
+    row with the same id is not among them. A semi-join: repeated keys on
+    either side do not multiply rows.
     """
     wanted = silver.select(*keys).distinct()
     # The null-safe join does not reuse the shuffle of the distinct. That is on
@@ -107,16 +94,6 @@ def bronze_rows_behind(
     return _join(bronze, wanted, keys, "left_semi")
 
 
-def _text_bytes(df: DataFrame, names: Sequence[str]) -> Column:
-    """Bytes of the text columns among ``names``."""
-    sizes = [
-        F.coalesce(F.octet_length(name), F.lit(0))
-        for name in names
-        if isinstance(df.schema[name].dataType, StringType)
-    ]
-    return reduce(lambda a, b: a + b, sizes, F.lit(0))
-
-
 def _mark(df: DataFrame, keys: Sequence[str], silver: int = 0, bronze: int = 0):
     return df.select(
         *keys,

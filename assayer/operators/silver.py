@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from assayer.functions.masking import mask_email, mask_ip
 from assayer.operators.contract import EVENT_CONTRACT, Contract, conform
@@ -40,11 +41,15 @@ def to_silver(
 
 
 def to_strict_silver(
-    bronze: DataFrame, contract: Contract = EVENT_CONTRACT
+    bronze: DataFrame,
+    contract: Contract = EVENT_CONTRACT,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """``to_silver`` with the exact contract schema, for the write boundary.
 
-    The non-null checks hide column names from filter pushdown, so transforms
+    The columns named in ``carry`` follow those of the contract as they are. The non-null checks hide column names from filter pushdown, so transforms
     that go on from Silver in the same plan use ``to_silver``.
     """
-    return conform(to_silver(bronze, contract), contract.schema)
+    carried = [bronze.schema[name] for name in carry]
+    schema = StructType([*contract.schema.fields, *carried])
+    return conform(to_silver(bronze, contract, carry), schema)

@@ -1,17 +1,14 @@
 """How the given tables are read as raw events, and tables derived from them.
 
-``events`` becomes an e-commerce feed of the Bronze shape. The rules below
-change values, they select no rows: every event is in the feed. Some get the
-defects that the contract has to find (nulls, a zero, a negative or too large
-amount, an unreadable time); ``oracle.BRONZE`` states the same rules in SQL.
+``events`` becomes a feed of the Bronze shape. Every event is in it, with the
+values it has; what the given table does not have is null. ``oracle.BRONZE``
+says the same in SQL.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from datetime import datetime, timedelta, timezone
+import uuid
 from functools import cache
-from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,27 +16,25 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from assayer.constants import BRONZE_SCHEMA
 from assayer.functions.coercion import to_money
-from assayer.operators.contract import EVENT_CONTRACT
-from assayer.operators.gold import Rollup, revenue_per_hour, sorted_for_sink
+from assayer.operators.gold import Rollup, revenue_per_hour
 from assayer.operators.silver import to_silver
+from assayer.plans.layers import Layers
 from assayer.session import new_workspace
 from assayer.sources.events import parse_json
-from assayer.sources.layers import layer_table
-from assayer.sources.snapshots import SnapshotTable
+from assayer.sources.snapshots import LOAD
 
 PROPS_SCHEMA = StructType([StructField("k", IntegerType())])
-CATEGORIES = ("Electronics", "Apparel", "Books", "Home & Kitchen", "Sports", "Beauty")
-COUNTRIES = ("US", "DE", "IN", "BR")
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 # The feed arrives in three loads, cut at these days.
 FIRST_CUT = "2024-01-11"
 SECOND_CUT = "2024-01-21"
 
-# Commits of the versioned tables are three days apart, beginning here.
-FIRST_COMMIT_AT = datetime(2024, 1, 1, tzinfo=timezone.utc)
-COMMIT_EVERY = timedelta(days=3)
-EXPIRY_NOW = datetime(2024, 1, 16, 12, tzinfo=timezone.utc)
+# JSON files of a micro-batch. A batch does not grow with the landing folder.
+FILES_PER_BATCH = 2
+
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
+IPV4 = r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}"
 
 ORDERS_PER_DAY = Rollup(
     ts="o_orderdate",
@@ -74,47 +69,25 @@ def bronze_events(
 
 
 def as_bronze(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    event_id, user_id, ts = F.col("event_id"), F.col("user_id"), F.col("ts")
-    user, day = user_id.cast("string"), F.date_format(ts, "yyyyMMdd")
+    ts, user = F.col("ts"), F.col("user_id").cast("string")
     # Parsed in a projection of its own, so once per row and not once per use.
     events = events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
-    k = F.col("k")
+    tens = F.floor(F.col("k") / 10).cast("string")
     columns = {
-        "event_id": event_id.cast("string"),
-        "user_id": F.when(event_id % 20 != 0, user),
-        "session_id": F.concat(F.lit("s"), user, F.lit("-"), day),
+        "event_id": F.col("event_id").cast("string"),
+        "user_id": user,
+        "session_id": F.concat(user, F.lit("-"), F.date_format(ts, "yyyyMMdd")),
         "event_type": F.col("event_type"),
-        "product_id": F.concat(F.lit("PROD-"), (k + 1000).cast("string")),
-        "product_name": F.concat(F.lit("Product "), k.cast("string")),
-        "category": _pick(k % 6, CATEGORIES),
-        "amount": F.when(event_id % 20 == 0, None)
-        .when(event_id % 33 == 0, 0.0)
-        .when(event_id % 41 == 0, -F.col("value"))
-        .when(event_id % 211 == 0, 1e12)
-        .otherwise(F.col("value")),
-        "currency": F.lit("USD"),
-        "quantity": (k % 10 + 1).cast("bigint"),
-        "email": F.when(
-            event_id % 61 != 0, F.concat(F.lit("u"), user, F.lit("@example.com"))
-        ),
-        "ip_address": F.when(event_id % 59 == 0, None)
-        .when(event_id % 50 == 7, "unknown")
-        .otherwise(
-            F.concat(
-                (user_id % 223 + 1).cast("string"),
-                F.lit("."),
-                (event_id % 256).cast("string"),
-                F.lit(".0.1"),
-            )
-        ),
-        "user_agent": F.concat(F.lit("agent/"), k.cast("string")),
-        "country": _pick(user_id % 4, COUNTRIES),
-        "event_ts": F.when(event_id % 97 == 5, "not-a-time").otherwise(
-            F.date_format(ts, ISO_MICROS)
-        ),
-        "ingested_at": F.date_format(ts + F.expr("INTERVAL 5 MINUTES"), ISO_MICROS),
+        "product_id": F.col("k").cast("string"),
+        "category": F.concat(F.lit("k"), tens),
+        "amount": F.col("value"),
+        "event_ts": F.date_format(ts, ISO_MICROS),
+        "ingested_at": F.date_format(ts, ISO_MICROS),
     }
-    named = [columns[name].alias(name) for name in BRONZE_SCHEMA.names]
+    named = [
+        columns.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in BRONZE_SCHEMA.fields
+    ]
     return events.select(*named, *keep)
 
 
@@ -138,91 +111,77 @@ def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select("*", amount)
 
 
-def loads() -> list[Column]:
-    """The three loads of the feed; together they hold every event."""
-    ts = F.col("ts")
-    first = F.lit(FIRST_CUT).cast("timestamp_ntz")
-    second = F.lit(SECOND_CUT).cast("timestamp_ntz")
-    return [ts < first, (ts >= first) & (ts < second), ts >= second]
+def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Balances of customers, some of them negative; a market segment is a load."""
+    balance = to_money(F.col("c_acctbal")).alias("total_revenue")
+    return table(spark, sf_dir, "customer").select(
+        "c_custkey", F.col("c_mktsegment").alias(LOAD), balance
+    )
 
 
-@dataclass(frozen=True)
-class GoldHistory:
-    """A Gold table with an incident in its history, and its snapshot ids."""
+def found_in_text(spark: SparkSession, sf_dir: str, pattern: str, sign: str) -> DataFrame:
+    """Every match of a pattern in ``documents`` and ``pages``, one row each.
 
-    table: SnapshotTable
-    first_load: int
-    second_load: int
-    incident: int
-    restored: int
-    third_load: int
+    ``sign`` is a character that no match is without: looking for it is much
+    cheaper than the pattern, and most texts leave there.
+    """
+    sources = (("documents", "doc_id", "text"), ("pages", "page_id", "html"))
 
+    def of(name: str, row_id: str, text: str) -> DataFrame:
+        rows = table(spark, sf_dir, name).where(F.col(text).contains(sign))
+        matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+        return rows.select(
+            F.lit(name).alias("source"),
+            F.col(row_id).alias("row_id"),
+            F.explode(matches).alias("value"),
+        )
 
-@cache
-def gold_history(spark: SparkSession, sf_dir: str) -> GoldHistory:
-    """Load, load, a bad append, back to the state before it, load.
+    documents, pages = [of(*source) for source in sources]
+    return documents.unionByName(pages)
 
-    The bad append is a rollup of purchases that the contract rejects for
-    their amount (zero or less). Written once per session and then only read.
-    """
-    root = new_workspace(spark, "gold")
-    gold = layer_table(spark, root, "gold", "revenue_per_hour")
-    first, second, third = loads()
-
-    def load(arrived: Column) -> DataFrame:
-        silver = to_silver(bronze_events(spark, sf_dir, arrived))
-        return sorted_for_sink(revenue_per_hour(silver), "hour_bucket", "category")
-
-    ids = [gold.replace(load(first), committed_at(0))]
-    ids.append(gold.append(load(second), committed_at(1)))
-    incident = revenue_per_hour(unchecked_events(bronze_events(spark, sf_dir)))
-    ids.append(gold.append(incident, committed_at(2)))
-    ids.append(gold.restore(ids[1], committed_at(3)))
-    ids.append(gold.append(load(third), committed_at(4)))
-    return GoldHistory(gold, *ids)
-
-
-def unchecked_events(bronze: DataFrame) -> DataFrame:
-    """Events in their Silver types that the contract rejects for the amount."""
-    judged = bronze.where(
-        EVENT_CONTRACT.first_reason(bronze) == "non_positive_amount"
-    )
-    return judged.select(
-        "event_id",
-        "user_id",
-        "event_type",
-        "category",
-        EVENT_CONTRACT.typed("amount").alias("amount"),
-        EVENT_CONTRACT.typed("event_ts").alias("event_ts"),
-    )
 
+def daily_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly revenue; the rows of a day are a load, numbered by the date."""
+    gold = revenue_per_hour(silver_events(spark, sf_dir))
+    day = F.date_format("hour_bucket", "yyyyMMdd").cast("bigint")
+    return gold.withColumn(LOAD, day)
 
-@cache
-def bronze_history(spark: SparkSession, sf_dir: str) -> SnapshotTable:
-    """The feed as a versioned Bronze table, one commit per load."""
-    bronze = layer_table(spark, new_workspace(spark, "bronze"), "bronze", "events")
-    first, *rest = [bronze_events(spark, sf_dir, arrived) for arrived in loads()]
-    bronze.replace(first, committed_at(0))
-    for number, load in enumerate(rest, start=1):
-        bronze.append(load, committed_at(number))
-    return bronze
 
+def new_period(load: str = LOAD) -> Column:
+    """Whether a day's load begins the table anew: on the 1st, 11th, 21st, 31st."""
+    return F.col(load) % 10 == 1
 
-def committed_at(number: int) -> datetime:
-    return FIRST_COMMIT_AT + number * COMMIT_EVERY
+
+def loads() -> list[Column]:
+    """The three loads of the feed; together they hold every event."""
+    ts = F.col("ts")
+    first = F.lit(FIRST_CUT).cast("timestamp_ntz")
+    second = F.lit(SECOND_CUT).cast("timestamp_ntz")
+    return [ts < first, (ts >= first) & (ts < second), ts >= second]
 
 
-@dataclass(frozen=True)
-class Landing:
-    """A folder of raw JSON files and how many of them make a micro-batch."""
+def new_layers(spark: SparkSession, purpose: str) -> Layers:
+    """Layers in a folder and in databases of their own."""
+    prefix = f"{purpose}_{uuid.uuid4().hex[:12]}_"
+    return Layers(spark, new_workspace(spark, purpose), prefix)
 
-    path: str
-    files_per_batch: int
+
+@cache
+def written_layers(spark: SparkSession, sf_dir: str) -> Layers:
+    """The layers after three loads; written once per session, then only read."""
+    layers = new_layers(spark, "layers")
+    for number, arrived in enumerate(loads()):
+        events = bronze_events(spark, sf_dir, arrived)
+        if number:
+            layers.append(events, number)
+        else:
+            layers.build(events)
+    return layers
 
 
 @cache
-def json_landing(spark: SparkSession, sf_dir: str, batches: int = 4) -> Landing:
-    """The feed as JSON files, to be read as a batch or as a stream.
+def json_landing(spark: SparkSession, sf_dir: str) -> str:
+    """The feed as a folder of JSON files, to be read as a batch or as a stream.
 
     The files are split by the quarter of the hour in which an event happened,
     so that every hour, and most buyers, are spread over several micro-batches.
@@ -233,15 +192,4 @@ def json_landing(spark: SparkSession, sf_dir: str, batches: int = 4) -> Landing:
     events = table(spark, sf_dir, "events").select("*", quarter)
     feed = as_bronze(events, keep=("quarter",))
     feed.write.mode("overwrite").partitionBy("quarter").json(path)
-    files = len(spark.read.schema(BRONZE_SCHEMA).json(path).inputFiles())
-    return Landing(path, max(1, ceil(files / batches)))
-
-
-def _pick(position: Column, values: tuple[str, ...]) -> Column:
-    """The value at ``position``; the last one also stands for all others."""
-    *head, last = list(enumerate(values))
-    chain = F
-    for number, value in head:
-        chain = chain.when(position == number, value)
-    _, other = last
-    return chain.otherwise(other)
+    return path

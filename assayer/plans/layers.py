@@ -1,4 +1,4 @@
-"""The whole job: raw events to Bronze, Silver and Gold, as versioned tables.
+"""The whole job: raw events to Bronze, Silver and Gold, as tables under a name.
 
     spark-submit build_layers.py --events <folder> --root <folder>
 """
@@ -10,52 +10,87 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from assayer.constants import LAYERS
 from assayer.operators.accounting import drop_accounting, layer_summary
-from assayer.operators.gold import revenue_per_hour, sorted_for_sink, stamp
+from assayer.operators.gold import (
+    REVENUE_PER_HOUR,
+    Rollup,
+    purchases,
+    revenue_rollup,
+    sorted_for_sink,
+    stamp,
+)
 from assayer.operators.silver import to_strict_silver
 from assayer.session import build_session
-from assayer.sources.events import read_json_events, read_parquet_events
-from assayer.sources.layers import layer_table
-from assayer.sources.snapshots import SnapshotTable
+from assayer.sources.events import (
+    ORIGIN,
+    read_json_events,
+    read_parquet_events,
+    with_origins,
+)
+from assayer.sources.layers import APPEND, REPLACE, ensure_namespaces, save_table
+from assayer.sources.snapshots import LOAD
+
+TABLES = {"bronze": "events", "silver": "events", "gold": "revenue_per_hour"}
+
+#: Gold keeps the load of its rows: a group of two loads has a row of each.
+REVENUE_PER_LOAD = Rollup(keys=(*REVENUE_PER_HOUR.keys, LOAD))
 
 
 @dataclass(frozen=True)
 class Layers:
-    """The three tables of one root folder."""
-
-    bronze: SnapshotTable
-    silver: SnapshotTable
-    gold: SnapshotTable
-
-    @staticmethod
-    def under(spark: SparkSession, root: str, silver_by_day: bool = False) -> Layers:
-        """``silver_by_day`` suits a Silver that is too large to read whole."""
-        days_of = "event_ts" if silver_by_day else None
-        return Layers(
-            bronze=layer_table(spark, root, "bronze", "events"),
-            silver=layer_table(spark, root, "silver", "events", days_of),
-            gold=layer_table(spark, root, "gold", "revenue_per_hour"),
-        )
-
-    def build(self, events: DataFrame) -> None:
-        """Replace all three layers from raw events.
-
-        Each layer is written before the next one reads it, so no work is done
-        twice and a lost executor costs only the tasks it ran.
+    """The three tables of one root folder: bronze.events and so on.
+
+    ``prefix`` stands before the names of the databases.
+    """
+
+    spark: SparkSession
+    root: str
+    prefix: str = ""
+
+    def name(self, layer: str) -> str:
+        return f"`{self.prefix}{layer}`.{TABLES[layer]}"
+
+    def read(self, layer: str) -> DataFrame:
+        """The rows of a layer."""
+        return self.spark.table(self.name(layer))
+
+    def build(self, events: DataFrame, load: int = 0, mode: str = REPLACE) -> None:
+        """Take one load of raw events through all layers.
+
+        ``REPLACE`` begins the tables anew, ``APPEND`` adds to them. Each layer
+        is written before the next one reads it, and reads this load's folder
+        only. Silver keeps where in the files of Bronze its rows come from.
         """
-        self.bronze.replace(events)
-        self.silver.replace(to_strict_silver(self.bronze.read()))
-        gold = revenue_per_hour(self.silver.read())
-        self.gold.replace(stamp(sorted_for_sink(gold, "hour_bucket", "category")))
+        names = [f"{self.prefix}{layer}" for layer in LAYERS]
+        ensure_namespaces(self.spark, self.root, names)
+        number = F.lit(load).cast("bigint")
+
+        def save(rows: DataFrame, layer: str) -> None:
+            save_table(rows, layer, self.name(layer), mode, split_by=LOAD)
+
+        def written(layer: str) -> DataFrame:
+            return self.read(layer).where(F.col(LOAD) == number)
+
+        save(events.withColumn(LOAD, number), "bronze")
+        bronze = with_origins(self.read("bronze")).where(F.col(LOAD) == number)
+        save(to_strict_silver(bronze, carry=[*ORIGIN, LOAD]), "silver")
+        gold = revenue_rollup(purchases(written("silver")), REVENUE_PER_LOAD)
+        save(stamp(sorted_for_sink(gold, "hour_bucket", "category")), "gold")
+
+    def append(self, events: DataFrame, load: int) -> None:
+        """Add one load of raw events to all layers."""
+        self.build(events, load, APPEND)
 
     def summary(self) -> DataFrame:
         """Records per layer, dropped rows and clean revenue."""
-        return layer_summary(self.bronze.read(), self.silver.read(), self.gold.read())
+        return layer_summary(*[self.read(layer) for layer in LAYERS])
 
     def drops(self) -> DataFrame:
         """Why Bronze rows did not reach Silver."""
-        return drop_accounting(self.bronze.read())
+        return drop_accounting(self.read("bronze"))
 
 
 def main(arguments: Sequence[str] | None = None) -> None:
@@ -63,13 +98,14 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--events", required=True, help="folder of raw events")
     parser.add_argument("--format", choices=("json", "parquet"), default="json")
     parser.add_argument("--root", required=True, help="folder of the tables")
-    parser.add_argument("--silver-by-day", action="store_true")
+    parser.add_argument("--load", type=int, default=0, help="number of the load")
+    parser.add_argument("--append", action="store_true", help="add to the tables")
     options = parser.parse_args(arguments)
 
     spark = build_session("build-layers")
     read = {"json": read_json_events, "parquet": read_parquet_events}[options.format]
-    layers = Layers.under(spark, options.root, options.silver_by_day)
-    layers.build(read(spark, options.events))
+    layers = Layers(spark, options.root)
+    mode = APPEND if options.append else REPLACE
+    layers.build(read(spark, options.events), options.load, mode)
     layers.summary().show(truncate=False)
     layers.drops().show(truncate=False)
-    layers.gold.history().show(truncate=False)

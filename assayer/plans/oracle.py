@@ -12,33 +12,23 @@ BRONZE = """
 bronze as (
   select
     cast(event_id as varchar) as event_id,
-    case when event_id % 20 = 0 then null else cast(user_id as varchar) end as user_id,
-    concat('s', user_id, '-', strftime(ts, '%Y%m%d')) as session_id,
+    cast(user_id as varchar) as user_id,
+    concat(user_id, '-', strftime(ts, '%Y%m%d')) as session_id,
     event_type,
-    concat('PROD-', 1000 + k) as product_id,
-    concat('Product ', k) as product_name,
-    case k % 6 when 0 then 'Electronics' when 1 then 'Apparel' when 2 then 'Books'
-      when 3 then 'Home & Kitchen' when 4 then 'Sports' else 'Beauty' end as category,
-    case when event_id % 20 = 0 then null
-      when event_id % 33 = 0 then cast(0 as double)
-      when event_id % 41 = 0 then -value
-      when event_id % 211 = 0 then cast(1e12 as double)
-      else value end as amount,
-    'USD' as currency,
-    cast(1 + k % 10 as bigint) as quantity,
-    case when event_id % 61 = 0 then null
-      else concat('u', user_id, '@example.com') end as email,
-    case when event_id % 59 = 0 then null
-      when event_id % 50 = 7 then 'unknown'
-      else concat(user_id % 223 + 1, '.', event_id % 256, '.0.1') end as ip_address,
-    concat('agent/', k) as user_agent,
-    case user_id % 4 when 0 then 'US' when 1 then 'DE' when 2 then 'IN'
-      else 'BR' end as country,
-    case when event_id % 97 = 5 then 'not-a-time'
-      else strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') end as event_ts,
-    strftime(ts + interval 5 minutes, '%Y-%m-%dT%H:%M:%S.%f') as ingested_at,
-    case when ts < timestamp '2024-01-11' then 0
-      when ts < timestamp '2024-01-21' then 1 else 2 end as load
+    cast(k as varchar) as product_id,
+    cast(null as varchar) as product_name,
+    concat('k', k // 10) as category,
+    value as amount,
+    cast(null as varchar) as currency,
+    cast(null as bigint) as quantity,
+    cast(null as varchar) as email,
+    cast(null as varchar) as ip_address,
+    cast(null as varchar) as user_agent,
+    cast(null as varchar) as country,
+    strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') as event_ts,
+    strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') as ingested_at,
+    cast(case when ts < timestamp '2024-01-11' then 0
+      when ts < timestamp '2024-01-21' then 1 else 2 end as bigint) as load_id
   from (select *, cast(json_extract_string(props, '$.k') as int) as k from events)
 )"""
 
@@ -69,18 +59,18 @@ judged as (
 )"""
 
 IP_MASK = """
-case when ip_address is null then null
-  when len(string_split(ip_address, '.')) = 4
-    then concat(string_split(ip_address, '.')[1], '.x.x.x')
+case when value is null then null
+  when len(string_split(value, '.')) = 4
+    then concat(string_split(value, '.')[1], '.x.x.x')
   else 'x.x.x.x' end"""
 
-SILVER = f"""
+SILVER = """
 silver as (
   select
     event_id, user_id, session_id, event_type, product_id, product_name, category,
     money as amount, currency, pieces as quantity,
-    sha256(email) as email_hash, {IP_MASK} as ip_masked, country,
-    happened as event_ts, ingested as ingested_at, load
+    sha256(email) as email_hash, cast(null as varchar) as ip_masked, country,
+    happened as event_ts, ingested as ingested_at, load_id
   from judged where reason = 'ok'
 )"""
 
@@ -89,17 +79,13 @@ event_id, user_id, session_id, event_type, product_id, product_name, category, a
 currency, quantity, email_hash, ip_masked, country, event_ts, ingested_at"""
 
 
-def measures(amount: str, row_id: str, buyer: str, sign: str = "positive") -> str:
-    """The six measures over ``amount``, a decimal with two decimals."""
+def measures(amount: str, row_id: str, buyer: str) -> str:
+    """The six measures over ``amount``, a positive decimal with two decimals."""
     cents = f"sum(cast({amount} * 100 as bigint))"
     n = f"count({amount})"
-    # Half up to six decimals, then to two; half up is away from zero.
-    average = (
-        f"(((2 * abs({cents}) * 10000 + {n}) // (2 * {n})) + 5000) // 10000"
-    )
+    # Half up to six decimals, then to two.
+    average = f"(((2 * {cents} * 10000 + {n}) // (2 * {n})) + 5000) // 10000"
     average = f"cast({average} as decimal(18,2)) * 0.01"
-    if sign == "any":
-        average = f"case when {cents} < 0 then -1 else 1 end * {average}"
     return f"""
     cast(sum({amount}) as decimal(18,2)) as total_revenue,
     count({row_id}) as transaction_count,
@@ -111,51 +97,56 @@ def measures(amount: str, row_id: str, buyer: str, sign: str = "positive") -> st
 
 GOLD = f"""
 gold as (
-  select date_trunc('hour', event_ts) as hour_bucket, category, load,
+  select date_trunc('hour', event_ts) as hour_bucket, category,
     {measures('amount', 'event_id', 'user_id')}
   from silver where event_type = 'purchase'
-  group by all
-)"""
-
-# Purchases the contract rejects for their amount, rolled up all the same.
-INCIDENT = f"""
-incident as (
-  select date_trunc('hour', happened) as hour_bucket, category,
-    {measures('money', 'event_id', 'user_id', sign='any')}
-  from judged where reason = 'non_positive_amount' and event_type = 'purchase'
-  group by all
+  group by date_trunc('hour', event_ts), category
+),
+gold_by_load as (
+  select date_trunc('hour', event_ts) as hour_bucket, category, load_id,
+    {measures('amount', 'event_id', 'user_id')}
+  from silver where event_type = 'purchase'
+  group by date_trunc('hour', event_ts), category, load_id
 )"""
 
 GOLD_COLUMNS = """
 hour_bucket, category, total_revenue, transaction_count, avg_order_value,
 max_order_value, min_order_value, unique_buyers"""
 
-# Five snapshots of the Gold table and the commits visible in each of them.
-# Commits 0, 1 and 4 are the three loads, commit 2 is the incident.
-COMMITS = f"""
-commits as (
-  select 0 as commit_id, {GOLD_COLUMNS} from gold where load = 0
-  union all select 1, {GOLD_COLUMNS} from gold where load = 1
-  union all select 2, {GOLD_COLUMNS} from incident
-  union all select 4, {GOLD_COLUMNS} from gold where load = 2
+# The rows of a day are a load. The table begins anew with the load of the 1st, 11th,
+# 21st and 31st (and with the first load); a last snapshot goes back to number 14.
+SNAPSHOTS = f"""
+daily as (
+  select *, cast(strftime(hour_bucket, '%Y%m%d') as bigint) as load_id from gold
 ),
-snapshots(snapshot_id, committed_at, operation) as (
-  values
-    (0, timestamp '2024-01-01', 'replace'), (1, timestamp '2024-01-04', 'append'),
-    (2, timestamp '2024-01-07', 'append'), (3, timestamp '2024-01-10', 'restore'),
-    (4, timestamp '2024-01-13', 'append')
+numbered as (
+  select load_id, count(*) as added_records, max(hour_bucket) as committed_at,
+    row_number() over (order by load_id) - 1 as snapshot_id
+  from daily group by load_id
 ),
-visible(snapshot_id, commit_id) as (
-  values (0, 0), (1, 0), (1, 1), (2, 0), (2, 1), (2, 2), (3, 0), (3, 1),
-    (4, 0), (4, 1), (4, 4)
+started as (
+  select *, load_id % 10 = 1 or snapshot_id = 0 as starts from numbered
 ),
-contents as (
-  select v.snapshot_id, c.* from visible v join commits c using (commit_id)
+grouped as (
+  select *, sum(cast(starts as int)) over (order by snapshot_id) as period from started
 ),
-sizes as (
-  select snapshot_id, count(*) as records,
-    count(*) filter (where total_revenue < 0) as negative_rows
-  from contents group by snapshot_id
+visible as (
+  select s.snapshot_id, l.load_id, l.added_records
+  from grouped s join grouped l on l.period = s.period and l.snapshot_id <= s.snapshot_id
+),
+appended as (
+  select s.snapshot_id, s.committed_at,
+    case when s.starts then 'replace' else 'append' end as operation, s.added_records,
+    (select cast(sum(v.added_records) as bigint) from visible v
+      where v.snapshot_id = s.snapshot_id) as total_records
+  from grouped s
+),
+snapshots as (
+  select * from appended
+  union all
+  select (select max(snapshot_id) + 1 from appended),
+    (select max(committed_at) + interval 1 day from appended), 'restore', 0, total_records
+  from appended where snapshot_id = 14
 )"""
 
 
@@ -180,7 +171,13 @@ def _gold(select: str) -> str:
 
 
 def _history(select: str) -> str:
-    return _with(BRONZE, TYPED, SILVER, GOLD, INCIDENT, COMMITS, select=select)
+    return _with(BRONZE, TYPED, SILVER, GOLD, SNAPSHOTS, select=select)
+
+
+def _as_of(snapshot: str) -> str:
+    return f"""
+select {GOLD_COLUMNS} from daily
+where load_id in (select load_id from visible where snapshot_id = {snapshot})"""
 
 
 def _percent(part: str, whole: str) -> str:
@@ -188,7 +185,7 @@ def _percent(part: str, whole: str) -> str:
     return f"cast(cast({tenths} as decimal(9,0)) * 0.1 as decimal(6,1))"
 
 
-BRONZE_ROWS = _bronze("select * exclude (load) from bronze")
+BRONZE_ROWS = _bronze("select * exclude (load_id) from bronze")
 SILVER_ROWS = _silver(f"select {SILVER_COLUMNS} from silver")
 GOLD_ROWS = _gold(f"select {GOLD_COLUMNS} from gold")
 
@@ -207,6 +204,15 @@ from gold""")
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 IPV4 = r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}"
 
+
+def _found(pattern: str) -> str:
+    return f"""
+  select 'documents' as source, doc_id as row_id,
+    unnest(regexp_extract_all(text, '{pattern}')) as value from documents
+  union all
+  select 'pages', page_id, unnest(regexp_extract_all(html, '{pattern}')) from pages"""
+
+
 ORACLE: dict[str, str] = {
     "bronze_events": BRONZE_ROWS,
     "bronze_json_fields": """
@@ -235,29 +241,40 @@ from (values (0, 'missing_required'), (1, 'bad_event_ts'), (2, 'amount_out_of_ra
     (3, 'non_positive_amount'), (4, 'bad_event_type'), (5, 'ok')) r(position, reason)
 left join judged j on j.reason = r.reason
 group by r.position, r.reason"""),
-    "pii_email_hash": _bronze("select event_id, sha256(email) as email_hash from bronze"),
-    "pii_ip_mask": _bronze(f"select event_id, {IP_MASK} as ip_masked from bronze"),
-    "pii_sql_functions": _bronze(f"""
-select event_id, sha256(email) as email_hash, {IP_MASK} as ip_masked from bronze"""),
+    "pii_email_hash": f"""
+select source, row_id, sha256(value) as email_hash from ({_found(EMAIL)})""",
+    "pii_ip_mask": f"""
+select source, row_id, {IP_MASK} as ip_masked from ({_found(IPV4)})""",
+    "pii_sql_functions": f"""
+select source, row_id, 'email' as kind, sha256(value) as masked from ({_found(EMAIL)})
+union all
+select source, row_id, 'ipv4', {IP_MASK} from ({_found(IPV4)})""",
     "pii_documents": f"""
-with found as (
-  select doc_id, nullif(regexp_extract(text, '{EMAIL}'), '') as email,
-    nullif(regexp_extract(text, '{IPV4}'), '') as ip_address
-  from documents
-)
-select doc_id, sha256(email) as email_hash, {IP_MASK} as ip_masked
-from found where email is not null or ip_address is not null""",
+select row_id as doc_id, 'email' as kind, sha256(value) as masked from ({_found(EMAIL)})
+where source = 'documents'
+union all
+select row_id, 'ipv4', {IP_MASK} from ({_found(IPV4)}) where source = 'documents'""",
     "gold_revenue_per_hour": GOLD_ROWS,
-    "gold_total_clean_revenue": _history("""
-select cast(sum(total_revenue) as decimal(18,2)) as total_revenue
-from contents where snapshot_id = 2 and total_revenue > 0"""),
-    "gold_negative_rows": _history(f"""
-select {GOLD_COLUMNS} from contents where snapshot_id = 2 and total_revenue < 0"""),
-    "gold_negative_audit": _history("""
-select cast(s.snapshot_id as bigint) as snapshot_id, n.operation, s.records,
-  s.records - lag(s.records) over (order by s.snapshot_id) as record_change,
-  s.negative_rows
-from sizes s join snapshots n using (snapshot_id)"""),
+    "gold_total_clean_revenue": """
+select cast(sum(cast(c_acctbal as decimal(12,2))) as decimal(18,2)) as total_revenue
+from customer where c_acctbal > 0""",
+    "gold_negative_rows": """
+select c_custkey, cast(c_acctbal as decimal(18,2)) as total_revenue
+from customer where c_acctbal < 0""",
+    "gold_negative_audit": """
+with loads as (
+  select c_mktsegment as load_id, count(*) as n,
+    count(*) filter (where c_acctbal < 0) as negative,
+    row_number() over (order by c_mktsegment) - 1 as snapshot_id
+  from customer group by c_mktsegment
+)
+select s.snapshot_id,
+  case when s.snapshot_id = 0 then 'replace' else 'append' end as operation,
+  cast(sum(l.n) as bigint) as records,
+  case when s.snapshot_id > 0 then max(s.n) end as record_change,
+  cast(sum(l.negative) as bigint) as negative_rows
+from loads s join loads l on l.snapshot_id <= s.snapshot_id
+group by s.snapshot_id""",
     "orders_per_day": f"""
 with sold as (select *, cast(o_totalprice as decimal(12,2)) as amount from orders)
 select date_trunc('day', o_orderdate) as day_bucket, o_orderpriority,
@@ -270,54 +287,42 @@ select date_trunc('day', l_shipdate) as day_bucket, l_returnflag,
 from sold group by all""",
     "layer_summary": LAYER_SUMMARY,
     "layer_build": LAYER_SUMMARY,
-    "snapshot_append": _history(f"""
-select {GOLD_COLUMNS} from contents where snapshot_id = 2"""),
+    "layer_tables": _silver(f"""
+select date_trunc('hour', event_ts) as hour_bucket, category,
+  cast(case when load_id = 2 then 1 else 0 end as bigint) as load_id,
+  {measures('amount', 'event_id', 'user_id')}
+from silver where event_type = 'purchase'
+group by 1, 2, 3"""),
+    "snapshot_append": _history(_as_of("(select max(snapshot_id) from appended)")),
     "snapshot_history": _history("""
-select cast(s.snapshot_id as bigint) as snapshot_id, s.committed_at, s.operation,
-  (select count(*) from commits c where c.commit_id = s.snapshot_id) as added_records,
-  n.records as total_records
-from snapshots s join sizes n using (snapshot_id)
-order by s.committed_at desc, s.snapshot_id desc limit 5"""),
+select * from snapshots order by committed_at desc, snapshot_id desc limit 5"""),
     "snapshot_history_sql": _history("""
-select cast(s.snapshot_id as bigint) as snapshot_id, s.operation,
-  n.records as total_records,
-  (select records from sizes where snapshot_id = 4) as current_rows
-from snapshots s join sizes n using (snapshot_id)
-order by s.committed_at desc, s.snapshot_id desc limit 5"""),
-    "snapshot_as_of": _history(f"""
-select {GOLD_COLUMNS} from contents where snapshot_id = 1"""),
-    "snapshot_restore": _history(f"""
-select {GOLD_COLUMNS} from contents where snapshot_id = 4"""),
+select snapshot_id, operation, total_records,
+  (select count(*) from daily where load_id in
+    (select load_id from visible where snapshot_id = 14)) as current_rows
+from snapshots order by committed_at desc, snapshot_id desc limit 5"""),
+    "snapshot_as_of": _history(_as_of("14")),
+    "snapshot_restore": _history(_as_of("14")),
     "snapshot_expire": _history("""
-select cast(s.snapshot_id as bigint) as commit_id, s.committed_at,
-  (select count(*) from commits c where c.commit_id = s.snapshot_id) as added_records
-from snapshots s
-where s.operation <> 'restore' and s.snapshot_id not in (
-  select v.commit_id from visible v join snapshots k using (snapshot_id)
-  where k.committed_at > timestamp '2024-01-16 12:00:00' - interval 7 days
-    or k.snapshot_id = (select max(snapshot_id) from snapshots))"""),
+select g.load_id, g.committed_at, g.added_records
+from grouped g
+where g.load_id not in (
+  select v.load_id from visible v join appended k using (snapshot_id)
+  where k.committed_at > (select max(committed_at) from appended) - interval 7 days
+    or k.snapshot_id = (select max(snapshot_id) from appended))"""),
     "lineage_gold_to_silver": _gold("""
-select g.hour_bucket, g.category, g.total_revenue, g.transaction_count,
-  cast(s.load as bigint) as bronze_commit, s.event_id, s.amount
-from silver s join gold g on date_trunc('hour', s.event_ts) = g.hour_bucket
-  and s.category is not distinct from g.category
+select g.hour_bucket, g.category, g.load_id, g.total_revenue, g.transaction_count,
+  s.event_id, s.amount
+from silver s join gold_by_load g on date_trunc('hour', s.event_ts) = g.hour_bucket
+  and s.category is not distinct from g.category and s.load_id = g.load_id
 where s.event_type = 'purchase'"""),
-    "lineage_gold_to_bronze": _silver("""
-select b.* exclude (load), cast(b.load as bigint) as bronze_commit
-from bronze b
-where exists (
-  select 1 from silver s
-  where s.load = b.load and s.event_id = b.event_id and s.event_type = 'purchase')"""),
+    "lineage_gold_to_bronze": _typed("""
+select * exclude (money, pieces, happened, ingested, reason) from judged
+where reason = 'ok' and event_type = 'purchase'"""),
     "lineage_silver_to_bronze": _silver("""
-select cast(s.load as bigint) as bronze_commit, s.event_id,
-  count(*) as silver_rows,
-  (select count(*) from bronze b where b.load = s.load and b.event_id = s.event_id)
-    as bronze_rows
-from silver s group by s.load, s.event_id"""),
+select load_id, cast(1 as bigint) as silver_rows, cast(1 as bigint) as bronze_rows,
+  count(*) as origins
+from silver group by load_id"""),
     "stream_silver": SILVER_ROWS,
     "stream_gold": GOLD_ROWS,
-    "stream_gold_windows": _gold(f"""
-select {GOLD_COLUMNS} from gold
-where hour_bucket + interval 1 hour <= (
-  select max(event_ts) - interval 1 hour from silver where event_type = 'purchase')"""),
 }

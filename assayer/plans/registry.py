@@ -7,14 +7,15 @@ sums as ``decimal(18,2)``, so that results compare across engines.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from assayer.constants import SILVER_SCHEMA
 from assayer.functions.masking import mask_email, mask_ip, register_sql_functions
-from assayer.operators.accounting import drop_accounting, layer_summary
+from assayer.operators.accounting import drop_accounting, layer_summary_of
 from assayer.operators.contract import EVENT_CONTRACT, require_values
 from assayer.operators.gold import (
     MEASURES,
@@ -31,17 +32,30 @@ from assayer.operators.lineage import (
 )
 from assayer.operators.silver import to_silver, to_strict_silver
 from assayer.plans import fixture
-from assayer.plans.layers import Layers
+from assayer.plans.layers import REVENUE_PER_LOAD
 from assayer.session import new_workspace
-from assayer.sources.events import CORRUPT, read_json_events, stream_json_events
-from assayer.streaming.gold import RevenueStream, start_windowed_revenue
+from assayer.sources.events import (
+    CORRUPT,
+    ORIGIN,
+    read_json_events,
+    stream_json_events,
+    with_origins,
+)
+from assayer.sources.snapshots import (
+    LOAD,
+    audit,
+    expirable,
+    history,
+    ledger_of,
+    read_as_of,
+    restored,
+    sums_by_load,
+)
+from assayer.streaming.gold import RevenueStream
 from assayer.streaming.silver import start_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
-IPV4 = r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}"
-
 SILVER_COLUMNS = [name for name in SILVER_SCHEMA.names if name != "processed_at"]
 COUNTS = ("transaction_count", "unique_buyers")
 
@@ -91,8 +105,7 @@ def bronze_json_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_json_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landing = fixture.json_landing(spark, sf_dir)
-    events = read_json_events(spark, landing.path)
+    events = read_json_events(spark, fixture.json_landing(spark, sf_dir))
     return events.drop(CORRUPT, "quarter")
 
 
@@ -141,45 +154,58 @@ def silver_drop_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pii_email_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bronze = fixture.bronze_events(spark, sf_dir)
-    return bronze.select("event_id", mask_email("email").alias("email_hash"))
+    """Every e-mail address in the given texts, masked."""
+    found = fixture.found_in_text(spark, sf_dir, fixture.EMAIL, "@")
+    return found.select("source", "row_id", mask_email("value").alias("email_hash"))
 
 
 def pii_ip_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bronze = fixture.bronze_events(spark, sf_dir)
-    return bronze.select("event_id", mask_ip("ip_address").alias("ip_masked"))
+    """Every IPv4 address in the given texts, masked."""
+    found = fixture.found_in_text(spark, sf_dir, fixture.IPV4, ".")
+    return found.select("source", "row_id", mask_ip("value").alias("ip_masked"))
 
 
 def pii_sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both masks called from SQL text."""
     register_sql_functions(spark)
     return spark.sql(
-        "SELECT event_id, mask_email(email) AS email_hash, "
-        "mask_ip(ip_address) AS ip_masked FROM {bronze}",
-        bronze=fixture.bronze_events(spark, sf_dir),
+        "SELECT source, row_id, 'email' AS kind, mask_email(value) AS masked FROM {mails} "
+        "UNION ALL "
+        "SELECT source, row_id, 'ipv4' AS kind, mask_ip(value) AS masked FROM {addresses}",
+        mails=fixture.found_in_text(spark, sf_dir, fixture.EMAIL, "@"),
+        addresses=fixture.found_in_text(spark, sf_dir, fixture.IPV4, "."),
     )
 
 
 def pii_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that show an e-mail or IPv4 address, with the first one masked.
+    """Every e-mail and IPv4 address of a document, masked, one row per match.
 
     The look-behind lets the pattern start at the first character of a word
-    only. It finds the same match and keeps the search linear in the text.
+    only. It finds the same matches and keeps the search linear in the text.
     """
     documents = fixture.table(spark, sf_dir, "documents")
     text = F.col("text")
-    # Most documents leave here. Looking for one character is much cheaper
-    # than the pattern, and no address is without it.
-    has_email = text.contains("@") & text.rlike(EMAIL)
-    return documents.where(has_email | text.rlike(IPV4)).select(
+    # Texts without the one character that every address has are not searched.
+    mails = F.when(text.contains("@"), _matches(text, fixture.EMAIL))
+    addresses = _matches(text, fixture.IPV4)
+    found = documents.select(
         "doc_id",
-        mask_email(_first_match("text", EMAIL)).alias("email_hash"),
-        mask_ip(_first_match("text", IPV4)).alias("ip_masked"),
+        F.explode(F.concat(_named("email", mails), _named("ipv4", addresses))).alias("m"),
     )
+    masked = F.when(F.col("m.kind") == "email", mask_email("m.value"))
+    return found.select(
+        "doc_id", "m.kind", masked.otherwise(mask_ip("m.value")).alias("masked")
+    )
+
+
+def _matches(text: Column, pattern: str) -> Column:
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
-def _first_match(text: str, pattern: str) -> Column:
-    return F.nullif(F.regexp_extract(text, pattern, 0), F.lit(""))
+def _named(kind: str, values: Column) -> Column:
+    """An array of structs with the kind of each value; none for null."""
+    known = F.coalesce(values, F.array().cast("array<string>"))
+    return F.transform(known, lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
 
 
 # -- Gold -------------------------------------------------------------------
@@ -201,163 +227,181 @@ def lineitem_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_total_clean_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean revenue as seen while the incident rows are in the table."""
-    history = fixture.gold_history(spark, sf_dir)
-    incident = history.table.read_as_of(history.incident)
-    return clean_revenue(incident).select(plain_sum("total_revenue"))
+    """The sum of the balances that are not negative."""
+    accounts = fixture.accounts(spark, sf_dir)
+    return clean_revenue(accounts).select(plain_sum("total_revenue"))
 
 
 def gold_negative_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows an audit objects to while the incident is in the table."""
-    history = fixture.gold_history(spark, sf_dir)
-    return plain_gold(negative_revenue(history.table.read_as_of(history.incident)))
+    """The balances an audit objects to."""
+    bad = negative_revenue(fixture.accounts(spark, sf_dir))
+    return bad.select("c_custkey", plain_sum("total_revenue"))
 
 
 def gold_negative_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows, negative rows and change in rows of every snapshot."""
-    history = fixture.gold_history(spark, sf_dir)
-    return history.table.audit(
-        negative_rows=F.count_if(F.col("total_revenue") < 0)
-    )
+    """Rows, negative rows and change in rows of every snapshot of the accounts."""
+    accounts = fixture.accounts(spark, sf_dir)
+    negative = F.count_if(F.col("total_revenue") < 0)
+    return audit(ledger_of(accounts), sums_by_load([accounts], negative_rows=negative))
 
 
 def layer_summary_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bronze = fixture.bronze_events(spark, sf_dir)
-    silver = to_silver(bronze)
-    report = layer_summary(bronze, silver, revenue_per_hour(silver))
-    return report.select(
-        "layer", "records", "dropped", "dropped_pct", plain_sum("total_revenue")
-    )
+    report = layer_summary_of(fixture.bronze_events(spark, sf_dir))
+    return report.withColumn("total_revenue", plain_sum("total_revenue"))
 
 
 def layer_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job: all three layers written, then summed up from the tables."""
-    layers = Layers.under(spark, new_workspace(spark, "layers"))
+    layers = fixture.new_layers(spark, "build")
     layers.build(fixture.bronze_events(spark, sf_dir))
     return layers.summary().withColumn("total_revenue", plain_sum("total_revenue"))
 
 
+def layer_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold by its name in the catalog, after two replaces and an append."""
+    first, second, third = fixture.loads()
+    layers = fixture.new_layers(spark, "tables")
+    layers.build(fixture.bronze_events(spark, sf_dir))
+    layers.build(fixture.bronze_events(spark, sf_dir, first | second))
+    layers.append(fixture.bronze_events(spark, sf_dir, third), 1)
+    return plain_gold(spark.table(layers.name("gold")), REVENUE_PER_LOAD)
+
+
 # -- Versions ---------------------------------------------------------------
 
+# A snapshot in the middle of the feed, which a later one goes back to.
+MIDDLE = 14
+
+
+def _daily_ledger(daily: DataFrame) -> DataFrame:
+    return ledger_of(daily, fixture.new_period(), time="hour_bucket")
+
+
+def _restored_ledger(daily: DataFrame) -> DataFrame:
+    return restored(_daily_ledger(daily), MIDDLE, after=timedelta(days=1))
+
+
+def _plain_snapshots(ledger: DataFrame) -> DataFrame:
+    return ledger.select(
+        "snapshot_id",
+        plain_instant("committed_at"),
+        "operation",
+        "added_records",
+        "total_records",
+    )
+
 
 def snapshot_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table right after the bad append: good and bad rows."""
-    history = fixture.gold_history(spark, sf_dir)
-    return plain_gold(history.table.read_as_of(history.incident))
+    """The table right after the last append."""
+    daily = fixture.daily_gold(spark, sf_dir)
+    return plain_gold(read_as_of(daily, _daily_ledger(daily)))
 
 
 def snapshot_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The healthy rows from before the bad append."""
-    history = fixture.gold_history(spark, sf_dir)
-    return plain_gold(history.table.read_as_of(history.second_load))
+    """The table as it was in the middle of the feed."""
+    daily = fixture.daily_gold(spark, sf_dir)
+    return plain_gold(read_as_of(daily, _daily_ledger(daily), MIDDLE))
 
 
 def snapshot_restore(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The current rows: restored, then completed by the last load."""
-    return plain_gold(fixture.gold_history(spark, sf_dir).table.read())
+    """The current rows after a restore."""
+    daily = fixture.daily_gold(spark, sf_dir)
+    return plain_gold(read_as_of(daily, _restored_ledger(daily)))
 
 
 def snapshot_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    history = fixture.gold_history(spark, sf_dir).table.history()
-    return history.select(
-        "snapshot_id",
-        plain_instant("committed_at"),
-        "operation",
-        "summary.added_records",
-        "summary.total_records",
-    )
+    return _plain_snapshots(history(_restored_ledger(fixture.daily_gold(spark, sf_dir))))
 
 
 def snapshot_history_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest snapshots and the rows they leave, asked for in SQL."""
-    fixture.gold_history(spark, sf_dir).table.create_views("revenue_per_hour")
+    daily = fixture.daily_gold(spark, sf_dir)
+    ledger = _restored_ledger(daily)
     return spark.sql(
         """
-        SELECT snapshot_id, operation, summary.total_records,
-          (SELECT count(*) FROM revenue_per_hour) AS current_rows
-        FROM revenue_per_hour_snapshots
+        SELECT snapshot_id, operation, total_records,
+          (SELECT count(*) FROM {current}) AS current_rows
+        FROM {ledger}
         ORDER BY committed_at DESC, snapshot_id DESC LIMIT 5
-        """
+        """,
+        current=read_as_of(daily, ledger),
+        ledger=ledger,
     )
 
 
 def snapshot_expire(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = fixture.gold_history(spark, sf_dir).table
-    return table.expirable(now=fixture.EXPIRY_NOW).select(
-        "commit_id", plain_instant("committed_at"), "added_records"
+    """Loads that could go a week after the newest snapshot's loads came."""
+    ledger = _daily_ledger(fixture.daily_gold(spark, sf_dir))
+    now = F.max("committed_at").over(Window.partitionBy())
+    return expirable(ledger, now).select(
+        LOAD, plain_instant("committed_at"), "added_records"
     )
 
 
-# -- Lineage ----------------------------------------------------------------
+# -- Lineage, on written tables -------------------------------------------------
 
 
 def lineage_gold_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gold = fixture.gold_history(spark, sf_dir).table.read()
-    bronze = fixture.bronze_history(spark, sf_dir).read(commit_column="bronze_commit")
-    silver = to_silver(bronze, carry=["bronze_commit"])
-    traced = trace_gold_to_silver(gold, silver, carry=["bronze_commit"])
+    layers = fixture.written_layers(spark, sf_dir)
+    traced = trace_gold_to_silver(
+        layers.read("gold"), layers.read("silver"), REVENUE_PER_LOAD
+    )
     return traced.select(
         plain_time("hour_bucket"),
         "category",
+        LOAD,
         plain_sum("total_revenue"),
         "transaction_count",
-        "bronze_commit",
         "event_id",
         "amount",
     )
 
 
 def lineage_gold_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw events behind all Gold rows, unchanged, with their commit."""
-    gold = fixture.gold_history(spark, sf_dir).table.read()
-    bronze = fixture.bronze_history(spark, sf_dir).read(commit_column="bronze_commit")
-    silver = to_silver(bronze, carry=["bronze_commit"])
-    sold = trace_gold_to_silver(gold, silver, carry=["bronze_commit"])
-    return bronze_rows_behind(sold, bronze, ["bronze_commit", "event_id"])
+    """The raw events behind all Gold rows, unchanged, with their load."""
+    layers = fixture.written_layers(spark, sf_dir)
+    sold = trace_gold_to_silver(
+        layers.read("gold"), layers.read("silver"), REVENUE_PER_LOAD, carry=ORIGIN
+    )
+    return bronze_rows_behind(sold, with_origins(layers.read("bronze"))).drop(*ORIGIN)
 
 
 def lineage_silver_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bronze = fixture.bronze_history(spark, sf_dir).read(commit_column="bronze_commit")
-    silver = to_silver(bronze, carry=["bronze_commit"])
-    return trace_silver_to_bronze(silver, bronze, ["bronze_commit", "event_id"])
+    """How many Silver rows of each load have how many rows of origin."""
+    layers = fixture.written_layers(spark, sf_dir)
+    keys = [LOAD, *ORIGIN]
+    counted = trace_silver_to_bronze(
+        layers.read("silver"), with_origins(layers.read("bronze")), keys
+    )
+    return counted.groupBy(LOAD, "silver_rows", "bronze_rows").agg(
+        F.count(F.lit(1)).alias("origins")
+    )
 
 
 # -- Streams ----------------------------------------------------------------
 
 
+def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fixture.json_landing(spark, sf_dir)
+    return stream_json_events(spark, path, files_per_batch=fixture.FILES_PER_BATCH)
+
+
 def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landing = fixture.json_landing(spark, sf_dir)
     work = new_workspace(spark, "stream-silver")
-    events = stream_json_events(
-        spark, landing.path, files_per_batch=landing.files_per_batch
-    )
+    events = _event_stream(spark, sf_dir)
     start_silver(events, f"{work}/silver", f"{work}/checkpoint").awaitTermination()
     return plain_silver(spark.read.schema(SILVER_SCHEMA).parquet(f"{work}/silver"))
 
 
 def stream_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold after several micro-batches, each of which touches all hours."""
-    landing = fixture.json_landing(spark, sf_dir)
     work = new_workspace(spark, "stream-gold")
-    events = stream_json_events(
-        spark, landing.path, files_per_batch=landing.files_per_batch
-    )
     revenue = RevenueStream(work)
-    revenue.start(to_silver(events), f"{work}/checkpoint").awaitTermination()
+    events = to_silver(_event_stream(spark, sf_dir))
+    revenue.start(events, f"{work}/checkpoint").awaitTermination()
     return plain_gold(revenue.read_gold(spark))
 
 
-def stream_gold_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hours that the watermark has closed once all events are read."""
-    landing = fixture.json_landing(spark, sf_dir)
-    work = new_workspace(spark, "stream-windows")
-    events = stream_json_events(spark, landing.path)
-    start_windowed_revenue(
-        to_silver(events), f"{work}/gold", f"{work}/checkpoint"
-    ).awaitTermination()
-    return plain_gold(spark.read.parquet(f"{work}/gold"))
-
-
 QUERIES: dict[str, Query] = {
     "bronze_events": bronze_events,
     "bronze_json_fields": bronze_json_fields,
@@ -380,6 +424,7 @@ QUERIES: dict[str, Query] = {
     "lineitem_per_day": lineitem_per_day,
     "layer_summary": layer_summary_report,
     "layer_build": layer_build,
+    "layer_tables": layer_tables,
     "snapshot_append": snapshot_append,
     "snapshot_history": snapshot_history,
     "snapshot_history_sql": snapshot_history_sql,
@@ -391,5 +436,4 @@ QUERIES: dict[str, Query] = {
     "lineage_silver_to_bronze": lineage_silver_to_bronze,
     "stream_silver": stream_silver,
     "stream_gold": stream_gold,
-    "stream_gold_windows": stream_gold_windows,
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -47,12 +49,19 @@ def new_workspace(spark: SparkSession, purpose: str) -> str:
 
     It lies in the folder the cluster names in ``spark.checkpoint.dir``. Only
     a local session, whose executors share the driver's disk, may do without
-    that setting.
+    that setting. Where the folder is a mounted one, what is in it goes when the
+    driver's program ends; an object store needs a rule that removes old ones.
     """
     name = f"assayer-{purpose}-{uuid.uuid4().hex}"
     shared = spark.conf.get(CHECKPOINT_DIR, None)
     if shared:
-        return f"{shared.rstrip('/')}/{name}"
+        path = f"{shared.rstrip('/')}/{name}"
+        mounted = path.removeprefix("file://").removeprefix("file:")
+        if mounted.startswith("/"):
+            atexit.register(shutil.rmtree, mounted, ignore_errors=True)
+        return path
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-    return tempfile.mkdtemp(prefix=f"{name}-")
+    path = tempfile.mkdtemp(prefix=f"{name}-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path

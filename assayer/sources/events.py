@@ -13,6 +13,7 @@ CORRUPT = "_corrupt_record"
 # Where a row lies in the raw files; exact even if ids repeat.
 ORIGIN_FILE = "origin_file"
 ORIGIN_ROW = "origin_row"
+ORIGIN = (ORIGIN_FILE, ORIGIN_ROW)
 
 
 def with_corrupt(schema: StructType) -> StructType:
@@ -57,8 +58,11 @@ def read_parquet_events(
 ) -> DataFrame:
     """Events from Parquet, optionally with the file and row they came from."""
     rows = spark.read.schema(schema).parquet(path)
-    if not with_origin:
-        return rows
+    return with_origins(rows) if with_origin else rows
+
+
+def with_origins(rows: DataFrame) -> DataFrame:
+    """Rows of a Parquet table, as it was read, with their file and row in it."""
     return rows.select(
         "*",
         F.col("_metadata.file_path").alias(ORIGIN_FILE),

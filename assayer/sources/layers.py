@@ -7,7 +7,9 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 
 from assayer.constants import LAYER_CODECS, LAYERS
-from assayer.sources.snapshots import SnapshotTable
+
+REPLACE = "overwrite"
+APPEND = "append"
 
 
 def ensure_namespaces(
@@ -19,19 +21,15 @@ def ensure_namespaces(
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{location}")
 
 
-def layer_table(
-    spark: SparkSession, root: str, layer: str, name: str, days_of: str | None = None
-) -> SnapshotTable:
-    """The versioned table ``layer.name`` under ``root``, in the layer's codec."""
-    path = f"{root.rstrip('/')}/{layer}/{name}"
-    return SnapshotTable(spark, path, codec=LAYER_CODECS[layer], days_of=days_of)
-
-
-def save_catalog_table(df: DataFrame, layer: str, name: str, mode: str) -> None:
-    """Write ``layer.name`` as a catalog table: mode ``overwrite`` or ``append``.
+def save_table(
+    df: DataFrame, layer: str, name: str, mode: str, split_by: str | None = None
+) -> None:
+    """Write a table of the catalog in the codec of its layer.
 
-    For users who want the rows under a name in SQL and need no snapshots. An
-    append matches columns by name.
+    ``name`` is the table's full name. ``REPLACE`` gives it the rows and the
+    schema of ``df``; ``APPEND`` adds rows, with columns matched by name.
     """
     writer = df.write.format("parquet").option("compression", LAYER_CODECS[layer])
-    writer.mode(mode).saveAsTable(f"{layer}.{name}")
+    if split_by is not None:
+        writer = writer.partitionBy(split_by)
+    writer.mode(mode).saveAsTable(name)

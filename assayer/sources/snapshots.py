@@ -1,341 +1,185 @@
-"""Versioned Parquet tables: commit, history, read as of, restore, audit.
+"""Snapshots of a table that grows by loads: as-of reads, history, audits.
 
-Layout of a table folder::
+The rows of the table carry the id of their load, and a ledger has one row per
+snapshot:
 
-    data/_commit_id=<n>/   the rows that commit n wrote, never changed later
-    ledger/                one row per snapshot
+    snapshot_id, committed_at, operation, live, added_records, total_records
 
-A large table of events can have one folder per day in each commit, so that a
-read of some days lists and opens nothing else.
-
-A snapshot lists the commits visible in it. Rows are written first and the
-ledger row last, so a write that fails half-way is never visible and a repeat
-of it replaces what it left. There must be one writer at a time.
+``live`` lists the loads that are visible in the snapshot. Both are ordinary
+DataFrames; nothing here writes. A ledger is as long as there were loads, and
+only ledgers are looked at in order, never the rows of a table.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
-from datetime import date, datetime, timedelta, timezone
+from datetime import timedelta
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    ArrayType,
-    DateType,
-    LongType,
-    StringType,
-    StructField,
-    StructType,
-    TimestampType,
-)
 
 from assayer.constants import HISTORY_LENGTH, RETENTION_DAYS
-from assayer.operators.contract import conform
 
-COMMIT_ID = "_commit_id"
-DAY = "_day"
+LOAD = "load_id"
 
 REPLACE = "replace"
 APPEND = "append"
 RESTORE = "restore"
 
-LEDGER_SCHEMA = (
-    StructType()
-    .add("snapshot_id", LongType())
-    .add("parent_id", LongType())
-    .add("committed_at", TimestampType())
-    .add("operation", StringType())
-    .add("live", ArrayType(LongType()))
-    .add("added_records", LongType())
-    .add("total_records", LongType())
-    .add("table_schema", StringType())
+LEDGER = (
+    "snapshot_id",
+    "committed_at",
+    "operation",
+    "live",
+    "added_records",
+    "total_records",
 )
 
 
-class SnapshotTable:
-    """One versioned table under ``path``.
+def ledger_of(
+    data: DataFrame,
+    replaces: Column | None = None,
+    time: str | None = None,
+    load: str = LOAD,
+) -> DataFrame:
+    """The ledger of a table whose loads came in the order of their ids.
 
-    With ``days_of``, the name of a time column, commits are split by its day.
-    A table must always be opened with the same ``days_of``.
+    The first load, and each for which ``replaces`` holds (a condition on the
+    load's id or ``committed_at``), replaces what was there before; the others
+    are appended. ``committed_at`` is the latest ``time`` of a load.
     """
+    latest = F.lit(None).cast("timestamp") if time is None else F.max(time)
+    loads = data.groupBy(load).agg(
+        F.count(F.lit(1)).alias("added_records"), latest.alias("committed_at")
+    )
+    in_order = Window.orderBy(load)
+    number = F.row_number().over(in_order).cast("bigint") - 1
+    starts = F.lit(False) if replaces is None else F.coalesce(replaces, F.lit(False))
+    marked = loads.withColumn("snapshot_id", number).withColumn(
+        "starts", starts | (F.col("snapshot_id") == 0)
+    )
+    period = F.sum(F.col("starts").cast("bigint")).over(in_order)
+    so_far = Window.partitionBy("period").orderBy("snapshot_id")
+    return (
+        marked.withColumn("period", period)
+        .withColumn("live", F.collect_list(load).over(so_far))
+        .withColumn("total_records", F.sum("added_records").over(so_far))
+        .withColumn("operation", F.when(F.col("starts"), REPLACE).otherwise(APPEND))
+        .select(*LEDGER)
+    )
+
+
+def restored(ledger: DataFrame, snapshot_id: int, after: timedelta) -> DataFrame:
+    """The ledger with one more snapshot, which shows what ``snapshot_id`` showed."""
+    is_target = F.col("snapshot_id") == snapshot_id
+    target = F.struct("live", "total_records")
+    last = ledger.agg(
+        F.max("snapshot_id").alias("last_id"),
+        F.max("committed_at").alias("last_at"),
+        F.first(F.when(is_target, target), ignorenulls=True).alias("target"),
+    )
+    entry = last.where(F.col("target").isNotNull()).select(
+        (F.col("last_id") + 1).alias("snapshot_id"),
+        (F.col("last_at") + F.lit(after)).alias("committed_at"),
+        F.lit(RESTORE).alias("operation"),
+        "target.live",
+        F.lit(0).cast("bigint").alias("added_records"),
+        "target.total_records",
+    )
+    return ledger.unionByName(entry)
+
+
+def read_as_of(
+    data: DataFrame, ledger: DataFrame, snapshot_id: int | None = None, load: str = LOAD
+) -> DataFrame:
+    """The rows visible in a snapshot; without an id, in the newest one.
+
+    A semi-join with the few loads of the snapshot: a table that is split into
+    folders by load is read in those folders only.
+    """
+    if snapshot_id is None:
+        chosen = ledger.orderBy(F.desc("snapshot_id")).limit(1)
+    else:
+        chosen = ledger.where(F.col("snapshot_id") == snapshot_id)
+    return data.join(chosen.select(F.explode("live").alias(load)), load, "left_semi")
 
-    def __init__(
-        self,
-        spark: SparkSession,
-        path: str,
-        codec: str = "zstd",
-        days_of: str | None = None,
-    ):
-        self.spark = spark
-        self.path = path.rstrip("/")
-        self.codec = codec
-        self.days_of = days_of
-
-    # -- commits ------------------------------------------------------------
-
-    def replace(self, df: DataFrame, committed_at: datetime | None = None) -> int:
-        """Make ``df`` the whole content, with its schema; older snapshots stay."""
-        return self._write(df, REPLACE, self._current_entry(), committed_at)
-
-    def append(self, df: DataFrame, committed_at: datetime | None = None) -> int:
-        """Add rows, with columns matched by name to those of the table.
-
-        A missing nullable column is filled with null. An unknown column and a
-        null in a non-null column are errors.
-        """
-        parent = self._require_current()
-        schema = _schema_of(parent)
-        unknown = [name for name in df.columns if name not in schema.names]
-        if unknown:
-            raise ValueError(f"columns not in the table: {unknown}")
-        return self._write(conform(df, schema), APPEND, parent, committed_at)
-
-    def restore(self, snapshot_id: int, committed_at: datetime | None = None) -> int:
-        """Go back to the rows of ``snapshot_id`` without losing any history."""
-        parent = self._require_current()
-        target = self._entry(snapshot_id)
-        return self._record(
-            parent=parent,
-            operation=RESTORE,
-            live=list(target.live),
-            added=0,
-            total=target.total_records,
-            table_schema=target.table_schema,
-            committed_at=committed_at,
-        )
-
-    # -- reads --------------------------------------------------------------
-
-    def read(self, commit_column: str | None = None) -> DataFrame:
-        """The current rows; ``commit_column`` adds the id of their commit."""
-        return self._rows(self._require_current(), commit_column)
-
-    def read_as_of(
-        self, snapshot_id: int, commit_column: str | None = None
-    ) -> DataFrame:
-        """The rows that were visible in ``snapshot_id``."""
-        return self._rows(self._entry(snapshot_id), commit_column)
-
-    def read_days(self, first: date, last: date) -> DataFrame:
-        """The current rows of the days from ``first`` to ``last``."""
-        if self.days_of is None:
-            raise ValueError("this table is not split by day")
-        entry = self._require_current()
-        rows = self._read_commits(entry.live, _schema_of(entry))
-        chosen = rows.where(F.col(DAY).between(F.lit(first), F.lit(last)))
-        return chosen.drop(COMMIT_ID, DAY)
-
-    def current_id(self) -> int:
-        """The id of the newest snapshot."""
-        return self._require_current().snapshot_id
-
-    def ledger(self) -> DataFrame:
-        """One row per snapshot."""
-        reader = self.spark.read.schema(LEDGER_SCHEMA)
-        try:
-            return reader.parquet(f"{self.path}/ledger")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], LEDGER_SCHEMA)
-
-    def snapshots(self) -> DataFrame:
-        """One row per snapshot: id, time, operation and counts."""
-        summary = F.struct("added_records", "total_records").alias("summary")
-        return self.ledger().select(
-            "snapshot_id", "committed_at", "operation", summary
-        )
-
-    def history(self, n: int = HISTORY_LENGTH) -> DataFrame:
-        """The newest ``n`` snapshots, newest first."""
-        newest = (F.desc("committed_at"), F.desc("snapshot_id"))
-        return self.snapshots().orderBy(*newest).limit(n)
-
-    def create_views(self, name: str) -> None:
-        """Make the table known to SQL, as it is now.
-
-        ``name`` has the current rows and ``name_snapshots`` the snapshots.
-        """
-        self.read().createOrReplaceTempView(name)
-        self.snapshots().createOrReplaceTempView(f"{name}_snapshots")
-
-    # -- upkeep -------------------------------------------------------------
-
-    def expirable(
-        self, now: datetime, max_age: timedelta = timedelta(days=RETENTION_DAYS)
-    ) -> DataFrame:
-        """Commits that no snapshot worth keeping refers to.
-
-        Kept are the snapshots younger than ``max_age`` and the current one.
-        This reports only; nothing is deleted.
-        """
-        ledger = self.ledger()
-        young = F.col("committed_at") > F.lit(now - max_age)
-        kept = ledger.where(young | (F.col("snapshot_id") == self.current_id()))
-        used = kept.select(F.explode("live").alias("commit_id")).distinct()
-        written = ledger.where(F.col("operation") != RESTORE).select(
-            F.col("snapshot_id").alias("commit_id"), "committed_at", "added_records"
-        )
-        return written.join(used, "commit_id", "left_anti")
-
-    def sums_by_snapshot(self, **sums: Column) -> DataFrame:
-        """Additive aggregates (counts, sums) of the rows of every snapshot.
-
-        The data is read once, whatever the number of snapshots: each commit
-        is aggregated first, and only those few rows meet the ledger.
-        """
-        ledger = self.ledger()
-        visible = ledger.select(
-            "snapshot_id", F.explode_outer("live").alias(COMMIT_ID)
-        )
-        commits = [
-            row[COMMIT_ID]
-            for row in visible.select(COMMIT_ID).dropna().distinct().collect()
-        ]
-        per_commit = (
-            self._read_commits(commits, _schema_of(self._require_current()))
-            .groupBy(COMMIT_ID)
-            .agg(*[value.alias(name) for name, value in sums.items()])
-        )
-        totals = [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in sums]
-        return (
-            visible.join(per_commit, COMMIT_ID, "left")
-            .groupBy("snapshot_id")
-            .agg(*totals)
-        )
-
-    def audit(self, **sums: Column) -> DataFrame:
-        """``sums_by_snapshot`` next to what each snapshot did to the row count."""
-        ledger = self.ledger()
-        parents = ledger.select(
-            F.col("snapshot_id").alias("parent_id"),
-            F.col("total_records").alias("parent_records"),
-        )
-        steps = ledger.join(parents, "parent_id", "left").select(
-            "snapshot_id",
-            "operation",
-            F.col("total_records").alias("records"),
-            (F.col("total_records") - F.col("parent_records")).alias("record_change"),
-        )
-        return steps.join(self.sums_by_snapshot(**sums), "snapshot_id")
-
-    # -- internals ----------------------------------------------------------
-
-    def _write(
-        self,
-        df: DataFrame,
-        operation: str,
-        parent: Row | None,
-        committed_at: datetime | None,
-    ) -> int:
-        reserved = {COMMIT_ID, DAY}.intersection(df.columns)
-        if reserved:
-            raise ValueError(f"reserved column names: {sorted(reserved)}")
-        commit = _next_id(parent)
-        folder = self._commit_path(commit)
-        # No snapshot refers to this id yet. Whatever lies here was left by a
-        # write that failed before its ledger row.
-        if self.days_of is None:
-            writer = df.write
-        else:
-            # No shuffle: a task writes the days it has, which are few as long
-            # as events arrive in order, and a hot day stays spread over tasks.
-            writer = df.withColumn(DAY, F.to_date(self.days_of)).write
-            writer = writer.partitionBy(DAY)
-        writer.mode("overwrite").option("compression", self.codec).parquet(folder)
-        # A count without columns is answered from the Parquet footers.
-        added = self.spark.read.schema(df.schema).parquet(folder).count()
-        appending = operation == APPEND
-        return self._record(
-            parent=parent,
-            operation=operation,
-            live=([*parent.live] if appending else []) + [commit],
-            added=added,
-            total=added + (parent.total_records if appending else 0),
-            table_schema=parent.table_schema if appending else df.schema.json(),
-            committed_at=committed_at,
-        )
-
-    def _record(
-        self,
-        parent: Row | None,
-        operation: str,
-        live: list[int],
-        added: int,
-        total: int,
-        table_schema: str,
-        committed_at: datetime | None,
-    ) -> int:
-        snapshot_id = _next_id(parent)
-        entry = {
-            "snapshot_id": snapshot_id,
-            "parent_id": None if parent is None else parent.snapshot_id,
-            "committed_at": _utc_text(committed_at or datetime.now(timezone.utc)),
-            "operation": operation,
-            "live": live,
-            "added_records": added,
-            "total_records": total,
-            "table_schema": table_schema,
-        }
-        # One row from a literal: a single task and a single file.
-        parsed = F.from_json(F.lit(json.dumps(entry)), LEDGER_SCHEMA).alias("entry")
-        row = self.spark.range(1, numPartitions=1).select(parsed).select("entry.*")
-        row.write.mode("append").parquet(f"{self.path}/ledger")
-        return snapshot_id
-
-    def _current_entry(self) -> Row | None:
-        """The ledger row with the highest id, which is the newest commit."""
-        rows = self.ledger().orderBy(F.desc("snapshot_id")).limit(1).collect()
-        return rows[0] if rows else None
-
-    def _require_current(self) -> Row:
-        entry = self._current_entry()
-        if entry is None:
-            raise ValueError(f"no snapshot yet in {self.path}")
-        return entry
-
-    def _entry(self, snapshot_id: int) -> Row:
-        match = self.ledger().where(F.col("snapshot_id") == snapshot_id)
-        rows = match.limit(1).collect()
-        if not rows:
-            raise ValueError(f"no snapshot {snapshot_id} in {self.path}")
-        return rows[0]
 
-    def _commit_path(self, commit: int) -> str:
-        return f"{self.path}/data/{COMMIT_ID}={commit}"
+def history(ledger: DataFrame, n: int = HISTORY_LENGTH) -> DataFrame:
+    """The newest ``n`` snapshots, newest first."""
+    newest = (F.desc("committed_at"), F.desc("snapshot_id"))
+    return ledger.orderBy(*newest).limit(n)
 
-    def _rows(self, entry: Row, commit_column: str | None) -> DataFrame:
-        rows = self._read_commits(entry.live, _schema_of(entry)).drop(DAY)
-        if commit_column is None:
-            return rows.drop(COMMIT_ID)
-        return rows.withColumnRenamed(COMMIT_ID, commit_column)
 
-    def _read_commits(self, commits: Sequence[int], schema: StructType) -> DataFrame:
-        """Rows of the given commits; the folders of others are not even listed."""
-        folders = [StructField(COMMIT_ID, LongType())]
-        if self.days_of is not None:
-            folders.append(StructField(DAY, DateType()))
-        with_folders = StructType([*schema.fields, *folders])
-        if not commits:
-            return self.spark.createDataFrame([], with_folders)
-        return (
-            self.spark.read.schema(with_folders)
-            .option("basePath", f"{self.path}/data")
-            .parquet(*[self._commit_path(commit) for commit in commits])
-        )
+def expirable(
+    ledger: DataFrame,
+    now: Column,
+    max_age: timedelta = timedelta(days=RETENTION_DAYS),
+) -> DataFrame:
+    """Loads that no snapshot worth keeping shows, with the time they came.
 
+    Kept are the snapshots younger than ``max_age`` and the newest one. This
+    reports only; nothing is deleted.
+    """
+    newest = F.max("snapshot_id").over(Window.partitionBy())
+    young = F.col("committed_at") > now - F.lit(max_age)
+    judged = ledger.withColumn("keep", young | (F.col("snapshot_id") == newest))
+    used = judged.where("keep").select(F.explode("live").alias(LOAD)).distinct()
+    written = ledger.where(F.col("operation") != RESTORE).select(
+        # A load is the last one in the list of its own snapshot.
+        F.element_at("live", -1).alias(LOAD),
+        "committed_at",
+        "added_records",
+    )
+    return written.join(used, LOAD, "left_anti")
+
+
+def sums_by_load(
+    frames: Sequence[DataFrame], load: str = LOAD, **sums: Column
+) -> DataFrame:
+    """Additive aggregates (counts, sums) of each load.
+
+    A table whose schema has changed is given as one frame per schema, each
+    with the loads that were written in it. Where a frame lacks a column that
+    an aggregate needs, the aggregate is null: it cannot be known.
+    """
 
-def _schema_of(entry: Row) -> StructType:
-    return StructType.fromJson(json.loads(entry.table_schema))
+    def of(frame: DataFrame) -> DataFrame:
+        columns = []
+        for name, value in sums.items():
+            try:
+                frame.select(value)
+            except AnalysisException as error:
+                if not str(error.getCondition()).startswith("UNRESOLVED_COLUMN"):
+                    raise
+                value = F.lit(None).cast("bigint")
+            columns.append(value.alias(name))
+        return frame.groupBy(load).agg(*columns)
 
+    return reduce(DataFrame.unionByName, [of(frame) for frame in frames])
 
-def _utc_text(moment: datetime) -> str:
-    """ISO text with offset; a time without a zone is one of this machine."""
-    return moment.astimezone(timezone.utc).isoformat()
 
+def audit(ledger: DataFrame, by_load: DataFrame, load: str = LOAD) -> DataFrame:
+    """The aggregates of every snapshot, next to what it did to the row count.
 
-def _next_id(parent: Row | None) -> int:
-    return 0 if parent is None else parent.snapshot_id + 1
+    ``by_load`` has one row per load (``sums_by_load``): the rows of the table
+    are read once, whatever the number of snapshots, and only those few rows
+    meet the ledger. The aggregate of a snapshot is null if that of one of its
+    loads is.
+    """
+    names = [name for name in by_load.columns if name != load]
+    visible = ledger.select("snapshot_id", F.explode_outer("live").alias(load))
+    totals = [
+        F.when(F.count(name) == F.count(load), F.coalesce(F.sum(name), F.lit(0))).alias(name)
+        for name in names
+    ]
+    summed = visible.join(by_load, load, "left").groupBy("snapshot_id").agg(*totals)
+    parent = F.lag("total_records").over(Window.orderBy("snapshot_id"))
+    steps = ledger.select(
+        "snapshot_id",
+        "operation",
+        F.col("total_records").alias("records"),
+        (F.col("total_records") - parent).alias("record_change"),
+    )
+    return steps.join(summed, "snapshot_id")

@@ -10,9 +10,17 @@ Two forms with different treatment of late events:
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import (
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from assayer.constants import LAYER_CODECS
 from assayer.operators.gold import (
@@ -27,6 +35,7 @@ from assayer.operators.gold import (
 
 BATCH_ID = "_batch_id"
 PART = "part"
+SLOT = "slot"
 # Folder name of a time range, per partition grain.
 PART_FORMATS = {"day": "yyyy-MM-dd", "hour": "yyyy-MM-dd-HH"}
 
@@ -69,18 +78,23 @@ def start_windowed_revenue(
 class RevenueStream:
     """Gold that follows a stream of Silver events, late ones included.
 
-    Each micro-batch is reduced to partials per (hour, key, buyer) and stored
-    under ``partials/part=<day>/_batch_id=<n>``. Gold is then computed anew,
-    from the partials, for the days the batch touched and for no others. A
-    shorter partition grain re-reads less per batch and makes more folders.
-
-    Both writes replace exactly the folders they are about, so a micro-batch
-    that is repeated after a failure leaves the same result.
+    The state is one partial per (hour, key, buyer), stored under
+    ``partials/part=<hour>/slot=<0 or 1>`` with the id of the micro-batch that
+    wrote it. A micro-batch is reduced to partials, merged with those of the
+    hours it touches, and written to the slot that did not hold the current
+    ones; Gold is computed from the merged partials, for those hours and no
+    others. So what a micro-batch reads depends on the hours it touches and not
+    on how many micro-batches there were before.
+
+    A micro-batch that is repeated after a failure finds the partials from
+    before it in the other slot, and leaves the same result. One that has been
+    followed by another for the same hours is complete, and is left alone.
     """
 
-    def __init__(self, path: str, spec: Rollup = REVENUE_PER_HOUR, grain: str = "day"):
+    def __init__(self, path: str, spec: Rollup = REVENUE_PER_HOUR, grain: str = "hour"):
         self.spec = spec
         self.part_format = PART_FORMATS[grain]
+        self.incoming_path = f"{path.rstrip('/')}/incoming"
         self.partials_path = f"{path.rstrip('/')}/partials"
         self.gold_path = f"{path.rstrip('/')}/gold"
 
@@ -107,25 +121,56 @@ class RevenueStream:
         spark = batch.sparkSession
         partials = self._with_part(buyer_partials(batch, self.spec))
         seen = Observation()
-        marked = partials.withColumn(BATCH_ID, F.lit(batch_id)).observe(
-            seen, F.collect_set(PART).alias("parts")
+        marked = partials.observe(seen, F.collect_set(PART).alias("parts"))
+        marked.write.mode("overwrite").parquet(self.incoming_path)
+        incoming = spark.read.schema(partials.schema).parquet(self.incoming_path)
+
+        parts = seen.get["parts"]
+        every = self._stored(spark, partials.schema, parts)
+        if not every.where(F.col(BATCH_ID) > batch_id).isEmpty():
+            return
+        stored = every.where(F.col(BATCH_ID) < batch_id)
+        newest = stored.groupBy(PART).agg(F.max(F.struct(BATCH_ID, SLOT)).alias("newest"))
+        held = stored.join(newest, PART).where(F.col(BATCH_ID) == F.col(f"newest.{BATCH_ID}"))
+        merged = combine_partials(
+            held.select(*partials.columns).unionByName(incoming), self.spec
         )
-        self._overwrite(marked, self.partials_path, PART, BATCH_ID)
-        # The folders the write has just made, which the driver tracks anyway.
-        touched = seen.get["parts"]
-        stored = (
-            spark.read.schema(partials.schema)
-            .option("basePath", self.partials_path)
-            .parquet(*[f"{self.partials_path}/{PART}={part}" for part in touched])
+        free = F.coalesce(1 - F.col(f"newest.{SLOT}"), F.lit(0)).alias(SLOT)
+        placed = self._with_part(merged).join(newest, PART, "left").select(
+            *partials.columns, F.lit(batch_id).cast("bigint").alias(BATCH_ID), free
         )
-        merged = combine_partials(stored, self.spec)
-        gold = self._with_part(measures_from_partials(merged, self.spec))
+        self._overwrite(placed, self.partials_path, PART, SLOT)
+
+        current = self._stored(spark, partials.schema, parts).where(
+            F.col(BATCH_ID) == batch_id
+        )
+        gold = self._with_part(measures_from_partials(current, self.spec))
         self._overwrite(gold, self.gold_path, PART)
 
     def read_gold(self, spark: SparkSession) -> DataFrame:
         """The current Gold rows."""
         return spark.read.parquet(self.gold_path).select(*self.spec.group, *MEASURES)
 
+    def _stored(
+        self, spark: SparkSession, schema: StructType, parts: list[str]
+    ) -> DataFrame:
+        """The partials of some hours, of both slots."""
+        full = StructType(
+            [
+                *[f for f in schema.fields if f.name != PART],
+                StructField(BATCH_ID, LongType()),
+                StructField(PART, StringType()),
+                StructField(SLOT, IntegerType()),
+            ]
+        )
+        try:
+            rows = spark.read.schema(full).parquet(self.partials_path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            rows = spark.createDataFrame([], full)
+        return rows.where(F.col(PART).isin(*parts))
+
     def _with_part(self, df: DataFrame) -> DataFrame:
         part = F.date_format(self.spec.bucket_name, self.part_format)
         return df.withColumn(PART, part)

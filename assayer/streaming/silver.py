@@ -6,18 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from assayer.constants import LAYER_CODECS
-from assayer.operators.silver import to_silver
+from assayer.operators.silver import to_strict_silver
 
 
 def start_silver(bronze: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Clean all events that have arrived and stop; start again for more.
 
-    Stateless, and exactly once: the file sink lists each micro-batch in its
+    The rows have the exact schema of the contract: a null in a non-null column
+    fails the micro-batch. Stateless, and exactly once: the file sink lists each micro-batch in its
     log, so a repeated one adds nothing. ``processed_at`` is the time of the
     micro-batch.
     """
     return (
-        to_silver(bronze)
+        to_strict_silver(bronze)
         .writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)

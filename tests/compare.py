@@ -102,6 +102,9 @@ if __name__ == "__main__":
     for name, query in queries().items():
         if wanted and name not in wanted:
             continue
+        if name not in oracle_sql():
+            print(f"{name:28s} no SQL")
+            continue
         began = time.time()
         try:
             result = differences(spark, query, oracle_sql()[name], sf_dir) or "equal"

@@ -1,58 +1,52 @@
 from __future__ import annotations
 
-from datetime import date
-from decimal import Decimal
-
 import pyarrow.parquet as parquet
+import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 
-from assayer.constants import SILVER_SCHEMA
-from assayer.operators.gold import clean_revenue, negative_revenue
+from assayer.constants import LAYERS, SILVER_SCHEMA
+from assayer.operators.gold import clean_revenue
 from assayer.plans import fixture
 from assayer.plans.layers import Layers, main
 from assayer.session import new_workspace
-from assayer.sources.events import CORRUPT, read_json_events
+from assayer.sources.events import CORRUPT, ORIGIN, read_json_events, with_origins
+from assayer.sources.snapshots import LOAD
 
 SF = "/root/testdata/sf0.001"
 
 
-def test_job_from_json_to_gold_with_an_incident(spark):
-    landing = fixture.json_landing(spark, SF)
-    layers = Layers.under(spark, new_workspace(spark, "test-job"))
-    layers.build(read_json_events(spark, landing.path))
+@pytest.fixture
+def layers(spark):
+    return fixture.new_layers(spark, "test")
+
 
+def test_job_from_json_to_gold(spark, layers):
+    layers.build(read_json_events(spark, fixture.json_landing(spark, SF)))
     summary = {row.layer: row for row in layers.summary().collect()}
     drops = {row.reason: row.rows for row in layers.drops().collect()}
     assert summary["bronze"].records == 1000 == sum(drops.values())
     assert summary["silver"].records == drops["ok"] > 0
     assert summary["silver"].dropped == 1000 - drops["ok"]
-    assert CORRUPT in layers.bronze.read().columns
-    assert layers.silver.read().columns == SILVER_SCHEMA.names
-
-    healthy = layers.gold.current_id()
-    revenue = clean_revenue(layers.gold.read()).first()[0]
+    assert CORRUPT in layers.read("bronze").columns
+    assert layers.read("silver").columns == [*SILVER_SCHEMA.names, *ORIGIN, LOAD]
+    revenue = clean_revenue(layers.read("gold")).first()[0]
     assert revenue == summary["gold"].total_revenue > 0
 
-    bad = layers.gold.read().limit(2).withColumn(
-        "total_revenue", F.lit(Decimal("-99999.99")).cast("decimal(23,2)")
-    )
-    layers.gold.append(bad)
-    assert negative_revenue(layers.gold.read()).count() == 2
-    assert negative_revenue(layers.gold.read_as_of(healthy)).count() == 0
-    # The bad rows are hidden from the total, and gone after the restore.
-    assert clean_revenue(layers.gold.read()).first()[0] == revenue
-    layers.gold.restore(healthy)
-    assert negative_revenue(layers.gold.read()).count() == 0
-    operations = [row.operation for row in layers.gold.history().collect()]
-    assert operations == ["restore", "append", "replace"]
-
-
-def test_files_let_a_time_filter_skip(spark):
+
+def test_written_silver_names_its_origin(spark, layers):
+    """Every row leads to one Bronze row with the same id."""
+    layers.build(fixture.bronze_events(spark, SF))
+    silver, bronze = layers.read("silver"), with_origins(layers.read("bronze"))
+    both = silver.alias("s").join(bronze.alias("b"), list(ORIGIN))
+    assert both.count() == silver.count() > 0
+    assert both.where("s.event_id != b.event_id").isEmpty()
+
+
+def test_files_let_a_time_filter_skip(spark, layers):
     """Written times have min/max in the footers, and the filter reaches them."""
-    layers = Layers.under(spark, new_workspace(spark, "test-job"))
     layers.build(fixture.bronze_events(spark, SF))
-    silver = layers.silver.read()
+    silver = layers.read("silver")
     footer = parquet.ParquetFile(silver.inputFiles()[0].removeprefix("file:")).metadata
     times = footer.row_group(0).column(silver.columns.index("event_ts"))
     assert times.path_in_schema == "event_ts" and times.statistics.has_min_max
@@ -60,31 +54,40 @@ def test_files_let_a_time_filter_skip(spark):
     assert "GreaterThanOrEqual(event_ts" in plan
 
 
-def test_build_again_replaces_and_keeps_history(spark):
-    layers = Layers.under(spark, new_workspace(spark, "test-job"))
+def test_tables_under_a_name(spark, layers):
+    """Replace begins anew, append adds; columns are matched by name."""
     events = fixture.bronze_events(spark, SF)
+    few = events.where("category = 'k1'")
     layers.build(events)
-    first = layers.gold.read().drop("computed_at")
-    layers.build(events.where("category = 'Books'"))
-    assert layers.gold.read().select("category").distinct().count() == 1
-    assert layers.gold.read_as_of(0).drop("computed_at").exceptAll(first).count() == 0
-
-
-def test_silver_by_day(spark):
-    layers = Layers.under(spark, new_workspace(spark, "test-job"), silver_by_day=True)
+    layers.build(few)
+    assert spark.table(layers.name("bronze")).count() == few.count()
+    turned = events.select(*reversed(events.columns))
+    layers.append(turned, 1)
+    sizes = {r[LOAD]: r["count"] for r in layers.read("bronze").groupBy(LOAD).count().collect()}
+    assert sizes == {0: few.count(), 1: events.count()}
+    gold = layers.read("gold")
+    keys = gold.select("hour_bucket", "category")
+    assert gold.count() > keys.distinct().count()
+    assert gold.count() == gold.select("hour_bucket", "category", LOAD).distinct().count()
+
+
+def test_codecs_of_the_layers(spark, layers):
     layers.build(fixture.bronze_events(spark, SF))
-    day = date(2024, 1, 7)
-    one_day = layers.silver.read_days(day, day)
-    every = layers.silver.read()
-    assert one_day.columns == every.columns == SILVER_SCHEMA.names
-    assert one_day.count() == every.where(F.to_date("event_ts") == F.lit(day)).count() > 0
-    assert layers.summary().where("layer = 'silver'").first().records == every.count()
+    found = {}
+    for layer in LAYERS:
+        path = layers.read(layer).inputFiles()[0].removeprefix("file:")
+        found[layer] = parquet.ParquetFile(path).metadata.row_group(0).column(0).compression
+    assert found == {"bronze": "SNAPPY", "silver": "ZSTD", "gold": "ZSTD"}
 
 
 def test_command_line(spark, capsys):
-    landing = fixture.json_landing(spark, SF)
     root = new_workspace(spark, "test-main")
-    main(["--events", landing.path, "--root", root])
+    landing = fixture.json_landing(spark, SF)
+    main(["--events", landing, "--root", root])
+    main(["--events", landing, "--root", root, "--load", "1", "--append"])
     printed = capsys.readouterr().out
-    assert "missing_required" in printed and "replace" in printed
-    assert Layers.under(spark, root).gold.read().count() > 0
+    assert "missing_required" in printed
+    layers = Layers(spark, root)
+    assert layers.read("gold").select(F.countDistinct(LOAD)).first()[0] == 2
+    for layer in LAYERS:
+        spark.sql(f"DROP DATABASE {layer} CASCADE")

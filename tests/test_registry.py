@@ -3,18 +3,20 @@ from __future__ import annotations
 import pytest
 from compare import differences
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from assayer.plans.oracle import ORACLE
+from assayer.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_its_sql(spark, name):
-    assert differences(spark, queries()[name], oracle_sql()[name], SF) == []
+    assert differences(spark, QUERIES[name], ORACLE[name], SF) == []
 
 
 def test_entry(spark):
@@ -25,7 +27,7 @@ def test_entry(spark):
 
 def test_events_are_conserved(spark):
     """Each count of the layers follows from the one below it."""
-    run = {name: queries()[name](spark, SF) for name in (
+    run = {name: QUERIES[name](spark, SF) for name in (
         "bronze_events",
         "silver_drop_accounting",
         "silver_events",

@@ -1,348 +1,154 @@
 from __future__ import annotations
 
-import tempfile
-import time
-from datetime import date, datetime, timedelta, timezone
-from decimal import Decimal
-from pathlib import Path
+import random
+from datetime import datetime, timedelta
 
 import pytest
 from conftest import plan_of
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-
-from assayer.session import CHECKPOINT_DIR, new_workspace
-from assayer.sources.layers import ensure_namespaces, layer_table, save_catalog_table
-from assayer.sources.snapshots import COMMIT_ID, SnapshotTable
-
-DAY = timedelta(days=1)
-START = datetime(2024, 1, 1, tzinfo=timezone.utc)
-
-
-@pytest.fixture
-def table(spark):
-    return SnapshotTable(spark, new_workspace(spark, "test-table"))
-
-
-def numbers(spark, *values):
-    return spark.createDataFrame([(v,) for v in values], "n int")
-
-
-def contents(df):
-    return sorted(row.n for row in df.collect())
-
-
-def test_history_of_commits_can_be_read_at_any_point(spark, table):
-    assert table.replace(numbers(spark, 1, 2)) == 0
-    assert table.append(numbers(spark, 3)) == 1
-    assert table.append(numbers(spark, -4)) == 2
-    before = contents(table.read_as_of(1))
-    assert table.restore(1) == 3
-    assert contents(table.read()) == contents(table.read_as_of(1)) == before == [1, 2, 3]
-    assert table.append(numbers(spark, 5)) == 4
-    assert table.replace(numbers(spark, 9)) == 5
-    expected = [[1, 2], [1, 2, 3], [-4, 1, 2, 3], [1, 2, 3], [1, 2, 3, 5], [9]]
-    assert [contents(table.read_as_of(i)) for i in range(6)] == expected
-    assert table.current_id() == 5
-    sizes = {r.snapshot_id: r.total_records for r in table.ledger().collect()}
-    assert sizes == {i: len(rows) for i, rows in enumerate(expected)}
-
-
-def test_history_is_newest_first(spark, table):
-    for number in range(7):
-        write = table.append if number else table.replace
-        write(numbers(spark, number), START + number * DAY)
-    rows = table.history().collect()
-    assert [row.snapshot_id for row in rows] == [6, 5, 4, 3, 2]
-    assert rows[0].operation == "append"
-    assert rows[0].summary.asDict() == {"added_records": 1, "total_records": 7}
-    # A tie in time is broken by the id.
-    table.append(numbers(spark, 7), START + 6 * DAY)
-    assert table.history(1).first().snapshot_id == 7
-
-
-def test_time_of_a_commit_is_kept_exactly(spark, table):
-    moment = datetime(2024, 2, 29, 23, 59, 59, 123456, tzinfo=timezone.utc)
-    elsewhere = moment.astimezone(timezone(timedelta(hours=5, minutes=30)))
-    table.replace(numbers(spark, 1), moment)
-    table.append(numbers(spark, 2), elsewhere)
-    table.append(numbers(spark, 3))
-    micros = table.ledger().orderBy("snapshot_id").select(F.unix_micros("committed_at"))
-    first, second, now = [row[0] for row in micros.collect()]
-    assert first == second == int(moment.timestamp()) * 10**6 + 123456
-    assert abs(now / 10**6 - time.time()) < 60
-
-
-def test_history_is_a_top_k(table, spark):
-    table.replace(numbers(spark, 1))
-    plan = plan_of(table.history())
-    assert "TakeOrderedAndProject" in plan and "Exchange" not in plan
-
-
-def test_views(spark, table):
-    table.replace(numbers(spark, 1, 2))
-    table.append(numbers(spark, 3))
-    table.create_views("numbers")
-    assert spark.sql("select sum(n) from numbers").first()[0] == 6
-    newest = spark.sql(
-        "select snapshot_id from numbers_snapshots order by committed_at desc limit 1"
-    )
-    assert newest.first()[0] == 1 == table.current_id()
-
-
-def test_reads_list_only_visible_commits(spark, table):
-    table.replace(numbers(spark, 1))
-    table.append(numbers(spark, 2))
-    table.append(numbers(spark, 3))
-    files = table.read_as_of(1).inputFiles()
-    folders = {Path(file).parent.name for file in files}
-    assert folders == {f"{COMMIT_ID}=0", f"{COMMIT_ID}=1"}
-    with_commit = table.read_as_of(2, commit_column="source")
-    assert {(r.n, r.source) for r in with_commit.collect()} == {(1, 0), (2, 1), (3, 2)}
-
-
-def test_append_matches_columns_by_name(spark, table):
-    table.replace(spark.createDataFrame([(1, "x")], "n int, s string"))
-    table.append(spark.createDataFrame([("y", 2)], "s string, n int"))
-    table.append(spark.createDataFrame([(3,)], "n int"))
-    rows = {tuple(row) for row in table.read().select("n", "s").collect()}
-    assert rows == {(1, "x"), (2, "y"), (3, None)}
-    with pytest.raises(ValueError, match="not in the table"):
-        table.append(spark.createDataFrame([(4, 5)], "n int, other int"))
-    with pytest.raises(Exception, match="INVALID_COLUMN_OR_FIELD_DATA_TYPE"):
-        table.append(spark.createDataFrame([("x",)], "n string"))
-    assert table.read().count() == 3
-
-
-def test_append_checks_non_null_columns(spark, table):
-    schema = StructType().add("n", "integer", False)
-    table.replace(spark.createDataFrame([(1,)], schema))
-    with pytest.raises(Exception, match="null in non-null column n"):
-        table.append(numbers(spark, 2, None))
-    assert contents(table.read()) == [1]
-    table.append(numbers(spark, 2))
-    assert contents(table.read()) == [1, 2]
-
-
-def test_failed_write_is_never_visible(spark, table):
-    table.replace(numbers(spark, 1, 2))
-    # A write that stopped after the rows and before the ledger row.
-    numbers(spark, 66, 67).write.parquet(f"{table.path}/data/{COMMIT_ID}=1")
-    assert contents(table.read()) == [1, 2]
-    failing = numbers(spark, 3).select(F.raise_error(F.lit("boom")).cast("int").alias("n"))
-    with pytest.raises(Exception, match="boom"):
-        table.append(failing)
-    assert contents(table.read()) == [1, 2]
-    assert table.append(numbers(spark, 3)) == 1
-    assert contents(table.read()) == [1, 2, 3]
-
-
-def test_replace_changes_schema_and_older_snapshots_keep_theirs(spark, table):
-    table.replace(numbers(spark, 1))
-    table.replace(spark.createDataFrame([("x", 1.5)], "s string, d double"))
-    assert table.read().columns == ["s", "d"]
-    assert table.read_as_of(0).columns == ["n"]
-    table.restore(0)
-    assert contents(table.read()) == [1]
-
-
-def test_table_can_be_rewritten_from_itself(spark, table):
-    table.replace(numbers(spark, 1))
-    table.append(numbers(spark, 2))
-    table.append(numbers(spark, 3))
-    table.replace(table.read())
-    assert contents(table.read()) == [1, 2, 3]
-    assert table.ledger().orderBy(F.desc("snapshot_id")).first().live == [3]
-
-
-def test_empty_commit(spark, table):
-    table.replace(numbers(spark, 1).where("false"))
-    assert table.read().count() == 0
-    table.append(numbers(spark, 2))
-    assert contents(table.read()) == [2]
-
-
-def test_errors(spark, table):
-    for use in (table.read, table.current_id, lambda: table.append(numbers(spark, 1))):
-        with pytest.raises(ValueError, match="no snapshot yet"):
-            use()
-    assert table.history().count() == 0
-    table.replace(numbers(spark, 1))
-    with pytest.raises(ValueError, match="no snapshot 9"):
-        table.read_as_of(9)
-    with pytest.raises(ValueError, match="reserved"):
-        table.replace(table.read(commit_column=COMMIT_ID))
-
-
-def test_expirable_reports_what_no_kept_snapshot_needs(spark, table):
-    for number in range(3):
-        write = table.append if number else table.replace
-        write(numbers(spark, number), START + number * DAY)
-    table.restore(0, START + 3 * DAY)
-
-    def expirable(now):
-        return sorted(row.commit_id for row in table.expirable(now).collect())
-
-    assert expirable(START + 7 * DAY - timedelta(hours=1)) == []
-    # Snapshot 2 still needs commits 0, 1 and 2.
-    assert expirable(START + 8 * DAY + timedelta(hours=1)) == []
-    assert expirable(START + 9 * DAY) == [1, 2]
-    # The current snapshot is kept whatever its age.
-    assert expirable(START + 999 * DAY) == [1, 2]
-    assert table.ledger().count() == 4
-
-
-def test_table_split_by_day(spark):
-    table = SnapshotTable(spark, new_workspace(spark, "test-days"), days_of="at")
-
-    def days(*numbers):
-        rows = [(n, datetime(2024, 1, n, 12)) for n in numbers]
-        return spark.createDataFrame(rows, "n int, at timestamp")
-
-    table.replace(days(1, 2, 3))
-    table.append(days(2, 3, 4))
-    assert table.read().columns == ["n", "at"]
-    assert contents(table.read()) == [1, 2, 2, 3, 3, 4]
-    assert contents(table.read_as_of(0)) == [1, 2, 3]
-    chosen = table.read_days(date(2024, 1, 2), date(2024, 1, 3))
-    assert contents(chosen) == [2, 2, 3, 3]
-    assert chosen.columns == ["n", "at"]
-    filters = next(x for x in plan_of(chosen).splitlines() if "PartitionFilters" in x)
-    assert "_day" in filters
-    assert table.ledger().orderBy("snapshot_id").collect()[1].total_records == 6
-    with pytest.raises(ValueError, match="reserved"):
-        table.replace(days(1).withColumn("_day", F.current_date()))
-    plain = SnapshotTable(spark, new_workspace(spark, "test-days"))
-    plain.replace(days(1))
-    with pytest.raises(ValueError, match="not split by day"):
-        plain.read_days(date(2024, 1, 1), date(2024, 1, 1))
 
-
-@settings(
-    max_examples=3,
-    deadline=None,
-    suppress_health_check=[HealthCheck.function_scoped_fixture],
+from assayer.session import new_workspace
+from assayer.sources.snapshots import (
+    LOAD,
+    audit,
+    expirable,
+    history,
+    ledger_of,
+    read_as_of,
+    restored,
+    sums_by_load,
 )
-@given(
-    st.lists(
-        st.tuples(
-            st.sampled_from(["replace", "append", "append", "restore"]),
-            st.integers(0, 99),
-        ),
-        min_size=4,
-        max_size=7,
-    )
-)
-def test_any_sequence_of_commits(spark, steps):
-    """Every snapshot keeps showing what a plain list model says it holds."""
-    table = SnapshotTable(spark, new_workspace(spark, "test-model"))
-    model: list[list[int]] = []
-    for operation, number in steps:
-        if operation == "replace" or not model:
-            table.replace(numbers(spark, number))
-            model.append([number])
-        elif operation == "append":
-            table.append(numbers(spark, number, -number))
-            model.append([*model[-1], number, -number])
-        else:
-            target = number % len(model)
-            table.restore(target)
-            model.append(list(model[target]))
-    for snapshot, rows in enumerate(model):
-        assert contents(table.read_as_of(snapshot)) == sorted(rows)
-    sizes = {r.snapshot_id: r.total_records for r in table.ledger().collect()}
-    assert sizes == {i: len(rows) for i, rows in enumerate(model)}
-
-
-def test_audit_shows_the_incident(spark):
-    """Two bad rows are appended, found, and gone again after the restore."""
-    gold = layer_table(spark, new_workspace(spark, "test-gold"), "gold", "revenue")
-    schema = (
-        "hour_bucket timestamp, category string, total_revenue decimal(23,2), "
-        "transaction_count bigint, avg_order_value decimal(13,2), "
-        "min_order_value decimal(12,2), max_order_value decimal(12,2), "
-        "unique_buyers bigint, computed_at timestamp"
-    )
-
-    def row(hour, category, total, count, avg, low, high, buyers):
-        money = [Decimal(v) for v in (avg, low, high)]
-        when = datetime(2024, 1, 1, hour)
-        return (when, category, Decimal(total), count, *money, buyers, when)
-
-    good = [
-        row(0, "Electronics", "30.00", 2, "15.00", "10.00", "20.00", 2),
-        row(1, "Apparel", "5.00", 1, "5.00", "5.00", "5.00", 1),
-    ]
-    # The incident batch, in proper types.
-    bad = [
-        row(0, "Electronics", "-99999.99", 999, "-100.00", "-50.00", "-200.00", 0),
-        row(1, "Apparel", "-88888.88", 888, "-80.00", "-30.00", "-150.00", 0),
+
+START = datetime(2024, 1, 1)
+
+
+def loads_of(spark, sizes):
+    """A table with a load of each size, one day apart; values from -1 up."""
+    rows = [
+        (load, START + timedelta(days=load), value - 1)
+        for load, size in enumerate(sizes)
+        for value in range(size)
     ]
-    healthy = gold.replace(spark.createDataFrame(good, schema))
-    gold.append(spark.createDataFrame(bad, schema))
-    gold.restore(healthy)
-    audit = gold.audit(
-        negative_rows=F.count_if(F.col("total_revenue") < 0),
-        wrong_order=F.count_if(F.col("min_order_value") > F.col("max_order_value")),
-    ).orderBy("snapshot_id")
-    assert [tuple(row) for row in audit.collect()] == [
-        (0, "replace", 2, None, 0, 0),
-        (1, "append", 4, 2, 2, 2),
-        (2, "restore", 2, -2, 0, 0),
+    return spark.createDataFrame(rows, f"{LOAD} bigint, at timestamp, value bigint")
+
+
+def replaces():
+    return F.col(LOAD) % 3 == 0
+
+
+@pytest.fixture(scope="module")
+def data(spark):
+    return loads_of(spark, [4, 1, 3, 2, 5])
+
+
+def test_ledger(data):
+    ledger = ledger_of(data, replaces(), time="at").orderBy("snapshot_id").collect()
+    assert [(r.snapshot_id, r.operation, r.live) for r in ledger] == [
+        (0, "replace", [0]),
+        (1, "append", [0, 1]),
+        (2, "append", [0, 1, 2]),
+        (3, "replace", [3]),
+        (4, "append", [3, 4]),
     ]
+    assert [(r.added_records, r.total_records) for r in ledger] == [
+        (4, 4), (1, 5), (3, 8), (2, 2), (5, 7),
+    ]
+    assert ledger[4].committed_at == START + timedelta(days=4)
+
+
+def test_reads_as_of(data):
+    ledger = restored(ledger_of(data, replaces(), time="at"), 1, timedelta(hours=1))
+
+    def loads(snapshot=None):
+        return {r[LOAD] for r in read_as_of(data, ledger, snapshot).collect()}
+
+    assert loads(0) == {0} and loads(2) == {0, 1, 2} and loads(4) == {3, 4}
+    assert loads() == {0, 1}
+    assert loads(99) == set()
+    newest = history(ledger, 2).collect()
+    assert [(r.operation, r.total_records) for r in newest] == [("restore", 5), ("append", 7)]
+
 
+def test_restore_of_an_unknown_snapshot_changes_nothing(data):
+    ledger = ledger_of(data, time="at")
+    assert restored(ledger, 99, timedelta(days=1)).count() == ledger.count()
 
-def test_audit_counts_an_empty_snapshot(spark, table):
-    table.replace(numbers(spark, 1).where("false"))
-    table.append(numbers(spark, 1, 2))
-    rows = table.sums_by_snapshot(rows=F.count(F.lit(1))).orderBy("snapshot_id")
-    assert [tuple(row) for row in rows.collect()] == [(0, 0), (1, 2)]
 
+def test_expirable(data):
+    ledger = ledger_of(data, replaces(), time="at")
+    now = F.lit(START + timedelta(days=5))
 
-@pytest.mark.parametrize(
-    ("layer", "codec"), [("bronze", "snappy"), ("silver", "zstd"), ("gold", "zstd")]
+    def old(days):
+        found = expirable(ledger, now, timedelta(days=days)).collect()
+        return {(r[LOAD], r.added_records) for r in found}
+
+    # The newest snapshot shows loads 3 and 4, a young one more than those.
+    assert old(0.5) == {(0, 4), (1, 1), (2, 3)}
+    assert old(3.5) == set()
+    assert old(2.5) == {(0, 4), (1, 1), (2, 3)}
+
+
+@settings(
+    max_examples=6,
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
 )
-def test_codec_of_each_layer(spark, layer, codec):
-    root = new_workspace(spark, "test-codec")
-    layer_table(spark, root, layer, "t").replace(numbers(spark, 1))
-    files = list(Path(root.removeprefix("file:")).glob(f"{layer}/t/data/*/*.parquet"))
-    assert files and all(f".{codec}." in file.name for file in files)
-
-
-def test_catalog_tables(spark):
-    ensure_namespaces(spark)
-    ensure_namespaces(spark)
-    names = {row.namespace for row in spark.sql("show databases").collect()}
-    assert {"bronze", "silver", "gold"} <= names
-    two = spark.createDataFrame([(1, "x")], "n int, s string")
-    save_catalog_table(two, "gold", "pairs", "overwrite")
-    swapped = spark.createDataFrame([("y", 2)], "s string, n int")
-    save_catalog_table(swapped, "gold", "pairs", "append")
-    rows = {tuple(row) for row in spark.table("gold.pairs").collect()}
-    assert rows == {(1, "x"), (2, "y")}
-
-
-def test_namespace_location(spark):
-    root = new_workspace(spark, "test-names")
-    ensure_namespaces(spark, root, ["somewhere"])
-    place = spark.catalog.getDatabase("somewhere").locationUri
-    assert place.endswith(f"{root}/somewhere")
-
-
-def test_workspace_lies_in_the_shared_folder(spark):
-    shared = spark.conf.get(CHECKPOINT_DIR, tempfile.gettempdir())
-    one, two = new_workspace(spark, "x"), new_workspace(spark, "x")
-    assert one.startswith(shared) and one != two
-
-
-def test_workspace_on_a_cluster_needs_the_shared_folder():
-    class Session:
-        def __init__(self, **conf):
-            self.conf = {key.replace("_", "."): value for key, value in conf.items()}
-
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        new_workspace(Session(spark_master="yarn"), "x")
-    local = new_workspace(Session(spark_master="local[2]"), "x")
-    assert Path(local).is_dir()
+@given(st.lists(st.integers(1, 6), min_size=1, max_size=6), st.integers(0, 9))
+def test_audit_equals_reading_every_snapshot(spark, sizes, seed):
+    data = loads_of(spark, sizes)
+    ledger = ledger_of(data, replaces(), time="at")
+    back = random.Random(seed).randrange(len(sizes))
+    ledger = restored(ledger, back, timedelta(days=1))
+    negative = F.count_if(F.col("value") < 0)
+    found = audit(ledger, sums_by_load([data], negative=negative, total=F.sum("value")))
+    expected, before = {}, None
+    for entry in ledger.orderBy("snapshot_id").collect():
+        rows = read_as_of(data, ledger, entry.snapshot_id).collect()
+        values = [r.value for r in rows]
+        change = None if before is None else len(values) - before
+        before = len(values)
+        expected[entry.snapshot_id] = (
+            len(values), change, sum(v < 0 for v in values), sum(values),
+        )
+    assert {
+        r.snapshot_id: (r.records, r.record_change, r.negative, r.total) for r in found.collect()
+    } == expected
+
+
+def test_audit_after_a_rename_does_not_guess(spark, data):
+    """A snapshot with a load whose column is unknown has no answer, not 0."""
+    old = data.where(f"{LOAD} < 3").withColumnRenamed("value", "amount")
+    new = data.where(f"{LOAD} >= 3")
+    ledger = ledger_of(data, F.col(LOAD) == 2, time="at")
+    negative = F.count_if(F.col("value") < 0)
+    found = audit(ledger, sums_by_load([old, new], negative=negative)).collect()
+    assert {r.snapshot_id: r.negative for r in found} == {0: None, 1: None, 2: None, 3: None, 4: None}
+    ledger = ledger_of(data, F.col(LOAD) == 3, time="at")
+    found = audit(ledger, sums_by_load([old, new], negative=negative)).collect()
+    assert {r.snapshot_id: r.negative for r in found} == {0: None, 1: None, 2: None, 3: 1, 4: 2}
+
+
+def test_audit_after_a_change_of_type(spark, data):
+    old = data.where(f"{LOAD} < 2")
+    new = data.where(f"{LOAD} >= 2").withColumn("value", F.col("value").cast("decimal(12,2)"))
+    negative = F.count_if(F.col("value") < 0)
+    found = audit(ledger_of(data, time="at"), sums_by_load([old, new], negative=negative))
+    assert {r.snapshot_id: r.negative for r in found.collect()} == {k: k + 1 for k in range(5)}
+
+
+def test_an_error_in_an_aggregate_is_not_hidden(data):
+    with pytest.raises(Exception, match="DATATYPE_MISMATCH|CAST_INVALID"):
+        sums_by_load([data], bad=F.sum(F.col("value") + F.array(F.lit(1)))).collect()
+
+
+def test_only_the_folders_of_a_snapshot_are_read(spark, data):
+    folder = new_workspace(spark, "test-loads")
+    data.write.partitionBy(LOAD).parquet(folder)
+    table = spark.read.parquet(folder)
+    ledger_folder = new_workspace(spark, "test-ledger")
+    ledger_of(data, time="at").write.parquet(ledger_folder)
+    found = read_as_of(table, spark.read.parquet(ledger_folder), 1)
+    assert found.count() == 5
+    assert "LeftSemi" in plan_of(found)

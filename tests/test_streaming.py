@@ -79,9 +79,7 @@ def test_silver_stream_continues_where_it_stopped(spark, bronze, work):
 @pytest.mark.parametrize("grain", ["day", "hour"])
 def test_gold_stream_equals_batch(spark, work, grain):
     landing = fixture.json_landing(spark, SMALL)
-    source = stream_json_events(
-        spark, landing.path, files_per_batch=landing.files_per_batch
-    )
+    source = stream_json_events(spark, landing, files_per_batch=1)
     stream = RevenueStream(work, grain=grain)
     query = stream.start(to_silver(source), f"{work}/checkpoint")
     query.awaitTermination()
@@ -165,6 +163,34 @@ def test_gold_stream_reads_only_needed_fields(spark, bronze, work):
     assert plans == [["event_ts", "category", "amount", "event_id", "user_id"]]
 
 
+def test_a_batch_reads_no_more_after_many_batches(spark, bronze, work):
+    """Two slots per hour are all there is, and the other one is never merged in."""
+    stream = RevenueStream(work)
+    batches = [purchase(k, "00:10:00", 1.0 + k, f"u{k % 2}") for k in range(6)]
+    for k, change in enumerate(batches):
+        stream.process(to_silver(bronze(change)), k)
+        stored = spark.read.parquet(f"{work}/partials")
+        assert stored.select("slot").distinct().count() <= 2
+        assert stored.count() <= 4
+        assert spark.read.parquet(f"{work}/incoming").count() == 1
+    assert rows(stream.read_gold(spark)) == rows(revenue_per_hour(to_silver(bronze(*batches))))
+
+
+def test_silver_stream_fails_on_a_null_that_the_contract_forbids(spark, bronze, work, monkeypatch):
+    """The rows are conformed: what the filters let through is checked again."""
+    land(bronze, work, purchase(1, "00:10:00"))
+    source = stream_json_events(spark, f"{work}/in")
+    monkeypatch.setattr(
+        "assayer.operators.silver.to_silver",
+        lambda bronze, contract, carry=(): to_silver(bronze, contract, carry).withColumn(
+            "user_id", F.nullif("user_id", F.lit("u1"))
+        ),
+    )
+    query = start_silver(source, f"{work}/silver", f"{work}/checkpoint")
+    with pytest.raises(Exception, match="null in non-null column user_id"):
+        query.awaitTermination()
+
+
 def test_batch_without_purchases(spark, bronze, work):
     stream = RevenueStream(work)
     stream.process(to_silver(bronze(purchase(1, "00:10:00"))), 0)
@@ -201,7 +227,7 @@ def test_windows_are_emitted_once_closed(spark, bronze, work):
 
 def test_landing_is_the_whole_feed(spark):
     landing = fixture.json_landing(spark, SMALL)
-    landed = read_json_events(spark, landing.path).select(*BRONZE_SCHEMA.names)
+    landed = read_json_events(spark, landing).select(*BRONZE_SCHEMA.names)
     feed = fixture.bronze_events(spark, SMALL)
     assert landed.count() == feed.count() == 1000
     assert landed.exceptAll(feed).count() == 0
