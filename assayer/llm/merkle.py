@@ -25,8 +25,10 @@ from assayer.llm.quality import let
 
 #: A clause begins at the white space behind one of these marks.
 CLAUSE = r"(?<=[.,;:!?|])(?=[ \t])"
-#: One paragraph in this many ends a section, as its hash decides.
-SECTION = 4
+#: A paragraph whose hash ends in one of these digits ends a section: one in four.
+SECTION_ENDS = ("0", "4", "8", "c")
+#: Digits of a leaf's hash that count for the likeness of two trees (64 bits).
+LEAF_DIGITS = 16
 
 #: Documents of a bucket of neighbouring ids, on average.
 DOCUMENTS_PER_BUCKET = 256
@@ -41,7 +43,7 @@ def _node(kind: str, parts: Column) -> Column:
 
 
 def tree(text: Column) -> Column:
-    """``root``, ``sections``, ``paragraphs`` and ``leaves`` (64-bit, distinct)."""
+    """``root``, ``sections``, ``paragraphs`` and ``leaves`` (distinct, cut short)."""
     clauses = F.transform(
         F.split(text, "\n"),
         lambda line: F.transform(F.split(line, CLAUSE), lambda c: F.sha2(c, 256)),
@@ -49,7 +51,7 @@ def tree(text: Column) -> Column:
 
     def above(leaves: Column) -> Column:
         paragraphs = F.transform(leaves, lambda each: _node("p", each))
-        marks = F.transform(F.flatten(leaves), lambda h: F.xxhash64(h))
+        marks = F.transform(F.flatten(leaves), lambda h: F.left(h, F.lit(LEAF_DIGITS)))
         return let(paragraphs, lambda p: top(p, F.array_distinct(marks)))
 
     def top(paragraphs: Column, leaves: Column) -> Column:
@@ -71,7 +73,7 @@ def _sections(paragraphs: Column) -> Column:
     ending = F.transform(
         paragraphs,
         lambda p, i: F.when(
-            (i == size - 1) | (F.pmod(F.xxhash64(p), F.lit(SECTION)) == 0), i + 1
+            (i == size - 1) | F.right(p, F.lit(1)).isin(*SECTION_ENDS), i + 1
         ),
     )
     return let(

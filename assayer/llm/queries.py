@@ -62,7 +62,9 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_workspace(spark, "warc")
     archives = warc.write_archives(_table(spark, sf_dir, "pages"), folder)
-    return warc.read_archives(spark, folder, archives).drop("payload")
+    return warc.read_archives(spark, folder, archives).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,8 +9,10 @@ from collections import Counter, defaultdict
 
 import plain
 import pytest
+from compare import differences
 from plain import SMALL
 
+from assayer.llm.oracle import ORACLE
 from assayer.llm.queries import QUERIES
 
 
@@ -38,6 +40,11 @@ def test_empty_tables_give_no_rows(spark, tables, name):
     assert QUERIES[name](spark, tables["empty"]).collect() == []
 
 
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_equals_its_sql(spark, name):
+    assert differences(spark, QUERIES[name], ORACLE[name], SMALL) == []
+
+
 def test_byte_bpe(spark, given):
     folder, rows = given
     texts = [plain.text_of(r) for r in rows]
