@@ -1,6 +1,9 @@
 """The whole job: raw events to Bronze, Silver and Gold, as tables under a name.
 
     spark-submit build_layers.py --events <folder> --root <folder>
+
+With ``--stream`` the events that have come to a folder of JSON files since the
+last run are taken to Silver and Gold as a stream; run it as often as needed.
 """
 
 from __future__ import annotations
@@ -22,16 +25,19 @@ from assayer.operators.gold import (
     sorted_for_sink,
     stamp,
 )
-from assayer.operators.silver import to_strict_silver
+from assayer.operators.silver import to_silver, to_strict_silver
 from assayer.session import build_session
 from assayer.sources.events import (
     ORIGIN,
     read_json_events,
     read_parquet_events,
+    stream_json_events,
     with_origins,
 )
 from assayer.sources.layers import APPEND, REPLACE, ensure_namespaces, save_table
 from assayer.sources.snapshots import LOAD
+from assayer.streaming.gold import RevenueStream
+from assayer.streaming.silver import start_silver
 
 TABLES = {"bronze": "events", "silver": "events", "gold": "revenue_per_hour"}
 
@@ -93,6 +99,29 @@ class Layers:
         return drop_accounting(self.read("bronze"))
 
 
+def run_stream(
+    spark: SparkSession, events: str, root: str, files_per_batch: int = 1000
+) -> RevenueStream:
+    """Take the new JSON files of a folder to Silver and Gold, then stop.
+
+    Both streams keep their place under ``root``. ``files_per_batch`` bounds a
+    micro-batch however many files have come.
+    """
+    folder = f"{root.rstrip('/')}/stream"
+    revenue = RevenueStream(f"{folder}/revenue")
+
+    def source() -> DataFrame:
+        return stream_json_events(spark, events, files_per_batch=files_per_batch)
+
+    running = [
+        start_silver(source(), f"{folder}/silver", f"{folder}/checkpoint/silver"),
+        revenue.start(to_silver(source()), f"{folder}/checkpoint/gold"),
+    ]
+    for query in running:
+        query.awaitTermination()
+    return revenue
+
+
 def main(arguments: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--events", required=True, help="folder of raw events")
@@ -100,9 +129,13 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--root", required=True, help="folder of the tables")
     parser.add_argument("--load", type=int, default=0, help="number of the load")
     parser.add_argument("--append", action="store_true", help="add to the tables")
+    parser.add_argument("--stream", action="store_true", help="take what is new")
     options = parser.parse_args(arguments)
 
     spark = build_session("build-layers")
+    if options.stream:
+        run_stream(spark, options.events, options.root).read_gold(spark).show()
+        return
     read = {"json": read_json_events, "parquet": read_parquet_events}[options.format]
     layers = Layers(spark, options.root)
     mode = APPEND if options.append else REPLACE

@@ -6,12 +6,13 @@ from conftest import plan_of
 from pyspark.sql import functions as F
 
 from assayer.constants import LAYERS, SILVER_SCHEMA
-from assayer.operators.gold import clean_revenue
+from assayer.operators.gold import clean_revenue, revenue_per_hour
 from assayer.plans import fixture
 from assayer.plans.layers import Layers, main
 from assayer.session import new_workspace
 from assayer.sources.events import CORRUPT, ORIGIN, read_json_events, with_origins
 from assayer.sources.snapshots import LOAD
+from assayer.streaming.gold import RevenueStream
 
 SF = "/root/testdata/sf0.001"
 
@@ -80,6 +81,22 @@ def test_codecs_of_the_layers(spark, layers):
     assert found == {"bronze": "SNAPPY", "silver": "ZSTD", "gold": "ZSTD"}
 
 
+def test_streaming_job_takes_what_is_new(spark, capsys):
+    root = new_workspace(spark, "test-stream-main")
+    landing = f"{root}/in"
+    events = fixture.bronze_events(spark, SF)
+    early = F.col("event_ts") < "2024-01-15"
+    for part in (events.where(early), events.where(~early)):
+        part.write.mode("append").json(landing)
+        main(["--events", landing, "--root", root, "--stream"])
+    assert "hour_bucket" in capsys.readouterr().out
+    gold = RevenueStream(f"{root}/stream/revenue").read_gold(spark)
+    wanted = revenue_per_hour(fixture.silver_events(spark, SF))
+    assert gold.exceptAll(wanted).isEmpty() and gold.count() == wanted.count() > 0
+    silver = spark.read.parquet(f"{root}/stream/silver")
+    assert silver.count() == fixture.silver_events(spark, SF).count()
+
+
 def test_command_line(spark, capsys):
     root = new_workspace(spark, "test-main")
     landing = fixture.json_landing(spark, SF)

@@ -42,3 +42,19 @@ def test_events_are_conserved(spark):
     gold = run["gold_revenue_per_hour"].collect()
     assert sum(row.transaction_count for row in gold) == sold
     assert run["lineage_gold_to_silver"].count() == sold
+
+
+@pytest.mark.parametrize(
+    "name, scans",
+    [
+        ("layer_summary", 1),
+        ("silver_drop_accounting", 1),
+        ("gold_revenue_per_hour", 1),
+        ("lineage_gold_to_silver", 2),
+        ("lineage_silver_to_bronze", 2),
+        ("lineage_gold_to_bronze", 3),
+    ],
+)
+def test_each_input_is_read_once(spark, name, scans):
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == scans
