@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import sys
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -34,6 +37,14 @@ def crc_mod(column: str | Column, divisor: int) -> Column:
     return F.crc32(value.cast("string").cast("binary")) % divisor
 
 
+def give_back() -> None:
+    """Hand free memory back to the system: Python workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        with contextlib.suppress(OSError, AttributeError):  # not glibc
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def pieces(
     batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = PIECE_BYTES
 ) -> Iterator[pa.RecordBatch]:
@@ -49,6 +60,7 @@ def pieces(
             last = max(first + 1, int(np.searchsorted(ends, before + limit, "right")))
             yield batch.slice(first, last - first)
             first = last
+    give_back()
 
 
 def per_piece(
@@ -117,7 +129,9 @@ def written(
 
 
 def as_uri(folder: str) -> str:
-    return folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
+    if "://" in folder or folder.startswith("file:"):
+        return folder.replace("s3a://", "s3://", 1)
+    return f"file://{folder}"
 
 
 def file_system(folder: str) -> tuple[pafs.FileSystem, str]:

@@ -19,18 +19,18 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assayer.llm.common import PIECE_BYTES, pieces, texts
+from assayer.llm.common import pieces, texts
 
 BUCKETS = 1 << 16
 LONGEST = 3
 UNKNOWN = "und"
-#: Bytes of text scored at a time: a score per n-gram and language is held.
-SCORE_BYTES = PIECE_BYTES // 8
+#: Bytes of text worked on at a time; its n-grams take some 150 times as much.
+SCORE_BYTES = 1 << 19
 
 _LETTERS: list[np.ndarray] = []
 
@@ -51,7 +51,7 @@ def grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     points = np.frombuffer(data, np.uint32)
     letter = _letters()[points]
     points = np.where(letter, points, np.uint32(32)).astype(np.uint64)
-    row = np.repeat(np.arange(len(low)), sizes)
+    row = np.repeat(np.arange(len(low), dtype=np.int32), sizes)
     left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(points))
     lettered = np.zeros(len(low), bool)
     lettered[row[letter]] = True
@@ -62,14 +62,17 @@ def grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         keep = len(points) - n + 1
         if keep <= 0:
             break
-        code = code[:keep] * np.uint64(0x100000001B3) + points[n - 1 :] + np.uint64(n)
+        code = code[:keep] * np.uint64(0x100000001B3)
+        code += points[n - 1 :]
+        code += np.uint64(n)
         any_letter = any_letter[:keep] | letter[n - 1 :]
         use = np.flatnonzero(any_letter & (left[:keep] >= n))
-        mixed = code[use] * np.uint64(0x9E3779B97F4A7C15)
-        buckets.append((mixed >> np.uint64(48)).astype(np.int64))
+        mixed = code[use]
+        mixed *= np.uint64(0x9E3779B97F4A7C15)
+        buckets.append((mixed >> np.uint64(48)).astype(np.int32))
         rows.append(row[use])
     if not buckets:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), lettered
+        return np.zeros(0, np.int32), np.zeros(0, np.int32), lettered
     return np.concatenate(buckets), np.concatenate(rows), lettered
 
 
@@ -105,14 +108,14 @@ def train(docs: DataFrame, smoothing: float = 0.1) -> Model:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names: dict[str, int] = {}
         totals = np.zeros((0, BUCKETS + 1), np.int64)  # the last column: documents
-        for batch in pieces(batches, limit=2 * SCORE_BYTES):
+        for batch in pieces(batches, limit=SCORE_BYTES):
             buckets, rows, lettered = grams(batch["text"])
             number = [names.setdefault(x, len(names)) for x in batch["lang"].to_pylist()]
             number = np.array(number, np.int64)
             if len(names) > len(totals):
                 more = np.zeros((len(names) - len(totals), BUCKETS + 1), np.int64)
                 totals = np.concatenate([totals, more])
-            cell = number[rows] * (BUCKETS + 1) + buckets
+            cell = number[rows] * (BUCKETS + 1) + buckets  # int64
             totals += np.bincount(cell, minlength=totals.size).reshape(totals.shape)
             totals[:, BUCKETS] += np.bincount(number[lettered], minlength=len(totals))
         for name, k in names.items():
@@ -161,23 +164,24 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 def predict_rows(docs: DataFrame, model: Model) -> DataFrame:
     """Each row of ``docs`` as a struct, ``document``, and its ``language``.
 
-    ``language`` has ``lang_pred`` and ``score``. A Pandas UDF on the text keeps
-    the row's other columns with it, so that nothing has to be joined back by
-    ids that may repeat.
+    ``language`` has ``lang_pred`` and ``score``. The rows go through the tasks
+    whole, so that nothing has to be joined back by ids that may repeat.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    whole = docs.select(F.struct(*docs.columns).alias("document"))
+    kind = dict(whole.dtypes)["document"]
 
-    @F.pandas_udf("lang_pred string, score double")
-    def language(column: pd.Series) -> pd.DataFrame:
-        arrow = pa.record_batch({"text": pa.array(column, pa.string())})
-        named, sure = [], []
-        for piece in pieces(iter([arrow]), limit=SCORE_BYTES):
-            one, two = shared.value.predict(piece["text"])
-            named += one
-            sure += two.tolist()
-        return pd.DataFrame({"lang_pred": named, "score": sure})
-
-    text = F.coalesce("text", F.lit(""))
-    return docs.select(
-        F.struct(*docs.columns).alias("document"), language(text).alias("language")
-    )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch["document"]
+            text = pc.fill_null(rows.field("text"), "")
+            both = pa.record_batch({"document": rows, "text": text})
+            for piece in pieces(iter([both]), limit=SCORE_BYTES):
+                named, sure = shared.value.predict(piece["text"])
+                found = pa.StructArray.from_arrays(
+                    [pa.array(named, pa.string()), pa.array(sure)], ["lang_pred", "score"]
+                )
+                yield pa.record_batch({"document": piece["document"], "language": found})
+
+    schema = f"document {kind}, language struct<lang_pred: string, score: double>"
+    return whole.mapInArrow(run, schema)

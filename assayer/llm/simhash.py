@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayer.llm.common import per_piece, split_words, texts, written
+from assayer.llm.common import pieces, split_words, written
 from assayer.llm.components import components
 
 BITS = 64
@@ -100,27 +100,40 @@ def _majority(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return result
 
 
+#: Bytes of text whose shingles are hashed at a time.
+HASH_BYTES = 2 << 20
+
+
 def fingerprint_documents(
     docs: DataFrame, width: int = 4, carry: list[str] | None = None
 ) -> DataFrame:
     """``doc_id`` and ``fingerprint`` (64 bits as a signed long).
 
-    The columns named in ``carry`` come along in a struct, ``carried``.
+    The columns named in ``carry``, and the text with them, come along in a
+    struct, ``carried``.
     """
-    others = [F.struct(*carry).alias("carried")] if carry else []
-    chosen = texts(docs, *others)
     schema = "doc_id long, fingerprint long"
     if carry:
-        schema += f", carried {chosen.schema['carried'].dataType.simpleString()}"
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = fingerprints(batch["text"], width).view(np.int64)
-        columns = {"doc_id": batch["doc_id"], "fingerprint": pa.array(found)}
-        if carry:
-            columns["carried"] = batch["carried"]
-        return pa.record_batch(columns)
-
-    return chosen.mapInArrow(per_piece(run, limit=4 << 20), schema)
+        # The text goes to the task and back once, within the struct.
+        names = list(dict.fromkeys([*carry, "text"]))
+        chosen = docs.select("doc_id", F.struct(*names).alias("carried"))
+        schema += f", carried {dict(chosen.dtypes)['carried']}"
+    else:
+        chosen = docs.select("doc_id", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            whole = batch["carried"].field("text") if carry else batch["text"]
+            columns = dict(zip(batch.schema.names, batch.columns))
+            columns["text"] = pc.fill_null(whole, "")
+            for piece in pieces(iter([pa.record_batch(columns)]), limit=HASH_BYTES):
+                found = fingerprints(piece["text"], width).view(np.int64)
+                made = {"doc_id": piece["doc_id"], "fingerprint": pa.array(found)}
+                if carry:
+                    made["carried"] = piece["carried"]
+                yield pa.record_batch(made)
+
+    return chosen.mapInArrow(run, schema)
 
 
 # -- links -------------------------------------------------------------------------

@@ -53,6 +53,7 @@ from assayer.llm.common import (
     binary_rows,
     file_system,
     gather_ranges,
+    give_back,
     pieces,
     save_file,
     written,
@@ -117,7 +118,10 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Anchors:
-    """Anchors and the windows they are the anchor of: ``first`` to ``last``."""
+    """Anchors and the windows they are the anchor of: ``first`` to ``last``.
+
+    ``hashes`` tell the anchors' strings apart.
+    """
 
     at: np.ndarray
     first: np.ndarray
@@ -167,7 +171,8 @@ def anchors(data: np.ndarray, lengths: np.ndarray) -> Anchors:
     new[1:] = (at[1:] != at[:-1]) | (first[1:] != last[:-1] + 1)
     start = np.flatnonzero(new)
     stop = np.concatenate([start[1:], [len(at)]]) - 1
-    return Anchors(at[start], first[start], last[stop], hashes[start])
+    # The least of many hashes are small numbers; a product spreads them over buckets.
+    return Anchors(at[start], first[start], last[stop], hashes[start] * _MIX[1])
 
 
 # -- units ---------------------------------------------------------------------------
@@ -352,6 +357,7 @@ def _each_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBa
                     batch["data"][k].as_py(),
                 ),
             )
+    give_back()
 
 
 def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -605,11 +611,14 @@ def repeated_spans(
     carry: list[str] | None = None,
     block_bytes: int = BLOCK_BYTES,
     hot: int = HOT,
+    as_text: bool = False,
 ) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``begins``, ``ends`` (the spans to be removed, in
     bytes) and ``kept`` (the bytes that remain).
 
-    The columns named in ``carry`` come along in a struct, ``carried``.
+    With ``as_text``, ``kept`` is a string: a character that loses one of its
+    bytes goes as a whole. The columns named in ``carry`` come along in a struct,
+    ``carried``.
     """
     spark = docs.sparkSession
     carry = carry or []
@@ -661,12 +670,16 @@ def repeated_spans(
             stop = np.concatenate([found.last[known_.repeats], single, merged]) + LENGTH
             columns = _cut(block, first, stop)
             columns["doc_id"] = row["docs"][0].values
+            if as_text:
+                kept = (data.decode("utf-8", "ignore") for data in columns["kept"].to_pylist())
+                columns["kept"] = pa.array(kept, pa.string())
             if carry:
                 columns["carried"] = row["carried"][0].values
             yield pa.record_batch({name: columns[name] for name in names})
 
     names = ["doc_id", "n_bytes", "begins", "ends", "kept"]
-    schema = "doc_id long, n_bytes long, begins array<long>, ends array<long>, kept binary"
+    schema = "doc_id long, n_bytes long, begins array<long>, ends array<long>, kept "
+    schema += "string" if as_text else "binary"
     if carry:
         names.append("carried")
         schema += f", carried {dict(blocks.dtypes)['carried'][6:-1]}"

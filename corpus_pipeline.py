@@ -20,10 +20,8 @@ and ties. Where no language can be learned, stage 2 keeps all documents.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from assayer.llm import langid, packing, quality, simhash, suffix
 from assayer.llm.common import crc_mod, written
@@ -62,17 +60,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     )
 
 
-@F.pandas_udf(StringType())
-def _whole_characters(data: pd.Series) -> pd.Series:
-    return data.map(lambda x: bytes(x).decode("utf-8", "ignore"))
-
-
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     others = [c for c in docs.columns if c != "text"]
-    found = suffix.repeated_spans(docs, carry=others)
+    found = suffix.repeated_spans(docs, carry=others, as_text=True)
     left = found.where((F.octet_length("kept") > 0) | (F.col("n_bytes") == 0))
-    left = left.withColumn("clean", _whole_characters("kept"))
-    return left.select(_with_text(docs.columns, "carried", F.col("clean")))
+    return left.select(_with_text(docs.columns, "carried", F.col("kept")))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
