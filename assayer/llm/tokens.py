@@ -86,11 +86,9 @@ class WordEncoder:
                 found[i] = ids
             if used is not None:
                 often = np.bincount(np.asarray(coded.indices), used) > 1
-                for i in missing:
-                    if len(self._cache) >= CACHE_WORDS:
-                        break
-                    if often[i]:
-                        self._cache[words[i]] = found[i]
+                some = np.array(missing)[often[missing]][: CACHE_WORDS - len(self._cache)]
+                for i in some.tolist():
+                    self._cache[words[i]] = found[i]
         flat = np.frombuffer(b"".join(found), np.uint32)
         counts = np.fromiter(map(len, found), np.int64, len(found)) // 4
         return flat, counts, np.cumsum(counts) - counts
