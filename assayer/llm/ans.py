@@ -42,7 +42,7 @@ from assayer.llm.common import (
     texts,
     written,
 )
-from assayer.llm.tokens import word_encoder
+from assayer.llm.tokens import TEXT_BYTES, word_encoder
 
 MAGIC = b"TOKRANS1"
 LANES = 64
@@ -258,7 +258,7 @@ def write_ids(
             nonlocal counts
             codec = pa.BufferOutputStream()
             with pa.CompressedOutputStream(codec, "zstd") as out:
-                for batch in pieces(batches):
+                for batch in pieces(batches, limit=TEXT_BYTES):
                     ids, sizes = word_encoder(tokenizer).encode(batch["text"])
                     ids = np.insert(ids, np.cumsum(sizes), np.uint32(end_id))
                     lengths.append(sizes + 1)

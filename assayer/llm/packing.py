@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assayer.llm.common import binary_rows, gather_ranges, per_piece, texts, written
-from assayer.llm.tokens import word_encoder
+from assayer.llm.tokens import TEXT_BYTES, word_encoder
 
 #: Open sequences per task.
 OPEN_BINS = 1024
@@ -63,7 +63,7 @@ def token_pieces(
             }
         )
 
-    return texts(docs).mapInArrow(per_piece(cut), PIECE_SCHEMA)
+    return texts(docs).mapInArrow(per_piece(cut, limit=TEXT_BYTES), PIECE_SCHEMA)
 
 
 class OpenBins:

@@ -27,6 +27,8 @@ from assayer.llm.common import gather_ranges, split_words
 
 #: Entries of the cache; 300,000 words take about 60 MB.
 CACHE_WORDS = 300_000
+#: Bytes of text encoded at a time: the more, the fewer words are encoded again.
+TEXT_BYTES = 16 << 20
 #: Distinct words that are encoded as one text.
 WORDS_AT_ONCE = 512
 #: Separates them. It is a word of its own to the tokenizer.
