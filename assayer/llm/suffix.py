@@ -55,6 +55,7 @@ from assayer.llm.common import (
     gather_ranges,
     give_back,
     pieces,
+    reach_workers,
     save_file,
     written,
 )
@@ -588,6 +589,7 @@ def _blocks(docs: DataFrame, carry: list[str], block_bytes: int) -> DataFrame:
                 columns["carried"] = _one_list(batch["carried"])
             yield pa.record_batch(columns)
 
+    reach_workers(docs.sparkSession)
     text = F.coalesce("text", F.lit("")).alias("text")
     others = [F.struct(*carry).alias("carried")] if carry else []
     chosen = docs.select("doc_id", text, *others)

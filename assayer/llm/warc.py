@@ -28,7 +28,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayer.llm.common import file_system, one_task_each, save_file, written
+from assayer.llm.common import (
+    file_system,
+    one_task_each,
+    reach_workers,
+    save_file,
+    written,
+)
 
 CHUNK = 1 << 18
 #: The version line and the profile of the WARC 1.1 standard.
@@ -146,6 +152,7 @@ def with_references(pages: DataFrame, least: int = 0) -> DataFrame:
     that a payload of many pages is no hot group. Joining them back ships each
     payload once; the other side has one short row per payload.
     """
+    reach_workers(pages.sparkSession)
     html = F.coalesce("html", F.lit(""))
     keyed = pages.select("page_id", "url", html.alias("html")).withColumn(
         "digest", F.sha1(F.col("html").cast("binary"))
