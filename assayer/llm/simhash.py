@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayer.llm.common import pieces, split_words, written
+from assayer.llm.common import pieces, reach_workers, split_words, written
 from assayer.llm.components import components
 
 BITS = 64
@@ -112,6 +112,7 @@ def fingerprint_documents(
     The columns named in ``carry``, and the text with them, come along in a
     struct, ``carried``.
     """
+    reach_workers(docs.sparkSession)
     schema = "doc_id long, fingerprint long"
     if carry:
         # The text goes to the task and back once, within the struct.
@@ -326,11 +327,15 @@ def link_documents(
     )
     links = fingerprint_links(nodes.select("fingerprint"), distance, segments)
     group = components(links).withColumnRenamed("node", "fingerprint")
-    joined = nodes.join(group, "fingerprint", "left").select(
+    grouped = nodes.join(group, "fingerprint", "left").select(
         "fingerprint", "least", F.coalesce("component", "fingerprint").alias("component")
     )
-    least = joined.groupBy("component").agg(F.min("least").alias("first"))
-    found = joined.join(least, "component").select("fingerprint", "first")
+    # Both sides of the next join are written, so that it stands between two shuffles
+    # of its own and AQE can split a component of very many fingerprints.
+    grouped = written(spark, grouped, "grouped")
+    firsts = grouped.groupBy("component").agg(F.min("least").alias("first"))
+    firsts = written(spark, firsts, "firsts")
+    found = grouped.join(firsts, "component").select("fingerprint", "first")
     return marked.join(found, "fingerprint").select(
         "doc_id",
         "fingerprint",
