@@ -17,14 +17,22 @@ How it is computed:
    places in that list.
 2. One shuffle by word adds up the counts; a second one brings them back to the
    blocks, where they are written to one file per block.
-3. The weights are trained in rounds. Every task runs gradient steps (AdaGrad,
-   sparse numpy batches) over its share of the round's texts, and the tasks'
-   changes are averaged by feature, weighted by how often each task met it.
-   Each text to learn from is used in one round.
-4. All texts are scored block by block.
-
-What is sent around is a table of weights of fixed size and a few numbers per
-class; the counts stay distributed.
+3. The same is done for histories: every block sends how often it saw each class
+   after each of its histories, dealt by the history's hash; the sums over all
+   blocks come back to the blocks that have the history. They grow with the
+   corpus. A class seen ``n`` times after a history has there the value
+   ``log(1 + n / (PRIOR * P(class)))`` (other classes 0), times a factor that
+   depends on the kind of history and on how often it was seen. This is a
+   feature of its own for each history and class that occur together.
+4. The factors, and one small table of weights that histories share by a hash, are
+   trained in rounds. Every task runs gradient steps (AdaGrad, sparse numpy
+   batches) over its share of the round's texts, without what a token itself adds
+   to the sums, and the tasks' changes are averaged by feature, weighted by how
+   often each task met it. Each text to learn from is used in one round.
+5. All texts are scored block by block.
+
+What is sent to all tasks are the shared weights, the factors and a few numbers per
+class; the counts of words and histories stay distributed.
 
 Defined results: a null text is an empty text with the end as its only token; a
 row without ``doc_id`` is learned from and scored; an empty table gives no
@@ -33,19 +41,23 @@ rows; without any text to learn from, all tokens are unknown and score 0.
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from assayer.llm.common import (
     crc_mod,
     file_system,
+    gather_ranges,
+    give_back,
     pieces,
     save_file,
     split_words,
@@ -62,18 +74,34 @@ CLASSES = 1 + SINGLES + TIERS * SHAPES
 COUNT_STEPS = 4
 COUNT_BINS = 64 * COUNT_STEPS
 
-#: Rows of the table of weights; row 0 is the bias.
+#: Rows of the table of weights that histories share; row 0 is the bias.
 FEATURES = 1 << 14
 FEATURES_PER_TOKEN = 4
 #: Rows of weights that are summed up together.
 CHUNK = 512
 
+#: Bits of a history's hash; in the key of a cell its class stands behind it.
+HISTORY_BITS = 42
+CLASS_BITS = 6
+#: Histories are gathered in so many passes, by their hash: what is shuffled in one
+#: goes before the next.
+PASS_BITS = 2
+PASSES = 1 << PASS_BITS
+#: In place of a class: the block has the history, but not to learn from.
+ASKED = (1 << CLASS_BITS) - 1
+#: Weight of the classes' own shares against what was seen after a history.
+PRIOR = 4.0
+#: How often a history was seen, by powers of two, tells its factor.
+SEEN_BINS = 32
+FIRST_FACTOR = 0.25
+FACTOR_RATE = 0.05
+
 ROUNDS = 2
 BATCH = 32768
 RATE = 0.3
 
 #: Bytes of text in a block.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
 #: Stands for the end of a text; no word is empty.
 END = ""
 
@@ -209,7 +237,8 @@ def _counted(blocks: DataFrame, folder: str) -> DataFrame:
         )
 
     rows = known.groupBy("block").applyInArrow(keep, COUNTED_SCHEMA)
-    return written(blocks.sparkSession, rows, "counted")
+    with _passing_shuffles(blocks.sparkSession):
+        return written(blocks.sparkSession, rows, "counted")
 
 
 # -- the model -----------------------------------------------------------------------
@@ -217,7 +246,8 @@ def _counted(blocks: DataFrame, folder: str) -> DataFrame:
 
 @dataclass
 class Model:
-    """Counts, classes and weights; of fixed size whatever the corpus."""
+    """Classes, shared weights and factors; counts of words and histories, which grow
+    with the corpus, stay with the blocks (``Entries``, ``Seen``)."""
 
     tokens: int  # all tokens learned from
     kinds: int  # distinct ones
@@ -227,6 +257,12 @@ class Model:
     class_mass: np.ndarray
     class_types: np.ndarray
     weights: np.ndarray
+    factors: np.ndarray  # by kind of history and bin of how often it was seen
+
+    def share(self) -> np.ndarray:
+        """P(class) without a history."""
+        whole = (self.class_mass + self.class_types).astype(np.float64)
+        return np.maximum(whole / max(1.0, whole.sum()), 1e-9)
 
     def classes(self, entries: Entries) -> np.ndarray:
         """The class of each word of a block; the last one is the end."""
@@ -281,12 +317,12 @@ def _model(blocks: DataFrame, counted: DataFrame) -> Model:
     weights[0] = np.log((class_mass + class_types) / max(1, (class_mass + class_types).sum()) + 1e-9)
     singles = [(row["top_counts"], row["top_hashes"]) for row in tops]
     kinds = total.first()["k"]
-    return Model(tokens, kinds, ends, singles, tier, class_mass, class_types, weights)
+    factors = np.full((FEATURES_PER_TOKEN, SEEN_BINS), FIRST_FACTOR, np.float32)
+    return Model(tokens, kinds, ends, singles, tier, class_mass, class_types, weights, factors)
 
 
-def features(hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The rows of weights of each token's history, without the bias: one line of
-    the result per kind of feature."""
+def histories(hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """64-bit hashes of each token's histories: one line per kind of feature."""
     at = np.arange(len(hashes)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     before = []
     for back in (1, 2, 3):
@@ -302,29 +338,317 @@ def features(hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         two * four + np.uint64(2),
         three * four + np.uint64(3),
     )
-    found = np.empty((FEATURES_PER_TOKEN, len(hashes)), np.uint16)
+    found = np.empty((FEATURES_PER_TOKEN, len(hashes)), np.uint64)
     for k, code in enumerate(codes):
-        mixed = code * mix
-        mixed ^= code >> np.uint64(29)
-        mixed *= mix
-        found[k] = mixed >> np.uint64(64 - 14)
-    return np.maximum(found, 1)
+        np.multiply(code, mix, out=found[k])
+        found[k] ^= code >> np.uint64(29)
+        found[k] *= mix
+    return found
+
+
+def shared_rows(codes: np.ndarray) -> np.ndarray:
+    """The rows of shared weights of hashes of ``HISTORY_BITS``, without the bias."""
+    return np.maximum((codes >> np.uint64(HISTORY_BITS - 14)).astype(np.uint16), 1)
+
+
+# -- what was seen after each history -------------------------------------------------
+
+
+def pack(values: np.ndarray) -> bytes:
+    """Whole numbers as compressed planes of bytes."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T)
+    packed = pa.compress(planes.tobytes(), codec="zstd", asbytes=True) if len(values) else b""
+    return len(values).to_bytes(8, "little") + packed
+
+
+def unpack(data: bytes, kind: str) -> np.ndarray:
+    n, size = int.from_bytes(data[:8], "little"), np.dtype(kind).itemsize
+    if not n:
+        return np.zeros(0, kind)
+    planes = pa.decompress(data[8:], n * size, codec="zstd", asbytes=True)
+    planes = np.frombuffer(planes, np.uint8).reshape(size, n)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def _firsts(ordered: np.ndarray) -> np.ndarray:
+    """Which items of a sorted array differ from the one before."""
+    first = np.ones(len(ordered), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=first[1:])
+    return first
+
+
+def _codes(entries: Entries, tokens: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The hashes of the tokens' histories, ``HISTORY_BITS`` each."""
+    codes = histories(entries.hashes[tokens], lengths)
+    codes >>= np.uint64(64 - HISTORY_BITS)
+    return codes
+
+
+def _codes_of_block(entries: Entries, tokens: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    found = np.empty((FEATURES_PER_TOKEN, len(tokens)), np.uint64)
+    at = 0
+    for part, sizes in _parts(tokens, lengths):
+        found[:, at : at + len(part)] = _codes(entries, part, sizes)
+        at += len(part)
+    return found
+
+
+CELL_SCHEMA = "block long, bucket int, keys binary, counts binary"
+ANSWERS = {"sizes": "u1", "classes": "u1", "counts": "<u4"}
+ANSWER_SCHEMA = "block long, bucket int, sizes binary, classes binary, counts binary"
+
+
+@contextlib.contextmanager
+def _passing_shuffles(spark: SparkSession) -> Iterator[None]:
+    """The files of a query's shuffles go as soon as it is done."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _gather_histories(blocks: DataFrame, folder: str, model: Model) -> None:
+    """Write for each block what all texts to learn from have after its histories."""
+    for number in range(PASSES):
+        _gather_pass(blocks, folder, model, number)
+
+
+def _gather_pass(blocks: DataFrame, folder: str, model: Model, number: int) -> None:
+    spark = blocks.sparkSession
+    shared = spark.sparkContext.broadcast(model)
+    # A bucket has about half as many cells as a block, and a pass its share of them.
+    bits = max(PASSES, 2 * blocks.count() - 1).bit_length()
+    shift = HISTORY_BITS + CLASS_BITS - bits
+    width = 1 << bits - PASS_BITS
+    mine = range(number * width, (number + 1) * width)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for row, tokens, lengths, entries in _block_rows(batches, folder):
+            learn = np.repeat(np.asarray(row["learn"].values), lengths)
+            low = np.where(learn, own.classes(entries)[tokens], ASKED).astype(np.uint64)
+            keys = _codes_of_block(entries, tokens, lengths)
+            of_pass = keys >> np.uint64(HISTORY_BITS - PASS_BITS) == number
+            keys <<= np.uint64(CLASS_BITS)
+            keys |= low
+            keys = keys[of_pass]
+            keys.sort()
+            at = np.flatnonzero(_firsts(keys))
+            counts = np.diff(at, append=len(keys)).astype("<u4")
+            keys = keys[at]
+            limits = np.array(mine, np.uint64) << np.uint64(shift)
+            cuts = np.append(np.searchsorted(keys, limits), len(keys)).tolist()
+            places = {b: slice(*cuts[k : k + 2]) for k, b in enumerate(mine)}
+            used = [b for b, place in places.items() if place.start < place.stop]
+            steps = [np.diff(keys[places[b]], prepend=np.uint64(0)) for b in used]
+            yield pa.record_batch(
+                {
+                    "block": pa.array([row["block"].as_py()] * len(used), pa.int64()),
+                    "bucket": pa.array(used, pa.int32()),
+                    "keys": pa.array(map(pack, steps), pa.binary()),
+                    "counts": pa.array([pack(counts[places[b]]) for b in used], pa.binary()),
+                }
+            )
+
+    def add_up(rows: pa.Table) -> pa.Table:
+        keys = [np.cumsum(unpack(x, "<u8"), dtype=np.uint64) for x in rows["keys"].to_pylist()]
+        counts = np.concatenate([unpack(x, "<u4") for x in rows["counts"].to_pylist()])
+        together = np.concatenate(keys)
+        order = np.argsort(together)
+        together = together[order]
+        at = np.flatnonzero(_firsts(together))
+        sums = np.add.reduceat(counts[order].astype(np.int64), at)
+        cells = together[at]
+        del together, order, counts
+        real = (cells & np.uint64(ASKED)) != ASKED
+        cells, sums = cells[real], np.minimum(sums[real], 2**32 - 1).astype("<u4")
+        classes = (cells & np.uint64(ASKED)).astype(np.uint8)
+        cells >>= np.uint64(CLASS_BITS)
+        starts = np.flatnonzero(_firsts(cells)) if len(cells) else np.zeros(0, np.int64)
+        known = cells[starts]
+        sizes = np.diff(starts, append=len(cells))
+        answers: list[list[bytes]] = [[], [], []]
+        for own in keys:
+            own = own >> np.uint64(CLASS_BITS)
+            own = own[_firsts(own)]
+            place = np.searchsorted(known, own)
+            found = place < len(known)
+            found[found] = known[place[found]] == own[found]
+            size = np.zeros(len(own), np.uint8)
+            place = place[found]
+            size[found] = sizes[place]
+            take = gather_ranges(starts[place], sizes[place])
+            for out, values in zip(answers, (size, classes[take], sums[take])):
+                out.append(pack(values))
+        packed = {n: pa.array(a, pa.binary()) for n, a in zip(ANSWERS, answers)}
+        return pa.table({"block": rows["block"], "bucket": rows["bucket"], **packed})
+
+    def keep(rows: pa.Table) -> pa.Table:
+        block = rows["block"][0].as_py()
+        rows = rows.select(["bucket", *ANSWERS]).sort_by("bucket")
+        kept = pa.BufferOutputStream()
+        with pa.ipc.new_stream(kept, rows.schema) as out:
+            out.write_table(rows)
+        save_file(folder, _seen_name(block, number), iter([kept.getvalue()]))
+        return pa.table({"block": pa.array([block], pa.int64())})
+
+    columns = blocks.select("block", "learn", "lengths", "tokens")
+    sent = columns.mapInArrow(send, CELL_SCHEMA)
+    answered = sent.groupBy("bucket").applyInArrow(add_up, ANSWER_SCHEMA)
+    with _passing_shuffles(spark):
+        answered.groupBy("block").applyInArrow(keep, "block long").count()
+    shared.unpersist()
+
+
+def _seen_name(block: int, number: int) -> str:
+    return f"seen-{block:016x}-{number}"
+
+
+def _answers(folder: str, name: str) -> dict[str, np.ndarray]:
+    """A file of answers; nothing if a pass had no history of the block."""
+    system, path = file_system(folder)
+    file = f"{path}/{name}"
+    rows = None
+    if system.get_file_info(file).type != pafs.FileType.NotFound:
+        with system.open_input_stream(file, compression=None) as f:
+            rows = pa.ipc.open_stream(f.read()).read_all()
+    found = {}
+    for name, kind in ANSWERS.items():
+        parts = [unpack(x, kind) for x in rows[name].to_pylist()] if rows else []
+        found[name] = np.concatenate([np.zeros(0, kind), *parts])
+    return found
+
+
+@dataclass(frozen=True)
+class Seen:
+    """What was learned after each history of a block: classes and their values."""
+
+    histories: np.ndarray  # sorted
+    starts: np.ndarray  # of their classes
+    sizes: np.ndarray
+    bins: np.ndarray  # of how often each history was seen
+    lone: np.ndarray  # whether it was seen just as often as a power of two
+    classes: np.ndarray
+    values: np.ndarray
+    prior: np.ndarray
+
+    @staticmethod
+    def read(
+        folder: str,
+        block: int,
+        entries: Entries,
+        tokens: np.ndarray,
+        lengths: np.ndarray,
+        prior: np.ndarray,
+    ) -> Seen:
+        """Of all histories of the block's ``tokens``, those not to learn from too."""
+        codes = _codes_of_block(entries, tokens, lengths).ravel()
+        codes.sort()
+        codes = codes[_firsts(codes)]
+        each: list[list[np.ndarray]] = []
+        scale = (1 / prior).astype(np.float32)
+        for number in range(PASSES):
+            answers = _answers(folder, _seen_name(block, number))
+            sizes, classes, counts = (answers[n] for n in ANSWERS)
+            ends = np.cumsum(sizes, dtype=np.int64)
+            before = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
+            times = before[ends] - before[ends - sizes]
+            fraction, bins = np.frexp(times.astype(np.float64))
+            bins = np.minimum(bins, SEEN_BINS - 1).astype(np.uint8)
+            values = counts.astype(np.float32)
+            values *= scale[classes]
+            np.log1p(values, out=values)
+            each.append([sizes, bins, fraction == 0.5, classes, values])
+        sizes, bins, lone, classes, values = map(np.concatenate, zip(*each))
+        starts = np.cumsum(sizes, dtype=np.int64) - sizes
+        return Seen(codes, starts, sizes, bins, lone, classes, values, prior)
+
+    def after(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of some tokens' histories: the values by history and class, the places of
+        the histories in this block, and of each token's histories in these."""
+        flat = codes.ravel()
+        order = np.argsort(flat)
+        ordered = flat[order]
+        first = _firsts(ordered)
+        place = np.empty(len(flat), np.int64)
+        place[order] = np.cumsum(first) - 1
+        at = np.searchsorted(self.histories, ordered[first])
+        sizes = self.sizes[at].astype(np.int64)
+        take = gather_ranges(self.starts[at], sizes)
+        values = np.zeros((len(at), CLASSES), np.float32)
+        cell = np.repeat(np.arange(len(at)) * CLASSES, sizes)
+        cell += self.classes[take]
+        values.ravel()[cell] = self.values[take]
+        return values, at, place.reshape(codes.shape)
+
 
+@dataclass
+class Evidence:
+    """The values of tokens' histories, one table per kind, and their factors."""
+
+    values: list[np.ndarray]
+    bins: list[np.ndarray]
 
-def _exponentials(weights: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    @staticmethod
+    def of(seen: Seen, codes: np.ndarray, own: np.ndarray | None = None) -> Evidence:
+        """With ``own``, the tokens' classes, each token's own share is taken out."""
+        table, at, places = seen.after(codes)
+        kinds, lone = seen.bins[at], seen.lone[at]
+        values, bins = [], []
+        for place in places:
+            value, kind = table.take(place, 0), kinds[place]
+            if own is not None:
+                each, prior = np.arange(len(own)), seen.prior[own]
+                rest = np.expm1(value[each, own].astype(np.float64)) * prior - 1
+                rest[rest < 0.5] = 0  # what float32 lost
+                value[each, own] = np.log1p(rest / prior)
+                kind = kind - lone[place]
+            values.append(value)
+            bins.append(kind)
+        return Evidence(values, bins)
+
+    def weigh(self, factors: np.ndarray) -> np.ndarray:
+        """What is added to each token's weight of each class."""
+        total = factors[0][self.bins[0], None] * self.values[0]
+        for k in range(1, len(self.values)):
+            total += factors[k][self.bins[k], None] * self.values[k]
+        return total
+
+    def slopes(self, error: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Mean slope of each factor, and how many tokens have it."""
+        slope, times = np.zeros((2, len(self.values), SEEN_BINS))
+        for k, (value, kind) in enumerate(zip(self.values, self.bins)):
+            slope[k] = np.bincount(kind, np.einsum("ij,ij->i", error, value), SEEN_BINS)
+            times[k] = np.bincount(kind, minlength=SEEN_BINS)
+        return slope / np.maximum(times, 1), times
+
+
+# -- training ------------------------------------------------------------------------
+
+
+def _exponentials(
+    weights: np.ndarray, rows: np.ndarray, more: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """exp of each class's weight for each token, and their sums."""
     total = weights.take(rows[0], 0)
     for row in rows[1:]:
         total += weights.take(row, 0)
     total += weights[0]
+    if more is not None:
+        total += more
     np.clip(total, -40, 40, out=total)
     np.exp(total, out=total)
     return total, total @ np.ones(total.shape[1], np.float32)
 
 
-def class_probabilities(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
+def class_probabilities(
+    weights: np.ndarray, rows: np.ndarray, more: np.ndarray | None = None
+) -> np.ndarray:
     """P(class | history) of each token."""
-    total, sums = _exponentials(weights, rows)
+    total, sums = _exponentials(weights, rows, more)
     total /= sums[:, None]
     return total
 
@@ -339,14 +663,42 @@ def _sums_by_row(values: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.n
     return np.ascontiguousarray(sums.T), np.bincount(flat, minlength=FEATURES)
 
 
+@dataclass
+class Factors:
+    """The factors in training, on one block."""
+
+    values: np.ndarray
+    squares: np.ndarray
+    met: np.ndarray
+    seen: Seen | None = None
+    codes: np.ndarray | None = None
+
+    def step(self, evidence: Evidence, error: np.ndarray) -> None:
+        slope, times = evidence.slopes(error)
+        self.squares += slope * slope
+        self.values -= (FACTOR_RATE * slope / np.sqrt(self.squares)).astype(np.float32)
+        self.met += times.astype(np.int64)
+
+
 def gradient_steps(
-    weights: np.ndarray, squares: np.ndarray, rows: np.ndarray, classes: np.ndarray
+    weights: np.ndarray,
+    squares: np.ndarray,
+    rows: np.ndarray,
+    classes: np.ndarray,
+    factors: Factors | None = None,
 ) -> None:
     """One pass of AdaGrad over the tokens, in batches; changes the arrays."""
     for first in range(0, len(classes), BATCH):
         some, want = rows[:, first : first + BATCH], classes[first : first + BATCH]
-        error = class_probabilities(weights, some)
-        error[np.arange(len(want)), want] -= 1
+        if factors is None:
+            error = class_probabilities(weights, some)
+            error[np.arange(len(want)), want] -= 1
+        else:
+            codes = factors.codes[:, first : first + BATCH]
+            evidence = Evidence.of(factors.seen, codes, want)
+            error = class_probabilities(weights, some, evidence.weigh(factors.values))
+            error[np.arange(len(want)), want] -= 1
+            factors.step(evidence, error)
         slope, times = _sums_by_row(error, some)
         slope[0], times[0] = error.sum(0), len(want)
         slope /= np.sqrt(np.maximum(times, 1))[:, None].astype(np.float32)
@@ -366,10 +718,17 @@ def _block_rows(batches: Iterator[pa.RecordBatch], folder: str):
             tokens = np.frombuffer(row["tokens"].as_buffer(), "<i4")
             lengths = np.asarray(row["lengths"].values, np.int64)
             yield row, tokens, lengths, Entries.read(folder, row["block"].as_py())
+            give_back()
 
 
-def _train_round(blocks: DataFrame, folder: str, model: Model, number: int) -> np.ndarray:
-    """The weights after a round: the tasks' changes averaged by feature."""
+#: Stands for the factors among the chunks of shared weights.
+FACTORS = -1
+
+
+def _train_round(
+    blocks: DataFrame, folder: str, model: Model, number: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Shared weights and factors after a round: the tasks' changes averaged by feature."""
     shared = blocks.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -377,7 +736,15 @@ def _train_round(blocks: DataFrame, folder: str, model: Model, number: int) -> n
         weights = own.weights.copy()
         squares = np.ones_like(weights)
         met = np.zeros(FEATURES, np.int64)
+        factors = Factors(
+            own.factors.copy(),
+            np.full(own.factors.shape, 1e-3),
+            np.zeros(own.factors.shape, np.int64),
+        )
+        prior = PRIOR * own.share()
         for row, tokens, lengths, entries in _block_rows(batches, folder):
+            block = row["block"].as_py()
+            factors.seen = Seen.read(folder, block, entries, tokens, lengths, prior)
             learn = np.asarray(row["learn"].values)
             learn = learn & (np.arange(len(learn)) % ROUNDS == number)
             tokens, lengths = tokens[np.repeat(learn, lengths)], lengths[learn]
@@ -385,17 +752,21 @@ def _train_round(blocks: DataFrame, folder: str, model: Model, number: int) -> n
                 continue
             found = own.classes(entries)
             for part, sizes in _parts(tokens, lengths):
-                rows = features(entries.hashes[part], sizes)
-                gradient_steps(weights, squares, rows, found[part])
+                factors.codes = _codes(entries, part, sizes)
+                rows = shared_rows(factors.codes)
+                gradient_steps(weights, squares, rows, found[part], factors)
                 met += np.bincount(rows.ravel(), minlength=FEATURES)
                 met[0] += len(part)
         change = (weights - own.weights) * met[:, None].astype(np.float32)
         chunks = range(0, FEATURES, CHUNK)
+        moved = ((factors.values - own.factors) * factors.met).astype(np.float32)
+        changes = [moved.tobytes(), *(change[c : c + CHUNK].tobytes() for c in chunks)]
+        times = [factors.met.tobytes(), *(met[c : c + CHUNK].tobytes() for c in chunks)]
         yield pa.record_batch(
             {
-                "chunk": pa.array(list(chunks), pa.int32()),
-                "change": pa.array([change[c : c + CHUNK].tobytes() for c in chunks]),
-                "met": pa.array([met[c : c + CHUNK].tobytes() for c in chunks]),
+                "chunk": pa.array([FACTORS, *chunks], pa.int32()),
+                "change": pa.array(changes, pa.binary()),
+                "met": pa.array(times, pa.binary()),
             }
         )
 
@@ -406,12 +777,15 @@ def _train_round(blocks: DataFrame, folder: str, model: Model, number: int) -> n
         lambda r: (r[0], (np.frombuffer(r[1], np.float32), np.frombuffer(r[2], np.int64)))
     )
     sums = pairs.reduceByKey(lambda a, b: (a[0] + b[0], a[1] + b[1])).collect()
-    weights = model.weights.copy()
+    weights, factors = model.weights.copy(), model.factors.copy()
     for chunk, (change, met) in sums:
+        if chunk == FACTORS:
+            factors += (change / np.maximum(met, 1)).astype(np.float32).reshape(factors.shape)
+            continue
         mean = change.reshape(-1, CLASSES) / np.maximum(met, 1)[:, None]
         weights[chunk : chunk + CHUNK] += mean.astype(np.float32)
     shared.unpersist()
-    return weights
+    return weights, factors
 
 
 #: Tokens whose class probabilities are held at a time.
@@ -440,19 +814,24 @@ def _score(blocks: DataFrame, folder: str, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
+        prior = PRIOR * own.share()
         for row, tokens, lengths, entries in _block_rows(batches, folder):
+            seen = Seen.read(folder, row["block"].as_py(), entries, tokens, lengths, prior)
             classes = own.classes(entries)
             inner = own.within_class(entries, classes)
             base = np.log10((entries.counts + 1) / (own.tokens + own.kinds + 1))
             known, base_score, score = [], [], []
             for part, sizes in _parts(tokens, lengths):
                 starts = np.cumsum(sizes) - sizes
-                rows = features(entries.hashes[part], sizes)
+                codes = _codes(entries, part, sizes)
+                rows = shared_rows(codes)
                 want = classes[part]
                 each = inner[part]
                 for first in range(0, len(part), BATCH):
                     some = slice(first, first + BATCH)
-                    total, sums = _exponentials(own.weights, rows[:, some])
+                    evidence = Evidence.of(seen, codes[:, some])
+                    more = evidence.weigh(own.factors)
+                    total, sums = _exponentials(own.weights, rows[:, some], more)
                     each[some] += np.log10(total[np.arange(len(total)), want[some]] / sums)
                 known.append(np.add.reduceat((entries.counts[part] > 0).astype(np.int64), starts))
                 base_score.append(np.add.reduceat(base[part], starts))
@@ -487,8 +866,9 @@ def score_documents(docs: DataFrame, folds: int = 7, held_out: int = 2) -> DataF
     blocks = written(spark, marked.mapInArrow(_blocks, BLOCK_SCHEMA), "blocks", "zstd")
     folder = new_workspace(spark, "llm-entries")
     model = _model(blocks, _counted(blocks, folder))
+    _gather_histories(blocks, folder, model)
     for number in range(ROUNDS):
-        model.weights = _train_round(blocks, folder, model, number)
+        model.weights, model.factors = _train_round(blocks, folder, model, number)
     scored = _score(blocks, folder, model)
     return scored.select(
         "doc_id",

@@ -334,6 +334,28 @@ def test_probabilities_add_up(spark):
     assert np.allclose(mass[used], 1)
 
 
+def test_more_histories_than_shared_weights_are_told_apart(spark):
+    """What follows each of 40,000 pairs of words, at random, is learned."""
+    rng = np.random.default_rng(5)
+    after = rng.integers(0, 2, 40_000).tolist()
+    held = [plain.crc_mod(i, 7) == 2 for i in range(80_000)]
+    free = iter([i for i in range(80_000) if not held[i]])
+    kept = iter([i for i in range(80_000) if held[i]])
+
+    def text(i: int, third: int) -> str:
+        return f"a{i // 200} b{i % 200} {'yn'[third]}"
+
+    # Every pair is seen once, half of them twice.
+    rows = [(next(free), text(i, after[i])) for i in range(40_000) for _ in range(1 + i % 2)]
+    probes = []
+    for i in rng.integers(0, 40_000, 2000).tolist():
+        probes.append((next(kept), next(kept)))
+        rows += zip(probes[-1], (text(i, after[i]), text(i, 1 - after[i])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    score = {r["doc_id"]: r["score"] for r in maxent.score_documents(docs).collect()}
+    assert np.mean([score[right] > score[wrong] for right, wrong in probes]) > 0.95
+
+
 # -- native operators ----------------------------------------------------------
 
 
