@@ -356,6 +356,23 @@ def test_more_histories_than_shared_weights_are_told_apart(spark):
     assert np.mean([score[right] > score[wrong] for right, wrong in probes]) > 0.95
 
 
+# -- special tokens ------------------------------------------------------------
+
+
+def test_only_special_strings_differ_from_the_plain_library_call():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    texts = ["Plain words, no more.", "<|endoftext", "a<|endoftext|>b", "x <|startoftext|> y"]
+    ids, lengths = word_encoder(path).encode(pa.array(texts))
+    found = [part.tolist() for part in np.split(ids, np.cumsum(lengths)[:-1])]
+    wanted = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert found[:2] == wanted[:2]
+    for own, plain_ids in zip(found[2:], wanted[2:]):
+        assert {49406, 49407} & set(plain_ids) and not {49406, 49407} & set(own)
+
+
 # -- native operators ----------------------------------------------------------
 
 
