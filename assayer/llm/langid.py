@@ -85,9 +85,15 @@ class Model:
     log_prob: np.ndarray
 
     def predict(self, column: pa.Array) -> tuple[list[str], np.ndarray]:
+        return self.judge(column)[:2]
+
+    def judge(self, column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """Language, its probability, the mean log probability of an n-gram in it, and
+        the number of n-grams."""
         buckets, rows, lettered = grams(column)
         if not self.languages:
-            return [UNKNOWN] * len(column), np.zeros(len(column))
+            none = np.zeros(len(column))
+            return [UNKNOWN] * len(column), none, none, np.zeros(len(column), np.int64)
         score = np.empty((len(column), len(self.languages)))
         for k in range(len(self.languages)):
             each = self.log_prob[:, k][buckets]
@@ -98,7 +104,9 @@ class Model:
         named = [
             self.languages[k] if known else UNKNOWN for k, known in zip(best, lettered.tolist())
         ]
-        return named, np.where(lettered, sure, 0.0)
+        own = score[np.arange(len(best)), best] - self.prior[best]
+        size = np.bincount(rows, minlength=len(column))
+        return named, np.where(lettered, sure, 0.0), own / np.maximum(size, 1), size
 
 
 def train(docs: DataFrame, smoothing: float = 0.1) -> Model:
@@ -164,7 +172,8 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 def predict_rows(docs: DataFrame, model: Model) -> DataFrame:
     """Each row of ``docs`` as a struct, ``document``, and its ``language``.
 
-    ``language`` has ``lang_pred`` and ``score``. The rows go through the tasks
+    ``language`` has ``lang_pred``, ``score``, the mean log probability of an n-gram in
+    that language, ``per_gram``, and the number of n-grams, ``grams``. The rows go through the tasks
     whole, so that nothing has to be joined back by ids that may repeat.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -177,11 +186,13 @@ def predict_rows(docs: DataFrame, model: Model) -> DataFrame:
             text = pc.fill_null(rows.field("text"), "")
             both = pa.record_batch({"document": rows, "text": text})
             for piece in pieces(iter([both]), limit=SCORE_BYTES):
-                named, sure = shared.value.predict(piece["text"])
+                named, *numbers = shared.value.judge(piece["text"])
                 found = pa.StructArray.from_arrays(
-                    [pa.array(named, pa.string()), pa.array(sure)], ["lang_pred", "score"]
+                    [pa.array(named, pa.string()), *map(pa.array, numbers)],
+                    ["lang_pred", "score", "per_gram", "grams"],
                 )
                 yield pa.record_batch({"document": piece["document"], "language": found})
 
-    schema = f"document {kind}, language struct<lang_pred: string, score: double>"
+    language = "struct<lang_pred: string, score: double, per_gram: double, grams: long>"
+    schema = f"document {kind}, language {language}"
     return whole.mapInArrow(run, schema)

@@ -6,8 +6,10 @@ All but the last return the columns of their input.
 
 1. Quality rules: lines that fail are removed from the texts, and documents
    that the rules reject go.
-2. Language: documents without a recognised language go. The model is learned
-   from the labelled documents outside the fold that op10 holds out.
+2. Language: documents without a recognised language go, and those whose n-grams
+   are far less likely in it than is usual there (a language that was never
+   learned, random letters). The model is learned from the labelled documents
+   outside the fold that op10 holds out; what is usual, from those in it.
 3. Near-duplicates: of each group one document stays, that with the smallest id.
 4. Repeated passages: every byte that the operator marks is removed; characters
    that lose a byte go as a whole, and so do documents of which nothing is left.
@@ -29,6 +31,12 @@ from assayer.llm.queries import MAX_TOKENS, WORD_BPE
 
 #: A language must be at least this likely.
 LEAST_SCORE = 0.5
+#: The log probability of a document's n-gram may be so many deviations below the
+#: mean of its language; a single n-gram deviates by about GRAM_DEVIATION. A language
+#: whose few documents are much alike has LEAST_SPREAD.
+DEVIATIONS = 6.0
+LEAST_SPREAD = 0.3
+GRAM_DEVIATION = 5.0
 
 
 def _with_text(columns: list[str], source: str, text: Column) -> list[Column]:
@@ -49,7 +57,23 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         return docs
     found = langid.predict_rows(docs, model)
     known = F.col("language.lang_pred") != langid.UNKNOWN
-    kept = found.where(known & (F.col("language.score") >= LEAST_SCORE))
+    known &= F.col("language.score") >= LEAST_SCORE
+    # Of documents not learned from, whose n-grams are as unusual as new ones'.
+    fitted = langid.predict_rows(docs.where(~learned_from), model).where(
+        known & (F.col("document.lang") == F.col("language.lang_pred"))
+    )
+    fitted = fitted.groupBy("language.lang_pred").agg(
+        F.avg("language.per_gram").alias("mean"), F.stddev("language.per_gram").alias("spread")
+    )
+    # One row per learned language; a language with fewer than two has no bound.
+    usual = F.lit(True)
+    for row in fitted.where("spread is not null").collect():
+        noise = F.lit(GRAM_DEVIATION**2) / F.greatest("language.grams", F.lit(1))
+        spread = max(row["spread"], LEAST_SPREAD)
+        bound = row["mean"] - DEVIATIONS * F.sqrt(spread**2 + noise)
+        other = F.col("language.lang_pred") != row["lang_pred"]
+        usual &= other | (F.col("language.per_gram") >= bound)
+    kept = found.where(known & usual)
     return kept.select([F.col(f"document.`{c}`").alias(c) for c in docs.columns])
 
 

@@ -98,3 +98,22 @@ def test_near_duplicates_keep_one_row_of_repeated_ids(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     found = corpus_pipeline.near_duplicates(spark, docs, "").collect()
     assert Counter(map(tuple, found)) == Counter([rows[0], rows[2]])
+
+
+def test_language_stage_rejects_languages_it_never_learned(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    pick = np.random.default_rng(3)
+
+    def letters(alphabet: str) -> str:
+        return " ".join("".join(pick.choice(list(alphabet), 6)) for _ in range(80))
+
+    short = docs.where("lang is not null").limit(40).selectExpr(
+        "doc_id + 2000000 as doc_id", "substring_index(text, ' ', 50) as text", "lang"
+    )
+    foreign = [(1_000_000 + i, letters("бвгдежзиклмн"), None) for i in range(5)]
+    random = [(1_000_100 + i, letters("abcdefghijklmnopqrstuvwxyz"), None) for i in range(5)]
+    more = spark.createDataFrame(foreign + random, "doc_id long, text string, lang string")
+    given = docs.select("doc_id", "text", "lang").union(short).union(more)
+    found = {r["doc_id"] for r in corpus_pipeline.language_id(spark, given, "").collect()}
+    clean = {r["doc_id"] for r in given.collect()} - {r[0] for r in foreign + random}
+    assert found == clean
