@@ -59,12 +59,3 @@ def bronze(spark):
         return spark.createDataFrame(values, BRONZE_SCHEMA)
 
     return make
-
-
-def plan_of(df) -> str:
-    """The physical plan as text."""
-    return df._jdf.queryExecution().explainString(
-        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString(
-            "formatted"
-        )
-    )

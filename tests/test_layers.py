@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pyarrow.parquet as parquet
 import pytest
-from conftest import plan_of
+from plans import plan_of
 from pyspark.sql import functions as F
 
 from assayer.constants import LAYERS, SILVER_SCHEMA

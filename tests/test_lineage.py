@@ -4,7 +4,7 @@ import random
 from collections import Counter
 
 import pytest
-from conftest import plan_of
+from plans import plan_of
 from pyspark.sql import functions as F
 
 from assayer.operators.gold import purchases, revenue_per_hour, revenue_rollup
