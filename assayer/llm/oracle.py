@@ -175,8 +175,50 @@ join marks b on b.doc_id = p.doc_id and b.kind = 'edited'
 join marks c on c.doc_id = p.next_id and c.kind = 'own'
 left join changed x on x.doc_id = p.doc_id"""
 
+def _terms(text: str) -> str:
+    capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    lowered = f"translate(coalesce({text}, ''), '{capitals}', '{capitals.lower()}')"
+    return f"regexp_extract_all({lowered}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+
+SEARCH = f"""
+with docs as (select row_number() over () as r, doc_id, {_terms("text")} as t from documents),
+sized as (select r, doc_id, t, cast(len(t) as bigint) as n from docs where len(t) > 0),
+corpus as (select count(*) as docs, cast(sum(n) as bigint) as terms from sized),
+wanted as (
+  select i, item_id, unnest(list_distinct(t)) as term
+  from (select row_number() over () as i, item_id, {_terms("text")} as t from benchmark)
+),
+counted as (
+  select r, term, count(*) as tf
+  from (select r, unnest(t) as term from sized)
+  where term in (select term from wanted)
+  group by r, term
+),
+weights as (
+  select term, cast(floor(1000 * ln((2 * docs + 2) / cast(2 * df + 1 as double))) as bigint) as w
+  from (select term, count(*) as df from counted group by term), corpus
+),
+measured as (
+  select r, doc_id, 100 - 90 + ((90 * n * docs) // terms) as m from sized, corpus
+),
+scored as (
+  select i, item_id, r, doc_id,
+    cast(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) as bigint) as score
+  from wanted join weights using (term) join counted using (term) join measured using (r)
+  group by i, item_id, r, doc_id
+)
+select item_id, rank, doc_id, score
+from (
+  select *, cast(row_number() over (
+    partition by i order by score desc, doc_id asc nulls last) as int) as rank
+  from scored where score > 0
+)
+where rank <= 10"""
+
 ORACLE: dict[str, str] = {
     "op3_warc": WARC,
     "op5_quality_rules": QUALITY,
     "op6_merkle": MERKLE,
+    "op12_lexical_search": SEARCH,
 }

@@ -11,14 +11,17 @@ from pyspark.sql import functions as F
 from assayer.llm import (
     ans,
     bpe,
+    cube,
     langid,
     maxent,
     merkle,
     packing,
     quality,
+    search,
     simhash,
     suffix,
     warc,
+    whiten,
 )
 from assayer.llm.common import crc_mod
 from assayer.session import new_workspace
@@ -132,6 +135,20 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = cube.mix(_documents(spark, sf_dir), weights=(5, 2, 1), most=3)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = _table(spark, sf_dir, "benchmark")
+    return search.search(_documents(spark, sf_dir), items, k=10)
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.whiten(_table(spark, sf_dir, "embeddings"), most=32)
+
+
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -143,4 +160,7 @@ QUERIES: dict[str, Query] = {
     "op8_suffix_array": op8_suffix_array,
     "op9_token_files": op9_token_files,
     "op10_language_id": op10_language_id,
+    "op11_source_mixing": op11_source_mixing,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }

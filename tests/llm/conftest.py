@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import random
 import sys
 from pathlib import Path
 
@@ -8,6 +7,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from edges import edge_items, edge_texts, edge_vectors  # noqa: E402
 from plain import SMALL  # noqa: E402
 
 #: Columns that bear the names operators use for their own.
@@ -19,44 +19,11 @@ CLASHING = (
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(
     f"`{name}` string" for name in CLASHING
 )
+ITEMS_SCHEMA = "item_id long, text string, item_key string, item int, rank string, score long"
+VECTORS_SCHEMA = "vec_id long, embedding array<float>, label int, vector string, n long, dims int"
 PAGES_SCHEMA = "page_id long, url string, html string, digest string, first_id long, file string"
 
 
-def prose(seed: int, words: int) -> str:
-    pick = random.Random(seed)
-    parts = ["the", "of", "and", "river", "stone", "walks", "quiet", "house", "über", "déjà"]
-    parts += [f"w{pick.randrange(5000)}" for _ in range(80)]
-    text = " ".join(pick.choice(parts) for _ in range(words))
-    return text + "."
-
-
-def edge_texts() -> list[tuple[int | None, str | None]]:
-    shared = prose(99, 60)
-    edges = [
-        (7, "tie of equal ids"),
-        (7, "tie of equal ids"),
-        (3, None),
-        (4, ""),
-        (5, " \t\n \x0b\x0c\r "),
-        (None, "no id but a text, and " + shared),
-        (6, "don't, it's. \x00 é é K ǰ J̌ İ Σς  ab 漢字 😀 \x85\x1c <|endoftext|>"),
-        (8, "a" * 3000),
-        (9, ("abc " * 700) + "x" * 1500),
-        (10, prose(1, 9000)),
-        (11, prose(2, 120) + "\n" + shared),
-        (12, shared + "\n" + prose(3, 80) + "\n" + shared),
-        (13, prose(4, 200)),
-        (14, prose(4, 200)),
-        (15, prose(4, 199)),
-        (16, "Home | About | Contact\n" + prose(5, 70) + "\nAll rights reserved.\nok"),
-        (17, "### $$$ %%% &&&\n" * 30),
-        (18, prose(6, 70).upper() + "!!"),
-        (19, "one"),
-        (-5, "negative id. " + prose(7, 60)),
-    ]
-    return edges
-
-
 @pytest.fixture(scope="session")
 def edge_rows() -> list[dict]:
     rows = []
@@ -96,9 +63,17 @@ def tables(spark, edge_docs, no_docs, tmp_path_factory):
         (6, "http://g", "alone", None, None, None),
         (6, "http://g", "alone", None, None, None),
     ]
-    for name, docs, rows in (("edge", edge_docs, pages), ("empty", no_docs, [])):
+    items = [(i, text, "clash", 1, None, 5) for i, text in edge_items()]
+    vectors = [(i, v, None, "clash", 3, 2) for i, v in edge_vectors()]
+    for name, docs, *rest in (
+        ("edge", edge_docs, pages, items, vectors),
+        ("empty", no_docs, [], [], []),
+    ):
         docs.write.parquet(f"{root}/{name}/documents.parquet")
-        spark.createDataFrame(rows, PAGES_SCHEMA).write.parquet(f"{root}/{name}/pages.parquet")
+        schemas = (PAGES_SCHEMA, ITEMS_SCHEMA, VECTORS_SCHEMA)
+        for table, rows, schema in zip(("pages", "benchmark", "embeddings"), rest, schemas):
+            frame = spark.createDataFrame(rows, schema)
+            frame.write.parquet(f"{root}/{name}/{table}.parquet")
     return {"edge": f"{root}/edge", "empty": f"{root}/empty", "pages": pages}
 
 

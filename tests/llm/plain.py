@@ -195,3 +195,73 @@ def unigrams(rows: list[dict]) -> list[tuple]:
         )
         for t, held in zip(tokens, out)
     ]
+
+
+def mix_targets(rows: list[dict], weights=(5, 2, 1), most: int = 3) -> dict:
+    """Size and target of each source, the excess reshared step by step."""
+    sizes: Counter = Counter()
+    for r in rows:
+        sizes[r["source"]] += len(WORD.findall(text_of(r)))
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    target = dict.fromkeys(order, 0.0)
+    excess, open_ = float(sum(sizes.values())), list(order)
+    while open_ and excess > 1e-9:
+        share = excess / sum(weight[s] for s in open_)
+        excess = 0.0
+        for s in open_:
+            target[s] += share * weight[s]
+            if target[s] > most * sizes[s]:
+                excess += target[s] - most * sizes[s]
+                target[s] = float(most * sizes[s])
+        open_ = [s for s in open_ if target[s] < most * sizes[s]]
+    return {s: (sizes[s], target[s]) for s in order}
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def search(rows: list[dict], items: list[tuple], k: int = 10) -> list[tuple]:
+    """item_id, rank, doc_id and score of the best documents of each item."""
+    docs = [(r["doc_id"], Counter(TERM.findall(lowered(text_of(r))))) for r in rows]
+    docs = [(i, c) for i, c in docs if c]
+    n_docs, total = len(docs), sum(sum(c.values()) for _, c in docs)
+    df: Counter = Counter(t for _, c in docs for t in c)
+    found = []
+    for item_id, text in items:
+        terms = set(TERM.findall(lowered(text or "")))
+        scored = []
+        for doc_id, counts in docs:
+            m = 100 - 90 + (90 * sum(counts.values()) * n_docs) // total
+            score = 0
+            for t in terms:
+                w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                tf = counts[t]
+                score += w * ((1000000000 * tf) // (1000 * tf + 8 * m))
+            if score > 0:
+                scored.append((-score, doc_id is None, doc_id))
+        scored.sort(key=lambda s: (s[0], s[1], s[2] or 0))
+        best = enumerate(scored[:k], 1)
+        found += [(item_id, rank, doc_id, -score) for rank, (score, _, doc_id) in best]
+    return found
+
+
+def whitened(vectors: list[tuple], most: int = 32):
+    """Ids, deviations, eigenvalues, shares and whitened vectors of the usable rows."""
+    fits = [
+        (i, v)
+        for i, v in vectors
+        if v and all(c is not None and math.isfinite(c) and abs(c) <= 2**56 for c in v)
+    ]
+    lengths = Counter(len(v) for _, v in fits)
+    dims = max(lengths, key=lambda n: (lengths[n], n))
+    fits = [(i, v) for i, v in fits if len(v) == dims]
+    x = [[math.floor(64 * float(np.float32(c))) + 1000000 for c in v] for _, v in fits]
+    n, sums = len(x), [sum(c) for c in zip(*x)]
+    deviations = [sum((n * c - s) ** 2 for c, s in zip(v, sums)) for v in x]
+    centred = np.array([[(n * c - s) / n for c, s in zip(v, sums)] for v in x])
+    values, vectors_ = np.linalg.eigh(centred.T @ centred / n)
+    values, vectors_ = values[::-1], vectors_[:, ::-1]
+    varies = (values > 1e-11 * values.max()) & (np.arange(len(values)) < most)
+    white = centred @ vectors_[:, varies] / np.sqrt(values[varies])
+    return [i for i, _ in fits], deviations, values[varies] / values.sum(), white

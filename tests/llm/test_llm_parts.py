@@ -10,12 +10,27 @@ import numpy as np
 import plain
 import pyarrow as pa
 import pytest
+from edges import edge_items
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from assayer.llm import ans, bpe, bwt, maxent, packing, quality, simhash, suffix, warc
+from assayer.llm import (
+    ans,
+    bpe,
+    bwt,
+    cube,
+    maxent,
+    packing,
+    qdwh,
+    quality,
+    search,
+    simhash,
+    suffix,
+    warc,
+    whiten,
+)
 from assayer.llm.components import components
 from assayer.llm.merkle import changed_paragraphs, tree
 from assayer.llm.tokens import SEPARATOR, word_encoder
@@ -420,3 +435,160 @@ def test_sections_do_not_depend_on_cutting_paragraphs(spark):
     frame = spark.createDataFrame([(t,) for t in texts], "text string")
     roots = [r["root"] for r in frame.select(tree(F.col("text"))["root"].alias("root")).collect()]
     assert len(set(roots)) == len(texts)
+
+
+# -- mixing --------------------------------------------------------------------
+
+
+def falling(rng, n: int) -> np.ndarray:
+    return np.sort(rng.zipf(1.5, n).clip(0, 20_000))[::-1]
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 7, 400])
+@pytest.mark.parametrize("equal", [False, True])
+def test_flight_keeps_both_totals(n, equal):
+    rng = np.random.default_rng(n)
+    sizes = np.full(n, 9) if equal else falling(rng, n)
+    chances = np.full(n, 0.37)
+    p = cube.flight(sizes, chances, rng.random(n))
+    assert ((p >= 0) & (p <= 1)).all()
+    assert ((p > 0) & (p < 1)).sum() <= 2
+    assert abs(p.sum() - chances.sum()) < 1e-9 * max(1, n)
+    assert abs(p @ sizes - chances @ sizes) < 1e-9 * max(1, sizes.sum())
+
+
+def test_flight_keeps_every_chance_on_average():
+    rng = np.random.default_rng(4)
+    sizes, chances = falling(rng, 40), np.full(40, 0.3)
+    runs = 3000
+    mean = sum(cube.decided(sizes, chances, [k], last=False) for k in range(runs)) / runs
+    assert np.abs(mean - 0.3).max() < 5 * np.sqrt(0.3 * 0.7 / runs)
+
+
+def test_a_document_that_no_other_can_make_up_for():
+    sizes, chances = np.array([1000, 3, 3, 3, 3]), np.full(5, 0.5)
+    p = cube.flight(sizes, chances, np.full(5, 0.9))
+    assert p[0] == 0.5 and abs(p.sum() - 2.5) < 1e-12
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 500), st.floats(0.01, 0.99)), max_size=9))
+def test_landing_is_the_best_choice(units):
+    sizes = np.array([s for s, _ in units], float)
+    chances = np.array([p for _, p in units], float)
+    chosen = cube.landing(sizes, chances)
+
+    def cost(taken) -> float:
+        words = abs(sum(n for n, t in zip(sizes, taken) if t) - sizes @ chances)
+        return words + abs(sum(taken) - chances.sum())
+
+    every = ([c >> k & 1 for k in range(len(units))] for c in range(1 << len(units)))
+    assert abs(cost(chosen.tolist()) - min(map(cost, every))) < 1e-6
+
+
+def test_mix_in_blocks_of_several_levels(spark, monkeypatch):
+    monkeypatch.setattr(cube, "BLOCK", 16)
+    monkeypatch.setattr(cube, "FAN_IN", 4)
+    words = [(k * k) % 97 + 1 for k in range(600)]
+    rows = [(k, "w " * n, "hot" if k % 3 else "cold", 5) for k, n in enumerate(words)]
+    rows += [(7, "again and again", "hot", 5)] * 300  # rows that are alike
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, place int")
+    found = cube.mix(docs, weights=(1, 3)).collect()
+    assert len(found) == 900
+    for source in ("hot", "cold"):
+        own = [r for r in found if r["source"] == source]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 3
+        count = len(own) * own[0]["target"] / own[0]["source_size"]
+        assert abs(sum(r["copies"] for r in own) - count) <= 7
+    parts = docs.repartition(7, "text")
+    assert sorted(map(tuple, cube.mix(parts, weights=(1, 3)).collect())) == sorted(
+        map(tuple, found)
+    )
+
+
+# -- search --------------------------------------------------------------------
+
+
+def test_terms_are_bytes_of_words():
+    text = "Don't-STOP ÀÉ àéx y_z 漢字9"
+    want = [t.encode() for t in plain.TERM.findall(plain.lowered(text))]
+    assert search.terms_of(text.encode()) == want
+
+
+def test_best_keeps_ties_by_id():
+    rng = np.random.default_rng(1)
+    best = search.Best(5, 4)
+    rows = []
+    for _ in range(30):
+        scores = rng.integers(0, 4, (2, 9))
+        ids = rng.integers(0, 50, 9)
+        none = rng.random(9) < 0.1
+        best.offer(3, scores, np.where(none, 0, ids), none)
+        for (i, j), s in np.ndenumerate(scores):
+            rows.append((i + 3, -s, bool(none[j]), 0 if none[j] else int(ids[j])))
+    want = []
+    for item in (3, 4):
+        want += sorted(r for r in rows if r[0] == item and r[1] < 0)[:4]
+    found = zip(*(best.rows[n].tolist() for n in ("item", "score", "no_id", "doc_id")))
+    assert [(i, -s, b, d) for i, s, b, d in found] == want
+
+
+def test_search_in_small_tiles_and_blocks(spark, edge_docs, edge_rows, monkeypatch):
+    for name, value in (("TILE_ITEMS", 2), ("TILE_DOCUMENTS", 3), ("BLOCK_ITEMS", 3)):
+        monkeypatch.setattr(search, name, value)
+    monkeypatch.setattr(search, "TILE_TERMS", 7)
+    items = spark.createDataFrame(edge_items(), "item_id long, text string")
+    found = search.search(edge_docs, items, 3).collect()
+    want = plain.search(edge_rows, edge_items(), 3)
+    key = lambda r: tuple((v is not None, v) for v in r)
+    assert sorted(map(tuple, found), key=key) == sorted(want, key=key)
+
+
+# -- whitening -----------------------------------------------------------------
+
+
+@pytest.mark.parametrize("d", [0, 1, 2, 3, 17, 64])
+@pytest.mark.parametrize("kind", ["wide", "definite", "steps", "equal", "none", "steep"])
+def test_spectral_division(d, kind):
+    rng = np.random.default_rng(d)
+    a = rng.standard_normal((d, d))
+    q = np.linalg.qr(a)[0] if d else a
+    a = {
+        "wide": a + a.T,
+        "definite": a @ a.T,
+        "steps": q @ np.diag(rng.integers(0, 3, d).astype(float)) @ q.T,
+        "equal": 3 * np.eye(d),
+        "none": np.zeros((d, d)),
+        "steep": q @ np.diag(10.0 ** -np.arange(d).clip(0, 14)) @ q.T,
+    }[kind]
+    a = (a + a.T) / 2
+    values, vectors = qdwh.components(a)
+    want = np.linalg.eigvalsh(a)[::-1]
+    scale = max(1e-300, np.abs(want).max(initial=0))
+    assert np.abs(values - want).max(initial=0) < 1e-13 * scale
+    assert np.linalg.norm(vectors.T @ vectors - np.eye(d)) < 1e-13
+    assert np.linalg.norm(a @ vectors - vectors * values) < 1e-13 * scale
+    first, columns = qdwh.components(a, 5)
+    assert np.abs(first - want[:5]).max(initial=0) < 1e-13 * scale
+    assert columns.shape == (d, min(d, 5))
+
+
+@pytest.mark.parametrize("least", [1.0, 1e-3, 1e-15])
+def test_polar_factor(least):
+    rng = np.random.default_rng(3)
+    u, v = (np.linalg.qr(rng.standard_normal((9, 9)))[0] for _ in range(2))
+    a = u @ np.diag(np.geomspace(1, least, 9)) @ v
+    assert np.linalg.norm(qdwh.polar(a, least) - u @ v) < 1e-12 / min(1, least * 1e3)
+
+
+def test_deviations_are_exact_up_to_64_bits_and_null_beyond():
+    x = np.array([[10**9, 0], [-(10**9), 1], [3, 5]], np.int64)
+    sums = [int(c) for c in x.sum(axis=0)]
+    model = whiten.Whitening(3, sums, np.ones(2), np.eye(2), 2.0)
+    want = [sum((3 * int(c) - s) ** 2 for c, s in zip(v, sums)) for v in x]
+    assert model.deviations(x) == [w if w < 2**63 else None for w in want]
+    assert want[0] < 2**63
+    far = x * 10
+    sums = [int(c) for c in far.sum(axis=0)]
+    model = whiten.Whitening(3, sums, np.ones(2), np.eye(2), 2.0)
+    assert model.deviations(far)[0] is None

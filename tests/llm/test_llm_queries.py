@@ -7,9 +7,11 @@ import hashlib
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import plain
 import pytest
 from compare import differences
+from edges import edge_items, edge_vectors
 from plain import SMALL
 
 from assayer.llm.oracle import ORACLE
@@ -203,3 +205,60 @@ def test_language_id(spark, given):
         lang = {r["doc_id"]: r["lang"] for r in rows}
         out = [r for r in found if r["held_out"]]
         assert sum(r["lang_pred"] == lang[r["doc_id"]] for r in out) > 0.97 * len(out)
+
+
+def test_source_mixing(spark, given):
+    folder, rows = given
+    found = run(spark, "op11_", folder)
+    sources = plain.mix_targets(rows)
+    same(
+        found,
+        ("doc_id", "source", "size"),
+        [(r["doc_id"], r["source"], len(plain.WORD.findall(plain.text_of(r)))) for r in rows],
+    )
+    taken: Counter = Counter()
+    for r in found:
+        size, target = sources[r["source"]]
+        assert r["source_size"] == size and abs(r["target"] - target) <= 1e-9 * target
+        assert r["taken"] == r["copies"] * r["size"] <= 3 * r["size"]
+        taken[r["source"]] += r["taken"]
+    for source, (_, target) in sources.items():
+        largest = max(r["size"] for r in found if r["source"] == source)
+        # A small source can be no nearer than its documents allow.
+        assert abs(taken[source] - target) <= (largest if folder != SMALL else 0.02 * target)
+    again = run(spark, "op11_", folder)
+    same(again, tuple(found[0]), [tuple(r.values()) for r in found])
+
+
+def test_lexical_search(spark, given):
+    folder, rows = given
+    items = edge_items()
+    if folder == SMALL:
+        table = spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()
+        items = [(r["item_id"], r["text"]) for r in table]
+    found = run(spark, "op12_", folder)
+    same(found, ("item_id", "rank", "doc_id", "score"), plain.search(rows, items))
+
+
+@pytest.mark.parametrize("which", ["small", "edge"])
+def test_embedding_whitening(spark, tables, which):
+    folder, vectors = tables["edge"], edge_vectors()
+    if which == "small":
+        folder = SMALL
+        table = spark.read.parquet(f"{SMALL}/embeddings.parquet").collect()
+        vectors = [(r["vec_id"], r["embedding"]) for r in table]
+    found = run(spark, "op13_", folder)
+    ids, deviations, explained, white = plain.whitened(vectors)
+    parts = len(explained)
+    assert parts == (3 if which == "edge" else 32)
+    assert {r["n"] for r in found} == {len(ids)}
+    assert {r["identity_error"] for r in found} <= {found[0]["identity_error"]}
+    assert found[0]["identity_error"] < 1e-9
+    wanted = [(i, d, c + 1) for i, d in zip(ids, deviations) for c in range(parts)]
+    same(found, ("vec_id", "deviation", "component"), wanted)
+    for c in range(parts):
+        own = [r for r in found if r["component"] == c + 1]
+        assert all(abs(r["explained"] / explained[c] - 1) < 1e-9 for r in own)
+        got = sorted((r["deviation"], abs(r["whitened"])) for r in own)
+        want = sorted(zip(deviations, np.abs(white[:, c]).tolist()))
+        assert np.allclose(got, want, rtol=1e-7, atol=1e-9)
