@@ -42,11 +42,13 @@ select page_id, octet_length(encode(html)) as payload_bytes, {BASE32} as payload
   case when page_id > first_id then first_id end as refers_to
 from payloads join firsts using (html)"""
 
+ONLY_MENU_WORDS = rf"(?i)^\W*(?:{quality.MENU_WORDS}\W*)+$"
+
 BAD_LINE = f"""
   not regexp_matches(line, '\\p{{L}}')
   or (marks >= 3 and marks * 100 > length(line) * {quality.MOST_MARKS_PERCENT})
   or (separators >= 3 and separators * {quality.CHARACTERS_PER_SEPARATOR} >= length(line))
-  or regexp_matches(line, {_quoted(quality.NAVIGATION)})
+  or regexp_matches(line, {_quoted(ONLY_MENU_WORDS)})
   or regexp_matches(line, {_quoted(quality.BOILERPLATE)})
   or regexp_matches(line, {_quoted(quality.UNENDED)})"""
 

@@ -33,10 +33,10 @@ MOST_LOST_PERCENT = 40
 #: three, or at most this share of its characters.
 MARKS = SYMBOLS + "!{}=~^\\_"
 MOST_MARKS_PERCENT = 8
-NAVIGATION = (
-    r"(?i)^\W*(?:(?:home|menu|log ?in|log ?out|sign in|sign up|register|search|contact(?: us)?"
+MENU_WORDS = (
+    r"(?:home|menu|log ?in|log ?out|sign in|sign up|register|search|contact(?: us)?"
     r"|about(?: us)?|next|previous|back|top|share|print|site ?map|faq|help|blog|shop|cart"
-    r"|skip to content|read more|load more|go to top)\b\W*)+$"
+    r"|skip to content|read more|load more|go to top)\b"
 )
 #: Menus put one of these marks behind every few words: at least three in a line,
 #: and one in this many characters.
@@ -118,6 +118,16 @@ def repeated_words(words: Column, width: int = 3) -> Column:
     return let(hashes, lambda each: let(windows(each), count))
 
 
+def only_menu_words(line: Column) -> Column:
+    """Whether a line has menu words and else no letter or digit.
+
+    They are taken out and what is left is looked at: a pattern that repeats a group over
+    the line would need the matcher's stack for each word.
+    """
+    rest = F.regexp_replace(line, f"(?i){MENU_WORDS}", "")
+    return line.rlike(rf"(?i)^\W*+{MENU_WORDS}") & ~rest.rlike(r"\w")
+
+
 def line_passes(line: Column) -> Column:
     """The line rules; blank lines pass."""
     length = F.length(line)
@@ -128,7 +138,7 @@ def line_passes(line: Column) -> Column:
         ~line.rlike(r"\p{L}")
         | marked
         | menu
-        | line.rlike(NAVIGATION)
+        | only_menu_words(line)
         | line.rlike(BOILERPLATE)
         | line.rlike(UNENDED)
     )

@@ -10,7 +10,8 @@ import numpy as np
 import plain
 import pyarrow as pa
 import pytest
-from edges import edge_items
+from compare import differences
+from edges import edge_items, prose
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -32,6 +33,8 @@ from assayer.llm import (
     whiten,
 )
 from assayer.llm.components import components
+from assayer.llm.oracle import ORACLE
+from assayer.llm.queries import QUERIES
 from assayer.llm.merkle import changed_paragraphs, tree
 from assayer.llm.tokens import SEPARATOR, word_encoder
 
@@ -392,8 +395,6 @@ def test_only_special_strings_differ_from_the_plain_library_call():
 
 
 def test_native_plans_have_no_python(spark, tables):
-    from assayer.llm.queries import QUERIES
-
     for name in ("op5_quality_rules", "op6_merkle"):
         plan = QUERIES[name](spark, tables["edge"])._jdf.queryExecution().toString()
         assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
@@ -413,6 +414,49 @@ def test_quality_of_any_text(spark, texts):
         assert (q["clean_text"], q["kept"]) == plain.cleaned(text)
 
 
+MENU_PARTS = [*plain.MENU, *plain.NOTICES, "us", "to", "stone", "Ünder", "x", "powered by "]
+
+
+@settings(max_examples=40, deadline=None)
+@given(
+    st.lists(
+        st.lists(st.sampled_from([*MENU_PARTS, " ", " | ", "  ", "-", ".", "é"]), max_size=7),
+        min_size=1,
+        max_size=30,
+    )
+)
+def test_menus_and_notices(spark, lines):
+    made = ["".join(p.title() if k % 3 else p for k, p in enumerate(line)) for line in lines]
+    made = [line.replace("\n", " ") for line in made]
+    docs = spark.createDataFrame([(1, "\n".join(made))], "doc_id long, text string")
+    [row] = quality.judge(docs).collect()
+    assert row["quality"]["clean_text"] == plain.cleaned("\n".join(made))[0]
+
+
+def test_lines_of_a_million_words_and_marks(spark, tmp_path):
+    """No pattern may need stack or time in more than proportion to a line."""
+    n = 1_000_000
+    good = prose(3, 60)
+    lines = [
+        "home " * n, "| " * n, " " * n + "x", "#" * n, "»home" * n, "a" * n + ".", "a. " * n,
+        " x" * 3 + " " * n + ".", "contact " * n + "stone", "\x0b \r" * n, "log " * n,
+    ]
+    rows = [(k, f"{good}\n{line}\n{good}") for k, line in enumerate(lines)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8, "doc_id")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["op5_quality_rules"](spark, str(tmp_path)).collect()
+    found = {r["doc_id"]: r for r in found}
+    for k, text in rows:
+        base = plain.base_rules(text)
+        row = found[k]
+        assert (row["n_words"], row["word_chars"], row["n_symbols"]) == base[:3]
+        assert (row["n_dup_lines"], row["n_repeat_words"], row["base_failed"]) == base[3:]
+        assert row["kept"] == plain.cleaned(text)[1]
+        assert row["n_bad_lines"] == sum(not plain.line_passes(x) for x in text.split("\n"))
+    query, sql = QUERIES["op5_quality_rules"], ORACLE["op5_quality_rules"]
+    assert differences(spark, query, sql, str(tmp_path)) == []
+
+
 def test_differing_branches_locate_an_edit(spark):
     lines = [f"Paragraph {k}. It has two sentences, and a clause." for k in range(40)]
     changed = lines[:17] + ["Something else."] + lines[18:]
