@@ -78,7 +78,7 @@ def revenue_rollup(rows: DataFrame, spec: Rollup = REVENUE_PER_HOUR) -> DataFram
         F.min(spec.amount).alias("min_order_value"),
         F.count_distinct(spec.buyer).alias("unique_buyers"),
     )
-    return _with_average(sums, spec)
+    return measures_from_sums(sums, spec)
 
 
 def revenue_per_hour(silver: DataFrame) -> DataFrame:
@@ -135,10 +135,11 @@ def measures_from_partials(
         # One row per buyer is left, so counting the non-null ones is exact.
         F.count(spec.buyer).alias("unique_buyers"),
     )
-    return _with_average(sums, spec)
+    return measures_from_sums(sums, spec)
 
 
-def _with_average(sums: DataFrame, spec: Rollup) -> DataFrame:
+def measures_from_sums(sums: DataFrame, spec: Rollup) -> DataFrame:
+    """All measures from additive ones per group."""
     total, count = F.col("amount_sum"), F.col("amount_count")
     return sums.withColumns(
         {

@@ -8,6 +8,7 @@ says the same in SQL.
 from __future__ import annotations
 
 import uuid
+from datetime import timedelta
 from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,6 +31,9 @@ ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 FIRST_CUT = "2024-01-11"
 SECOND_CUT = "2024-01-21"
 
+# Each landed file has events of the whole feed, which is no longer than this.
+FEED_SPAN = timedelta(days=366)
+
 # JSON files of a micro-batch. A batch does not grow with the landing folder.
 FILES_PER_BATCH = 2
 

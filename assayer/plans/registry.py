@@ -394,9 +394,12 @@ def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gold after several micro-batches, each of which touches all hours."""
+    """Gold after several micro-batches, each of which touches all hours.
+
+    Hours stay open for as long as the feed's files may be behind each other.
+    """
     work = new_workspace(spark, "stream-gold")
-    revenue = RevenueStream(work)
+    revenue = RevenueStream(work, keep=fixture.FEED_SPAN)
     events = to_silver(_event_stream(spark, sf_dir))
     revenue.start(events, f"{work}/checkpoint").awaitTermination()
     return plain_gold(revenue.read_gold(spark))

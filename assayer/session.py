@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -44,6 +46,19 @@ def build_session(
     return builder.getOrCreate()
 
 
+def reach_workers(spark: SparkSession) -> None:
+    """Let Python workers find this package at the place where the driver has it.
+
+    Enough on one machine and where the place is shared; elsewhere the package is
+    shipped with ``--py-files``. Called by whatever runs Python in tasks.
+    """
+    root = str(Path(__file__).resolve().parents[1])
+    settings = spark.sparkContext.environment
+    known = [p for p in settings.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        settings["PYTHONPATH"] = os.pathsep.join([root, *known])
+
+
 def new_workspace(spark: SparkSession, purpose: str) -> str:
     """A fresh folder that all executors can reach, for written tables.
 

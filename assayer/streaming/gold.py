@@ -2,42 +2,59 @@
 
 Two forms with different treatment of late events:
 
-* ``windowed_revenue``: pure event-time state. An hour is emitted once, when
-  the watermark has passed it; events that come later are dropped by Spark.
-* ``RevenueStream``: partial results are kept in a table. An hour is corrected
-  whenever events for it arrive, however late.
+* ``windowed_revenue``: an hour is emitted once, when the watermark has passed it;
+  events that come later are dropped by Spark.
+* ``RevenueStream``: an hour is corrected whenever events for it come, until it lies
+  further back than is kept; state per (hour, key, buyer) is held that long.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from collections.abc import Iterator
+from datetime import timedelta
+from decimal import Decimal
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.types import (
-    IntegerType,
+    ArrayType,
+    BooleanType,
+    DataType,
     LongType,
-    StringType,
     StructField,
     StructType,
 )
 
-from assayer.constants import LAYER_CODECS
+from assayer.constants import LAYER_CODECS, MONEY, MONEY_TOTAL, RETENTION_DAYS
 from assayer.operators.gold import (
     MEASURES,
     REVENUE_PER_HOUR,
     Rollup,
     buyer_partials,
-    combine_partials,
     measures_from_partials,
+    measures_from_sums,
     purchases,
 )
+from assayer.session import reach_workers
 
-BATCH_ID = "_batch_id"
-PART = "part"
+PART = "part_us"
+BUCKET = "bucket_us"
+END = "end_ms"
 SLOT = "slot"
-# Folder name of a time range, per partition grain.
-PART_FORMATS = {"day": "yyyy-MM-dd", "hour": "yyyy-MM-dd-HH"}
+VERSION = "version"
+LATE = "late"
+#: Buyers of an hour's slot that are kept with its totals.
+FIRST_BUYERS = 64
+#: What is known of a slot.
+TOTALS = (
+    StructField("amount_sum", MONEY_TOTAL),
+    StructField("amount_count", LongType()),
+    StructField("amount_max", MONEY),
+    StructField("amount_min", MONEY),
+    StructField("row_count", LongType()),
+    StructField("buyer_count", LongType()),
+)
 
 
 def windowed_revenue(
@@ -75,113 +92,181 @@ def start_windowed_revenue(
     )
 
 
+class SlotTotals(StatefulProcessor):
+    """Totals of the hours of one (day, key, slot); each buyer belongs to one slot.
+
+    State: the totals of each hour with its first buyers, and a map of all further
+    buyers, so that a call reads and writes one value unless an hour has many. Each call
+    emits the totals so far of the hours it touches, with a version; the highest of an
+    hour's slot counts. A timer closes the day when the watermark passes its end: totals
+    and buyers go. What comes for a closed day can't be merged exactly any more; it is
+    emitted as totals of its own, marked late, so that nothing is lost or counted twice.
+    """
+
+    def __init__(self, spec: Rollup, buyer: DataType) -> None:
+        self.spec = spec
+        self.buyer = buyer
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        first = StructField("first_buyers", ArrayType(self.buyer))
+        hour = StructType([StructField(BUCKET, LongType()), *TOTALS, first])
+        fields = [StructField(VERSION, LongType()), StructField("hours", ArrayType(hour))]
+        self.hours = handle.getValueState("hours", StructType(fields))
+        self.others = handle.getMapState(
+            "other_buyers",
+            StructType([StructField(BUCKET, LongType()), StructField("buyer", self.buyer)]),
+            StructType([StructField("seen", BooleanType())]),
+        )
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        spec, end = self.spec, 0
+        come: dict[int, tuple[list, list, set]] = {}
+        for row in rows:
+            end = row[END]
+            amounts, ids, buyers = come.setdefault(row[BUCKET], ([], [], set()))
+            if row[spec.amount] is not None:
+                amounts.append(row[spec.amount])
+            if row[spec.row_id] is not None:
+                ids.append(1)
+            if row[spec.buyer] is not None:
+                buyers.add(row[spec.buyer])
+        late = end <= timerValues.getCurrentWatermarkInMs()
+        found = None if late else self.hours.get()
+        version, hours = (found[0], {h[0]: tuple(h) for h in found[1]}) if found else (0, {})
+        version += 1
+        for bucket, (amounts, ids, buyers) in come.items():
+            known = hours.get(bucket, (bucket, None, 0, None, None, 0, 0, []))
+            _, total, count, most, least, n, buyer_count, first = known
+            if not late:
+                buyers, first = self._fresh(bucket, buyers, list(first), buyer_count)
+            held = [x for x in (most, least) if x is not None]
+            totals = (
+                sum(amounts, total or Decimal(0)) if amounts else total,
+                count + len(amounts),
+                max([*amounts, *held], default=None),
+                min([*amounts, *held], default=None),
+                n + len(ids),
+                buyer_count + len(buyers),
+            )
+            hours[bucket] = (bucket, *totals, first)
+            names = [BUCKET, *spec.keys, SLOT, *[f.name for f in TOTALS], VERSION, LATE]
+            yield Row(**dict(zip(names, (bucket, *key[1:], *totals, version, late))))
+        if not late:
+            self.hours.update((version, list(hours.values())))
+            if found is None:
+                self.handle.registerTimer(end)
+
+    def _fresh(self, bucket: int, buyers: set, first: list, known: int) -> tuple[list, list]:
+        """An hour's buyers not seen before, now kept, and the first ones of all."""
+        fresh = sorted(buyers.difference(first))
+        if known > len(first):  # some are in the map
+            fresh = [b for b in fresh if not self.others.containsKey((bucket, b))]
+        room = FIRST_BUYERS - len(first)
+        for buyer in fresh[room:]:
+            self.others.updateValue((bucket, buyer), (True,))
+        return fresh, first + fresh[:room]
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        self.hours.clear()
+        self.others.clear()
+        return iter([])
+
+
 class RevenueStream:
     """Gold that follows a stream of Silver events, late ones included.
 
-    The state is one partial per (hour, key, buyer), stored under
-    ``partials/part=<hour>/slot=<0 or 1>`` with the id of the micro-batch that
-    wrote it. A micro-batch is reduced to partials, merged with those of the
-    hours it touches, and written to the slot that did not hold the current
-    ones; Gold is computed from the merged partials, for those hours and no
-    others. So what a micro-batch reads depends on the hours it touches and not
-    on how many micro-batches there were before.
-
-    A micro-batch that is repeated after a failure finds the partials from
-    before it in the other slot, and leaves the same result. One that has been
-    followed by another for the same hours is complete, and is left alone.
+    The log under ``path`` has a row for every (hour, key, slot) that a micro-batch
+    touched: its totals so far. Spark's file sink lists the files of each micro-batch
+    when it is complete, so a reader sees whole micro-batches only, a repeated one
+    adds nothing, and a micro-batch writes one file per task, whatever hours it has.
+
+    A hot (hour, key) is spread over ``slots`` by its buyers. ``keep`` is how far behind the
+    newest event a day may end and its hours still be corrected. ``part`` is the span whose
+    hours are held and closed together.
     """
 
-    def __init__(self, path: str, spec: Rollup = REVENUE_PER_HOUR, grain: str = "hour"):
+    def __init__(
+        self,
+        path: str,
+        spec: Rollup = REVENUE_PER_HOUR,
+        slots: int = 8,
+        keep: timedelta = timedelta(days=RETENTION_DAYS),
+        part: str = "day",
+    ):
         self.spec = spec
-        self.part_format = PART_FORMATS[grain]
-        self.incoming_path = f"{path.rstrip('/')}/incoming"
-        self.partials_path = f"{path.rstrip('/')}/partials"
-        self.gold_path = f"{path.rstrip('/')}/gold"
+        self.path = path.rstrip("/") + "/log"
+        self.slots = slots
+        self.keep = f"{int(keep.total_seconds())} seconds"
+        self.part = part
 
-    def start(self, silver: DataFrame, checkpoint: str) -> StreamingQuery:
-        """Process all available events and stop; start again for more."""
+    def log(self, silver: DataFrame) -> DataFrame:
+        """What the stream appends to the log."""
         spec = self.spec
-        # A micro-batch hands over all its columns: select what is needed here,
-        # so that the source reads no others and no mask is computed.
-        needed = purchases(silver).select(
-            spec.ts, *spec.keys, spec.amount, spec.row_id, spec.buyer
+        reach_workers(silver.sparkSession)
+        slot = F.pmod(F.xxhash64(spec.buyer), F.lit(self.slots)).cast("int").alias(SLOT)
+        part = F.date_trunc(self.part, spec.ts)
+        # Only what is needed, so that the source reads no other fields and no mask is
+        # computed. Without the time itself: Spark would drop the late rows by it.
+        needed = purchases(silver.withWatermark(spec.ts, self.keep)).select(
+            F.unix_micros(part).alias(PART),
+            *spec.keys,
+            slot,
+            F.unix_micros(spec.bucket()).alias(BUCKET),
+            F.unix_millis(part + F.expr(f"interval 1 {self.part}")).alias(END),
+            spec.amount,
+            spec.row_id,
+            spec.buyer,
+        )
+        fields = needed.schema
+        kept = [*[fields[n] for n in (BUCKET, *spec.keys, SLOT)], *TOTALS]
+        schema = StructType(
+            [
+                *[StructField(f.name, f.dataType) for f in kept],
+                StructField(VERSION, LongType()),
+                StructField(LATE, BooleanType()),
+            ]
+        )
+        processor = SlotTotals(spec, fields[spec.buyer].dataType)
+        totals = needed.groupBy(PART, *spec.keys, SLOT).transformWithState(
+            processor, schema, "Append", "EventTime"
         )
+        time = F.timestamp_micros(BUCKET).alias(spec.bucket_name)
+        return totals.select(time, *[n for n in schema.names if n != BUCKET])
+
+    def start(self, silver: DataFrame, checkpoint: str) -> StreamingQuery:
+        """Process all available events and stop; start again for more."""
         return (
-            needed.writeStream.foreachBatch(self.process)
+            self.log(silver)
+            .writeStream.format("parquet")
+            .option("path", self.path)
             .option("checkpointLocation", checkpoint)
+            .option("compression", LAYER_CODECS["gold"])
             .outputMode("append")
             .trigger(availableNow=True)
             .start()
         )
 
-    def process(self, batch: DataFrame, batch_id: int) -> None:
-        """Add one micro-batch."""
-        if batch.isEmpty():
-            return
-        spark = batch.sparkSession
-        partials = self._with_part(buyer_partials(batch, self.spec))
-        seen = Observation()
-        marked = partials.observe(seen, F.collect_set(PART).alias("parts"))
-        marked.write.mode("overwrite").parquet(self.incoming_path)
-        incoming = spark.read.schema(partials.schema).parquet(self.incoming_path)
-
-        parts = seen.get["parts"]
-        every = self._stored(spark, partials.schema, parts)
-        if not every.where(F.col(BATCH_ID) > batch_id).isEmpty():
-            return
-        stored = every.where(F.col(BATCH_ID) < batch_id)
-        newest = stored.groupBy(PART).agg(F.max(F.struct(BATCH_ID, SLOT)).alias("newest"))
-        held = stored.join(newest, PART).where(F.col(BATCH_ID) == F.col(f"newest.{BATCH_ID}"))
-        merged = combine_partials(
-            held.select(*partials.columns).unionByName(incoming), self.spec
-        )
-        free = F.coalesce(1 - F.col(f"newest.{SLOT}"), F.lit(0)).alias(SLOT)
-        placed = self._with_part(merged).join(newest, PART, "left").select(
-            *partials.columns, F.lit(batch_id).cast("bigint").alias(BATCH_ID), free
-        )
-        self._overwrite(placed, self.partials_path, PART, SLOT)
-
-        current = self._stored(spark, partials.schema, parts).where(
-            F.col(BATCH_ID) == batch_id
-        )
-        gold = self._with_part(measures_from_partials(current, self.spec))
-        self._overwrite(gold, self.gold_path, PART)
+    def read_log(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(self.path)
 
     def read_gold(self, spark: SparkSession) -> DataFrame:
-        """The current Gold rows."""
-        return spark.read.parquet(self.gold_path).select(*self.spec.group, *MEASURES)
-
-    def _stored(
-        self, spark: SparkSession, schema: StructType, parts: list[str]
-    ) -> DataFrame:
-        """The partials of some hours, of both slots."""
-        full = StructType(
-            [
-                *[f for f in schema.fields if f.name != PART],
-                StructField(BATCH_ID, LongType()),
-                StructField(PART, StringType()),
-                StructField(SLOT, IntegerType()),
-            ]
-        )
-        try:
-            rows = spark.read.schema(full).parquet(self.partials_path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            rows = spark.createDataFrame([], full)
-        return rows.where(F.col(PART).isin(*parts))
-
-    def _with_part(self, df: DataFrame) -> DataFrame:
-        part = F.date_format(self.spec.bucket_name, self.part_format)
-        return df.withColumn(PART, part)
-
-    def _overwrite(self, df: DataFrame, path: str, *folders: str) -> None:
-        (
-            # Few files per folder; AQE splits a folder that holds a lot.
-            df.hint("rebalance", PART)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .option("compression", LAYER_CODECS["gold"])
-            .partitionBy(*folders)
-            .parquet(path)
+        """The current Gold rows: the newest totals of each slot, added up."""
+        spec = self.spec
+        newest = F.max_by(F.struct(*[f.name for f in TOTALS]), VERSION).alias("newest")
+        slots = self.read_log(spark).where(~F.col(LATE))
+        slots = slots.groupBy(*spec.group, SLOT).agg(newest).select(*spec.group, "newest.*")
+        sums = slots.groupBy(*spec.group).agg(
+            F.sum("amount_sum").cast(MONEY_TOTAL).alias("amount_sum"),
+            F.sum("amount_count").alias("amount_count"),
+            F.sum("row_count").alias("transaction_count"),
+            F.max("amount_max").alias("max_order_value"),
+            F.min("amount_min").alias("min_order_value"),
+            # No buyer is in two slots.
+            F.sum("buyer_count").alias("unique_buyers"),
         )
+        return measures_from_sums(sums, spec)
+
+    def read_late(self, spark: SparkSession) -> DataFrame:
+        """Totals of what came for hours after they were closed, one row per micro-batch."""
+        return self.read_log(spark).where(LATE).drop(LATE, VERSION)

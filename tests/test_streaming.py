@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -76,14 +76,17 @@ def test_silver_stream_continues_where_it_stopped(spark, bronze, work):
     assert run() == ["e1", "e2"]
 
 
-@pytest.mark.parametrize("grain", ["day", "hour"])
-def test_gold_stream_equals_batch(spark, work, grain):
+@pytest.mark.parametrize(
+    ("files", "slots", "part"), [(1, 3, "day"), (2, 1, "month"), (4, 8, "hour")]
+)
+def test_gold_stream_equals_batch(spark, work, files, slots, part):
     landing = fixture.json_landing(spark, SMALL)
-    source = stream_json_events(spark, landing, files_per_batch=1)
-    stream = RevenueStream(work, grain=grain)
+    source = stream_json_events(spark, landing, files_per_batch=files)
+    stream = RevenueStream(work, slots=slots, part=part, keep=fixture.FEED_SPAN)
     query = stream.start(to_silver(source), f"{work}/checkpoint")
     query.awaitTermination()
-    assert len([p for p in query.recentProgress if p["numInputRows"]]) == 4
+    assert len([p for p in query.recentProgress if p["numInputRows"]]) == 4 // files
+    assert stream.read_late(spark).isEmpty()
     batch = revenue_per_hour(fixture.silver_events(spark, SMALL))
     assert rows(stream.read_gold(spark)) == rows(batch) != set()
 
@@ -116,64 +119,95 @@ def test_late_event_corrects_its_hour_only(spark, bronze, work):
     assert run() == {total, later}
 
 
-def test_repeated_batch_changes_nothing(spark, bronze, work):
-    stream = RevenueStream(work)
-    first = to_silver(bronze(purchase(1, "00:10:00"), purchase(2, "01:10:00")))
-    second = to_silver(bronze(purchase(3, "00:20:00", 3.0, "u2")))
-    stream.process(first, 0)
-    stream.process(second, 1)
-    once = rows(stream.read_gold(spark))
-    stream.process(second, 1)
-    stream.process(first, 0)
-    assert rows(stream.read_gold(spark)) == once
-    assert once == rows(revenue_per_hour(first.unionByName(second)))
-
-
-def test_stream_recovers_from_a_failure_between_its_writes(spark, bronze, work):
-    class Failing(RevenueStream):
-        def _overwrite(self, df, path, *folders):
-            if path == self.gold_path:
-                raise RuntimeError("lost")
-            super()._overwrite(df, path, *folders)
-
+def run_gold(spark, work, stream):
+    source = to_silver(stream_json_events(spark, f"{work}/in", files_per_batch=1))
+    stream.start(source, f"{work}/checkpoint").awaitTermination()
+    return rows(stream.read_gold(spark))
+
+
+def test_many_buyers_of_an_hour_are_counted_once(spark, bronze, work, monkeypatch):
+    """Beyond the first few, buyers are in the map; both places are looked at."""
+    monkeypatch.setattr("assayer.streaming.gold.FIRST_BUYERS", 2)
+    stream = RevenueStream(work, slots=2)
+    changes = []
+    for batch in range(3):
+        own = [
+            purchase(100 * batch + k, f"0{k % 2}:{10 + batch}:00", k + 1.0, f"u{k * batch % 17}")
+            for k in range(40)
+        ]
+        changes += own + [purchase(100 * batch + 99, "00:59:00", 2.5, "u1", None)]
+        land(bronze, work, *own, changes[-1])
+    batch = revenue_per_hour(to_silver(bronze(*changes)))
+    assert run_gold(spark, work, stream) == rows(batch)
+
+
+def test_late_events_of_a_closed_day_are_told_apart(spark, bronze, work):
+    stream = RevenueStream(work, keep=timedelta(days=1))
+    day = "2024-01-{:02d}T{}"
+
+    def at(number, day_of_month, amount, user="u1"):
+        change = purchase(number, "00:00:00", amount, user)
+        return change | {"event_ts": day.format(day_of_month, "05:10:00")}
+
+    land(bronze, work, at(1, 1, 2.0), at(2, 2, 3.0))
+    first = run_gold(spark, work, stream)
+    land(bronze, work, at(3, 1, 5.0, "u2"))  # a day behind: still open
+    second = run_gold(spark, work, stream)
+    land(bronze, work, at(4, 20, 7.0))  # closes both days
+    third = run_gold(spark, work, stream)
+    assert stream.read_late(spark).isEmpty()
+    land(bronze, work, at(5, 1, 11.0, "u3"), at(6, 1, 1.0, "u3"), at(7, 20, 1.0))
+    land(bronze, work, at(8, 2, 13.0, "u1"))
+    last = run_gold(spark, work, stream)
+    assert len(first) == len(second) == 2 and first != second
+    assert second < third
+    assert {r for r in last if r[0].day < 20} == {r for r in second}
+    late = stream.read_late(spark).orderBy("amount_sum").collect()
+    found = [(r["amount_sum"], r["row_count"], r["buyer_count"]) for r in late]
+    assert found == [(Decimal("12.00"), 2, 1), (Decimal("13.00"), 1, 1)]
+    # Nothing is lost: what Gold shows and what came late are all that came.
+    total = sum(r[2] for r in last) + sum(r["amount_sum"] for r in late)
+    assert total == Decimal("43.00")
+    shown = spark.read.format("statestore").option("stateVarName", "hours")
+    state = shown.load(f"{work}/checkpoint")
+    assert state.count() == 1, "the state of closed days is gone"
+
+
+def test_gold_stream_recovers_from_a_failing_batch(spark, bronze, work):
+    """A micro-batch that fails in its tasks is repeated and counts once."""
     land(bronze, work, purchase(1, "00:10:00", 2.0), purchase(2, "01:10:00", 4.0))
+    stream = RevenueStream(work)
+    before = run_gold(spark, work, stream)
+    land(bronze, work, purchase(3, "00:20:00", 6.0, "u2"))
     source = to_silver(stream_json_events(spark, f"{work}/in"))
-    failing = Failing(work).start(source, f"{work}/checkpoint")
+    lost = F.raise_error(F.lit("lost")).cast("boolean")
+    failing = source.where(F.when(F.col("user_id") == "u2", lost).otherwise(True))
     with pytest.raises(Exception, match="lost"):
-        failing.awaitTermination()
-    land(bronze, work, purchase(3, "00:20:00", 6.0, "u2"))
-    stream = RevenueStream(work)
-    stream.start(source, f"{work}/checkpoint").awaitTermination()
+        stream.start(failing, f"{work}/checkpoint").awaitTermination()
+    # Readers still see the batches before, whole.
+    assert rows(stream.read_gold(spark)) == before
+    land(bronze, work, purchase(4, "00:30:00", 1.0, "u2"))
     everything = to_silver(read_json_events(spark, f"{work}/in"))
-    assert rows(stream.read_gold(spark)) == rows(revenue_per_hour(everything))
+    assert run_gold(spark, work, stream) == rows(revenue_per_hour(everything))
 
 
-def test_gold_stream_reads_only_needed_fields(spark, bronze, work):
+def test_gold_stream_reads_only_needed_fields(spark, work):
     """The masks are not computed for a stream that does not show them."""
-    plans = []
-
-    class Watching(RevenueStream):
-        def process(self, batch, batch_id):
-            plans.append(batch.columns)
-            super().process(batch, batch_id)
-
-    land(bronze, work, purchase(1, "00:10:00"))
-    source = to_silver(stream_json_events(spark, f"{work}/in"))
-    Watching(work).start(source, f"{work}/checkpoint").awaitTermination()
-    assert plans == [["event_ts", "category", "amount", "event_id", "user_id"]]
+    source = to_silver(stream_json_events(spark, fixture.json_landing(spark, SMALL)))
+    query = RevenueStream(work).start(source, f"{work}/checkpoint")
+    query.awaitTermination()
+    plan = query._jsq.explainInternal(False)
+    assert "sha2" not in plan and "TransformWithState" in plan
 
 
-def test_a_batch_reads_no_more_after_many_batches(spark, bronze, work):
-    """Two slots per hour are all there is, and the other one is never merged in."""
-    stream = RevenueStream(work)
-    batches = [purchase(k, "00:10:00", 1.0 + k, f"u{k % 2}") for k in range(6)]
-    for k, change in enumerate(batches):
-        stream.process(to_silver(bronze(change)), k)
-        stored = spark.read.parquet(f"{work}/partials")
-        assert stored.select("slot").distinct().count() <= 2
-        assert stored.count() <= 4
-        assert spark.read.parquet(f"{work}/incoming").count() == 1
-    assert rows(stream.read_gold(spark)) == rows(revenue_per_hour(to_silver(bronze(*batches))))
+def test_a_batch_writes_few_files(spark, work):
+    """As many as there are tasks, however many hours it touches."""
+    source = stream_json_events(spark, fixture.json_landing(spark, SMALL))
+    stream = RevenueStream(work, keep=fixture.FEED_SPAN)
+    stream.start(to_silver(source), f"{work}/checkpoint").awaitTermination()
+    log = stream.read_log(spark)
+    assert log.select("hour_bucket").distinct().count() > 100
+    assert len(log.inputFiles()) <= 2 * 8  # of the events, and of closing hours
 
 
 def test_silver_stream_fails_on_a_null_that_the_contract_forbids(spark, bronze, work, monkeypatch):
@@ -193,9 +227,10 @@ def test_silver_stream_fails_on_a_null_that_the_contract_forbids(spark, bronze,
 
 def test_batch_without_purchases(spark, bronze, work):
     stream = RevenueStream(work)
-    stream.process(to_silver(bronze(purchase(1, "00:10:00"))), 0)
-    stream.process(to_silver(bronze({})).where("false"), 1)
-    assert stream.read_gold(spark).count() == 1
+    land(bronze, work, purchase(1, "00:10:00"))
+    run_gold(spark, work, stream)
+    land(bronze, work, {"event_type": "view"})
+    assert len(run_gold(spark, work, stream)) == 1
 
 
 def test_windows_are_emitted_once_closed(spark, bronze, work):
