@@ -10,7 +10,8 @@ the ids of consecutive documents in blocks that are coded independently:
   to run all stretches of a group of blocks side by side.
 * Every block has the crc32 of its ids, and is refused if they differ.
 
-File: ``MAGIC``; the header (JSON, length before it); the documents (ids and
+File: ``MAGIC``; the header (JSON, length before it); the documents, those without an id
+first (ids and
 numbers of tokens, as 64-bit integers, zlib); the blocks. The table is a file
 of its own, and the header of each file has its crc32.
 
@@ -26,9 +27,11 @@ import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -201,11 +204,13 @@ def _sized(data: bytes) -> bytes:
     return struct.pack("<Q", len(data)) + data
 
 
-def _coded_file(ids: Iterator[np.ndarray], doc_ids, lengths, start: int, table: Table):
+def _coded_file(
+    ids: Iterator[np.ndarray], no_ids: int, doc_ids, lengths, start: int, table: Table
+):
     header = {
         "lanes": LANES, "steps": STEPS, "stretches": STRETCHES, "scale": SCALE,
         "table_crc": table.crc, "documents": len(lengths), "start": start,
-        "ids": int(lengths.sum()),
+        "ids": int(lengths.sum()), "no_ids": no_ids,
     }
     yield MAGIC
     yield _sized(json.dumps(header).encode())
@@ -247,38 +252,42 @@ def write_ids(
     spark = docs.sparkSession
     raw = f"{folder}/raw"
     schema = (
-        "shard int, doc_ids binary, lengths binary, ids long, seen array<int>, counts array<long>"
+        "shard int, no_ids long, doc_ids binary, lengths binary, ids long, seen array<int>, "
+        "counts array<long>"
     )
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
-        doc_ids, lengths, counts = [], [], np.zeros(0, np.int64)
+        doc_ids, lengths, no_ids, counts = [], [], 0, np.zeros(0, np.int64)
+        cut = pieces(batches, limit=TEXT_BYTES)
+        head = next(cut, None)
+        if head is None:
+            return
 
         def stream() -> Iterator[bytes]:
-            nonlocal counts
-            codec = pa.BufferOutputStream()
-            with pa.CompressedOutputStream(codec, "zstd") as out:
-                for batch in pieces(batches, limit=TEXT_BYTES):
-                    ids, sizes = word_encoder(tokenizer).encode(batch["text"])
-                    ids = np.insert(ids, np.cumsum(sizes), np.uint32(end_id))
-                    lengths.append(sizes + 1)
-                    known = batch["doc_id"].fill_null(_NO_ID)
-                    doc_ids.append(known.to_numpy(zero_copy_only=False))
-                    found = np.bincount(ids, minlength=len(counts))
-                    found[: len(counts)] += counts
-                    counts = found
-                    out.write(ids.astype("<u4").tobytes())
-            yield codec.getvalue()
-
-        data = b"".join(stream())
-        if not lengths:
-            return
-        save_file(raw, _raw_name(shard), iter([data]))
+            """The ids, compressed; a piece's are handed on before the next is read."""
+            nonlocal counts, no_ids
+            packer = zstandard.ZstdCompressor(level=1).compressobj()
+            for batch in chain([head], cut):
+                ids, sizes = word_encoder(tokenizer).encode(batch["text"])
+                ids = np.insert(ids, np.cumsum(sizes), np.uint32(end_id))
+                lengths.append(sizes + 1)
+                no_ids += batch["doc_id"].null_count
+                known = batch["doc_id"].fill_null(0)
+                doc_ids.append(known.to_numpy(zero_copy_only=False))
+                found = np.bincount(ids, minlength=len(counts))
+                found[: len(counts)] += counts
+                counts = found
+                yield packer.compress(ids.astype("<u4").tobytes())
+            yield packer.flush()
+
+        save_file(raw, _raw_name(shard), stream())
         sizes = np.concatenate(lengths).astype("<i8")
         seen = np.flatnonzero(counts)
         yield pa.record_batch(
             {
                 "shard": pa.array([shard], pa.int32()),
+                "no_ids": pa.array([no_ids], pa.int64()),
                 "doc_ids": pa.array([np.concatenate(doc_ids).astype("<i8").tobytes()]),
                 "lengths": pa.array([sizes.tobytes()]),
                 "ids": pa.array([int(sizes.sum())], pa.int64()),
@@ -323,7 +332,7 @@ def write_ids(
                 lengths = np.frombuffer(row["lengths"], "<i8")
                 doc_ids = np.frombuffer(row["doc_ids"], "<i8")
                 parts = _coded_file(
-                    _raw_ids(raw, shard), doc_ids, lengths, starts[shard], own
+                    _raw_ids(raw, shard), row["no_ids"], doc_ids, lengths, starts[shard], own
                 )
                 size = save_file(folder, file_name(shard), parts)
                 yield pa.record_batch(
@@ -336,16 +345,12 @@ def write_ids(
                     }
                 )
 
-    columns = shards.select("shard", "doc_ids", "lengths", "ids")
+    columns = shards.select("shard", "no_ids", "doc_ids", "lengths", "ids")
     spread = columns.repartitionByRange(max(1, len(sizes)), "shard")
     files = spread.mapInArrow(code, "shard int, file string, start long, ids long, bytes long")
     return written(spark, files, "files")
 
 
-#: Stands for a null ``doc_id`` in the files.
-_NO_ID = -(2**63)
-
-
 def read_ids(spark: SparkSession, folder: str, files: DataFrame) -> DataFrame:
     """The documents in the files: ``doc_id``, ``start``, ``n_tokens``, ``ids``.
 
@@ -391,10 +396,14 @@ def _documents(f, table: Table) -> Iterator[pa.RecordBatch]:
         if last > done:
             size = int(ends[last - 1]) - taken
             own = lengths[done:last]
-            known = doc_ids[done:last]
             yield pa.record_batch(
                 {
-                    "doc_id": pa.array(known, pa.int64(), mask=known == _NO_ID),
+                    "doc_id": pa.array(
+                        doc_ids[done:last],
+                        pa.int64(),
+                        # Documents without an id come first.
+                        mask=np.arange(done, last) < header["no_ids"],
+                    ),
                     "start": pa.array(header["start"] + ends[done:last] - own),
                     "n_tokens": pa.array(own),
                     "ids": binary_rows(rest[:size].astype("<u4"), own),

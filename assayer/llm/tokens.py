@@ -7,7 +7,8 @@ encoded only once. Two more steps leave the ids as they are:
 
 * ASCII capitals are lowered in words of Latin letters, since the tokenizer
   lowers them itself. (Words with combining marks are left alone: there the
-  order of lowering and composing matters.)
+  order of lowering and composing matters; words that hold the string of a special
+  token, in any case, too.)
 * Punctuation at the end of a word, after a Latin letter or a digit, is a
   token run of its own and is encoded apart.
 
@@ -46,8 +47,9 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        # Strings that look like special tokens are ordinary text.
-        self._tokenizer.encode_special_tokens = True
+        added = self._tokenizer.get_added_tokens_decoder().values()
+        #: Strings that the library takes for a token as they stand.
+        self._special = [token.content for token in added]
         self._cache: dict[str, bytes] = {}
         self._mark = np.array(self._ids([SEPARATOR])[0], np.uint32)
 
@@ -62,7 +64,7 @@ class WordEncoder:
             return np.zeros(0, np.uint32), np.zeros(len(column), np.int64)
         coded = words.dictionary_encode()
         use = np.asarray(coded.indices)
-        core, tail = _parts(coded.dictionary)
+        core, tail = _parts(coded.dictionary, self._special)
         flat, counts, starts = self._dictionary(core, np.bincount(use))
         tail_flat, tail_counts, tail_starts = self._dictionary(tail, None)
         # Ids of the distinct words: those of the core, then those of the tail.
@@ -120,9 +122,14 @@ class WordEncoder:
         return [data[4 * a : 4 * b] for a, b in zip(firsts, lasts)]
 
 
-def _parts(words: pa.Array) -> tuple[pa.DictionaryArray, pa.DictionaryArray]:
+def _parts(
+    words: pa.Array, special: list[str]
+) -> tuple[pa.DictionaryArray, pa.DictionaryArray]:
     """Each word as a core and the punctuation behind it, dictionary encoded."""
     latin = pc.match_substring_regex(words, _LATIN)
+    for token in special:  # lowered, other words could become one
+        alike = pc.match_substring(words, token, ignore_case=True)
+        latin = pc.and_(latin, pc.invert(alike))
     lowered = pc.if_else(latin, pc.ascii_lower(words), words)
     parts = pc.extract_regex(lowered, _TAIL)
     split = pc.is_valid(parts)

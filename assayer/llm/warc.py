@@ -36,6 +36,8 @@ from assayer.llm.common import (
     written,
 )
 
+#: An archive that is as large as this is complete.
+ARCHIVE_BYTES = 1 << 30
 CHUNK = 1 << 18
 #: The version line and the profile of the WARC 1.1 standard.
 VERSION = b"WARC/1.1"
@@ -172,45 +174,46 @@ def with_references(pages: DataFrame, least: int = 0) -> DataFrame:
     )
 
 
-def write_archives(pages: DataFrame, folder: str, least: int = 0) -> DataFrame:
-    """Write all pages; one row per archive: ``file``, ``records``, ``bytes``."""
+def write_archives(
+    pages: DataFrame, folder: str, least: int = 0, most: int = ARCHIVE_BYTES
+) -> DataFrame:
+    """Write all pages; one row per archive: ``file``, ``records``, ``bytes``.
+
+    A task begins a new archive when one has reached ``most`` bytes.
+    """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name = f"pages-{TaskContext.get().partitionId():06d}.warc.gz"
-        count = 0
-
-        def members() -> Iterator[bytes]:
-            nonlocal count
-            for batch in batches:
-                for row in batch.to_pylist():
-                    count += 1
-                    yield record(
-                        row["page_id"], row["url"], row["html"].encode(), row["refers_to"]
+        part = TaskContext.get().partitionId()
+        rows = (row for batch in batches for row in batch.to_pylist())
+        head, number = next(rows, None), 0
+        while head is not None:
+            count, size = 0, 0
+
+            def members() -> Iterator[bytes]:
+                nonlocal head, count, size
+                while head is not None and size < most:
+                    made = record(
+                        head["page_id"], head["url"], head["html"].encode(), head["refers_to"]
                     )
-
-        stream = members()
-        head = next(stream, None)
-        if head is None:
-            return
-        size = save_file(folder, name, _chain(head, stream))
-        yield pa.record_batch(
-            {
-                "file": pa.array([name]),
-                "records": pa.array([count], pa.int64()),
-                "bytes": pa.array([size], pa.int64()),
-            }
-        )
+                    count, size, head = count + 1, size + len(made), next(rows, None)
+                    yield made
+
+            name = f"pages-{part:06d}-{number:04d}.warc.gz"
+            number += 1
+            save_file(folder, name, members())
+            yield pa.record_batch(
+                {
+                    "file": pa.array([name]),
+                    "records": pa.array([count], pa.int64()),
+                    "bytes": pa.array([size], pa.int64()),
+                }
+            )
 
     ready = with_references(pages, least)
     archives = ready.mapInArrow(write, "file string, records long, bytes long")
     return written(pages.sparkSession, archives, "archives")
 
 
-def _chain(head: bytes, rest: Iterator[bytes]) -> Iterator[bytes]:
-    yield head
-    yield from rest
-
-
 READ_SCHEMA = (
     "page_id long, url string, payload_bytes long, payload_digest string, "
     "record_type string, refers_to long, warc_record_id string, payload binary"

@@ -58,7 +58,6 @@ def word_ids(texts: list[str]) -> list[list[int]]:
     from tokenizers import Tokenizer
 
     coding = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    coding.encode_special_tokens = True
     return [e.ids for e in coding.encode_batch(texts, add_special_tokens=False)]
 
 
