@@ -156,6 +156,14 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     return checked.to(schema)
 
 
+def checked(column: Column, f: StructField) -> Column:
+    """A column that fails the job where it is null and the contract forbids that."""
+    if f.nullable:
+        return column
+    fail = F.raise_error(F.lit(f"contract: null in non-null column {f.name}"))
+    return F.coalesce(column, fail.cast(f.dataType))
+
+
 def _never_null(f: StructField, actual: DataType) -> Column:
     fail = F.raise_error(F.lit(f"contract: null in non-null column {f.name}"))
     # The last argument is never reached. It only tells the analyzer that the

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -23,6 +23,11 @@ def to_silver(
     the file and row a record came from (see ``operators.lineage``). Without
     them the columns are those of the contract.
     """
+    return contract.keep(bronze).select(*silver_columns(bronze, contract), *carry)
+
+
+def silver_columns(bronze: DataFrame, contract: Contract = EVENT_CONTRACT) -> list[Column]:
+    """The columns of the contract, made of raw ones."""
     derived = {
         "email_hash": mask_email("email"),
         "ip_masked": mask_ip("ip_address"),
@@ -37,7 +42,7 @@ def to_silver(
         else:
             column = contract.typed(f.name)
         columns.append(column.alias(f.name))
-    return contract.keep(bronze).select(*columns, *carry)
+    return columns
 
 
 def to_strict_silver(

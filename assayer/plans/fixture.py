@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 from datetime import timedelta
-from functools import cache
+from functools import cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from assayer.constants import BRONZE_SCHEMA
 from assayer.functions.coercion import to_money
-from assayer.operators.gold import Rollup, revenue_per_hour
+from assayer.operators.gold import Rollup, purchases, revenue_per_hour
 from assayer.operators.silver import to_silver
 from assayer.plans.layers import Layers
 from assayer.session import new_workspace
@@ -95,6 +95,133 @@ def as_bronze(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return events.select(*named, *keep)
 
 
+def mixed_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of several given tables in the Bronze shape, as a sender would mix them up.
+
+    Each table is whole and its values are what they are; they are just not where the
+    contract wants them, so that every one of its rules has rows that violate it:
+    events as ever; orders with the customer's balance as amount (some are negative);
+    line items with the ship date's microseconds as amount and quantity; parts with
+    their name as time; documents with their quality label, which most do not have.
+    """
+    orders = table(spark, sf_dir, "orders")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    sold = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
+    lines = table(spark, sf_dir, "lineitem")
+    micros = F.unix_micros(F.col("l_shipdate").cast("timestamp"))
+    parts = table(spark, sf_dir, "part")
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("q"))
+    texts = table(spark, sf_dir, "documents").join(labels, "doc_id", "left")
+
+    def rows(frame: DataFrame, **columns: Column) -> DataFrame:
+        return frame.select(
+            *[
+                columns.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+                for f in BRONZE_SCHEMA.fields
+            ]
+        )
+
+    def text(time: str) -> Column:
+        return F.date_format(time, ISO_MICROS)
+
+    return reduce(
+        DataFrame.unionByName,
+        [
+            bronze_events(spark, sf_dir),
+            rows(
+                sold,
+                event_id=F.col("o_orderkey"),
+                user_id=F.col("o_custkey"),
+                event_type=F.when(F.col("o_orderstatus") == "F", F.lit("purchase")).otherwise(
+                    F.col("o_orderstatus")
+                ),
+                category=F.col("o_orderpriority"),
+                amount=F.col("c_acctbal"),
+                event_ts=text("o_orderdate"),
+                ingested_at=F.col("o_orderstatus"),
+            ),
+            rows(
+                lines,
+                event_id=F.concat_ws("-", "l_orderkey", "l_linenumber"),
+                user_id=F.col("l_suppkey"),
+                event_type=F.lit("purchase"),
+                category=F.col("l_returnflag"),
+                amount=F.when(F.col("l_linestatus") == "O", micros).otherwise(
+                    F.col("l_extendedprice")
+                ),
+                quantity=F.when(F.col("l_returnflag") == "R", micros).otherwise(
+                    F.col("l_quantity")
+                ),
+                event_ts=text("l_shipdate"),
+            ),
+            rows(
+                parts,
+                event_id=F.col("p_partkey"),
+                user_id=F.col("p_brand"),
+                event_type=F.lit("view"),
+                amount=F.col("p_retailprice"),
+                event_ts=F.col("p_name"),
+            ),
+            rows(
+                texts,
+                event_id=F.col("doc_id"),
+                user_id=F.col("source"),
+                event_type=F.lit("view"),
+                category=F.col("lang"),
+                amount=F.col("q"),
+                event_ts=F.col("lang"),
+            ),
+        ],
+    )
+
+
+def mixed_landing(spark: SparkSession, sf_dir: str) -> str:
+    """The mixed feed as a folder of JSON files."""
+    names = ("events", "orders", "customer", "lineitem", "part", "documents", "labels")
+    return _mixed_landing(spark, sf_dir, _state(spark, sf_dir, *names))
+
+
+@cache
+def _mixed_landing(spark: SparkSession, sf_dir: str, state: tuple) -> str:
+    path = new_workspace(spark, "mixed")
+    mixed_feed(spark, sf_dir).write.mode("overwrite").json(path)
+    return path
+
+
+def json_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Given texts that are JSON (``props`` of events) or are not (turns of
+    conversations, documents, pages), as raw records."""
+    sources = (
+        ("events", "event_id", "props"),
+        ("conversations", "conv_id", "text"),
+        ("documents", "doc_id", "text"),
+        ("pages", "page_id", "html"),
+    )
+    return reduce(
+        DataFrame.unionByName,
+        [
+            table(spark, sf_dir, name).select(
+                F.lit(name).alias("source"),
+                F.col(row_id).alias("row_id"),
+                F.col(text).alias("record"),
+            )
+            for name, row_id, text in sources
+        ],
+    )
+
+
+def rolling_buyers(spark: SparkSession, sf_dir: str, days: int = 7) -> DataFrame:
+    """What each buyer spent in the days up to each day; a day is a load."""
+    day = F.to_date("event_ts")
+    counted = purchases(silver_events(spark, sf_dir)).select(
+        "user_id", "amount", F.explode(F.sequence(day, F.date_add(day, days - 1))).alias("day")
+    )
+    load = F.date_format("day", "yyyyMMdd").cast("bigint").alias(LOAD)
+    return counted.groupBy(load, "user_id").agg(
+        F.sum("amount").alias("revenue"), F.count(F.lit(1)).alias("purchases")
+    )
+
+
 def silver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_silver(bronze_events(spark, sf_dir))
 
@@ -170,9 +297,24 @@ def new_layers(spark: SparkSession, purpose: str) -> Layers:
     return Layers(spark, new_workspace(spark, purpose), prefix)
 
 
-@cache
+def _state(spark: SparkSession, sf_dir: str, *names: str) -> tuple:
+    """Size and time of the files of some tables: differs when they have changed."""
+    found = []
+    for name in names:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+        found += [(str(f.getPath()), f.getLen(), f.getModificationTime()) for f in files]
+    return tuple(found)
+
+
 def written_layers(spark: SparkSession, sf_dir: str) -> Layers:
-    """The layers after three loads; written once per session, then only read."""
+    """The layers after three loads; written once per session and state of the events,
+    then only read."""
+    return _written_layers(spark, sf_dir, _state(spark, sf_dir, "events"))
+
+
+@cache
+def _written_layers(spark: SparkSession, sf_dir: str, state: tuple) -> Layers:
     layers = new_layers(spark, "layers")
     for number, arrived in enumerate(loads()):
         events = bronze_events(spark, sf_dir, arrived)
@@ -183,14 +325,19 @@ def written_layers(spark: SparkSession, sf_dir: str) -> Layers:
     return layers
 
 
-@cache
 def json_landing(spark: SparkSession, sf_dir: str) -> str:
     """The feed as a folder of JSON files, to be read as a batch or as a stream.
 
     The files are split by the quarter of the hour in which an event happened,
     so that every hour, and most buyers, are spread over several micro-batches.
-    No shuffle: each task writes the files of the rows it has.
+    No shuffle: each task writes the files of the rows it has. Written once per session
+    and state of the events.
     """
+    return _json_landing(spark, sf_dir, _state(spark, sf_dir, "events"))
+
+
+@cache
+def _json_landing(spark: SparkSession, sf_dir: str, state: tuple) -> str:
     path = new_workspace(spark, "landing")
     quarter = F.floor(F.minute("ts") / 15).alias("quarter")
     events = table(spark, sf_dir, "events").select("*", quarter)

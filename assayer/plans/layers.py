@@ -11,11 +11,12 @@ from __future__ import annotations
 import argparse
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayer.constants import LAYERS
+from assayer.constants import LAYERS, RETENTION_DAYS
 from assayer.operators.accounting import drop_accounting, layer_summary
 from assayer.operators.gold import (
     REVENUE_PER_HOUR,
@@ -34,11 +35,22 @@ from assayer.sources.events import (
     stream_json_events,
     with_origins,
 )
-from assayer.sources.layers import APPEND, REPLACE, ensure_namespaces, save_table
-from assayer.sources.snapshots import LOAD
+from assayer.sources.layers import (
+    APPEND,
+    REPLACE,
+    current_table,
+    drop_loads,
+    ensure_namespaces,
+    save_table,
+    show_table,
+    stage_table,
+)
+from assayer.sources.snapshots import LOAD, Ledger, expirable
 from assayer.streaming.gold import RevenueStream
 from assayer.streaming.silver import start_silver
 
+RETENTION = timedelta(days=RETENTION_DAYS)
+
 TABLES = {"bronze": "events", "silver": "events", "gold": "revenue_per_hour"}
 
 #: Gold keeps the load of its rows: a group of two loads has a row of each.
@@ -60,31 +72,51 @@ class Layers:
         return f"`{self.prefix}{layer}`.{TABLES[layer]}"
 
     def read(self, layer: str) -> DataFrame:
-        """The rows of a layer."""
-        return self.spark.table(self.name(layer))
+        """The rows that a layer has now, whatever is written later."""
+        return self.spark.table(current_table(self.spark, self.name(layer)))
 
     def build(self, events: DataFrame, load: int = 0, mode: str = REPLACE) -> None:
         """Take one load of raw events through all layers.
 
-        ``REPLACE`` begins the tables anew, ``APPEND`` adds to them. Each layer
-        is written before the next one reads it, and reads this load's folder
-        only. Silver keeps where in the files of Bronze its rows come from.
+        ``REPLACE`` begins the tables anew: all three are written before the first is
+        shown, so that a build that fails changes nothing. ``APPEND`` adds to them; what an
+        earlier attempt has left of the same load goes first. Each layer is written
+        before the next one reads it, and reads this load's folder only. Silver keeps
+        where in the files of Bronze its rows come from.
         """
         names = [f"{self.prefix}{layer}" for layer in LAYERS]
         ensure_namespaces(self.spark, self.root, names)
         number = F.lit(load).cast("bigint")
+        staged: dict[str, str] = {}
+        if mode == APPEND:
+            for layer in LAYERS:
+                if self.spark.catalog.tableExists(self.name(layer)):
+                    drop_loads(self.spark, self.name(layer), LOAD, [load])
 
         def save(rows: DataFrame, layer: str) -> None:
-            save_table(rows, layer, self.name(layer), mode, split_by=LOAD)
+            if mode == APPEND:
+                save_table(rows, layer, self.name(layer), APPEND, split_by=LOAD)
+            else:
+                staged[layer] = stage_table(rows, layer, self.name(layer), split_by=LOAD)
 
         def written(layer: str) -> DataFrame:
-            return self.read(layer).where(F.col(LOAD) == number)
+            return self.spark.table(staged[layer]) if staged else self.read(layer)
 
         save(events.withColumn(LOAD, number), "bronze")
-        bronze = with_origins(self.read("bronze")).where(F.col(LOAD) == number)
+        bronze = with_origins(written("bronze")).where(F.col(LOAD) == number)
         save(to_strict_silver(bronze, carry=[*ORIGIN, LOAD]), "silver")
-        gold = revenue_rollup(purchases(written("silver")), REVENUE_PER_LOAD)
+        silver = written("silver").where(F.col(LOAD) == number)
+        gold = revenue_rollup(purchases(silver), REVENUE_PER_LOAD)
         save(stamp(sorted_for_sink(gold, "hour_bucket", "category")), "gold")
+        for layer, fresh in staged.items():
+            show_table(self.spark, self.name(layer), fresh)
+
+    def expire(self, ledger: Ledger, now: Column, max_age: timedelta = RETENTION) -> list[int]:
+        """Drop the loads that no snapshot worth keeping shows; return their ids."""
+        loads = sorted(r[LOAD] for r in expirable(ledger, now, max_age).collect())
+        for layer in LAYERS:
+            drop_loads(self.spark, self.name(layer), LOAD, loads)
+        return loads
 
     def append(self, events: DataFrame, load: int) -> None:
         """Add one load of raw events to all layers."""

@@ -213,6 +213,63 @@ def _found(pattern: str) -> str:
   select 'pages', page_id, unnest(regexp_extract_all(html, '{pattern}')) from pages"""
 
 
+# Several given tables, mixed up by their sender; see ``fixture.mixed_feed``.
+MIXED = BRONZE.replace("bronze as (", "given as (", 1) + """,
+bronze as (
+  select * exclude (load_id) from given
+  union all by name
+  select cast(o_orderkey as varchar) as event_id, cast(o_custkey as varchar) as user_id,
+    case when o_orderstatus = 'F' then 'purchase' else o_orderstatus end as event_type,
+    o_orderpriority as category, c_acctbal as amount,
+    strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f') as event_ts, o_orderstatus as ingested_at
+  from orders left join customer on o_custkey = c_custkey
+  union all by name
+  select concat(l_orderkey, '-', l_linenumber) as event_id,
+    cast(l_suppkey as varchar) as user_id, 'purchase' as event_type, l_returnflag as category,
+    case when l_linestatus = 'O' then cast(epoch_us(l_shipdate) as double)
+      else l_extendedprice end as amount,
+    case when l_returnflag = 'R' then epoch_us(l_shipdate)
+      else cast(l_quantity as bigint) end as quantity,
+    strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S.%f') as event_ts
+  from lineitem
+  union all by name
+  select cast(p_partkey as varchar) as event_id, p_brand as user_id, 'view' as event_type,
+    p_retailprice as amount, p_name as event_ts
+  from part
+  union all by name
+  select cast(d.doc_id as varchar) as event_id, source as user_id, 'view' as event_type,
+    lang as category, cast(q as double) as amount, lang as event_ts
+  from documents d
+  left join (select doc_id, max(quality) as q from labels group by doc_id) l
+    on l.doc_id = d.doc_id
+)"""
+
+
+def _mixed(select: str) -> str:
+    silver = SILVER.replace("ingested as ingested_at, load_id", "ingested as ingested_at")
+    return _with(MIXED, TYPED, silver, select=select)
+
+
+def _drops(judged: str) -> str:
+    return f"""
+select r.position, r.reason, count(j.reason) as rows,
+  {_percent('count(j.reason)', '(select count(*) from bronze)')} as rows_pct
+from (values (0, 'missing_required'), (1, 'bad_event_ts'), (2, 'amount_out_of_range'),
+    (3, 'non_positive_amount'), (4, 'bad_event_type'), (5, 'ok')) r(position, reason)
+left join {judged} j on j.reason = r.reason
+group by r.position, r.reason"""
+
+
+RECORDS = """
+records as (
+  select 'events' as source, event_id as row_id, props as record from events
+  union all select 'conversations', conv_id, text from conversations
+  union all select 'documents', doc_id, text from documents
+  union all select 'pages', page_id, html from pages
+)"""
+
+MIXED_SILVER = _mixed(f"select {SILVER_COLUMNS} from silver")
+
 ORACLE: dict[str, str] = {
     "bronze_events": BRONZE_ROWS,
     "bronze_json_fields": """
@@ -234,13 +291,7 @@ select event_id, money as amount from typed where money > 0"""),
 select event_id, event_type from bronze
 where event_type in ('purchase', 'add_to_cart', 'view', 'wishlist', 'checkout')"""),
     "silver_events": SILVER_ROWS,
-    "silver_drop_accounting": _typed(f"""
-select r.position, r.reason, count(j.reason) as rows,
-  {_percent('count(j.reason)', '(select count(*) from bronze)')} as rows_pct
-from (values (0, 'missing_required'), (1, 'bad_event_ts'), (2, 'amount_out_of_range'),
-    (3, 'non_positive_amount'), (4, 'bad_event_type'), (5, 'ok')) r(position, reason)
-left join judged j on j.reason = r.reason
-group by r.position, r.reason"""),
+    "silver_drop_accounting": _typed(_drops("judged")),
     "pii_email_hash": f"""
 select source, row_id, sha256(value) as email_hash from ({_found(EMAIL)})""",
     "pii_ip_mask": f"""
@@ -325,4 +376,72 @@ select load_id, cast(1 as bigint) as silver_rows, cast(1 as bigint) as bronze_ro
 from silver group by load_id"""),
     "stream_silver": SILVER_ROWS,
     "stream_gold": GOLD_ROWS,
+    "stream_quarantine": _mixed("""
+select reason, event_id, user_id, event_type, category, amount, event_ts, quantity
+from judged where reason <> 'ok'"""),
+    "stream_quarantine_silver": MIXED_SILVER,
+    "mixed_drop_accounting": _mixed(_drops("judged")),
+    "mixed_silver": MIXED_SILVER,
+    "mixed_required_fields": _mixed("""
+select event_id, user_id, amount, event_ts from bronze
+where user_id is not null and amount is not null and not isnan(amount)
+  and event_id is not null and event_ts is not null"""),
+    "mixed_typed": _mixed("""
+select event_id, user_id, quantity as raw_quantity, money as amount, pieces as quantity,
+  happened as event_ts, ingested as ingested_at
+from typed"""),
+    "bronze_variant_fields": _with(RECORDS, select="""
+select source, row_id,
+  case when json_valid(record) then cast(json_extract_string(record, '$.k') as int) end as k,
+  not json_valid(record) as is_corrupt
+from records"""),
+    "bronze_variant_drift": _with(RECORDS, """
+fields as (
+  select source, unnest(json_keys(record)) as field from records
+  where source = 'events' and json_valid(record)
+)""", select="""
+select r.source, r.records, r.corrupt_records, f.field,
+  case when f.field is not null then 'BIGINT' end as field_type, f.n as field_records
+from (
+  select source, count(*) as records, count(*) filter (where not json_valid(record))
+    as corrupt_records
+  from records group by source
+) r
+left join (select source, field, count(*) as n from fields group by all) f using (source)"""),
+    "snapshot_retention": _history(f"""
+select {GOLD_COLUMNS}, load_id from daily
+where load_id in (
+  select v.load_id from visible v join appended k using (snapshot_id)
+  where k.committed_at > (select max(committed_at) from appended) - interval 7 days
+    or k.snapshot_id = (select max(snapshot_id) from appended))"""),
+    "snapshot_changes": _with(BRONZE, TYPED, SILVER, """
+rolling as (
+  select cast(strftime(cast(event_ts as date) + cast(i as int), '%Y%m%d') as bigint) as load_id,
+    user_id, cast(sum(amount) as decimal(18,2)) as revenue, count(*) as purchases
+  from silver, range(7) r(i)
+  where event_type = 'purchase' group by all
+),
+numbered as (
+  select *, dense_rank() over (order by load_id) - 1 as snapshot_id from rolling
+),
+a as (select user_id, revenue, purchases from numbered where snapshot_id = 14),
+b as (select user_id, revenue, purchases from numbered where snapshot_id = 18),
+sides as (
+  select *, 'added' as side from (select * from b except all select * from a)
+  union all
+  select *, 'removed' from (select * from a except all select * from b)
+)""", select="""
+select user_id, revenue, purchases,
+  case when min(side) over (partition by user_id) <> max(side) over (partition by user_id)
+    then 'changed' else side end as change,
+  side, n as times
+from (select user_id, revenue, purchases, side, count(*) as n from sides group by all)"""),
+    "events_as_of": _history("""
+select e.event_id, e.ts as at, s.committed_at, s.snapshot_id, s.total_records
+from events e asof left join appended s on e.ts >= s.committed_at"""),
+    "events_after_purchase": """
+select e.event_id, e.user_id, e.ts, p.ts as bought_at, p.event_id as purchase_id
+from events e asof left join
+  (select * from events where event_type = 'purchase') p
+  on e.user_id = p.user_id and e.ts >= p.ts""",
 }

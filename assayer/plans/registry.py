@@ -6,6 +6,7 @@ sums as ``decimal(18,2)``, so that results compare across engines.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import timedelta
 
@@ -16,6 +17,7 @@ from pyspark.sql.types import DecimalType
 from assayer.constants import SILVER_SCHEMA
 from assayer.functions.masking import mask_email, mask_ip, register_sql_functions
 from assayer.operators.accounting import drop_accounting, layer_summary_of
+from assayer.operators.asof import join_as_of
 from assayer.operators.contract import EVENT_CONTRACT, require_values
 from assayer.operators.gold import (
     MEASURES,
@@ -41,9 +43,18 @@ from assayer.sources.events import (
     stream_json_events,
     with_origins,
 )
+from assayer.sources.layers import (
+    REPLACE,
+    current_table,
+    drop_loads,
+    ensure_namespaces,
+    save_table,
+)
 from assayer.sources.snapshots import (
     LOAD,
+    Ledger,
     audit,
+    changes,
     expirable,
     history,
     ledger_of,
@@ -51,8 +62,9 @@ from assayer.sources.snapshots import (
     restored,
     sums_by_load,
 )
+from assayer.sources.variant import IS_CORRUPT, field_types, variant_field, with_variant
 from assayer.streaming.gold import RevenueStream
-from assayer.streaming.silver import start_silver
+from assayer.streaming.silver import QuarantinedSilver, start_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -104,6 +116,25 @@ def bronze_json_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bronze_variant_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Given texts as raw records: what is JSON has its field, the rest is corrupt."""
+    parsed = with_variant(fixture.json_texts(spark, sf_dir), "record")
+    return parsed.select(
+        "source",
+        "row_id",
+        variant_field("$.k", "int").alias("k"),
+        F.col(IS_CORRUPT).alias("is_corrupt"),
+    )
+
+
+def bronze_variant_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per source: records, corrupt ones, and how many fields of which types there are."""
+    parsed = with_variant(fixture.json_texts(spark, sf_dir), "record")
+    return field_types(parsed, "source").select(
+        "source", "records", "corrupt_records", "field", "field_type", "field_records"
+    )
+
+
 def bronze_json_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = read_json_events(spark, fixture.json_landing(spark, sf_dir))
     return events.drop(CORRUPT, "quarter")
@@ -153,6 +184,38 @@ def silver_drop_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_accounting(fixture.bronze_events(spark, sf_dir))
 
 
+def mixed_drop_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_accounting(fixture.mixed_feed(spark, sf_dir))
+
+
+def mixed_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain_silver(to_strict_silver(fixture.mixed_feed(spark, sf_dir)))
+
+
+def mixed_required_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = fixture.mixed_feed(spark, sf_dir)
+    kept = require_values(mixed, EVENT_CONTRACT.required)
+    return kept.select("event_id", "user_id", "amount", "event_ts")
+
+
+def mixed_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All raw values that must change their type, next to what they become."""
+    mixed = fixture.mixed_feed(spark, sf_dir)
+    typed = mixed.select(
+        "event_id",
+        "user_id",
+        F.col("quantity").alias("raw_quantity"),
+        *[
+            EVENT_CONTRACT.typed(name).alias(name)
+            for name in ("amount", "quantity", "event_ts", "ingested_at")
+        ],
+    )
+    return typed.select(
+        "event_id", "user_id", "raw_quantity", "amount", "quantity",
+        plain_time("event_ts"), plain_time("ingested_at"),
+    )
+
+
 def pii_email_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every e-mail address in the given texts, masked."""
     found = fixture.found_in_text(spark, sf_dir, fixture.EMAIL, "@")
@@ -273,16 +336,16 @@ def layer_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 MIDDLE = 14
 
 
-def _daily_ledger(daily: DataFrame) -> DataFrame:
+def _daily_ledger(daily: DataFrame) -> Ledger:
     return ledger_of(daily, fixture.new_period(), time="hour_bucket")
 
 
-def _restored_ledger(daily: DataFrame) -> DataFrame:
+def _restored_ledger(daily: DataFrame) -> Ledger:
     return restored(_daily_ledger(daily), MIDDLE, after=timedelta(days=1))
 
 
-def _plain_snapshots(ledger: DataFrame) -> DataFrame:
-    return ledger.select(
+def _plain_snapshots(snapshots: DataFrame) -> DataFrame:
+    return snapshots.select(
         "snapshot_id",
         plain_instant("committed_at"),
         "operation",
@@ -325,7 +388,7 @@ def snapshot_history_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
         ORDER BY committed_at DESC, snapshot_id DESC LIMIT 5
         """,
         current=read_as_of(daily, ledger),
-        ledger=ledger,
+        ledger=ledger.snapshots,
     )
 
 
@@ -338,6 +401,51 @@ def snapshot_expire(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def snapshot_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of a table of daily loads once retention has been applied."""
+    work = new_workspace(spark, "retention")
+    base = f"retention_{uuid.uuid4().hex[:12]}"
+    ensure_namespaces(spark, work, [base])
+    name = f"`{base}`.daily"
+    save_table(fixture.daily_gold(spark, sf_dir), "gold", name, REPLACE, split_by=LOAD)
+    table = spark.table(current_table(spark, name))
+    ledger = _daily_ledger(table)
+    newest = F.max("committed_at").over(Window.partitionBy())
+    gone = [r[LOAD] for r in expirable(ledger, newest).collect()]
+    drop_loads(spark, name, LOAD, gone)
+    return plain_gold(spark.table(name), REVENUE_PER_LOAD)
+
+
+def snapshot_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Buyers whose spending of a week differs between two days, row by row."""
+    rolling = fixture.rolling_buyers(spark, sf_dir)
+    ledger = ledger_of(rolling, replaces=F.lit(True))
+    found = changes(rolling, ledger, MIDDLE, MIDDLE + 4, ["user_id"])
+    return found.withColumn("revenue", plain_sum("revenue"))
+
+
+def events_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event with the snapshot of daily Gold that was the newest at its time."""
+    ledger = _daily_ledger(fixture.daily_gold(spark, sf_dir))
+    states = ledger.snapshots.select("committed_at", "snapshot_id", "total_records")
+    events = fixture.table(spark, sf_dir, "events")
+    events = events.select("event_id", F.col("ts").cast("timestamp").alias("at"))
+    found = join_as_of(events, "at", states, "committed_at", span="day")
+    return found.select(
+        "event_id", plain_time("at"), plain_time("committed_at"), "snapshot_id", "total_records"
+    )
+
+
+def events_after_purchase(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event with the newest purchase of the same user up to then."""
+    events = fixture.table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    bought = fixture.table(spark, sf_dir, "events").where("event_type = 'purchase'")
+    bought = bought.select(
+        "user_id", F.col("ts").alias("bought_at"), F.col("event_id").alias("purchase_id")
+    )
+    return join_as_of(events, "ts", bought, "bought_at", keys=["user_id"], span="day")
+
+
 # -- Lineage, on written tables -------------------------------------------------
 
 
@@ -393,6 +501,26 @@ def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain_silver(spark.read.schema(SILVER_SCHEMA).parquet(f"{work}/silver"))
 
 
+def _quarantined(spark: SparkSession, sf_dir: str) -> QuarantinedSilver:
+    work = new_workspace(spark, "quarantine")
+    feed = stream_json_events(spark, fixture.mixed_landing(spark, sf_dir), files_per_batch=8)
+    silver = QuarantinedSilver(f"{work}/silver")
+    silver.start(feed, f"{work}/checkpoint").awaitTermination()
+    return silver
+
+
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows a stream has set aside, as they came, with the reason."""
+    rejected = _quarantined(spark, sf_dir).read_quarantine(spark)
+    columns = ("event_id", "user_id", "event_type", "category", "amount", "event_ts")
+    return rejected.select("reason", *columns, "quantity")
+
+
+def stream_quarantine_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows the same stream has kept."""
+    return plain_silver(_quarantined(spark, sf_dir).read_silver(spark))
+
+
 def stream_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold after several micro-batches, each of which touches all hours.
 
@@ -439,4 +567,16 @@ QUERIES: dict[str, Query] = {
     "lineage_silver_to_bronze": lineage_silver_to_bronze,
     "stream_silver": stream_silver,
     "stream_gold": stream_gold,
+    "stream_quarantine": stream_quarantine,
+    "stream_quarantine_silver": stream_quarantine_silver,
+    "mixed_drop_accounting": mixed_drop_accounting,
+    "mixed_silver": mixed_silver,
+    "mixed_required_fields": mixed_required_fields,
+    "mixed_typed": mixed_typed,
+    "bronze_variant_fields": bronze_variant_fields,
+    "bronze_variant_drift": bronze_variant_drift,
+    "snapshot_retention": snapshot_retention,
+    "snapshot_changes": snapshot_changes,
+    "events_as_of": events_as_of,
+    "events_after_purchase": events_after_purchase,
 }

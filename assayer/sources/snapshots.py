@@ -1,18 +1,22 @@
-"""Snapshots of a table that grows by loads: as-of reads, history, audits.
+"""Snapshots of a table that grows by loads: as-of reads, history, audits, changes.
 
-The rows of the table carry the id of their load, and a ledger has one row per
-snapshot:
+The rows of the table carry the id of their load. A ledger has two small tables, both
+as long as there were loads:
 
-    snapshot_id, committed_at, operation, live, added_records, total_records
+* ``snapshots``: ``snapshot_id``, ``committed_at``, ``operation``, ``added_records`` and
+  ``total_records``;
+* ``intervals``: ``load_id`` and the snapshots that show it, from ``first_snapshot`` up to
+  but not including ``end_snapshot`` (null: up to the newest). A load that a restore brings
+  back has a second interval.
 
-``live`` lists the loads that are visible in the snapshot. Both are ordinary
-DataFrames; nothing here writes. A ledger is as long as there were loads, and
-only ledgers are looked at in order, never the rows of a table.
+What a snapshot shows is a test on intervals. Both are ordinary DataFrames; nothing here
+writes, and the rows of a table are never looked at in order.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import timedelta
 from functools import reduce
 
@@ -28,14 +32,28 @@ REPLACE = "replace"
 APPEND = "append"
 RESTORE = "restore"
 
-LEDGER = (
-    "snapshot_id",
-    "committed_at",
-    "operation",
-    "live",
-    "added_records",
-    "total_records",
-)
+SNAPSHOTS = ("snapshot_id", "committed_at", "operation", "added_records", "total_records")
+INTERVALS = (LOAD, "first_snapshot", "end_snapshot")
+
+ADDED = "added"
+REMOVED = "removed"
+CHANGED = "changed"
+
+
+@dataclass(frozen=True)
+class Ledger:
+    snapshots: DataFrame
+    intervals: DataFrame
+
+    def newest(self) -> Column:
+        """The newest snapshot's id, as a scalar subquery."""
+        return self.snapshots.agg(F.max("snapshot_id")).scalar()
+
+
+def _open_at(snapshot: Column) -> Column:
+    """Whether an interval has a snapshot."""
+    ends = F.col("end_snapshot")
+    return (F.col("first_snapshot") <= snapshot) & (ends.isNull() | (ends > snapshot))
 
 
 def ledger_of(
@@ -43,7 +61,7 @@ def ledger_of(
     replaces: Column | None = None,
     time: str | None = None,
     load: str = LOAD,
-) -> DataFrame:
+) -> Ledger:
     """The ledger of a table whose loads came in the order of their ids.
 
     The first load, and each for which ``replaces`` holds (a condition on the
@@ -60,79 +78,122 @@ def ledger_of(
     marked = loads.withColumn("snapshot_id", number).withColumn(
         "starts", starts | (F.col("snapshot_id") == 0)
     )
+    # A load is visible until the next one that begins anew: from the last row up, the
+    # start met last.
+    later = Window.orderBy(F.desc(load)).rowsBetween(Window.unboundedPreceding, -1)
+    start = F.when(F.col("starts"), F.col("snapshot_id"))
+    marked = marked.withColumn("end_snapshot", F.last(start, ignorenulls=True).over(later))
     period = F.sum(F.col("starts").cast("bigint")).over(in_order)
     so_far = Window.partitionBy("period").orderBy("snapshot_id")
-    return (
+    snapshots = (
         marked.withColumn("period", period)
-        .withColumn("live", F.collect_list(load).over(so_far))
         .withColumn("total_records", F.sum("added_records").over(so_far))
         .withColumn("operation", F.when(F.col("starts"), REPLACE).otherwise(APPEND))
-        .select(*LEDGER)
     )
+    intervals = marked.withColumn("first_snapshot", F.col("snapshot_id"))
+    shown = [F.col(load).alias(LOAD), "first_snapshot", "end_snapshot"]
+    return Ledger(snapshots.select(*SNAPSHOTS), intervals.select(*shown))
+
 
+def restored(ledger: Ledger, snapshot_id: int, after: timedelta) -> Ledger:
+    """The ledger with one more snapshot, which shows what ``snapshot_id`` showed.
 
-def restored(ledger: DataFrame, snapshot_id: int, after: timedelta) -> DataFrame:
-    """The ledger with one more snapshot, which shows what ``snapshot_id`` showed."""
+    An unknown ``snapshot_id`` changes nothing.
+    """
     is_target = F.col("snapshot_id") == snapshot_id
-    target = F.struct("live", "total_records")
-    last = ledger.agg(
+    last = ledger.snapshots.agg(
         F.max("snapshot_id").alias("last_id"),
         F.max("committed_at").alias("last_at"),
-        F.first(F.when(is_target, target), ignorenulls=True).alias("target"),
-    )
-    entry = last.where(F.col("target").isNotNull()).select(
+        F.first(F.when(is_target, F.col("total_records")), ignorenulls=True).alias("total"),
+    ).where(F.col("total").isNotNull())
+    entry = last.select(
         (F.col("last_id") + 1).alias("snapshot_id"),
         (F.col("last_at") + F.lit(after)).alias("committed_at"),
         F.lit(RESTORE).alias("operation"),
-        "target.live",
         F.lit(0).cast("bigint").alias("added_records"),
-        "target.total_records",
+        F.col("total").alias("total_records"),
+    )
+    fresh = last.select("last_id").scalar() + 1  # null if the target is unknown
+    of_load = Window.partitionBy(LOAD)
+    is_open = F.col("end_snapshot").isNull()
+    marked = ledger.intervals.withColumn("fresh", fresh).withColumns(
+        {
+            "wanted": _open_at(F.lit(snapshot_id)),
+            "is_open": is_open,
+            # A load shown in the target and, by whichever interval, now.
+            "wanted_load": F.max(_open_at(F.lit(snapshot_id))).over(of_load),
+            "open_load": F.max(is_open).over(of_load),
+        }
+    )
+    ends = F.when(F.col("is_open") & ~F.col("wanted_load"), F.col("fresh"))
+    kept = marked.withColumn("end_snapshot", F.coalesce("end_snapshot", ends))
+    again = marked.where(F.col("wanted") & ~F.col("open_load") & F.col("fresh").isNotNull())
+    again = again.select(
+        LOAD,
+        F.col("fresh").alias("first_snapshot"),
+        F.lit(None).cast("bigint").alias("end_snapshot"),
     )
-    return ledger.unionByName(entry)
+    return Ledger(
+        ledger.snapshots.unionByName(entry),
+        kept.select(*INTERVALS).unionByName(again),
+    )
+
+
+def loads_of(ledger: Ledger, snapshot_id: int | None = None) -> DataFrame:
+    """The loads that a snapshot shows; without an id, the newest one."""
+    if snapshot_id is None:
+        shown = F.col("end_snapshot").isNull()
+    else:
+        known = ledger.snapshots.agg(F.max("snapshot_id")).scalar()
+        shown = _open_at(F.lit(snapshot_id)) & (F.lit(snapshot_id) <= known)
+    return ledger.intervals.where(shown).select(LOAD)
 
 
 def read_as_of(
-    data: DataFrame, ledger: DataFrame, snapshot_id: int | None = None, load: str = LOAD
+    data: DataFrame, ledger: Ledger, snapshot_id: int | None = None, load: str = LOAD
 ) -> DataFrame:
     """The rows visible in a snapshot; without an id, in the newest one.
 
     A semi-join with the few loads of the snapshot: a table that is split into
     folders by load is read in those folders only.
     """
-    if snapshot_id is None:
-        chosen = ledger.orderBy(F.desc("snapshot_id")).limit(1)
-    else:
-        chosen = ledger.where(F.col("snapshot_id") == snapshot_id)
-    return data.join(chosen.select(F.explode("live").alias(load)), load, "left_semi")
+    loads = loads_of(ledger, snapshot_id).withColumnRenamed(LOAD, load)
+    return data.join(loads, load, "left_semi")
 
 
-def history(ledger: DataFrame, n: int = HISTORY_LENGTH) -> DataFrame:
+def history(ledger: Ledger, n: int = HISTORY_LENGTH) -> DataFrame:
     """The newest ``n`` snapshots, newest first."""
     newest = (F.desc("committed_at"), F.desc("snapshot_id"))
-    return ledger.orderBy(*newest).limit(n)
+    return ledger.snapshots.orderBy(*newest).limit(n)
 
 
 def expirable(
-    ledger: DataFrame,
+    ledger: Ledger,
     now: Column,
     max_age: timedelta = timedelta(days=RETENTION_DAYS),
 ) -> DataFrame:
     """Loads that no snapshot worth keeping shows, with the time they came.
 
-    Kept are the snapshots younger than ``max_age`` and the newest one. This
-    reports only; nothing is deleted.
+    Kept are the snapshots younger than ``max_age`` and the newest one, and with them
+    those that came after the first of these. This reports only; ``layers.drop_loads``
+    drops them.
     """
-    newest = F.max("snapshot_id").over(Window.partitionBy())
     young = F.col("committed_at") > now - F.lit(max_age)
-    judged = ledger.withColumn("keep", young | (F.col("snapshot_id") == newest))
-    used = judged.where("keep").select(F.explode("live").alias(LOAD)).distinct()
-    written = ledger.where(F.col("operation") != RESTORE).select(
-        # A load is the last one in the list of its own snapshot.
-        F.element_at("live", -1).alias(LOAD),
-        "committed_at",
-        "added_records",
+    judged = ledger.snapshots.withColumn("is_young", young)
+    first = judged.agg(
+        F.min(F.when(F.col("is_young"), F.col("snapshot_id"))).alias("young"),
+        F.max("snapshot_id").alias("newest"),
+    ).select(F.least("young", "newest")).scalar()
+    # Used by a kept snapshot: an interval that goes on beyond the first of them.
+    last = F.max(F.coalesce("end_snapshot", F.lit(2**63 - 1)))
+    used = ledger.intervals.groupBy(LOAD).agg(
+        last.alias("until"), F.min("first_snapshot").alias("snapshot_id")
+    )
+    gone = used.withColumn("kept_from", first).where(F.col("until") <= F.col("kept_from"))
+    # The first snapshot that shows a load is the one that wrote it.
+    return gone.join(ledger.snapshots, "snapshot_id").select(
+        LOAD, "committed_at", "added_records"
     )
-    return written.join(used, LOAD, "left_anti")
 
 
 def sums_by_load(
@@ -160,26 +221,76 @@ def sums_by_load(
     return reduce(DataFrame.unionByName, [of(frame) for frame in frames])
 
 
-def audit(ledger: DataFrame, by_load: DataFrame, load: str = LOAD) -> DataFrame:
+def audit(ledger: Ledger, by_load: DataFrame, load: str = LOAD) -> DataFrame:
     """The aggregates of every snapshot, next to what it did to the row count.
 
     ``by_load`` has one row per load (``sums_by_load``): the rows of the table
-    are read once, whatever the number of snapshots, and only those few rows
-    meet the ledger. The aggregate of a snapshot is null if that of one of its
-    loads is.
+    are read once, whatever the number of snapshots. A load's aggregates come in with
+    the first snapshot of an interval and go out at its end, so running sums give those
+    of every snapshot; they are exact for whole numbers and decimals. The aggregate of a
+    snapshot is null if that of one of its loads is.
     """
     names = [name for name in by_load.columns if name != load]
-    visible = ledger.select("snapshot_id", F.explode_outer("live").alias(load))
-    totals = [
-        F.when(F.count(name) == F.count(load), F.coalesce(F.sum(name), F.lit(0))).alias(name)
-        for name in names
-    ]
-    summed = visible.join(by_load, load, "left").groupBy("snapshot_id").agg(*totals)
-    parent = F.lag("total_records").over(Window.orderBy("snapshot_id"))
-    steps = ledger.select(
+    known = by_load.withColumnRenamed(load, LOAD)
+    valued = ledger.intervals.join(known, LOAD, "left")
+
+    def step(at: str, sign: int) -> DataFrame:
+        columns = []
+        for name in names:
+            value = F.coalesce(F.col(name), F.lit(0)) * sign
+            unknown = F.col(name).isNull().cast("bigint") * sign
+            columns += [value.alias(name), unknown.alias(f"_no_{name}")]
+        return valued.where(F.col(at).isNotNull()).select(
+            F.col(at).alias("snapshot_id"), *columns
+        )
+
+    steps = step("first_snapshot", 1).unionByName(step("end_snapshot", -1))
+    sums = [F.sum(c).alias(c) for c in steps.columns if c != "snapshot_id"]
+    steps = steps.groupBy("snapshot_id").agg(*sums)
+    in_order = Window.orderBy("snapshot_id")
+    running = in_order.rowsBetween(Window.unboundedPreceding, 0)
+
+    def total(name: str) -> Column:
+        value = F.coalesce(F.sum(name).over(running), F.lit(0))
+        return F.when(F.coalesce(F.sum(f"_no_{name}").over(running), F.lit(0)) == 0, value)
+
+    before = F.lag("total_records").over(in_order)
+    return ledger.snapshots.join(steps, "snapshot_id", "left").select(
         "snapshot_id",
         "operation",
         F.col("total_records").alias("records"),
-        (F.col("total_records") - parent).alias("record_change"),
+        (F.col("total_records") - before).alias("record_change"),
+        *[total(name).alias(name) for name in names],
     )
-    return steps.join(summed, "snapshot_id")
+
+
+def changes(
+    data: DataFrame,
+    ledger: Ledger,
+    before: int,
+    after: int,
+    keys: Sequence[str],
+    load: str = LOAD,
+) -> DataFrame:
+    """What differs between two snapshots, row by row.
+
+    Rows of ``after`` count up and those of ``before`` down; what is left over was added
+    or removed, ``times`` says how often (equal rows count each). Loads that both
+    snapshots show are not read. ``change`` says whether a key has rows of one kind
+    only, or was ``changed``. One aggregation of the rows, no join of them.
+    """
+    values = [c for c in data.columns if c != load]
+    sides = (
+        loads_of(ledger, before).select(LOAD, F.lit(-1).alias("sign"))
+        .unionByName(loads_of(ledger, after).select(LOAD, F.lit(1).alias("sign")))
+        .groupBy(LOAD).agg(F.sum("sign").alias("sign")).where("sign != 0")
+    )
+    signed = data.join(sides.withColumnRenamed(LOAD, load), load)
+    counted = signed.groupBy(*values).agg(F.sum("sign").cast("bigint").alias("n"))
+    left = counted.where("n != 0")
+    of_key = Window.partitionBy(*keys)
+    both = (F.max("n").over(of_key) > 0) & (F.min("n").over(of_key) < 0)
+    side = F.when(F.col("n") > 0, F.lit(ADDED)).otherwise(F.lit(REMOVED))
+    return left.withColumns(
+        {"change": F.when(both, F.lit(CHANGED)).otherwise(side), "side": side}
+    ).select(*values, "change", "side", F.abs("n").alias("times"))

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+from datetime import timedelta
+from pathlib import Path
+
 import pyarrow.parquet as parquet
 import pytest
 from plans import plan_of
@@ -11,7 +14,8 @@ from assayer.plans import fixture
 from assayer.plans.layers import Layers, main
 from assayer.session import new_workspace
 from assayer.sources.events import CORRUPT, ORIGIN, read_json_events, with_origins
-from assayer.sources.snapshots import LOAD
+from assayer.sources.layers import APPEND, REPLACE, save_table
+from assayer.sources.snapshots import LOAD, Ledger, ledger_of, read_as_of
 from assayer.streaming.gold import RevenueStream
 
 SF = "/root/testdata/sf0.001"
@@ -72,6 +76,83 @@ def test_tables_under_a_name(spark, layers):
     assert gold.count() == gold.select("hour_bucket", "category", LOAD).distinct().count()
 
 
+def failing(events):
+    """Events of which the last partition can't be computed."""
+    lost = F.raise_error(F.lit("lost")).cast("boolean")
+    return events.where(F.when(F.col("category") == "k3", lost).otherwise(True))
+
+
+def test_a_replace_that_fails_leaves_the_old_rows(spark, layers):
+    """In a build of all layers and in each table of its own."""
+    events = fixture.bronze_events(spark, SF)
+    layers.build(events)
+    before = {layer: spark.table(layers.name(layer)).collect() for layer in LAYERS}
+    with pytest.raises(Exception, match="lost"):
+        layers.build(failing(events))
+    broken_silver = events.withColumn("user_agent", F.lit(1))
+    broken_silver = broken_silver.drop("email")
+    with pytest.raises(Exception, match="email"):
+        layers.build(broken_silver)  # Bronze can be written, Silver can't
+    with pytest.raises(Exception, match="lost"):
+        save_table(failing(layers.read("silver")), "silver", layers.name("silver"), REPLACE)
+    for layer in LAYERS:
+        assert spark.table(layers.name(layer)).collect() == before[layer] != []
+
+
+def test_a_reader_keeps_its_rows_during_a_replace(spark, layers):
+    events = fixture.bronze_events(spark, SF)
+    layers.build(events)
+    reading, shown = layers.read("bronze"), spark.table(layers.name("bronze"))
+    layers.build(events.limit(3).withColumn("more", F.lit(1)))
+    assert reading.count() == shown.count() == 1000
+    assert layers.read("bronze").count() == 3
+    # The schema has changed with the rows.
+    assert "more" in spark.table(layers.name("bronze")).columns
+    layers.build(events.limit(2))
+    base = layers.name("bronze").split(".")[0]
+    tables = [r.tableName for r in spark.sql(f"SHOW TABLES IN {base}").collect()]
+    assert len([t for t in tables if t.startswith("events__")]) == 2, "the newest and one before"
+
+
+def test_an_append_may_be_repeated(spark, layers):
+    """What a failed attempt has left of a load does not count twice."""
+    events = fixture.bronze_events(spark, SF)
+    layers.build(events)
+    layers.append(events.limit(10), 1)
+    left = events.limit(10).withColumn(LOAD, F.lit(2).cast("bigint"))
+    save_table(left, "bronze", layers.name("bronze"), APPEND, split_by=LOAD)
+    for _ in range(2):
+        layers.append(events.limit(20), 2)
+    for frame in (layers.read("bronze"), spark.table(layers.name("bronze"))):
+        sizes = {r[LOAD]: r["count"] for r in frame.groupBy(LOAD).count().collect()}
+        assert sizes == {0: 1000, 1: 10, 2: 20}
+
+
+def test_retention_drops_loads_and_keeps_snapshots(spark, layers):
+    events = fixture.bronze_events(spark, SF)
+    layers.build(events)
+    for load in range(1, 5):
+        layers.append(events, load)
+    bronze = layers.read("bronze")
+    ledger = ledger_of(bronze, F.col(LOAD) == 2, time=(F.lit("2024-01-01").cast("timestamp")
+        + F.make_dt_interval(days=F.col(LOAD).cast("int"))))
+    old = [Path(f.removeprefix("file:")) for f in bronze.where(f"{LOAD} < 2").inputFiles()]
+    kept = {k: read_as_of(bronze, ledger, k).count() for k in (2, 3, 4)}
+    now = F.lit("2024-01-06").cast("timestamp")
+    snapshots, intervals = ledger.snapshots.collect(), ledger.intervals.collect()
+    gone = layers.expire(ledger, now, timedelta(days=3.5))
+    assert gone == [0, 1]
+    fixed = Ledger(spark.createDataFrame(snapshots), spark.createDataFrame(
+        intervals, "load_id bigint, first_snapshot bigint, end_snapshot bigint"))
+    for layer in LAYERS:
+        loads = spark.table(layers.name(layer)).select(LOAD).distinct().collect()
+        assert {r[LOAD] for r in loads} == {2, 3, 4}
+    after = layers.read("bronze")
+    assert {k: read_as_of(after, fixed, k).count() for k in (2, 3, 4)} == kept
+    assert not any(f.exists() for f in old if not f.is_symlink())
+    assert layers.expire(fixed, now, timedelta(days=30)) == []
+
+
 def test_codecs_of_the_layers(spark, layers):
     layers.build(fixture.bronze_events(spark, SF))
     found = {}

@@ -6,14 +6,15 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from assayer.constants import BRONZE_SCHEMA
+from assayer.constants import BRONZE_SCHEMA, SILVER_SCHEMA
+from assayer.operators.accounting import drop_accounting
 from assayer.operators.gold import MEASURES, revenue_per_hour
 from assayer.operators.silver import to_silver
 from assayer.plans import fixture
 from assayer.session import new_workspace
 from assayer.sources.events import CORRUPT, read_json_events, stream_json_events
 from assayer.streaming.gold import RevenueStream, start_windowed_revenue
-from assayer.streaming.silver import start_silver
+from assayer.streaming.silver import QuarantinedSilver, start_silver
 
 COLUMNS = ["cast(hour_bucket as timestamp_ntz)", "category", *MEASURES]
 SMALL = "/root/testdata/sf0.001"
@@ -233,6 +234,57 @@ def test_batch_without_purchases(spark, bronze, work):
     assert len(run_gold(spark, work, stream)) == 1
 
 
+def test_kept_and_quarantined_rows_are_what_has_landed(spark, bronze, work):
+    silver = QuarantinedSilver(f"{work}/silver")
+
+    def run(rows=lambda source: source):
+        source = rows(stream_json_events(spark, f"{work}/in", files_per_batch=1))
+        silver.start(source, f"{work}/checkpoint").awaitTermination()
+
+    def seen():
+        kept = [r.event_id for r in silver.read_silver(spark).collect()]
+        aside = [(r.reason, r.event_id) for r in silver.read_quarantine(spark).collect()]
+        return sorted(kept), sorted(aside, key=str)
+
+    land(bronze, work, purchase(1, "00:10:00"), {"event_id": "x", "user_id": None})
+    run()
+    assert seen() == (["e1"], [("missing_required", "x")])
+    land(bronze, work, purchase(2, "00:20:00"), purchase(3, "00:20:00", -1.0))
+    lost = F.raise_error(F.lit("lost")).cast("boolean")
+    with pytest.raises(Exception, match="lost"):
+        # Rejected rows can be written, an accepted one can't.
+        run(lambda s: s.where(F.when(F.col("event_id") == "e2", lost).otherwise(True)))
+    assert seen() == (["e1"], [("missing_required", "x")])
+    land(bronze, work, {"event_id": "t", "event_ts": "soon", "amount": 5.0})
+    spark.createDataFrame([("{broken",)], "v string").write.mode("append").text(f"{work}/in")
+    for _ in range(2):
+        run()
+    everything = read_json_events(spark, f"{work}/in")
+    kept, aside = seen()
+    assert kept == ["e1", "e2"]
+    assert aside == [
+        ("bad_event_ts", "t"), ("missing_required", "x"), ("missing_required", None),
+        ("non_positive_amount", "e3"),
+    ]
+    assert len(kept) + len(aside) == everything.count()
+    raw = silver.read_quarantine(spark)
+    assert raw.columns == ["reason", "origin_file", *BRONZE_SCHEMA.names, CORRUPT]
+    broken = raw.where(F.col(CORRUPT).isNotNull()).collect()
+    assert [r[CORRUPT] for r in broken] == ["{broken"]
+    assert all(r.origin_file.startswith("file:") for r in raw.collect())
+    assert silver.read_silver(spark).columns == SILVER_SCHEMA.names
+    reasons = {r.reason: r.rows for r in drop_accounting(everything).collect() if r.rows}
+    assert reasons == {"ok": 2, "missing_required": 2, "bad_event_ts": 1, "non_positive_amount": 1}
+
+
+def test_quarantine_reads_the_stream_once(spark, work):
+    source = stream_json_events(spark, fixture.json_landing(spark, SMALL))
+    query = QuarantinedSilver(f"{work}/silver").start(source, f"{work}/checkpoint")
+    query.awaitTermination()
+    plan = query._jsq.explainInternal(False)
+    assert plan.count("FileScan json") == 1 and "Exchange" not in plan
+
+
 def test_windows_are_emitted_once_closed(spark, bronze, work):
     def run():
         source = to_silver(stream_json_events(spark, f"{work}/in"))
