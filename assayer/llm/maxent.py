@@ -1,14 +1,27 @@
 """Language-model scores by a hashed maximum-entropy model.
 
 The probability of a token is factored by classes: P(class | history) times
-P(token | class). The first factor is a softmax over some forty classes whose
-weights are found by hashed features of the history: the word before, the two
-words before (n-grams), and the second and third word before alone (skips). The
-second is the token's share of its class with one added to each count. Classes:
-the end of a text; each of the ``SINGLES`` most frequent words; and all other
+P(word | class, previous word).
+
+Classes: the end of a text; each of the ``SINGLES`` most frequent words; and all other
 words by how frequent they are (``TIERS``) and a hash of their last two letters
-(``SHAPES``). A word that was never learned is one more, once seen, word in the
-least frequent tier. So the probabilities add up to one.
+(``SHAPES``). A word that was never learned is one more, once seen, word in the least
+frequent tier. A softmax over these forty-odd classes has weights that are found by hashed
+features of the history: the word before, the two words before (n-grams), and the
+second and third word before alone (skips). The factors are
+
+    P(class | history) = (n(previous, class) + a * softmax) / (n(previous) + a)
+    P(word | class, previous word) = (n(previous, word) + b * share) / (n(previous, class) + b)
+
+where ``n`` counts what all texts to learn from have after the previous word, ``share``
+is the word's add-one share of its class, and ``a`` and ``b`` are trained weights that
+depend on the count below the line. Each factor adds up to one. Every pair of words that
+occurs has a count of its own, so what is learned grows with the corpus; the softmax
+tells histories apart by what they share.
+
+A token of a text that is learned from is not counted itself when it is trained on or
+scored: its own pair, class and word count one less. So such a text scores like one that
+is held out.
 
 How it is computed:
 
@@ -17,22 +30,16 @@ How it is computed:
    places in that list.
 2. One shuffle by word adds up the counts; a second one brings them back to the
    blocks, where they are written to one file per block.
-3. The same is done for histories: every block sends how often it saw each class
-   after each of its histories, dealt by the history's hash; the sums over all
-   blocks come back to the blocks that have the history. They grow with the
-   corpus. A class seen ``n`` times after a history has there the value
-   ``log(1 + n / (PRIOR * P(class)))`` (other classes 0), times a factor that
-   depends on the kind of history and on how often it was seen. This is a
-   feature of its own for each history and class that occur together.
-4. The factors, and one small table of weights that histories share by a hash, are
-   trained in rounds. Every task runs gradient steps (AdaGrad, sparse numpy
-   batches) over its share of the round's texts, without what a token itself adds
-   to the sums, and the tasks' changes are averaged by feature, weighted by how
-   often each task met it. Each text to learn from is used in one round.
+3. The same is done for pairs of words, and of word and class: every block sends its
+   distinct ones by hash with how often it learned them, dealt by that hash; the sums over
+   all blocks come back to the blocks that have the pair.
+4. The weights are trained in rounds. Every task runs gradient steps (AdaGrad, sparse numpy
+   batches) over the round's blocks, and the tasks' changes are averaged by feature,
+   weighted by how often each task met it. Each block is used in one round.
 5. All texts are scored block by block.
 
-What is sent to all tasks are the shared weights, the factors and a few numbers per
-class; the counts of words and histories stay distributed.
+What is sent to all tasks are the weights and a few numbers per class; the counts of
+words and pairs stay distributed.
 
 Defined results: a null text is an empty text with the end as its only token; a
 row without ``doc_id`` is learned from and scored; an empty table gives no
@@ -48,7 +55,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -56,7 +62,6 @@ from pyspark.sql import functions as F
 from assayer.llm.common import (
     crc_mod,
     file_system,
-    gather_ranges,
     give_back,
     pieces,
     save_file,
@@ -80,21 +85,17 @@ FEATURES_PER_TOKEN = 4
 #: Rows of weights that are summed up together.
 CHUNK = 512
 
-#: Bits of a history's hash; in the key of a cell its class stands behind it.
-HISTORY_BITS = 42
-CLASS_BITS = 6
-#: Histories are gathered in so many passes, by their hash: what is shuffled in one
-#: goes before the next.
-PASS_BITS = 2
-PASSES = 1 << PASS_BITS
-#: In place of a class: the block has the history, but not to learn from.
-ASKED = (1 << CLASS_BITS) - 1
-#: Weight of the classes' own shares against what was seen after a history.
-PRIOR = 4.0
-#: How often a history was seen, by powers of two, tells its factor.
-SEEN_BINS = 32
-FIRST_FACTOR = 0.25
-FACTOR_RATE = 0.05
+#: Bits of a history's hash that tell its row of weights.
+ROW_BITS = FEATURES.bit_length() - 1
+#: Weights of the softmax and of the shares against what was seen after a word, before
+#: training, and how fast they are trained. They go by powers of two of what was seen.
+BACKING = 2.0
+BACKING_RATE = 0.05
+SEEN_BINS = 64
+#: Stands before the first word of a text; no word's hash is as large.
+START_HASH = 1 << 33
+#: Added to a class's number, in place of a word's hash.
+CLASS_HASH = 1 << 34
 
 ROUNDS = 2
 BATCH = 32768
@@ -246,8 +247,8 @@ def _counted(blocks: DataFrame, folder: str) -> DataFrame:
 
 @dataclass
 class Model:
-    """Classes, shared weights and factors; counts of words and histories, which grow
-    with the corpus, stay with the blocks (``Entries``, ``Seen``)."""
+    """Classes and weights; counts of words and pairs, which grow with the corpus, stay
+    with the blocks (``Entries``, ``Seen``)."""
 
     tokens: int  # all tokens learned from
     kinds: int  # distinct ones
@@ -257,12 +258,7 @@ class Model:
     class_mass: np.ndarray
     class_types: np.ndarray
     weights: np.ndarray
-    factors: np.ndarray  # by kind of history and bin of how often it was seen
-
-    def share(self) -> np.ndarray:
-        """P(class) without a history."""
-        whole = (self.class_mass + self.class_types).astype(np.float64)
-        return np.maximum(whole / max(1.0, whole.sum()), 1e-9)
+    backing: np.ndarray  # logarithms of a and b, by bin of the count below the line
 
     def classes(self, entries: Entries) -> np.ndarray:
         """The class of each word of a block; the last one is the end."""
@@ -273,11 +269,24 @@ class Model:
         found[-1] = 0
         return found
 
-    def within_class(self, entries: Entries, classes: np.ndarray) -> np.ndarray:
-        """log10 P(token | class)."""
-        total = self.class_mass + self.class_types
-        share = (entries.counts + 1) / np.maximum(total[classes], 1)
-        return np.log10(np.minimum(share, 1.0))
+    def share(self, counts: np.ndarray, classes: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """The add-one share of words in their classes, without ``own`` occurrences."""
+        total = (self.class_mass + self.class_types)[classes] - own
+        return np.minimum((counts - own + 1) / np.maximum(total, 1), 1.0)
+
+
+def backed(
+    backing: np.ndarray, part: np.ndarray, whole: np.ndarray, share: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A factor of the probability: ``part`` of ``whole``, backed by ``share``.
+
+    With the bins of its weights, and the slope of its logarithm by theirs.
+    """
+    bins = np.frexp(whole.astype(np.float64))[1]  # 0 for none, then by powers of two
+    weight = np.exp(backing)[bins]
+    base = weight * share
+    chance = (part + base) / (whole + weight)
+    return chance, bins, base / (part + base) - weight / (whole + weight)
 
 
 def _model(blocks: DataFrame, counted: DataFrame) -> Model:
@@ -317,8 +326,8 @@ def _model(blocks: DataFrame, counted: DataFrame) -> Model:
     weights[0] = np.log((class_mass + class_types) / max(1, (class_mass + class_types).sum()) + 1e-9)
     singles = [(row["top_counts"], row["top_hashes"]) for row in tops]
     kinds = total.first()["k"]
-    factors = np.full((FEATURES_PER_TOKEN, SEEN_BINS), FIRST_FACTOR, np.float32)
-    return Model(tokens, kinds, ends, singles, tier, class_mass, class_types, weights, factors)
+    backing = np.full((2, SEEN_BINS), np.log(BACKING))
+    return Model(tokens, kinds, ends, singles, tier, class_mass, class_types, weights, backing)
 
 
 def histories(hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -346,12 +355,13 @@ def histories(hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return found
 
 
-def shared_rows(codes: np.ndarray) -> np.ndarray:
-    """The rows of shared weights of hashes of ``HISTORY_BITS``, without the bias."""
-    return np.maximum((codes >> np.uint64(HISTORY_BITS - 14)).astype(np.uint16), 1)
+def feature_rows(hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The rows of weights of the tokens' histories, without the bias."""
+    rows = histories(hashes, lengths) >> np.uint64(64 - ROW_BITS)
+    return np.maximum(rows.astype(np.uint16), 1)
 
 
-# -- what was seen after each history -------------------------------------------------
+# -- pairs of words, and of word and class ----------------------------------------------
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -361,41 +371,105 @@ def pack(values: np.ndarray) -> bytes:
     return len(values).to_bytes(8, "little") + packed
 
 
-def unpack(data: bytes, kind: str) -> np.ndarray:
-    n, size = int.from_bytes(data[:8], "little"), np.dtype(kind).itemsize
+def unpack(data: bytes) -> np.ndarray:
+    """The 64-bit numbers that were packed."""
+    n = int.from_bytes(data[:8], "little")
     if not n:
-        return np.zeros(0, kind)
-    planes = pa.decompress(data[8:], n * size, codec="zstd", asbytes=True)
-    planes = np.frombuffer(planes, np.uint8).reshape(size, n)
-    return np.ascontiguousarray(planes.T).view(kind).ravel()
+        return np.zeros(0, np.uint64)
+    planes = pa.decompress(data[8:], 8 * n, codec="zstd", asbytes=True)
+    planes = np.frombuffer(planes, np.uint8).reshape(8, n)
+    return np.ascontiguousarray(planes.T).view(np.uint64).ravel()
+
 
+def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """64-bit hashes of pairs of numbers."""
+    x = a * np.uint64(0x9E3779B97F4A7C15)
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(32)
+    x += b * np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(30)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
 
-def _firsts(ordered: np.ndarray) -> np.ndarray:
-    """Which items of a sorted array differ from the one before."""
-    first = np.ones(len(ordered), bool)
-    np.not_equal(ordered[1:], ordered[:-1], out=first[1:])
-    return first
 
+@dataclass(frozen=True)
+class Pairs:
+    """The distinct pairs of a block: previous word and word, previous word and class."""
 
-def _codes(entries: Entries, tokens: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The hashes of the tokens' histories, ``HISTORY_BITS`` each."""
-    codes = histories(entries.hashes[tokens], lengths)
-    codes >>= np.uint64(64 - HISTORY_BITS)
-    return codes
+    keys: np.ndarray  # hashes, word pairs first
+    before: np.ndarray  # the previous word of each word pair
+    pair_of: np.ndarray  # of each token
+    class_of: np.ndarray  # of each word pair, counted from the first class pair
 
+    @staticmethod
+    def of(
+        entries: Entries, classes: np.ndarray, tokens: np.ndarray, lengths: np.ndarray
+    ) -> Pairs:
+        size = len(classes)
+        before = np.empty(len(tokens), np.int64)
+        before[1:] = tokens[:-1]
+        before[np.cumsum(lengths) - lengths] = size  # the start of a text
+        pairs, pair_of = np.unique(before * size + tokens, return_inverse=True)
+        before, word = np.divmod(pairs, size)
+        cells, class_of = np.unique(before * CLASSES + classes[word], return_inverse=True)
+        hashes = np.append(entries.hashes.astype(np.uint64), np.uint64(START_HASH))
+        of_cell, group = np.divmod(cells, CLASSES)
+        keys = [
+            mixed(hashes[before], hashes[word]),
+            mixed(hashes[of_cell], group.astype(np.uint64) + np.uint64(CLASS_HASH)),
+        ]
+        return Pairs(np.concatenate(keys), before, pair_of, class_of)
+
+    def learned(self, learn: np.ndarray) -> np.ndarray:
+        """How often the tokens to learn from have each pair."""
+        words = np.bincount(self.pair_of[learn], minlength=len(self.class_of))
+        cells = np.bincount(self.class_of, words, len(self.keys) - len(words))
+        return np.concatenate([words, cells.astype(np.int64)]).astype(np.uint64)
 
-def _codes_of_block(entries: Entries, tokens: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    found = np.empty((FEATURES_PER_TOKEN, len(tokens)), np.uint64)
-    at = 0
-    for part, sizes in _parts(tokens, lengths):
-        found[:, at : at + len(part)] = _codes(entries, part, sizes)
-        at += len(part)
-    return found
 
+@dataclass(frozen=True)
+class Seen:
+    """What all texts to learn from have after the word before each token of a block:
+    this token, its class, and anything at all."""
+
+    pair: np.ndarray
+    of_class: np.ndarray
+    all: np.ndarray
 
-CELL_SCHEMA = "block long, bucket int, keys binary, counts binary"
-ANSWERS = {"sizes": "u1", "classes": "u1", "counts": "<u4"}
-ANSWER_SCHEMA = "block long, bucket int, sizes binary, classes binary, counts binary"
+    @staticmethod
+    def read(folder: str, block: int, pairs: Pairs, entries: Entries, model: Model) -> Seen:
+        system, path = file_system(folder)
+        with system.open_input_stream(f"{path}/{_seen_name(block)}", compression=None) as f:
+            rows = pa.ipc.open_stream(f.read()).read_all()
+        counts = np.empty(len(pairs.keys), np.int64)
+        known = [unpack(x) for x in rows["counts"].to_pylist()]
+        counts[np.argsort(pairs.keys, kind="stable")] = np.concatenate(known)
+        words = len(pairs.class_of)
+        # Each occurrence of a word is followed by a token, each start of a text too.
+        times = np.append(entries.counts, model.ends)
+        return Seen(
+            counts[:words][pairs.pair_of],
+            counts[words:][pairs.class_of][pairs.pair_of],
+            times[pairs.before][pairs.pair_of],
+        )
+
+    def without(self, own: np.ndarray) -> Seen:
+        """Less what the tokens themselves have added."""
+        return Seen(self.pair - own, self.of_class - own, self.all - own)
+
+    def some(self, which) -> Seen:
+        return Seen(self.pair[which], self.of_class[which], self.all[which])
+
+
+def _seen_name(block: int) -> str:
+    return f"seen-{block:016x}"
+
+
+PAIR_SCHEMA = "block long, bucket int, keys binary, counts binary"
+ANSWER_SCHEMA = "block long, bucket int, counts binary"
+#: Buckets that one task adds up.
+BUCKETS_PER_TASK = 4
 
 
 @contextlib.contextmanager
@@ -410,245 +484,91 @@ def _passing_shuffles(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-def _gather_histories(blocks: DataFrame, folder: str, model: Model) -> None:
-    """Write for each block what all texts to learn from have after its histories."""
-    for number in range(PASSES):
-        _gather_pass(blocks, folder, model, number)
-
-
-def _gather_pass(blocks: DataFrame, folder: str, model: Model, number: int) -> None:
+def _gather_pairs(blocks: DataFrame, folder: str, model: Model) -> None:
+    """Write for each block how often all texts to learn from have its pairs."""
     spark = blocks.sparkSession
     shared = spark.sparkContext.broadcast(model)
-    # A bucket has about half as many cells as a block, and a pass its share of them.
-    bits = max(PASSES, 2 * blocks.count() - 1).bit_length()
-    shift = HISTORY_BITS + CLASS_BITS - bits
-    width = 1 << bits - PASS_BITS
-    mine = range(number * width, (number + 1) * width)
+    # A bucket has about half as many pairs as a block.
+    bits = max(2, 2 * blocks.count()).bit_length()
+    shift = np.uint64(64 - bits)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for row, tokens, lengths, entries in _block_rows(batches, folder):
-            learn = np.repeat(np.asarray(row["learn"].values), lengths)
-            low = np.where(learn, own.classes(entries)[tokens], ASKED).astype(np.uint64)
-            keys = _codes_of_block(entries, tokens, lengths)
-            of_pass = keys >> np.uint64(HISTORY_BITS - PASS_BITS) == number
-            keys <<= np.uint64(CLASS_BITS)
-            keys |= low
-            keys = keys[of_pass]
-            keys.sort()
-            at = np.flatnonzero(_firsts(keys))
-            counts = np.diff(at, append=len(keys)).astype("<u4")
-            keys = keys[at]
-            limits = np.array(mine, np.uint64) << np.uint64(shift)
-            cuts = np.append(np.searchsorted(keys, limits), len(keys)).tolist()
-            places = {b: slice(*cuts[k : k + 2]) for k, b in enumerate(mine)}
-            used = [b for b, place in places.items() if place.start < place.stop]
-            steps = [np.diff(keys[places[b]], prepend=np.uint64(0)) for b in used]
+            pairs = Pairs.of(entries, own.classes(entries), tokens, lengths)
+            counts = pairs.learned(np.repeat(np.asarray(row["learn"].values), lengths))
+            order = np.argsort(pairs.keys, kind="stable")
+            keys, counts = pairs.keys[order], counts[order]
+            limits = np.arange(1 << bits, dtype=np.uint64) << shift
+            cuts = np.append(np.searchsorted(keys, limits), len(keys))
+            used = np.flatnonzero(np.diff(cuts))
+            places = [slice(*cuts[b : b + 2]) for b in used]
+            steps = [np.diff(keys[place], prepend=np.uint64(0)) for place in places]
             yield pa.record_batch(
                 {
                     "block": pa.array([row["block"].as_py()] * len(used), pa.int64()),
                     "bucket": pa.array(used, pa.int32()),
                     "keys": pa.array(map(pack, steps), pa.binary()),
-                    "counts": pa.array([pack(counts[places[b]]) for b in used], pa.binary()),
+                    "counts": pa.array([pack(counts[place]) for place in places], pa.binary()),
                 }
             )
 
     def add_up(rows: pa.Table) -> pa.Table:
-        keys = [np.cumsum(unpack(x, "<u8"), dtype=np.uint64) for x in rows["keys"].to_pylist()]
-        counts = np.concatenate([unpack(x, "<u4") for x in rows["counts"].to_pylist()])
+        keys = [np.cumsum(unpack(x), dtype=np.uint64) for x in rows["keys"].to_pylist()]
+        ends = np.cumsum(list(map(len, keys)))
         together = np.concatenate(keys)
-        order = np.argsort(together)
-        together = together[order]
-        at = np.flatnonzero(_firsts(together))
-        sums = np.add.reduceat(counts[order].astype(np.int64), at)
-        cells = together[at]
-        del together, order, counts
-        real = (cells & np.uint64(ASKED)) != ASKED
-        cells, sums = cells[real], np.minimum(sums[real], 2**32 - 1).astype("<u4")
-        classes = (cells & np.uint64(ASKED)).astype(np.uint8)
-        cells >>= np.uint64(CLASS_BITS)
-        starts = np.flatnonzero(_firsts(cells)) if len(cells) else np.zeros(0, np.int64)
-        known = cells[starts]
-        sizes = np.diff(starts, append=len(cells))
-        answers: list[list[bytes]] = [[], [], []]
-        for own in keys:
-            own = own >> np.uint64(CLASS_BITS)
-            own = own[_firsts(own)]
-            place = np.searchsorted(known, own)
-            found = place < len(known)
-            found[found] = known[place[found]] == own[found]
-            size = np.zeros(len(own), np.uint8)
-            place = place[found]
-            size[found] = sizes[place]
-            take = gather_ranges(starts[place], sizes[place])
-            for out, values in zip(answers, (size, classes[take], sums[take])):
-                out.append(pack(values))
-        packed = {n: pa.array(a, pa.binary()) for n, a in zip(ANSWERS, answers)}
-        return pa.table({"block": rows["block"], "bucket": rows["bucket"], **packed})
+        order = np.argsort(together, kind="stable")
+        ordered = together[order]
+        at = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+        counts = np.concatenate([unpack(x) for x in rows["counts"].to_pylist()])
+        sums = np.add.reduceat(counts[order], at)
+        counts[order] = np.repeat(sums, np.diff(at, append=len(order)))
+        answers = [pack(part) for part in np.split(counts, ends[:-1])]
+        return pa.table(
+            {
+                "block": rows["block"],
+                "bucket": rows["bucket"],
+                "counts": pa.array(answers, pa.binary()),
+            }
+        )
 
     def keep(rows: pa.Table) -> pa.Table:
         block = rows["block"][0].as_py()
-        rows = rows.select(["bucket", *ANSWERS]).sort_by("bucket")
+        rows = rows.select(["bucket", "counts"]).sort_by("bucket")
         kept = pa.BufferOutputStream()
         with pa.ipc.new_stream(kept, rows.schema) as out:
             out.write_table(rows)
-        save_file(folder, _seen_name(block, number), iter([kept.getvalue()]))
+        save_file(folder, _seen_name(block), iter([kept.getvalue()]))
         return pa.table({"block": pa.array([block], pa.int64())})
 
     columns = blocks.select("block", "learn", "lengths", "tokens")
-    sent = columns.mapInArrow(send, CELL_SCHEMA)
-    answered = sent.groupBy("bucket").applyInArrow(add_up, ANSWER_SCHEMA)
+    sent = columns.mapInArrow(send, PAIR_SCHEMA)
+    # As many tasks as the buckets need, whatever the session's setting is.
+    tasks = max(1, (1 << bits) // BUCKETS_PER_TASK)
+    answered = sent.repartition(tasks, "bucket").groupBy("bucket")
+    answered = answered.applyInArrow(add_up, ANSWER_SCHEMA).repartition(tasks, "block")
     with _passing_shuffles(spark):
         answered.groupBy("block").applyInArrow(keep, "block long").count()
     shared.unpersist()
 
 
-def _seen_name(block: int, number: int) -> str:
-    return f"seen-{block:016x}-{number}"
-
-
-def _answers(folder: str, name: str) -> dict[str, np.ndarray]:
-    """A file of answers; nothing if a pass had no history of the block."""
-    system, path = file_system(folder)
-    file = f"{path}/{name}"
-    rows = None
-    if system.get_file_info(file).type != pafs.FileType.NotFound:
-        with system.open_input_stream(file, compression=None) as f:
-            rows = pa.ipc.open_stream(f.read()).read_all()
-    found = {}
-    for name, kind in ANSWERS.items():
-        parts = [unpack(x, kind) for x in rows[name].to_pylist()] if rows else []
-        found[name] = np.concatenate([np.zeros(0, kind), *parts])
-    return found
-
-
-@dataclass(frozen=True)
-class Seen:
-    """What was learned after each history of a block: classes and their values."""
-
-    histories: np.ndarray  # sorted
-    starts: np.ndarray  # of their classes
-    sizes: np.ndarray
-    bins: np.ndarray  # of how often each history was seen
-    lone: np.ndarray  # whether it was seen just as often as a power of two
-    classes: np.ndarray
-    values: np.ndarray
-    prior: np.ndarray
-
-    @staticmethod
-    def read(
-        folder: str,
-        block: int,
-        entries: Entries,
-        tokens: np.ndarray,
-        lengths: np.ndarray,
-        prior: np.ndarray,
-    ) -> Seen:
-        """Of all histories of the block's ``tokens``, those not to learn from too."""
-        codes = _codes_of_block(entries, tokens, lengths).ravel()
-        codes.sort()
-        codes = codes[_firsts(codes)]
-        each: list[list[np.ndarray]] = []
-        scale = (1 / prior).astype(np.float32)
-        for number in range(PASSES):
-            answers = _answers(folder, _seen_name(block, number))
-            sizes, classes, counts = (answers[n] for n in ANSWERS)
-            ends = np.cumsum(sizes, dtype=np.int64)
-            before = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
-            times = before[ends] - before[ends - sizes]
-            fraction, bins = np.frexp(times.astype(np.float64))
-            bins = np.minimum(bins, SEEN_BINS - 1).astype(np.uint8)
-            values = counts.astype(np.float32)
-            values *= scale[classes]
-            np.log1p(values, out=values)
-            each.append([sizes, bins, fraction == 0.5, classes, values])
-        sizes, bins, lone, classes, values = map(np.concatenate, zip(*each))
-        starts = np.cumsum(sizes, dtype=np.int64) - sizes
-        return Seen(codes, starts, sizes, bins, lone, classes, values, prior)
-
-    def after(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of some tokens' histories: the values by history and class, the places of
-        the histories in this block, and of each token's histories in these."""
-        flat = codes.ravel()
-        order = np.argsort(flat)
-        ordered = flat[order]
-        first = _firsts(ordered)
-        place = np.empty(len(flat), np.int64)
-        place[order] = np.cumsum(first) - 1
-        at = np.searchsorted(self.histories, ordered[first])
-        sizes = self.sizes[at].astype(np.int64)
-        take = gather_ranges(self.starts[at], sizes)
-        values = np.zeros((len(at), CLASSES), np.float32)
-        cell = np.repeat(np.arange(len(at)) * CLASSES, sizes)
-        cell += self.classes[take]
-        values.ravel()[cell] = self.values[take]
-        return values, at, place.reshape(codes.shape)
-
-
-@dataclass
-class Evidence:
-    """The values of tokens' histories, one table per kind, and their factors."""
-
-    values: list[np.ndarray]
-    bins: list[np.ndarray]
-
-    @staticmethod
-    def of(seen: Seen, codes: np.ndarray, own: np.ndarray | None = None) -> Evidence:
-        """With ``own``, the tokens' classes, each token's own share is taken out."""
-        table, at, places = seen.after(codes)
-        kinds, lone = seen.bins[at], seen.lone[at]
-        values, bins = [], []
-        for place in places:
-            value, kind = table.take(place, 0), kinds[place]
-            if own is not None:
-                each, prior = np.arange(len(own)), seen.prior[own]
-                rest = np.expm1(value[each, own].astype(np.float64)) * prior - 1
-                rest[rest < 0.5] = 0  # what float32 lost
-                value[each, own] = np.log1p(rest / prior)
-                kind = kind - lone[place]
-            values.append(value)
-            bins.append(kind)
-        return Evidence(values, bins)
-
-    def weigh(self, factors: np.ndarray) -> np.ndarray:
-        """What is added to each token's weight of each class."""
-        total = factors[0][self.bins[0], None] * self.values[0]
-        for k in range(1, len(self.values)):
-            total += factors[k][self.bins[k], None] * self.values[k]
-        return total
-
-    def slopes(self, error: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Mean slope of each factor, and how many tokens have it."""
-        slope, times = np.zeros((2, len(self.values), SEEN_BINS))
-        for k, (value, kind) in enumerate(zip(self.values, self.bins)):
-            slope[k] = np.bincount(kind, np.einsum("ij,ij->i", error, value), SEEN_BINS)
-            times[k] = np.bincount(kind, minlength=SEEN_BINS)
-        return slope / np.maximum(times, 1), times
-
-
 # -- training ------------------------------------------------------------------------
 
 
-def _exponentials(
-    weights: np.ndarray, rows: np.ndarray, more: np.ndarray | None = None
-) -> tuple[np.ndarray, np.ndarray]:
+def _exponentials(weights: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """exp of each class's weight for each token, and their sums."""
     total = weights.take(rows[0], 0)
     for row in rows[1:]:
         total += weights.take(row, 0)
     total += weights[0]
-    if more is not None:
-        total += more
     np.clip(total, -40, 40, out=total)
     np.exp(total, out=total)
     return total, total @ np.ones(total.shape[1], np.float32)
 
 
-def class_probabilities(
-    weights: np.ndarray, rows: np.ndarray, more: np.ndarray | None = None
-) -> np.ndarray:
+def class_probabilities(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """P(class | history) of each token."""
-    total, sums = _exponentials(weights, rows, more)
+    total, sums = _exponentials(weights, rows)
     total /= sums[:, None]
     return total
 
@@ -663,42 +583,20 @@ def _sums_by_row(values: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.n
     return np.ascontiguousarray(sums.T), np.bincount(flat, minlength=FEATURES)
 
 
-@dataclass
-class Factors:
-    """The factors in training, on one block."""
-
-    values: np.ndarray
-    squares: np.ndarray
-    met: np.ndarray
-    seen: Seen | None = None
-    codes: np.ndarray | None = None
-
-    def step(self, evidence: Evidence, error: np.ndarray) -> None:
-        slope, times = evidence.slopes(error)
-        self.squares += slope * slope
-        self.values -= (FACTOR_RATE * slope / np.sqrt(self.squares)).astype(np.float32)
-        self.met += times.astype(np.int64)
-
-
 def gradient_steps(
-    weights: np.ndarray,
-    squares: np.ndarray,
-    rows: np.ndarray,
-    classes: np.ndarray,
-    factors: Factors | None = None,
-) -> None:
-    """One pass of AdaGrad over the tokens, in batches; changes the arrays."""
+    weights: np.ndarray, squares: np.ndarray, rows: np.ndarray, classes: np.ndarray
+) -> np.ndarray:
+    """One pass of AdaGrad over the tokens, in batches; changes the arrays.
+
+    Returns the probability that each token's class had before its batch.
+    """
+    before = np.empty(len(classes), np.float32)
     for first in range(0, len(classes), BATCH):
         some, want = rows[:, first : first + BATCH], classes[first : first + BATCH]
-        if factors is None:
-            error = class_probabilities(weights, some)
-            error[np.arange(len(want)), want] -= 1
-        else:
-            codes = factors.codes[:, first : first + BATCH]
-            evidence = Evidence.of(factors.seen, codes, want)
-            error = class_probabilities(weights, some, evidence.weigh(factors.values))
-            error[np.arange(len(want)), want] -= 1
-            factors.step(evidence, error)
+        error = class_probabilities(weights, some)
+        own = np.arange(len(want)), want
+        before[first : first + BATCH] = error[own]
+        error[own] -= 1
         slope, times = _sums_by_row(error, some)
         slope[0], times[0] = error.sum(0), len(want)
         slope /= np.sqrt(np.maximum(times, 1))[:, None].astype(np.float32)
@@ -708,6 +606,31 @@ def gradient_steps(
         np.divide(slope, step, out=step)
         step *= np.float32(RATE)
         weights -= step
+    return before
+
+
+@dataclass
+class Backing:
+    """The weights of softmax and shares in training."""
+
+    values: np.ndarray
+    squares: np.ndarray
+    met: np.ndarray
+
+    @staticmethod
+    def of(values: np.ndarray) -> Backing:
+        return Backing(values.copy(), np.full(values.shape, 1e-3), np.zeros(values.shape, np.int64))
+
+    def step(self, seen: Seen, chance: np.ndarray, share: np.ndarray) -> None:
+        """A gradient step on some tokens."""
+        parts = ((seen.of_class, seen.all, chance), (seen.pair, seen.of_class, share))
+        for k, (part, whole, base) in enumerate(parts):
+            _, bins, slope = backed(self.values[k], part, whole, base)
+            times = np.bincount(bins, minlength=SEEN_BINS)
+            slope = np.bincount(bins, slope, SEEN_BINS) / np.maximum(times, 1)
+            self.squares[k] += slope * slope
+            self.values[k] += BACKING_RATE * slope / np.sqrt(self.squares[k])
+            self.met[k] += times
 
 
 def _block_rows(batches: Iterator[pa.RecordBatch], folder: str):
@@ -721,14 +644,14 @@ def _block_rows(batches: Iterator[pa.RecordBatch], folder: str):
             give_back()
 
 
-#: Stands for the factors among the chunks of shared weights.
-FACTORS = -1
+#: Stands for the weights of the shares among the chunks of weights.
+BACKED = -1
 
 
 def _train_round(
     blocks: DataFrame, folder: str, model: Model, number: int
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Shared weights and factors after a round: the tasks' changes averaged by feature."""
+    """All weights after a round: the tasks' changes averaged by feature."""
     shared = blocks.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -736,56 +659,58 @@ def _train_round(
         weights = own.weights.copy()
         squares = np.ones_like(weights)
         met = np.zeros(FEATURES, np.int64)
-        factors = Factors(
-            own.factors.copy(),
-            np.full(own.factors.shape, 1e-3),
-            np.zeros(own.factors.shape, np.int64),
-        )
-        prior = PRIOR * own.share()
+        backing = Backing.of(own.backing)
         for row, tokens, lengths, entries in _block_rows(batches, folder):
-            block = row["block"].as_py()
-            factors.seen = Seen.read(folder, block, entries, tokens, lengths, prior)
             learn = np.asarray(row["learn"].values)
-            learn = learn & (np.arange(len(learn)) % ROUNDS == number)
-            tokens, lengths = tokens[np.repeat(learn, lengths)], lengths[learn]
-            if not len(tokens):
+            if not learn.any():
                 continue
             found = own.classes(entries)
+            pairs = Pairs.of(entries, found, tokens, lengths)
+            mine = np.repeat(learn, lengths)
+            seen = Seen.read(folder, row["block"].as_py(), pairs, entries, own)
+            seen = seen.some(mine).without(1)
+            tokens, lengths = tokens[mine], lengths[learn]
+            share = own.share(entries.counts, found, 1)[tokens]
+            at = 0
             for part, sizes in _parts(tokens, lengths):
-                factors.codes = _codes(entries, part, sizes)
-                rows = shared_rows(factors.codes)
-                gradient_steps(weights, squares, rows, found[part], factors)
+                rows = feature_rows(entries.hashes[part], sizes)
+                chance = gradient_steps(weights, squares, rows, found[part])
+                for first in range(0, len(part), BATCH):
+                    batch = slice(at + first, at + min(first + BATCH, len(part)))
+                    backing.step(seen.some(batch), chance[first : first + BATCH], share[batch])
+                at += len(part)
                 met += np.bincount(rows.ravel(), minlength=FEATURES)
                 met[0] += len(part)
         change = (weights - own.weights) * met[:, None].astype(np.float32)
-        chunks = range(0, FEATURES, CHUNK)
-        moved = ((factors.values - own.factors) * factors.met).astype(np.float32)
+        chunks = [c for c in range(0, FEATURES, CHUNK) if met[c : c + CHUNK].any()]
+        moved = ((backing.values - own.backing) * backing.met).astype(np.float32)
         changes = [moved.tobytes(), *(change[c : c + CHUNK].tobytes() for c in chunks)]
-        times = [factors.met.tobytes(), *(met[c : c + CHUNK].tobytes() for c in chunks)]
+        times = [backing.met.tobytes(), *(met[c : c + CHUNK].tobytes() for c in chunks)]
         yield pa.record_batch(
             {
-                "chunk": pa.array([FACTORS, *chunks], pa.int32()),
+                "chunk": pa.array([BACKED, *chunks], pa.int32()),
                 "change": pa.array(changes, pa.binary()),
                 "met": pa.array(times, pa.binary()),
             }
         )
 
-    columns = blocks.select("block", "learn", "lengths", "tokens")
+    of_round = F.pmod(F.hash("block"), F.lit(ROUNDS)) == number
+    columns = blocks.where(of_round).select("block", "learn", "lengths", "tokens")
     sent = columns.mapInArrow(run, "chunk int, change binary, met binary")
     # Summed up pair by pair: neither a task nor the driver holds all tasks' tables.
     pairs = sent.rdd.map(
         lambda r: (r[0], (np.frombuffer(r[1], np.float32), np.frombuffer(r[2], np.int64)))
     )
     sums = pairs.reduceByKey(lambda a, b: (a[0] + b[0], a[1] + b[1])).collect()
-    weights, factors = model.weights.copy(), model.factors.copy()
+    weights, backing = model.weights.copy(), model.backing.copy()
     for chunk, (change, met) in sums:
-        if chunk == FACTORS:
-            factors += (change / np.maximum(met, 1)).astype(np.float32).reshape(factors.shape)
+        if chunk == BACKED:
+            backing += (change / np.maximum(met, 1)).reshape(backing.shape)
             continue
         mean = change.reshape(-1, CLASSES) / np.maximum(met, 1)[:, None]
         weights[chunk : chunk + CHUNK] += mean.astype(np.float32)
     shared.unpersist()
-    return weights, factors
+    return weights, backing
 
 
 #: Tokens whose class probabilities are held at a time.
@@ -814,25 +739,30 @@ def _score(blocks: DataFrame, folder: str, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        prior = PRIOR * own.share()
         for row, tokens, lengths, entries in _block_rows(batches, folder):
-            seen = Seen.read(folder, row["block"].as_py(), entries, tokens, lengths, prior)
             classes = own.classes(entries)
-            inner = own.within_class(entries, classes)
+            pairs = Pairs.of(entries, classes, tokens, lengths)
+            # A token that was learned from does not count itself.
+            mine = np.repeat(np.asarray(row["learn"].values), lengths).astype(np.int64)
+            seen = Seen.read(folder, row["block"].as_py(), pairs, entries, own).without(mine)
+            share = own.share(entries.counts[tokens], classes[tokens], mine)
+            inner = np.log10(backed(own.backing[1], seen.pair, seen.of_class, share)[0])
             base = np.log10((entries.counts + 1) / (own.tokens + own.kinds + 1))
             known, base_score, score = [], [], []
+            at = 0
             for part, sizes in _parts(tokens, lengths):
                 starts = np.cumsum(sizes) - sizes
-                codes = _codes(entries, part, sizes)
-                rows = shared_rows(codes)
+                rows = feature_rows(entries.hashes[part], sizes)
                 want = classes[part]
-                each = inner[part]
+                each = inner[at : at + len(part)]
+                chance = np.empty(len(part))
                 for first in range(0, len(part), BATCH):
                     some = slice(first, first + BATCH)
-                    evidence = Evidence.of(seen, codes[:, some])
-                    more = evidence.weigh(own.factors)
-                    total, sums = _exponentials(own.weights, rows[:, some], more)
-                    each[some] += np.log10(total[np.arange(len(total)), want[some]] / sums)
+                    total, sums = _exponentials(own.weights, rows[:, some])
+                    chance[some] = total[np.arange(len(total)), want[some]] / sums
+                here = seen.some(slice(at, at + len(part)))
+                each += np.log10(backed(own.backing[0], here.of_class, here.all, chance)[0])
+                at += len(part)
                 known.append(np.add.reduceat((entries.counts[part] > 0).astype(np.int64), starts))
                 base_score.append(np.add.reduceat(base[part], starts))
                 score.append(np.add.reduceat(each, starts))
@@ -848,7 +778,7 @@ def _score(blocks: DataFrame, folder: str, model: Model) -> DataFrame:
                 }
             )
 
-    columns = blocks.select("block", "doc_ids", "lengths", "tokens")
+    columns = blocks.select("block", "doc_ids", "learn", "lengths", "tokens")
     return columns.mapInArrow(run, SCORE_SCHEMA)
 
 
@@ -866,9 +796,9 @@ def score_documents(docs: DataFrame, folds: int = 7, held_out: int = 2) -> DataF
     blocks = written(spark, marked.mapInArrow(_blocks, BLOCK_SCHEMA), "blocks", "zstd")
     folder = new_workspace(spark, "llm-entries")
     model = _model(blocks, _counted(blocks, folder))
-    _gather_histories(blocks, folder, model)
+    _gather_pairs(blocks, folder, model)
     for number in range(ROUNDS):
-        model.weights, model.factors = _train_round(blocks, folder, model, number)
+        model.weights, model.backing = _train_round(blocks, folder, model, number)
     scored = _score(blocks, folder, model)
     return scored.select(
         "doc_id",

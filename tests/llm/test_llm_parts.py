@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import random
 import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
 import plain
@@ -323,37 +324,122 @@ def test_gradient_steps_lower_the_loss():
     assert loss() < before - 1
 
 
-def test_probabilities_add_up(spark):
-    """Over all words and the unknown ones, whatever the history."""
-    docs = spark.createDataFrame(
-        [(k, f"the cat{k % 7} and the dog{k % 5} of x{k}") for k in range(200)],
-        "doc_id long, text string",
-    )
-    marked = docs.withColumn("learn", F.lit(True))
+def steps_of(spark, rows: list[tuple]):
+    """Blocks, the folder of their files and the trained model of small documents."""
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    learn = F.coalesce(F.col("doc_id") % 3 != 0, F.lit(True)).alias("learn")
+    marked = maxent.texts(docs).select("doc_id", "text", learn)
     blocks = maxent.written(spark, marked.mapInArrow(maxent._blocks, maxent.BLOCK_SCHEMA), "t")
     folder = maxent.new_workspace(spark, "t")
     model = maxent._model(blocks, maxent._counted(blocks, folder))
-    entries = [maxent.Entries.read(folder, r["block"]) for r in blocks.select("block").collect()]
-    mass = np.zeros(maxent.CLASSES)
-    seen = set()
-    for e in entries:
-        classes = model.classes(e)
-        share = 10 ** model.within_class(e, classes)
-        for k in range(len(classes)):
-            key = (e.counts[k], e.hashes[k])
-            if key not in seen:
-                seen.add(key)
-                mass[classes[k]] += share[k]
-    # A word never learned takes what is left of the classes of the lowest tier.
-    low = slice(1 + maxent.SINGLES, 1 + maxent.SINGLES + maxent.SHAPES)
+    maxent._gather_pairs(blocks, folder, model)
+    for number in range(maxent.ROUNDS):
+        model.weights, model.backing = maxent._train_round(blocks, folder, model, number)
+    return blocks, folder, model
+
+
+def small_texts(n: int = 300) -> list[tuple]:
+    pick = random.Random(3)
+    words = [f"w{int(pick.paretovariate(0.7))}" for _ in range(4000)] + ["The", "of", "é"]
+    texts = [" ".join(pick.choices(words, k=pick.randrange(30))) for _ in range(n)]
+    texts[5] = texts[6] = texts[7] = "one two three two one two three"
+    return [(k, t) for k, t in enumerate(texts)] + [(None, "of of"), (8, None), (9, "")]
+
+
+def word_classes(blocks, folder, model) -> dict[str, tuple[int, int, int]]:
+    """Class, count and hash of every word that occurs."""
+    found = {}
+    for row in blocks.collect():
+        entries = maxent.Entries.read(folder, row["block"])
+        known = zip(model.classes(entries), entries.counts, entries.hashes)
+        found |= dict(zip(row["words"], ((int(c), int(n), int(h)) for c, n, h in known)))
+    return found
+
+
+def test_scores_against_plain_counts(spark):
+    """Every factor worked out by itself, from counts in dictionaries."""
+    rows = small_texts()
+    blocks, folder, model = steps_of(spark, rows)
+    words = word_classes(blocks, folder, model)
+    tokens = [[*plain.WORD.findall(plain.lowered(t or "")), maxent.END] for _, t in rows]
+    learned = [i is None or i % 3 != 0 for i, _ in rows]
+    count, pair, after = Counter(), Counter(), Counter()
+    for own, learn in zip(tokens, learned):
+        for before, word in zip([None, *own], own if learn else []):
+            count[word] += 1
+            pair[before, word] += 1
+            after[before, words[word][0]] += 1
+    assert all(words[w][1] == count[w] for w in words)
     total = model.class_mass + model.class_types
-    mass[low] += 1 / total[low]
-    used = total > 0
-    assert np.allclose(mass[used], 1)
+    found = {}
+    for r in maxent._score(blocks, folder, model).collect():
+        found.setdefault(r["doc_id"], []).append(r["score"])
+    for (doc_id, _), own, learn in zip(rows, tokens, learned):
+        hashes = np.array([words[w][2] for w in own], np.uint32)
+        features = maxent.feature_rows(hashes, np.array([len(own)]))
+        score = 0.0
+        for k, word in enumerate(own):
+            c, n, _ = words[word]
+            before = own[k - 1] if k else None
+            logit = model.weights[0] + sum(model.weights[r] for r in features[:, k])
+            chance = np.exp(logit[c]) / np.exp(logit.astype(float)).sum()
+            m, seen = pair[before, word] - learn, after[before, c] - learn
+            whole = (count[before] if k else sum(learned)) - learn
+            share = min(1.0, (n - learn + 1) / (total[c] - learn))
+            a = np.exp(model.backing[0][whole.bit_length()])
+            b = np.exp(model.backing[1][seen.bit_length()])
+            score += np.log((seen + a * chance) / (whole + a))
+            score += np.log((m + b * share) / (seen + b))
+        assert min(abs(x - score / np.log(10)) for x in found[doc_id]) < 1e-3
 
 
-def test_more_histories_than_shared_weights_are_told_apart(spark):
-    """What follows each of 40,000 pairs of words, at random, is learned."""
+def test_probabilities_add_up(spark):
+    """Over all words and the unknown ones, after any word."""
+    blocks, folder, model = steps_of(spark, small_texts(120))
+    words = word_classes(blocks, folder, model)
+    learned = {w: v for w, v in words.items() if v[1]}
+    after = defaultdict(Counter)
+    for doc_id, text in small_texts(120):
+        if doc_id is None or doc_id % 3:
+            own = [*plain.WORD.findall(plain.lowered(text or "")), maxent.END]
+            for before, word in zip([None, *own], own):
+                after[before][word] += 1
+    zero = np.zeros(1, np.int64)
+    for before in [None, "one", "two", "of", "never seen"]:
+        seen = Counter()
+        for word, n in after[before].items():
+            seen[learned[word][0]] += n
+        mass = np.zeros(maxent.CLASSES)
+        low = range(1 + maxent.SINGLES, 1 + maxent.SINGLES + maxent.SHAPES)
+        unknown = [(c, 0, None) for c in low]
+        for c, n, word in [(c, n, w) for w, (c, n, _) in learned.items()] + unknown:
+            share = model.share(np.array([n]), np.array([c]), zero)
+            pair, of_class = np.array([after[before][word]]), np.array([seen[c]])
+            mass[c] += maxent.backed(model.backing[1], pair, of_class, share)[0][0]
+        used = (model.class_mass + model.class_types) > 0
+        assert np.allclose(mass[used], 1)
+        softmax = np.random.default_rng(1).dirichlet(np.ones(maxent.CLASSES))
+        of_class = np.array([seen[c] for c in range(maxent.CLASSES)])
+        whole = np.full(maxent.CLASSES, of_class.sum())
+        assert np.isclose(maxent.backed(model.backing[0], of_class, whole, softmax)[0].sum(), 1)
+
+
+def test_slope_of_the_backing_weights():
+    rng = np.random.default_rng(2)
+    seen = rng.integers(0, 50, 40)
+    pair = np.minimum(rng.integers(0, 9, 40), seen)
+    share, backing = rng.random(40), rng.normal(size=maxent.SEEN_BINS)
+    _, bins, slope = maxent.backed(backing, pair, seen, share)
+    step = 1e-6
+    for k in range(40):
+        moved = backing.copy()
+        moved[bins[k]] += step
+        ends = [maxent.backed(b, pair, seen, share)[0][k] for b in (backing, moved)]
+        assert abs((np.log(ends[1]) - np.log(ends[0])) / step - slope[k]) < 1e-4
+
+
+def test_more_words_than_rows_of_weights_are_told_apart(spark):
+    """What follows each of 40,000 words, at random, is learned."""
     rng = np.random.default_rng(5)
     after = rng.integers(0, 2, 40_000).tolist()
     held = [plain.crc_mod(i, 7) == 2 for i in range(80_000)]
@@ -361,9 +447,9 @@ def test_more_histories_than_shared_weights_are_told_apart(spark):
     kept = iter([i for i in range(80_000) if held[i]])
 
     def text(i: int, third: int) -> str:
-        return f"a{i // 200} b{i % 200} {'yn'[third]}"
+        return f"a{i // 200}b{i % 200} {'yn'[third]}"
 
-    # Every pair is seen once, half of them twice.
+    # Every word is seen once, half of them twice.
     rows = [(next(free), text(i, after[i])) for i in range(40_000) for _ in range(1 + i % 2)]
     probes = []
     for i in rng.integers(0, 40_000, 2000).tolist():
@@ -374,6 +460,22 @@ def test_more_histories_than_shared_weights_are_told_apart(spark):
     assert np.mean([score[right] > score[wrong] for right, wrong in probes]) > 0.95
 
 
+def test_texts_that_occur_twice_score_apart(spark):
+    """Also those that were learned from: their own tokens do not count."""
+    rng = np.random.default_rng(9)
+    made = [" ".join(f"v{k}" for k in rng.integers(0, 3000, 60)) for _ in range(400)]
+    texts = made + made[:40]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = maxent.score_documents(docs.repartition(3)).collect()
+    twice = {k for k in range(40)} | {400 + k for k in range(40)}
+    mean = {r["doc_id"]: r["score"] / r["n_tokens"] for r in rows}
+    learned = {r["doc_id"] for r in rows if not r["held_out"]}
+    pairs = {k for k in twice if (k + 400 if k < 40 else k - 400) in learned}
+    alone = [mean[k] for k in mean if k not in twice]
+    caught = [mean[k] > max(alone) for k in pairs]
+    assert np.mean(caught) > 0.95
+
+
 # -- special tokens ------------------------------------------------------------
 
 
