@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
@@ -11,6 +13,9 @@ from assayer.operators.contract import EVENT_CONTRACT, OK, Contract
 from assayer.operators.gold import REVENUE_PER_HOUR
 
 
+ALL_ROWS = "all_rows"
+
+
 def percent(part: Column, whole: Column) -> Column:
     """``part`` of ``whole`` in percent, one decimal; null if ``whole`` is 0.
 
@@ -30,12 +35,22 @@ def drop_accounting(
     One pass with a single global aggregate. Its counters are combined within
     each task, so only one small row per task is shuffled.
     """
-    names = contract.reason_names(bronze)
     judged = bronze.select(contract.first_reason(bronze).alias("reason"))
-    counted = judged.agg(
-        F.count(F.lit(1)).alias("all_rows"),
-        *[F.count_if(F.col("reason") == name).alias(name) for name in names],
-    )
+    counted = judged.agg(*reason_counts(F.col("reason"), contract.reason_names(bronze)))
+    return drops_of(counted)
+
+
+def reason_counts(reason: Column, names: Sequence[str]) -> list[Column]:
+    """All rows, and those of each reason, as aggregates."""
+    return [
+        F.count(F.lit(1)).alias(ALL_ROWS),
+        *[F.count_if(reason == name).alias(name) for name in names],
+    ]
+
+
+def drops_of(counted: DataFrame) -> DataFrame:
+    """One row per reason from one row with ``reason_counts``."""
+    names = [name for name in counted.columns if name != ALL_ROWS]
     entries = F.array(
         *[
             F.struct(
@@ -47,12 +62,12 @@ def drop_accounting(
         ]
     )
     return (
-        counted.select("all_rows", F.inline(entries))
+        counted.select(ALL_ROWS, F.inline(entries))
         .select(
             "position",
             "reason",
             "rows",
-            percent(F.col("rows"), F.col("all_rows")).alias("rows_pct"),
+            percent(F.col("rows"), F.col(ALL_ROWS)).alias("rows_pct"),
         )
     )
 
@@ -78,7 +93,7 @@ def layer_summary(
         ],
         F.max("total_revenue").alias("total_revenue"),
     )
-    return _summary(wide)
+    return summary_of(wide)
 
 
 def layer_summary_of(bronze: DataFrame, contract: Contract = EVENT_CONTRACT) -> DataFrame:
@@ -106,10 +121,10 @@ def layer_summary_of(bronze: DataFrame, contract: Contract = EVENT_CONTRACT) ->
         F.count_if("sold").alias("gold"),
         revenue.cast(DecimalType(38, 2)).alias("total_revenue"),
     )
-    return _summary(wide)
+    return summary_of(wide)
 
 
-def _summary(wide: DataFrame) -> DataFrame:
+def summary_of(wide: DataFrame) -> DataFrame:
     """One row per layer from one row with all counts."""
     dropped = F.col("bronze") - F.col("silver")
     no_count = F.lit(None).cast("bigint")

@@ -13,11 +13,19 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from assayer.constants import LAYERS, RETENTION_DAYS
-from assayer.operators.accounting import drop_accounting, layer_summary
+from assayer.operators.accounting import (
+    ALL_ROWS,
+    drop_accounting,
+    drops_of,
+    layer_summary,
+    reason_counts,
+    summary_of,
+)
+from assayer.operators.contract import EVENT_CONTRACT
 from assayer.operators.gold import (
     REVENUE_PER_HOUR,
     Rollup,
@@ -57,6 +65,28 @@ TABLES = {"bronze": "events", "silver": "events", "gold": "revenue_per_hour"}
 REVENUE_PER_LOAD = Rollup(keys=(*REVENUE_PER_HOUR.keys, LOAD))
 
 
+@dataclass(frozen=True)
+class BuildCounts:
+    """What a build has counted while it wrote: nothing is read again for it."""
+
+    spark: SparkSession
+    observed: dict[str, Observation]
+
+    def drops(self) -> DataFrame:
+        """Why rows of this load did not reach Silver (``drop_accounting``)."""
+        counts = self.observed["bronze"].get
+        kinds = ", ".join(f"`{name}` bigint" for name in counts)
+        return drops_of(self.spark.createDataFrame([tuple(counts.values())], kinds))
+
+    def summary(self) -> DataFrame:
+        """Records per layer of this load, dropped rows, revenue (``layer_summary``)."""
+        counts = {layer: seen.get for layer, seen in self.observed.items()}
+        row = [counts["bronze"][ALL_ROWS], counts["silver"]["n"], counts["gold"]["n"]]
+        kinds = "bronze bigint, silver bigint, gold bigint, total_revenue decimal(38,2)"
+        row = (*row, counts["gold"]["revenue"])
+        return summary_of(self.spark.createDataFrame([row], kinds))
+
+
 @dataclass(frozen=True)
 class Layers:
     """The three tables of one root folder: bronze.events and so on.
@@ -75,8 +105,10 @@ class Layers:
         """The rows that a layer has now, whatever is written later."""
         return self.spark.table(current_table(self.spark, self.name(layer)))
 
-    def build(self, events: DataFrame, load: int = 0, mode: str = REPLACE) -> None:
-        """Take one load of raw events through all layers.
+    def build(
+        self, events: DataFrame, load: int = 0, mode: str = REPLACE
+    ) -> BuildCounts:
+        """Take one load of raw events through all layers; return what was counted.
 
         ``REPLACE`` begins the tables anew: all three are written before the first is
         shown, so that a build that fails changes nothing. ``APPEND`` adds to them; what an
@@ -102,14 +134,24 @@ class Layers:
         def written(layer: str) -> DataFrame:
             return self.spark.table(staged[layer]) if staged else self.read(layer)
 
-        save(events.withColumn(LOAD, number), "bronze")
+        # Counted by the tasks that write; a task that is repeated counts once.
+        observed = {layer: Observation() for layer in LAYERS}
+        reasons = EVENT_CONTRACT.reason_names(events)
+        counts = reason_counts(EVENT_CONTRACT.first_reason(events), reasons)
+        save(events.observe(observed["bronze"], *counts).withColumn(LOAD, number), "bronze")
         bronze = with_origins(written("bronze")).where(F.col(LOAD) == number)
-        save(to_strict_silver(bronze, carry=[*ORIGIN, LOAD]), "silver")
+        rows = F.count(F.lit(1)).alias("n")
+        cleaned = to_strict_silver(bronze, carry=[*ORIGIN, LOAD])
+        save(cleaned.observe(observed["silver"], rows), "silver")
         silver = written("silver").where(F.col(LOAD) == number)
         gold = revenue_rollup(purchases(silver), REVENUE_PER_LOAD)
-        save(stamp(sorted_for_sink(gold, "hour_bucket", "category")), "gold")
+        gold = stamp(sorted_for_sink(gold, "hour_bucket", "category"))
+        healthy = F.when(F.col("total_revenue") > 0, F.col("total_revenue"))
+        revenue = F.sum(healthy).cast("decimal(38,2)").alias("revenue")
+        save(gold.observe(observed["gold"], rows, revenue), "gold")
         for layer, fresh in staged.items():
             show_table(self.spark, self.name(layer), fresh)
+        return BuildCounts(self.spark, observed)
 
     def expire(self, ledger: Ledger, now: Column, max_age: timedelta = RETENTION) -> list[int]:
         """Drop the loads that no snapshot worth keeping shows; return their ids."""
@@ -118,9 +160,9 @@ class Layers:
             drop_loads(self.spark, self.name(layer), LOAD, loads)
         return loads
 
-    def append(self, events: DataFrame, load: int) -> None:
+    def append(self, events: DataFrame, load: int) -> BuildCounts:
         """Add one load of raw events to all layers."""
-        self.build(events, load, APPEND)
+        return self.build(events, load, APPEND)
 
     def summary(self) -> DataFrame:
         """Records per layer, dropped rows and clean revenue."""
@@ -171,6 +213,6 @@ def main(arguments: Sequence[str] | None = None) -> None:
     read = {"json": read_json_events, "parquet": read_parquet_events}[options.format]
     layers = Layers(spark, options.root)
     mode = APPEND if options.append else REPLACE
-    layers.build(read(spark, options.events), options.load, mode)
-    layers.summary().show(truncate=False)
-    layers.drops().show(truncate=False)
+    counts = layers.build(read(spark, options.events), options.load, mode)
+    counts.summary().show(truncate=False)
+    counts.drops().show(truncate=False)

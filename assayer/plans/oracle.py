@@ -268,6 +268,23 @@ records as (
   union all select 'pages', page_id, html from pages
 )"""
 
+MIXED_SUMMARY = _with(
+    MIXED,
+    TYPED,
+    SILVER.replace("ingested as ingested_at, load_id", "ingested as ingested_at"),
+    GOLD.partition(",\ngold_by_load")[0],
+    select=LAYER_SUMMARY[LAYER_SUMMARY.index("select 'bronze'") :],
+)
+
+
+def _buyers(grain: str, *keys: str) -> str:
+    group = "".join(f", {key}" for key in keys)
+    return _silver(f"""
+select date_trunc('{grain}', event_ts) as {grain}_bucket{group},
+  count(distinct user_id) as unique_buyers, true as sketch_is_near
+from silver where event_type = 'purchase' group by all""")
+
+
 MIXED_SILVER = _mixed(f"select {SILVER_COLUMNS} from silver")
 
 ORACLE: dict[str, str] = {
@@ -408,6 +425,14 @@ from (
   from records group by source
 ) r
 left join (select source, field, count(*) as n from fields group by all) f using (source)"""),
+    "layer_build_counts": MIXED_SUMMARY,
+    "layer_build_drops": _mixed(_drops("judged")),
+    "gold_buyers_per_day": _buyers("day", "category"),
+    "gold_buyers_per_month": _buyers("month"),
+    "order_buyers_per_month": """
+select cast(date_trunc('month', o_orderdate) as timestamp) as month_bucket, o_orderpriority,
+  count(distinct o_custkey) as unique_buyers, true as sketch_is_near
+from orders group by all""",
     "snapshot_retention": _history(f"""
 select {GOLD_COLUMNS}, load_id from daily
 where load_id in (

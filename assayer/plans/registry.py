@@ -19,11 +19,21 @@ from assayer.functions.masking import mask_email, mask_ip, register_sql_function
 from assayer.operators.accounting import drop_accounting, layer_summary_of
 from assayer.operators.asof import join_as_of
 from assayer.operators.contract import EVENT_CONTRACT, require_values
+from assayer.operators.distinct import (
+    SKETCH_ERROR,
+    buyer_bitmaps,
+    buyer_sketches,
+    count_bitmaps,
+    count_sketches,
+    merge_bitmaps,
+    merge_sketches,
+)
 from assayer.operators.gold import (
     MEASURES,
     Rollup,
     clean_revenue,
     negative_revenue,
+    purchases,
     revenue_per_hour,
     revenue_rollup,
 )
@@ -279,6 +289,40 @@ def gold_revenue_per_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain_gold(gold).orderBy("hour_bucket", "category")
 
 
+def _distinct_buyers(
+    rows: DataFrame, number: Column, spec: Rollup, grain: str, keys: tuple[str, ...]
+) -> DataFrame:
+    """Distinct buyers of a coarser grain from sets per hour: exact, and whether the
+    estimate of the sketches is within four standard errors of it."""
+    group = [f"{grain}_bucket", *keys]
+    bitmaps = merge_bitmaps(buyer_bitmaps(rows, number, spec), grain, keys, spec)
+    sketches = merge_sketches(buyer_sketches(rows, spec), grain, keys, spec)
+    exact, about = count_bitmaps(bitmaps, group), count_sketches(sketches, group)
+    error = F.abs(F.col("estimated_buyers") - F.col("unique_buyers"))
+    allowed = F.greatest(F.lit(1.0), 4 * SKETCH_ERROR * F.col("unique_buyers"))
+    return exact.join(about, group).select(
+        plain_time(group[0]), *keys, "unique_buyers", (error <= allowed).alias("sketch_is_near")
+    )
+
+
+def gold_buyers_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = purchases(fixture.silver_events(spark, sf_dir))
+    return _distinct_buyers(rows, F.col("user_id"), Rollup(), "day", ("category",))
+
+
+def gold_buyers_per_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Across categories, from the same sets."""
+    rows = purchases(fixture.silver_events(spark, sf_dir))
+    return _distinct_buyers(rows, F.col("user_id"), Rollup(), "month", ())
+
+
+def order_buyers_per_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers per month and priority, from sets per day."""
+    rows = fixture.orders(spark, sf_dir)
+    spec = fixture.ORDERS_PER_DAY
+    return _distinct_buyers(rows, F.col("o_custkey"), spec, "month", spec.keys)
+
+
 def orders_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = fixture.ORDERS_PER_DAY
     return plain_gold(revenue_rollup(fixture.orders(spark, sf_dir), spec), spec)
@@ -320,6 +364,17 @@ def layer_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layers.summary().withColumn("total_revenue", plain_sum("total_revenue"))
 
 
+def layer_build_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary of the mixed feed's build, from what was counted during the writes."""
+    counts = fixture.new_layers(spark, "counts").build(fixture.mixed_feed(spark, sf_dir))
+    return counts.summary().withColumn("total_revenue", plain_sum("total_revenue"))
+
+
+def layer_build_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Why rows of the mixed feed were left out, counted during the write of Bronze."""
+    return fixture.new_layers(spark, "drops").build(fixture.mixed_feed(spark, sf_dir)).drops()
+
+
 def layer_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold by its name in the catalog, after two replaces and an append."""
     first, second, third = fixture.loads()
@@ -575,6 +630,11 @@ QUERIES: dict[str, Query] = {
     "mixed_typed": mixed_typed,
     "bronze_variant_fields": bronze_variant_fields,
     "bronze_variant_drift": bronze_variant_drift,
+    "layer_build_counts": layer_build_counts,
+    "layer_build_drops": layer_build_drops,
+    "gold_buyers_per_day": gold_buyers_per_day,
+    "gold_buyers_per_month": gold_buyers_per_month,
+    "order_buyers_per_month": order_buyers_per_month,
     "snapshot_retention": snapshot_retention,
     "snapshot_changes": snapshot_changes,
     "events_as_of": events_as_of,
