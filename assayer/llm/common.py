@@ -4,11 +4,9 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
-import os
 import sys
 import uuid
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -17,26 +15,13 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayer.session import new_workspace
+from assayer.session import new_workspace, reach_workers
 
 #: Bytes of text that a kernel takes at a time; longer batches are cut between
 #: documents (one document is never cut).
 PIECE_BYTES = 8 << 20
 
 
-def reach_workers(spark: SparkSession) -> None:
-    """Let Python workers find this package at the place where the driver has it.
-
-    Enough on one machine and where the place is shared; elsewhere the package is
-    shipped with ``--py-files``. Every operator calls this before it starts.
-    """
-    root = str(Path(__file__).resolve().parents[2])
-    settings = spark.sparkContext.environment
-    known = [p for p in settings.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if root not in known:
-        settings["PYTHONPATH"] = os.pathsep.join([root, *known])
-
-
 def texts(docs: DataFrame, *others: str) -> DataFrame:
     """Only ``doc_id``, ``text`` (null becomes empty) and ``others``.
 

@@ -10,6 +10,7 @@ import base64
 import hashlib
 import math
 import re
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -245,6 +246,51 @@ def unigrams(rows: list[dict]) -> list[tuple]:
     ]
 
 
+def grams(text: str) -> list[int]:
+    """Buckets of all runs of one to three characters that have a letter."""
+    shown = [c if unicodedata.category(c)[0] == "L" else " " for c in text.lower()]
+    found = []
+    for n in (1, 2, 3):
+        for at in range(len(shown) - n + 1):
+            run = shown[at : at + n]
+            if run == [" "] * n:
+                continue
+            code = 0
+            for k, c in enumerate(run, 1):
+                code = (code * 0x100000001B3 + ord(c) + k) % 2**64
+            found.append(code * 0x9E3779B97F4A7C15 % 2**64 >> 48)
+    return found
+
+
+def languages(rows: list[dict], smoothing: float = 0.1) -> list[tuple[str, float]]:
+    """Language and posterior of every row, by naive Bayes over ``grams``."""
+    counts: dict[str, Counter] = {}
+    documents: Counter = Counter()
+    for r in rows:
+        if r["lang"] is not None and crc_mod(r["doc_id"], 4) != 2:
+            found = grams(text_of(r))
+            if found:
+                counts.setdefault(r["lang"], Counter()).update(found)
+                documents[r["lang"]] += 1
+    known = sorted(counts)
+    totals = {x: sum(counts[x].values()) + smoothing * 2**16 for x in known}
+    results = []
+    for r in rows:
+        found = grams(text_of(r))
+        if not found or not known:
+            results.append(("und", 0.0))
+            continue
+        scores = [
+            math.log(documents[x] / sum(documents.values()))
+            + sum(math.log((counts[x][g] + smoothing) / totals[x]) for g in found)
+            for x in known
+        ]
+        best = max(scores)
+        share = 1 / sum(math.exp(s - best) for s in scores)
+        results.append((known[scores.index(best)], share))
+    return results
+
+
 def mix_targets(rows: list[dict], weights=(5, 2, 1), most: int = 3) -> dict:
     """Size and target of each source, the excess reshared step by step."""
     sizes: Counter = Counter()

@@ -195,6 +195,10 @@ def test_language_id(spark, given):
         ("doc_id", "held_out"),
         [(r["doc_id"], plain.crc_mod(r["doc_id"], 4) == 2) for r in rows],
     )
+    wanted = Counter((r["doc_id"], w[0]) for r, w in zip(rows, plain.languages(rows)))
+    assert Counter((r["doc_id"], r["lang_pred"]) for r in found) == wanted
+    scores = {r["doc_id"]: w[1] for r, w in zip(rows, plain.languages(rows))}
+    assert all(abs(r["score"] - scores[r["doc_id"]]) < 1e-3 for r in found)
     lettered = {r["doc_id"]: any(c.isalpha() for c in plain.text_of(r)) for r in rows}
     languages = {r["lang"] for r in rows}
     for r in found:
