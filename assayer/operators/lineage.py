@@ -58,6 +58,31 @@ def trace_gold_to_silver(
     )
 
 
+def trace_bronze_to_gold(
+    origins: DataFrame,
+    silver: DataFrame,
+    gold: DataFrame,
+    spec: Rollup = REVENUE_PER_HOUR,
+    keys: Sequence[str] = ORIGIN,
+) -> DataFrame:
+    """The Gold rows that some Bronze rows have gone into, and how many went into each.
+
+    ``origins`` names Bronze rows by ``keys``: a file alone, or file and row. Silver is
+    looked through once, by a semi-join, and combined by group before it meets Gold.
+    """
+    wanted = origins.select(*keys).distinct()
+    touched = _join(
+        purchases(silver).select(spec.bucket(), *spec.keys, *keys), wanted, keys, "left_semi"
+    )
+    groups = touched.groupBy(*spec.group).agg(F.count(F.lit(1)).alias("bronze_rows"))
+    return _join(gold, groups, spec.group)
+
+
+def trace_event(silver: DataFrame, event_id: str, spec: Rollup = REVENUE_PER_HOUR) -> DataFrame:
+    """The Silver rows of one id; on written Silver most row groups are skipped."""
+    return silver.where(F.col(spec.row_id) == event_id)
+
+
 def trace_silver_to_bronze(
     silver: DataFrame, bronze: DataFrame, keys: Sequence[str] = ORIGIN
 ) -> DataFrame:

@@ -387,6 +387,9 @@ where s.event_type = 'purchase'"""),
     "lineage_gold_to_bronze": _typed("""
 select * exclude (money, pieces, happened, ingested, reason) from judged
 where reason = 'ok' and event_type = 'purchase'"""),
+    "lineage_bronze_to_gold": _gold(f"""
+select {GOLD_COLUMNS}, load_id, transaction_count as bronze_rows
+from gold_by_load where load_id = 2"""),
     "lineage_silver_to_bronze": _silver("""
 select load_id, cast(1 as bigint) as silver_rows, cast(1 as bigint) as bronze_rows,
   count(*) as origins

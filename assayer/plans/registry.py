@@ -39,6 +39,7 @@ from assayer.operators.gold import (
 )
 from assayer.operators.lineage import (
     bronze_rows_behind,
+    trace_bronze_to_gold,
     trace_gold_to_silver,
     trace_silver_to_bronze,
 )
@@ -529,6 +530,17 @@ def lineage_gold_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze_rows_behind(sold, with_origins(layers.read("bronze"))).drop(*ORIGIN)
 
 
+def lineage_bronze_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Gold rows that the raw events of the last load went into."""
+    layers = fixture.written_layers(spark, sf_dir)
+    bronze = with_origins(layers.read("bronze").where(F.col(LOAD) == 2))
+    touched = trace_bronze_to_gold(
+        bronze, layers.read("silver"), layers.read("gold"), REVENUE_PER_LOAD
+    )
+    measures = [F.col(m) if m in COUNTS else plain_sum(m) for m in MEASURES]
+    return touched.select(plain_time("hour_bucket"), "category", LOAD, *measures, "bronze_rows")
+
+
 def lineage_silver_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many Silver rows of each load have how many rows of origin."""
     layers = fixture.written_layers(spark, sf_dir)
@@ -620,6 +632,7 @@ QUERIES: dict[str, Query] = {
     "lineage_gold_to_silver": lineage_gold_to_silver,
     "lineage_gold_to_bronze": lineage_gold_to_bronze,
     "lineage_silver_to_bronze": lineage_silver_to_bronze,
+    "lineage_bronze_to_gold": lineage_bronze_to_gold,
     "stream_silver": stream_silver,
     "stream_gold": stream_gold,
     "stream_quarantine": stream_quarantine,

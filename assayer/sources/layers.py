@@ -84,8 +84,16 @@ def save_table(
         show_table(spark, name, stage_table(df, layer, name, split_by))
 
 
+#: Columns whose Bloom filters let a search for one value skip row groups. Their size
+#: follows the number of values in a row group.
+SEARCHED = {"silver": ("event_id",)}
+
+
 def _writer(df: DataFrame, layer: str, split_by: str | None):
     writer = df.write.format("parquet").option("compression", LAYER_CODECS[layer])
+    for column in SEARCHED.get(layer, ()):
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+        writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
     return writer if split_by is None else writer.partitionBy(split_by)
 
 

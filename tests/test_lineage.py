@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 from assayer.operators.gold import purchases, revenue_per_hour, revenue_rollup
 from assayer.operators.lineage import (
     bronze_rows_behind,
+    trace_bronze_to_gold,
+    trace_event,
     trace_gold_to_silver,
     trace_silver_to_bronze,
 )
 from assayer.operators.silver import to_silver
+from assayer.plans import fixture
 from assayer.plans.layers import REVENUE_PER_LOAD
 from assayer.session import new_workspace
-from assayer.sources.events import ORIGIN, read_parquet_events
+from assayer.sources.events import ORIGIN, read_parquet_events, with_origins
 
 
 def events(count, seed=3):
@@ -178,3 +181,56 @@ def test_a_rejected_row_with_the_id_of_an_accepted_one(spark, bronze):
     raw = read_parquet_events(spark, folder, with_origin=True)
     behind = bronze_rows_behind(to_silver(raw, carry=ORIGIN), raw)
     assert [r.amount for r in behind.collect()] == [5.0]
+
+
+def test_forward_trace_of_a_file_and_of_a_row(spark):
+    """Against a join of all rows, kept plainly."""
+    layers = fixture.new_layers(spark, "forward")
+    events = fixture.bronze_events(spark, "/root/testdata/sf0.001")
+    layers.build(events.repartition(4, "event_id"))
+    bronze, silver, gold = (with_origins(layers.read("bronze")), *map(layers.read, ("silver", "gold")))
+    files = sorted(r[0] for r in bronze.select(ORIGIN[0]).distinct().collect())
+    sold = [r for r in silver.collect() if r.event_type == "purchase"]
+    for keys, wanted in (([ORIGIN[0]], bronze.where(F.col(ORIGIN[0]) == files[0])),
+                         (ORIGIN, bronze.where(F.col(ORIGIN[0]) == files[1]).limit(30))):
+        names = {tuple(r) for r in wanted.select(*keys).collect()}
+        expected: dict = {}
+        for r in sold:
+            if tuple(r[k] for k in keys) in names:
+                group = (r.event_ts.replace(minute=0, second=0, microsecond=0), r.category)
+                expected[group] = expected.get(group, 0) + 1
+        found = trace_bronze_to_gold(wanted, silver, gold, REVENUE_PER_LOAD, keys).collect()
+        assert {(r.hour_bucket, r.category): r.bronze_rows for r in found} == expected != {}
+
+
+def test_a_point_trace_skips_row_groups(spark):
+    """By the Bloom filters of written Silver: ids are spread over all files, so that
+    neither their least and largest values nor a dictionary tells them apart."""
+    layers = fixture.new_layers(spark, "bloom")
+    events = fixture.bronze_events(spark, "/root/testdata/sf0.01").where("event_type = 'view'")
+    long_ids = F.concat(F.sha2("event_id", 512), F.sha2(F.concat("event_id", F.lit("x")), 512))
+    events = events.withColumn("event_id", long_ids)
+    many = events.crossJoin(spark.range(40).select(F.col("id").alias("copy")))
+    many = many.withColumn("event_id", F.concat("event_id", F.col("copy").cast("string")))
+    layers.build(many.drop("copy").repartition(6, "event_id"))
+    silver = layers.read("silver")
+    some = silver.select("event_id").first().event_id
+
+    def rows_read(frame):
+        frame.collect()
+        plan = frame._jdf.queryExecution().executedPlan()
+        leaves = plan.collectLeaves()
+        metrics = [leaves.apply(i).metrics().get("numOutputRows") for i in range(leaves.size())]
+        return sum(m.get().value() for m in metrics)
+
+    found = trace_event(silver, some)
+    assert rows_read(found.select("event_id")) < silver.count() / 3
+    assert found.count() == 1
+    spark.conf.set("parquet.filter.bloom.enabled", "false")
+    try:
+        without = spark.read.option("parquet.filter.bloom.enabled", "false").parquet(
+            *sorted({f.rsplit("/", 1)[0] for f in silver.inputFiles()})
+        )
+        assert rows_read(trace_event(without, some).select("event_id")) == silver.count()
+    finally:
+        spark.conf.unset("parquet.filter.bloom.enabled")

@@ -54,6 +54,7 @@ def test_events_are_conserved(spark):
         ("lineage_gold_to_silver", 2),
         ("lineage_silver_to_bronze", 2),
         ("lineage_gold_to_bronze", 3),
+        ("lineage_bronze_to_gold", 3),
     ],
 )
 def test_each_input_is_read_once(spark, name, scans):
