@@ -428,6 +428,25 @@ from (
   from records group by source
 ) r
 left join (select source, field, count(*) as n from fields group by all) f using (source)"""),
+    "layer_codecs": _gold("""
+select 'bronze' as layer, 'snappy' as codec, count(*) as rows from bronze
+union all select 'silver', 'zstd', count(*) from silver
+union all select 'gold', 'zstd', count(*) from gold_by_load"""),
+    "silver_processed_at": _silver("""
+select count(*) as stamped_rows, cast(1 as bigint) as times, true as not_ahead from silver"""),
+    "incident_audit": _gold("""
+select cast(0 as bigint) as snapshot_id, 'replace' as operation, count(*) as records,
+  cast(null as bigint) as record_change, count(*) filter (where total_revenue < 0)
+    as negative_rows, cast(sum(total_revenue) as decimal(18,2)) as revenue
+from gold
+union all
+select 1, 'append', count(*) + 2, 2, 2, cast(sum(total_revenue) - 250 as decimal(18,2))
+from gold"""),
+    "incident_changes": """
+select timestamp '2024-02-01' as hour_bucket, 'k1' as category,
+  cast(-50 as decimal(18,2)) as total_revenue, 'added' as change, cast(1 as bigint) as times
+union all select timestamp '2024-02-01', 'k2', -200, 'added', 1""",
+    "incident_recovery": GOLD_ROWS,
     "layer_build_counts": MIXED_SUMMARY,
     "layer_build_drops": _mixed(_drops("judged")),
     "gold_buyers_per_day": _buyers("day", "category"),

@@ -9,12 +9,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from assayer.constants import SILVER_SCHEMA
+from assayer.constants import LAYERS, SILVER_SCHEMA
 from assayer.functions.masking import mask_email, mask_ip, register_sql_functions
 from assayer.operators.accounting import drop_accounting, layer_summary_of
 from assayer.operators.asof import join_as_of
@@ -50,11 +51,13 @@ from assayer.session import new_workspace
 from assayer.sources.events import (
     CORRUPT,
     ORIGIN,
+    literal_rows,
     read_json_events,
     stream_json_events,
     with_origins,
 )
 from assayer.sources.layers import (
+    APPEND,
     REPLACE,
     current_table,
     drop_loads,
@@ -191,6 +194,16 @@ def silver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain_silver(to_strict_silver(fixture.bronze_events(spark, sf_dir)))
 
 
+def silver_processed_at(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row bears the time of its run, one time for all."""
+    stamp = F.col("processed_at")
+    return fixture.silver_events(spark, sf_dir).agg(
+        F.count(stamp).alias("stamped_rows"),
+        F.count_distinct(stamp).alias("times"),
+        (F.max(stamp) <= F.current_timestamp()).alias("not_ahead"),
+    )
+
+
 def silver_drop_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_accounting(fixture.bronze_events(spark, sf_dir))
 
@@ -376,6 +389,18 @@ def layer_build_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixture.new_layers(spark, "drops").build(fixture.mixed_feed(spark, sf_dir)).drops()
 
 
+def layer_codecs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The codec of every file of the written layers, and the rows in such files."""
+    layers = fixture.written_layers(spark, sf_dir)
+    codec = F.regexp_extract("_metadata.file_name", r"\.([a-z0-9]+)\.parquet$", 1)
+    found = [
+        layers.read(layer).select(F.lit(layer).alias("layer"), codec.alias("codec"))
+        for layer in LAYERS
+    ]
+    together = reduce(DataFrame.unionByName, found)
+    return together.groupBy("layer", "codec").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def layer_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold by its name in the catalog, after two replaces and an append."""
     first, second, third = fixture.loads()
@@ -457,6 +482,52 @@ def snapshot_expire(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: A batch of Gold as somebody typed it in: times as text, amounts as floats, and revenue
+#: below zero, which no healthy row has.
+INCIDENT = (
+    ("2024-02-01T00:00:00", "k1", -50.0, 1, -50.0, -50.0, -50.0, 1),
+    ("2024-02-01T00:00:00", "k2", -200.0, 2, -100.0, -50, "-150.00", 2),
+)
+
+
+def _incident(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold as a table to which the batch was appended."""
+    work = new_workspace(spark, "incident")
+    base = f"incident_{uuid.uuid4().hex[:12]}"
+    ensure_namespaces(spark, work, [base])
+    name = f"`{base}`.gold"
+    gold = revenue_per_hour(fixture.silver_events(spark, sf_dir))
+    load = F.lit(0).cast("bigint")
+    save_table(gold.withColumn(LOAD, load), "gold", name, REPLACE, split_by=LOAD)
+    typed = literal_rows(spark, INCIDENT, gold.schema).withColumn(LOAD, load + 1)
+    save_table(typed, "gold", name, APPEND, split_by=LOAD)
+    return spark.table(name)
+
+
+def incident_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the append did to the number of rows, and the negative ones it brought."""
+    table = _incident(spark, sf_dir)
+    negative = F.count_if(F.col("total_revenue") < 0)
+    sums = sums_by_load([table], negative_rows=negative, revenue=F.sum("total_revenue"))
+    return audit(ledger_of(table), sums).withColumn("revenue", plain_sum("revenue"))
+
+
+def incident_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows in which the table differs from the good snapshot."""
+    table = _incident(spark, sf_dir)
+    found = changes(table, ledger_of(table), 0, 1, ["hour_bucket", "category"])
+    return found.select(
+        plain_time("hour_bucket"), "category", plain_sum("total_revenue"), "change", "times"
+    )
+
+
+def incident_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows after going back to the good snapshot."""
+    table = _incident(spark, sf_dir)
+    ledger = restored(ledger_of(table), 0, after=timedelta(hours=1))
+    return plain_gold(read_as_of(table, ledger))
+
+
 def snapshot_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of a table of daily loads once retention has been applied."""
     work = new_workspace(spark, "retention")
@@ -643,6 +714,11 @@ QUERIES: dict[str, Query] = {
     "mixed_typed": mixed_typed,
     "bronze_variant_fields": bronze_variant_fields,
     "bronze_variant_drift": bronze_variant_drift,
+    "layer_codecs": layer_codecs,
+    "silver_processed_at": silver_processed_at,
+    "incident_audit": incident_audit,
+    "incident_changes": incident_changes,
+    "incident_recovery": incident_recovery,
     "layer_build_counts": layer_build_counts,
     "layer_build_drops": layer_build_drops,
     "gold_buyers_per_day": gold_buyers_per_day,

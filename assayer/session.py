@@ -11,6 +11,9 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 # Settings the library relies on or profits from. None of them depends on the
 # size of the data: from the sizes it measures, AQE merges small reduce tasks
 # and splits skewed ones. (It never makes more reduce tasks than
@@ -22,9 +25,7 @@ SETTINGS = {
     # filter on a time could not skip anything.
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # Stream state on local disk instead of the executor heap.
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    ),
+    STATE_STORE: ROCKSDB,
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

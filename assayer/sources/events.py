@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from assayer.constants import BRONZE_SCHEMA
+from assayer.functions.coercion import coerce
+from assayer.operators.contract import conform
 
 CORRUPT = "_corrupt_record"
 
@@ -70,6 +74,21 @@ def with_origins(rows: DataFrame) -> DataFrame:
     )
 
 
+def literal_rows(
+    spark: SparkSession, rows: Sequence[Sequence[object]], schema: StructType
+) -> DataFrame:
+    """A small batch typed by hand, in the columns and types of a table.
+
+    Values may be given in any form that reads as the column's type: a time as text, an
+    amount as a float. One that does not becomes null and fails if the column may not be.
+    """
+    texts = [[None if v is None else str(v) for v in row] for row in rows]
+    untyped = StructType([StructField(name, StringType()) for name in schema.names])
+    given = spark.createDataFrame(texts, untyped)
+    typed = given.select(*[coerce(F.col(f.name), f.dataType).alias(f.name) for f in schema])
+    return conform(typed, schema)
+
+
 def _json_options(reader, schema: StructType):
     return (
         reader.schema(with_corrupt(schema))

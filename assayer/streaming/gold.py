@@ -36,7 +36,7 @@ from assayer.operators.gold import (
     measures_from_sums,
     purchases,
 )
-from assayer.session import reach_workers
+from assayer.session import ROCKSDB, STATE_STORE, reach_workers
 
 PART = "part_us"
 BUCKET = "bucket_us"
@@ -236,7 +236,7 @@ class RevenueStream:
 
     def start(self, silver: DataFrame, checkpoint: str) -> StreamingQuery:
         """Process all available events and stop; start again for more."""
-        return (
+        writer = (
             self.log(silver)
             .writeStream.format("parquet")
             .option("path", self.path)
@@ -244,8 +244,19 @@ class RevenueStream:
             .option("compression", LAYER_CODECS["gold"])
             .outputMode("append")
             .trigger(availableNow=True)
-            .start()
         )
+        # Named states need RocksDB, whatever the session's setting is; a query keeps the
+        # settings it was started with.
+        spark = silver.sparkSession
+        before = spark.conf.get(STATE_STORE, None)
+        spark.conf.set(STATE_STORE, ROCKSDB)
+        try:
+            return writer.start()
+        finally:
+            if before is None:
+                spark.conf.unset(STATE_STORE)
+            else:
+                spark.conf.set(STATE_STORE, before)
 
     def read_log(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.path)
