@@ -99,6 +99,8 @@ CLASS_HASH = 1 << 34
 
 ROUNDS = 2
 BATCH = 32768
+#: Tokens whose weights of all classes stay near the processor.
+NEAR = 4096
 RATE = 0.3
 
 #: Bytes of text in a block.
@@ -393,6 +395,40 @@ def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def _with_places(values: np.ndarray, free: int) -> tuple[np.ndarray, np.ndarray]:
+    """Values in order, and the place of each; the lowest ``free`` bits are not theirs.
+
+    The place goes into those bits, so that numbers are sorted and not places.
+    """
+    packed = values | np.arange(len(values), dtype=np.uint64)
+    packed.sort()
+    low = np.uint64((1 << free) - 1)
+    return packed >> np.uint64(free), (packed & low).astype(np.int64)
+
+
+def _place_bits(values: np.ndarray) -> int:
+    return max(1, len(values) - 1).bit_length()
+
+
+def distinct(codes: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct codes, all below ``limit``, in order, and each code's place in them."""
+    free = _place_bits(codes)
+    if limit.bit_length() + free > 64:
+        return np.unique(codes, return_inverse=True)
+    ordered, place = _with_places(codes.astype(np.uint64) << np.uint64(free), free)
+    first = np.ones(len(ordered), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=first[1:])
+    whose = np.empty(len(codes), np.int64)
+    whose[place] = np.cumsum(first) - 1
+    return ordered[first].astype(np.int64), whose
+
+
+def by_hash(keys: np.ndarray) -> np.ndarray:
+    """Places in the order of hashes, by as many of their highest bits as fit."""
+    free = np.uint64(_place_bits(keys))
+    return _with_places((keys >> free) << free, int(free))[1]
+
+
 @dataclass(frozen=True)
 class Pairs:
     """The distinct pairs of a block: previous word and word, previous word and class."""
@@ -410,9 +446,9 @@ class Pairs:
         before = np.empty(len(tokens), np.int64)
         before[1:] = tokens[:-1]
         before[np.cumsum(lengths) - lengths] = size  # the start of a text
-        pairs, pair_of = np.unique(before * size + tokens, return_inverse=True)
+        pairs, pair_of = distinct(before * size + tokens, size * (size + 1))
         before, word = np.divmod(pairs, size)
-        cells, class_of = np.unique(before * CLASSES + classes[word], return_inverse=True)
+        cells, class_of = distinct(before * CLASSES + classes[word], (size + 1) * CLASSES)
         hashes = np.append(entries.hashes.astype(np.uint64), np.uint64(START_HASH))
         of_cell, group = np.divmod(cells, CLASSES)
         keys = [
@@ -444,7 +480,7 @@ class Seen:
             rows = pa.ipc.open_stream(f.read()).read_all()
         counts = np.empty(len(pairs.keys), np.int64)
         known = [unpack(x) for x in rows["counts"].to_pylist()]
-        counts[np.argsort(pairs.keys, kind="stable")] = np.concatenate(known)
+        counts[by_hash(pairs.keys)] = np.concatenate(known)
         words = len(pairs.class_of)
         # Each occurrence of a word is followed by a token, each start of a text too.
         times = np.append(entries.counts, model.ends)
@@ -497,7 +533,7 @@ def _gather_pairs(blocks: DataFrame, folder: str, model: Model) -> None:
         for row, tokens, lengths, entries in _block_rows(batches, folder):
             pairs = Pairs.of(entries, own.classes(entries), tokens, lengths)
             counts = pairs.learned(np.repeat(np.asarray(row["learn"].values), lengths))
-            order = np.argsort(pairs.keys, kind="stable")
+            order = by_hash(pairs.keys)
             keys, counts = pairs.keys[order], counts[order]
             limits = np.arange(1 << bits, dtype=np.uint64) << shift
             cuts = np.append(np.searchsorted(keys, limits), len(keys))
@@ -568,9 +604,12 @@ def _exponentials(weights: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np
 
 def class_probabilities(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """P(class | history) of each token."""
-    total, sums = _exponentials(weights, rows)
-    total /= sums[:, None]
-    return total
+    found = np.empty((rows.shape[1], weights.shape[1]), weights.dtype)
+    for first in range(0, len(found), NEAR):
+        some = slice(first, first + NEAR)
+        total, sums = _exponentials(weights, rows[:, some])
+        np.divide(total, sums[:, None], out=found[some])
+    return found
 
 
 def _sums_by_row(values: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -756,8 +795,8 @@ def _score(blocks: DataFrame, folder: str, model: Model) -> DataFrame:
                 want = classes[part]
                 each = inner[at : at + len(part)]
                 chance = np.empty(len(part))
-                for first in range(0, len(part), BATCH):
-                    some = slice(first, first + BATCH)
+                for first in range(0, len(part), NEAR):
+                    some = slice(first, first + NEAR)
                     total, sums = _exponentials(own.weights, rows[:, some])
                     chance[some] = total[np.arange(len(total)), want[some]] / sums
                 here = seen.some(slice(at, at + len(part)))

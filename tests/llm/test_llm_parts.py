@@ -424,6 +424,20 @@ def test_probabilities_add_up(spark):
         assert np.isclose(maxent.backed(model.backing[0], of_class, whole, softmax)[0].sum(), 1)
 
 
+@pytest.mark.parametrize("n", [0, 1, 2, 1000])
+@pytest.mark.parametrize("limit", [5, 1 << 40, 1 << 62])
+def test_distinct_codes_and_order_of_hashes(n, limit):
+    codes = np.random.default_rng(n).integers(0, limit, n)
+    found, whose = maxent.distinct(codes, limit)
+    wanted, places = np.unique(codes, return_inverse=True)
+    assert np.array_equal(found, wanted) and np.array_equal(whose, places)
+    keys = maxent.mixed(codes.astype(np.uint64), np.arange(n, dtype=np.uint64) // 2)
+    order = maxent.by_hash(keys)
+    assert sorted(order.tolist()) == list(range(n))
+    high = keys[order] >> np.uint64(20)
+    assert (high[1:] >= high[:-1]).all()
+
+
 def test_slope_of_the_backing_weights():
     rng = np.random.default_rng(2)
     seen = rng.integers(0, 50, 40)
@@ -609,6 +623,15 @@ def test_sections_do_not_depend_on_cutting_paragraphs(spark):
 # -- mixing --------------------------------------------------------------------
 
 
+@settings(max_examples=30, deadline=None)
+@given(st.lists(TEXTS, min_size=1, max_size=20))
+def test_words_are_counted_without_a_list(spark, texts):
+    texts = [*texts, " " * 10**6, "a " * 10**6, " \n" * 3 + "b" * 10**6]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = frame.select(cube.word_count(F.col("text"))).collect()
+    assert [r[0] for r in found] == [len(plain.WORD.findall(t)) for t in texts]
+
+
 def falling(rng, n: int) -> np.ndarray:
     return np.sort(rng.zipf(1.5, n).clip(0, 20_000))[::-1]
 
@@ -684,6 +707,13 @@ def test_terms_are_bytes_of_words():
     assert search.terms_of(text.encode()) == want
 
 
+@settings(max_examples=100, deadline=None)
+@given(TEXTS, st.integers(1, 9))
+def test_terms_are_counted_piece_by_piece(text, piece):
+    words = search.terms_of(text.encode())
+    assert search.counted_terms(text.encode(), piece) == (len(words), Counter(words))
+
+
 def test_best_keeps_ties_by_id():
     rng = np.random.default_rng(1)
     best = search.Best(5, 4)
