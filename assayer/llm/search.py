@@ -45,6 +45,8 @@ IMPACT_SCALE = 1_000_000
 #: to the workers does not grow with the table of items.
 BLOCK_ITEMS = 2048
 BLOCK_BYTES = 2 << 20
+#: Bytes of a text whose terms are held at a time.
+PIECE_BYTES = 1 << 20
 #: Sides of the tiles.
 TILE_ITEMS = 128
 TILE_TERMS = 4096
@@ -63,6 +65,20 @@ def terms_of(data: bytes) -> list[bytes]:
     return data.translate(_FOLD).split()
 
 
+def counted_terms(data: bytes, piece: int = PIECE_BYTES) -> tuple[int, Counter]:
+    """How many terms a text has, and how often each; long texts piece by piece."""
+    folded = data.translate(_FOLD)
+    total, found, at = 0, Counter(), 0
+    while at < len(folded):
+        end = folded.find(b" ", at + piece)
+        end = len(folded) if end < 0 else end
+        words = folded[at:end].split()
+        total += len(words)
+        found.update(words)
+        at = end
+    return total, found
+
+
 @dataclass(frozen=True)
 class Queries:
     """A block of items: their terms by number, and the weight of each term."""
@@ -166,12 +182,12 @@ def _compacted(docs: DataFrame, vocabulary) -> DataFrame:
         for batch in pieces(batches):
             ids, sizes, ends, terms, tfs = [], [], [0], [], []
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                words = terms_of(text.as_buffer().to_pybytes())
-                if not words:
+                size, found = counted_terms(text.as_buffer().to_pybytes())
+                if not size:
                     continue
                 ids.append(doc_id.as_py())
-                sizes.append(len(words))
-                for word, count in Counter(words).items():
+                sizes.append(size)
+                for word, count in found.items():
                     if word in number:
                         terms.append(number[word])
                         tfs.append(count)
