@@ -51,8 +51,7 @@ ALIKE = 64
 _NEAR = 1e-12
 _SURE = 1e-10
 
-#: A word and the white space before it.
-_WORD = r"[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++"
+_WORD = r"[^\x20\x09-\x0D]+"
 
 
 def word_count(text: Column) -> Column:

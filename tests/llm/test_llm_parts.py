@@ -623,10 +623,10 @@ def test_sections_do_not_depend_on_cutting_paragraphs(spark):
 # -- mixing --------------------------------------------------------------------
 
 
-@settings(max_examples=30, deadline=None)
+@settings(max_examples=15, deadline=None)
 @given(st.lists(TEXTS, min_size=1, max_size=20))
 def test_words_are_counted_without_a_list(spark, texts):
-    texts = [*texts, " " * 10**6, "a " * 10**6, " \n" * 3 + "b" * 10**6]
+    texts = [*texts, " " * 10**5, "a " * 10**5, " \n" * 3 + "b" * 10**5]
     frame = spark.createDataFrame([(t,) for t in texts], "text string")
     found = frame.select(cube.word_count(F.col("text"))).collect()
     assert [r[0] for r in found] == [len(plain.WORD.findall(t)) for t in texts]
