@@ -98,7 +98,7 @@ def test_expirable(data):
 
 
 @settings(
-    max_examples=6,
+    max_examples=4,
     deadline=None,
     suppress_health_check=[HealthCheck.function_scoped_fixture],
 )
@@ -171,7 +171,7 @@ def test_a_ledger_is_as_long_as_there_were_loads(spark):
 
 
 @settings(
-    max_examples=8,
+    max_examples=4,
     deadline=None,
     suppress_health_check=[HealthCheck.function_scoped_fixture],
 )
