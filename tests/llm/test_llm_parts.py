@@ -496,7 +496,7 @@ def test_texts_that_occur_twice_score_apart(spark):
 PARTS = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext|", ">", "a", "Ab."]
 
 
-@settings(max_examples=150, deadline=None)
+@settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.sampled_from([*PARTS, " ", "\n", "é", "don't"])).map("".join)))
 def test_special_strings_are_what_the_library_makes_of_them(texts):
     ids, sizes = word_encoder(WORD_BPE).encode(pa.array(texts, pa.string()))
@@ -556,7 +556,7 @@ def test_quality_of_any_text(spark, texts):
 MENU_PARTS = [*plain.MENU, *plain.NOTICES, "us", "to", "stone", "Ünder", "x", "powered by "]
 
 
-@settings(max_examples=40, deadline=None)
+@settings(max_examples=20, deadline=None)
 @given(
     st.lists(
         st.lists(st.sampled_from([*MENU_PARTS, " ", " | ", "  ", "-", ".", "é"]), max_size=7),
