@@ -20,7 +20,7 @@ from assayer.functions.coercion import to_money
 from assayer.operators.gold import Rollup, purchases, revenue_per_hour
 from assayer.operators.silver import to_silver
 from assayer.plans.layers import Layers
-from assayer.session import new_workspace
+from assayer.session import OPEN_FILES, new_workspace, with_settings
 from assayer.sources.events import parse_json
 from assayer.sources.snapshots import LOAD
 
@@ -34,6 +34,13 @@ SECOND_CUT = "2024-01-21"
 # Each landed file has events of the whole feed, which is no longer than this.
 FEED_SPAN = timedelta(days=366)
 
+# Compressed JSON can't be split, so that no file gets more rows than a task reads soon.
+LANDED_ROWS = 1_000_000
+LANDED_CODEC = "lz4"
+
+# Parquet that one task lands as JSON.
+LANDED_BYTES = 128 * 2**20
+
 # JSON files of a micro-batch. A batch does not grow with the landing folder.
 FILES_PER_BATCH = 2
 
@@ -184,7 +191,9 @@ def mixed_landing(spark: SparkSession, sf_dir: str) -> str:
 @cache
 def _mixed_landing(spark: SparkSession, sf_dir: str, state: tuple) -> str:
     path = new_workspace(spark, "mixed")
-    mixed_feed(spark, sf_dir).write.mode("overwrite").json(path)
+    writer = mixed_feed(spark, sf_dir).write.mode("overwrite")
+    writer = writer.option("compression", LANDED_CODEC)
+    writer.option("maxRecordsPerFile", LANDED_ROWS).json(path)
     return path
 
 
@@ -330,8 +339,10 @@ def json_landing(spark: SparkSession, sf_dir: str) -> str:
 
     The files are split by the quarter of the hour in which an event happened,
     so that every hour, and most buyers, are spread over several micro-batches.
-    No shuffle: each task writes the files of the rows it has. Written once per session
-    and state of the events.
+    No shuffle: each task writes the files of the rows it has, all open at once instead
+    of one after the other from sorted rows. As many tasks as the events' size asks for,
+    not as many as there are cores, so that a file, and with it a micro-batch, is worth
+    its fixed costs. Written once per session and state of the events.
     """
     return _json_landing(spark, sf_dir, _state(spark, sf_dir, "events"))
 
@@ -341,6 +352,8 @@ def _json_landing(spark: SparkSession, sf_dir: str, state: tuple) -> str:
     path = new_workspace(spark, "landing")
     quarter = F.floor(F.minute("ts") / 15).alias("quarter")
     events = table(spark, sf_dir, "events").select("*", quarter)
-    feed = as_bronze(events, keep=("quarter",))
-    feed.write.mode("overwrite").partitionBy("quarter").json(path)
+    tasks = -(-sum(size for _, size, _ in state) // LANDED_BYTES)
+    feed = as_bronze(events.coalesce(max(1, tasks)), keep=("quarter",))
+    with with_settings(spark, {OPEN_FILES: "8"}):
+        feed.write.mode("overwrite").partitionBy("quarter").json(path)
     return path

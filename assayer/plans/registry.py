@@ -47,7 +47,7 @@ from assayer.operators.lineage import (
 from assayer.operators.silver import to_silver, to_strict_silver
 from assayer.plans import fixture
 from assayer.plans.layers import REVENUE_PER_LOAD
-from assayer.session import new_workspace
+from assayer.session import OPEN_FILES, new_workspace, with_settings
 from assayer.sources.events import (
     CORRUPT,
     ORIGIN,
@@ -643,7 +643,8 @@ def _quarantined(spark: SparkSession, sf_dir: str) -> QuarantinedSilver:
     work = new_workspace(spark, "quarantine")
     feed = stream_json_events(spark, fixture.mixed_landing(spark, sf_dir), files_per_batch=8)
     silver = QuarantinedSilver(f"{work}/silver")
-    silver.start(feed, f"{work}/checkpoint").awaitTermination()
+    with with_settings(spark, {OPEN_FILES: "8"}):
+        silver.start(feed, f"{work}/checkpoint").awaitTermination()
     return silver
 
 

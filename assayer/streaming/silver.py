@@ -43,6 +43,9 @@ class QuarantinedSilver:
 
     A rejected row keeps its raw columns as they came, with the first rule it violates,
     and the file it came in.
+
+    While the stream runs, ``session.OPEN_FILES`` of two or more spares a sort of all rows
+    by outcome. Spark's file sink looks at the session's value at each micro-batch.
     """
 
     def __init__(self, path: str, contract: Contract = EVENT_CONTRACT) -> None:

@@ -11,7 +11,8 @@ from assayer.operators.accounting import drop_accounting
 from assayer.operators.gold import MEASURES, revenue_per_hour
 from assayer.operators.silver import to_silver
 from assayer.plans import fixture
-from assayer.session import new_workspace
+from assayer.plans.registry import QUERIES
+from assayer.session import OPEN_FILES, new_workspace
 from assayer.sources.events import CORRUPT, read_json_events, stream_json_events
 from assayer.streaming.gold import RevenueStream, start_windowed_revenue
 from assayer.streaming.silver import QuarantinedSilver, start_silver
@@ -320,3 +321,40 @@ def test_landing_is_the_whole_feed(spark):
     assert landed.exceptAll(feed).count() == 0
     hours = landed.select(F.col("event_ts").substr(1, 13)).distinct().count()
     assert hours > 24
+
+
+def test_landings_are_compressed_bounded_and_whole(spark, monkeypatch, tmp_path):
+    """Files of the mixed feed have few rows; no task lands a few events only."""
+    monkeypatch.setattr(fixture, "LANDED_ROWS", 400)
+    # Not the cached folder of the session.
+    landing = fixture._mixed_landing.__wrapped__(spark, SMALL, ())
+    landed = read_json_events(spark, landing)
+    files = landed.groupBy(F.col("_metadata.file_path")).count().collect()
+    assert all(r[0].endswith(".json.lz4") and r[1] <= 400 for r in files) and len(files) > 5
+    feed = fixture.mixed_feed(spark, SMALL)
+    landed = landed.select(*BRONZE_SCHEMA.names)
+    assert landed.exceptAll(feed).isEmpty() and feed.exceptAll(landed).isEmpty()
+    events = spark.read.parquet(f"{SMALL}/events.parquet")
+    events.repartition(5).write.parquet(f"{tmp_path}/events.parquet")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(128 * 2**20))
+    try:
+        assert fixture.table(spark, str(tmp_path), "events").rdd.getNumPartitions() == 5
+        landed = read_json_events(spark, fixture.json_landing(spark, str(tmp_path)))
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len(landed.inputFiles()) == 4 and landed.count() == 1000
+
+
+def test_rows_are_not_sorted_by_outcome(spark, work, monkeypatch):
+    """While a query's stream runs, tasks may hold both files open."""
+    seen = []
+    start = QuarantinedSilver.start
+
+    def noted(silver, *given):
+        seen.append(spark.conf.get(OPEN_FILES))
+        return start(silver, *given)
+
+    monkeypatch.setattr(QuarantinedSilver, "start", noted)
+    before = spark.conf.get(OPEN_FILES)
+    assert not QUERIES["stream_quarantine"](spark, SMALL).isEmpty()
+    assert int(seen[0]) >= 2 and spark.conf.get(OPEN_FILES) == before
