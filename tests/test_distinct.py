@@ -78,3 +78,16 @@ def test_no_rows(spark, rows):
     none = rows[1].limit(0)
     assert count_bitmaps(buyer_bitmaps(none, F.col("buyer"), SPEC), ["k"]).isEmpty()
     assert count_sketches(buyer_sketches(none, SPEC), ["k"]).isEmpty()
+
+
+def test_a_sparse_bitmap_takes_what_its_buyers_take(spark):
+    """A buyer in each of many blocks: bytes follow the buyers, not the blocks' size."""
+    frame = spark.range(300).select(
+        F.lit(START).alias("at"), F.lit("a").alias("k"), (F.col("id") * 40_000).alias("buyer")
+    )
+    hourly = buyer_bitmaps(frame, F.col("buyer"), SPEC)
+    daily = merge_bitmaps(hourly, "day", ("k",), SPEC)
+    for bitmaps in (hourly, daily):
+        sizes = bitmaps.agg(F.count(F.lit(1)), F.sum(F.octet_length(BITS))).first()
+        assert tuple(sizes) == (300, 300 * 8)
+        assert count_bitmaps(bitmaps, ["k"]).first().unique_buyers == 300
