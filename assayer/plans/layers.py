@@ -59,6 +59,9 @@ from assayer.streaming.silver import start_silver
 
 RETENTION = timedelta(days=RETENTION_DAYS)
 
+#: The reason of a raw row while it is counted; not written.
+JUDGED = "__judged"
+
 TABLES = {"bronze": "events", "silver": "events", "gold": "revenue_per_hour"}
 
 #: Gold keeps the load of its rows: a group of two loads has a row of each.
@@ -136,19 +139,16 @@ class Layers:
 
         # Counted by the tasks that write; a task that is repeated counts once.
         observed = {layer: Observation() for layer in LAYERS}
-        reasons = EVENT_CONTRACT.reason_names(events)
-        counts = reason_counts(EVENT_CONTRACT.first_reason(events), reasons)
-        save(events.observe(observed["bronze"], *counts).withColumn(LOAD, number), "bronze")
+        counted = counted_bronze(events, observed["bronze"])
+        save(counted.withColumn(LOAD, number), "bronze")
         bronze = with_origins(written("bronze")).where(F.col(LOAD) == number)
-        rows = F.count(F.lit(1)).alias("n")
-        cleaned = to_strict_silver(bronze, carry=[*ORIGIN, LOAD])
-        save(cleaned.observe(observed["silver"], rows), "silver")
+        save(counted_silver(bronze, number, observed["silver"]), "silver")
         silver = written("silver").where(F.col(LOAD) == number)
         gold = revenue_rollup(purchases(silver), REVENUE_PER_LOAD)
         gold = stamp(sorted_for_sink(gold, "hour_bucket", "category"))
         healthy = F.when(F.col("total_revenue") > 0, F.col("total_revenue"))
         revenue = F.sum(healthy).cast("decimal(38,2)").alias("revenue")
-        save(gold.observe(observed["gold"], rows, revenue), "gold")
+        save(gold.observe(observed["gold"], F.count(F.lit(1)).alias("n"), revenue), "gold")
         for layer, fresh in staged.items():
             show_table(self.spark, self.name(layer), fresh)
         return BuildCounts(self.spark, observed)
@@ -173,6 +173,28 @@ class Layers:
         return drop_accounting(self.read("bronze"))
 
 
+def counted_bronze(events: DataFrame, seen: Observation) -> DataFrame:
+    """Raw events whose reasons are counted by whoever reads them.
+
+    Each row is judged once, in a column of its own; the counts would judge it again for
+    each reason.
+    """
+    counts = reason_counts(F.col(JUDGED), EVENT_CONTRACT.reason_names(events))
+    judged = events.withColumn(JUDGED, EVENT_CONTRACT.first_reason(events))
+    return judged.observe(seen, *counts).drop(JUDGED)
+
+
+def counted_silver(bronze: DataFrame, load: Column, seen: Observation) -> DataFrame:
+    """Silver of one load, counted by whoever reads it.
+
+    The load is a literal that comes last, so that rows are not sorted by it before they
+    are written.
+    """
+    cleaned = to_strict_silver(bronze, carry=ORIGIN)
+    counted = cleaned.observe(seen, F.count(F.lit(1)).alias("n"))
+    return counted.withColumn(LOAD, load)
+
+
 def run_stream(
     spark: SparkSession, events: str, root: str, files_per_batch: int = 1000
 ) -> RevenueStream:

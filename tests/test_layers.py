@@ -6,12 +6,13 @@ from pathlib import Path
 import pyarrow.parquet as parquet
 import pytest
 from plans import plan_of
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from assayer.constants import LAYERS, SILVER_SCHEMA
 from assayer.operators.gold import clean_revenue, revenue_per_hour
 from assayer.plans import fixture
-from assayer.plans.layers import Layers, main
+from assayer.plans.layers import Layers, counted_bronze, counted_silver, main
 from assayer.session import new_workspace
 from assayer.sources.events import CORRUPT, ORIGIN, read_json_events, with_origins
 from assayer.sources.layers import APPEND, REPLACE, save_table
@@ -189,3 +190,18 @@ def test_command_line(spark, capsys):
     assert layers.read("gold").select(F.countDistinct(LOAD)).first()[0] == 2
     for layer in LAYERS:
         spark.sql(f"DROP DATABASE {layer} CASCADE")
+
+
+def test_rows_are_judged_once_and_not_sorted_by_load(spark, bronze):
+    events = bronze({}, {"user_id": None})
+    counted = counted_bronze(events, Observation())
+    lines = counted._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    # The rule is in a column of its own, not in each of the counts.
+    assert not any("CASE WHEN" in line for line in lines if "CollectMetrics" in line)
+    assert counted.columns == events.columns
+    folder = new_workspace(spark, "test-counted")
+    events.withColumn(LOAD, F.lit(3).cast("bigint")).write.partitionBy(LOAD).parquet(folder)
+    raw = with_origins(spark.read.parquet(folder)).where(F.col(LOAD) == 3)
+    silver = counted_silver(raw, F.lit(3).cast("bigint"), Observation())
+    assert f"3 AS {LOAD}" in silver._jdf.queryExecution().optimizedPlan().toString().splitlines()[0]
+    assert [r[LOAD] for r in silver.collect()] == [3]
