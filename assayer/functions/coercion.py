@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DecimalType, TimestampType
+from pyspark.sql.types import DataType, DecimalType, IntegerType, TimestampType
 
 from assayer.constants import MONEY, MONEY_TOTAL
 
@@ -17,9 +17,22 @@ def coerce(value: Column, to: DataType) -> Column:
     """``value`` as type ``to``, or null where it does not fit."""
     if isinstance(to, TimestampType):
         return F.try_to_timestamp(value)
+    if isinstance(to, IntegerType):
+        return F.when(_may_fit(value, 2**31 + 1), value.try_cast(to))
+    if isinstance(to, DecimalType):
+        return F.when(_may_fit(value, 10 ** (to.precision - to.scale)), value.try_cast(to))
     return value.try_cast(to)
 
 
+def _may_fit(value: Column, bound: int) -> Column:
+    """False for numbers that can't fit, by their size alone.
+
+    The cast throws and catches an exception for each of them, which costs twenty times
+    what the comparison does. What is no number is left to the cast.
+    """
+    return F.coalesce(F.abs(value.try_cast("double")) <= float(bound), F.lit(True))
+
+
 def to_money(value: Column) -> Column:
     """Amount with two decimals, rounded half up; null when out of range."""
     return coerce(value, MONEY)

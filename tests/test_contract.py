@@ -9,9 +9,10 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DecimalType, IntegerType, StructType
 
-from assayer.constants import SILVER_SCHEMA
+from assayer.constants import MONEY, SILVER_SCHEMA
+from assayer.functions.coercion import coerce
 from assayer.operators.accounting import drop_accounting
 from assayer.operators.contract import (
     EVENT_CONTRACT,
@@ -264,3 +265,19 @@ def test_silver_plan_is_one_stage_with_pushed_filters(spark, bronze):
 def test_unselected_masks_cost_nothing(bronze):
     plan = plan_of(to_silver(bronze({})).select("event_id"))
     assert "sha2" not in plan
+
+
+@pytest.mark.parametrize("kind", ["double", "bigint", "string", "decimal(38,6)"])
+def test_numbers_that_do_not_fit_are_told_by_their_size(spark, kind):
+    """The same as the cast alone, which throws for each of them."""
+    edges = ["9999999999.99", "9999999999.994999", "9999999999.995", "10000000000", "1e300",
+             "2147483647.9", "2147483648", "-2147483648.9", "-2147483649", "0", "NaN",
+             "Infinity", "-Infinity", " 12 ", "text", "", "9223372036854775807", None]
+    given = spark.createDataFrame([(e,) for e in edges], "v string")
+    given = given.select(F.col("v").try_cast(kind).alias("v"))
+    for to in (MONEY, IntegerType(), DecimalType(10, 4)):
+        found = given.select(coerce(F.col("v"), to).alias("a"), F.col("v").try_cast(to).alias("b"))
+        rows = found.collect()
+        assert [r.a for r in rows] == [r.b for r in rows]
+        assert any(r.a is not None for r in rows)
+    assert "<=" in str(coerce(F.col("v"), MONEY))
