@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayer.operators.gold import REVENUE_PER_HOUR, Rollup, purchases
-from assayer.sources.events import ORIGIN
+from assayer.sources.events import ORIGIN, ORIGIN_FILE, ORIGIN_ROW
 
 
 def trace_gold_to_silver(
@@ -70,10 +70,8 @@ def trace_bronze_to_gold(
     ``origins`` names Bronze rows by ``keys``: a file alone, or file and row. Silver is
     looked through once, by a semi-join, and combined by group before it meets Gold.
     """
-    wanted = origins.select(*keys).distinct()
-    touched = _join(
-        purchases(silver).select(spec.bucket(), *spec.keys, *keys), wanted, keys, "left_semi"
-    )
+    sold = purchases(silver).select(spec.bucket(), *spec.keys, *keys)
+    touched = _rows_named(sold, origins, keys)
     groups = touched.groupBy(*spec.group).agg(F.count(F.lit(1)).alias("bronze_rows"))
     return _join(gold, groups, spec.group)
 
@@ -113,10 +111,7 @@ def bronze_rows_behind(
     row with the same id is not among them. A semi-join: repeated keys on
     either side do not multiply rows.
     """
-    wanted = silver.select(*keys).distinct()
-    # The null-safe join does not reuse the shuffle of the distinct. That is on
-    # purpose: only between two shuffles of its own can it split a skewed key.
-    return _join(bronze, wanted, keys, "left_semi")
+    return _rows_named(bronze, silver, keys)
 
 
 def _mark(df: DataFrame, keys: Sequence[str], silver: int = 0, bronze: int = 0):
@@ -127,6 +122,56 @@ def _mark(df: DataFrame, keys: Sequence[str], silver: int = 0, bronze: int = 0):
     )
 
 
+def names_of(rows: DataFrame, keys: Sequence[str] = ORIGIN) -> DataFrame:
+    """What tells whether a row's keys are among those of ``rows``, in few short rows.
+
+    By origin, rows would be shuffled and sorted with the paths of their files, which
+    take next to nothing in a shuffle's compressed blocks and most of a task's memory.
+    A file is named by its SHA-256 instead, and 64 neighbouring rows of it by one name
+    with a bit for each.
+    """
+    names = [column.alias(f"_right_{key}") for key, column in _short(keys).items()]
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), _bit(keys))
+    named = rows.select(*names, one.alias("_one"))
+    return named.groupBy(*[f"_right_{key}" for key in keys]).agg(F.bit_or("_one").alias("_ones"))
+
+
+def _short(keys: Sequence[str]) -> dict[str, Column]:
+    """The keys as they are compared."""
+    shorter = {
+        ORIGIN_FILE: F.unhex(F.sha2(F.col(ORIGIN_FILE).cast("binary"), 256)),
+        ORIGIN_ROW: F.shiftright(ORIGIN_ROW, 6),
+    }
+    return {key: shorter.get(key, F.col(key)) for key in keys}
+
+
+def _bit(keys: Sequence[str]) -> Column:
+    """The place of a row among its 64 neighbours."""
+    if ORIGIN_ROW not in keys:
+        return F.lit(0)
+    return F.col(ORIGIN_ROW).bitwiseAND(F.lit(63)).cast("int")
+
+
+def _rows_named(rows: DataFrame, names: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows whose keys occur among those of ``names``, with null equal to null.
+
+    The null-safe join does not reuse the shuffle of the grouping. That is on
+    purpose: only between two shuffles of its own can it split a skewed key.
+    """
+    added = {f"_left_{key}": c for key, c in _short(keys).items() if key in ORIGIN}
+    added["_bit"] = _bit(keys)
+    left = {key: f"_left_{key}" if key in ORIGIN else key for key in keys}
+    shifted = F.call_function("shiftright", F.col("_ones"), F.col("_bit"))
+    same = [F.col(left[key]).eqNullSafe(F.col(f"_right_{key}")) for key in keys]
+    if ORIGIN_ROW in keys:
+        # Rows without a number have no bit; their name is enough.
+        same.append(F.col("_bit").isNull() | (shifted.bitwiseAND(F.lit(1)) == 1))
+    found = rows.withColumns(added).join(
+        names_of(names, keys), reduce(lambda a, b: a & b, same), "left_semi"
+    )
+    return found.drop(*added)
+
+
 def _join(
     left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner"
 ) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from assayer.operators.gold import purchases, revenue_per_hour, revenue_rollup
 from assayer.operators.lineage import (
     bronze_rows_behind,
+    names_of,
     trace_bronze_to_gold,
     trace_event,
     trace_gold_to_silver,
@@ -234,3 +235,36 @@ def test_a_point_trace_skips_row_groups(spark):
         assert rows_read(trace_event(without, some).select("event_id")) == silver.count()
     finally:
         spark.conf.unset("parquet.filter.bloom.enabled")
+
+
+def test_rows_of_a_file_are_few_short_names(spark):
+    """Neither path nor a row of its own for each row that is looked for."""
+    path = "file:/" + "long/" * 40
+    origins = spark.range(640).select(
+        F.lit(path).alias(ORIGIN[0]), F.col("id").alias(ORIGIN[1])
+    )
+    plan = plan_of(bronze_rows_behind(origins, origins))
+    shuffled = [line for line in plan.splitlines() if "hashpartitioning" in line]
+    assert shuffled and all("_right_" in line or "_left_" in line for line in shuffled)
+    names = names_of(origins, ORIGIN)
+    assert names.count() == 10
+    assert {len(r[0]) for r in names.collect()} == {32}
+
+
+def test_named_rows_equal_brute_force(spark):
+    rng = random.Random(5)
+    kinds = "origin_file string, origin_row bigint, n int"
+
+    def made(count):
+        files, rows = ["a", "b", None], [None, 0, 63, 64, 2**40, *range(100, 300)]
+        return [(rng.choice(files), rng.choice(rows), i) for i in range(count)]
+
+    rows, names = made(900), made(150)
+    left, right = spark.createDataFrame(rows, kinds), spark.createDataFrame(names, kinds)
+    for keys in (ORIGIN, ORIGIN[:1], ORIGIN[1:], ("n", *ORIGIN)):
+        place = [left.columns.index(key) for key in keys]
+        wanted = {tuple(r[i] for i in place) for r in names}
+        found = bronze_rows_behind(right, left, keys)
+        assert found.columns == left.columns
+        kept = [r for r in rows if tuple(r[i] for i in place) in wanted]
+        assert Counter(tuple(r) for r in found.collect()) == Counter(kept)
