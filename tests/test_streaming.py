@@ -12,7 +12,7 @@ from assayer.operators.gold import MEASURES, revenue_per_hour
 from assayer.operators.silver import to_silver
 from assayer.plans import fixture
 from assayer.plans.registry import QUERIES
-from assayer.session import OPEN_FILES, new_workspace
+from assayer.session import OPEN_FILES, new_workspace, with_settings
 from assayer.sources.events import CORRUPT, read_json_events, stream_json_events
 from assayer.streaming.gold import RevenueStream, start_windowed_revenue
 from assayer.streaming.silver import QuarantinedSilver, start_silver
@@ -345,6 +345,18 @@ def test_landings_are_compressed_bounded_and_whole(spark, monkeypatch, tmp_path)
     assert len(landed.inputFiles()) == 4 and landed.count() == 1000
 
 
+def test_state_has_no_more_partitions_than_cores_can_use(spark, bronze, work):
+    land(bronze, work, purchase(1, "00:10:00"))
+    source = to_silver(stream_json_events(spark, f"{work}/in"))
+    with with_settings(spark, {"spark.sql.shuffle.partitions": "64"}):
+        query = RevenueStream(work).start(source, f"{work}/checkpoint")
+        query.awaitTermination()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "64"
+    state = query.lastProgress["stateOperators"][0]
+    assert state["numShufflePartitions"] == 2 * spark.sparkContext.defaultParallelism
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+
+
 def test_rows_are_not_sorted_by_outcome(spark, work, monkeypatch):
     """While a query's stream runs, tasks may hold both files open."""
     seen = []
