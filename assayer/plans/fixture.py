@@ -38,6 +38,9 @@ FEED_SPAN = timedelta(days=366)
 LANDED_ROWS = 1_000_000
 LANDED_CODEC = "lz4"
 
+# Files of the mixed feed in a micro-batch: with so few rows each, enough for many cores.
+MIXED_PER_BATCH = 24
+
 # Parquet that one task lands as JSON.
 LANDED_BYTES = 128 * 2**20
 

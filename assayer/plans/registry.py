@@ -641,7 +641,8 @@ def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _quarantined(spark: SparkSession, sf_dir: str) -> QuarantinedSilver:
     work = new_workspace(spark, "quarantine")
-    feed = stream_json_events(spark, fixture.mixed_landing(spark, sf_dir), files_per_batch=8)
+    landing = fixture.mixed_landing(spark, sf_dir)
+    feed = stream_json_events(spark, landing, files_per_batch=fixture.MIXED_PER_BATCH)
     silver = QuarantinedSilver(f"{work}/silver")
     with with_settings(spark, {OPEN_FILES: "8"}):
         silver.start(feed, f"{work}/checkpoint").awaitTermination()
