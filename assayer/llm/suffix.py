@@ -9,7 +9,7 @@ equal distances. Windows that share an anchor and lie within ``CELL`` bytes form
 a unit: all of them contain the unit's core, and all lie in its reach. This is
 how the work is dealt to tasks without losing a pair of equal windows:
 
-1. Texts are cut into blocks, the shards; a block is a row of a written table.
+1. Texts are cut into blocks, the shards; a block is a file in the shared folder.
 2. Anchors whose hash occurs once in all blocks are dropped.
 3. Of the units around the others, those whose reach is equal to that of an
    earlier unit are repeats as a whole; those whose core occurs with one reach
@@ -37,6 +37,7 @@ are repeats; an empty table gives no rows.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -45,7 +46,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from assayer.llm import bwt
@@ -71,11 +72,15 @@ CORE = LENGTH - CELL + 1
 BLOCK_BYTES = 8 << 20
 #: Windows hashed at a time, so that the arrays stay in the processor's cache.
 CHUNK = 1 << 17
+#: Strings of a block hashed at a time.
+HASHED = 1 << 14
 #: Text of a bucket of questions, and of one of merged shards.
 ASK_BYTES = 4 << 20
 MERGE_BYTES = 2 << 20
 LEAST_BUCKETS = 64
 MOST_BUCKETS = 1 << 20
+#: Text that a task takes, or its messages.
+TASK_BYTES = 16 << 20
 #: Bytes of reaches in a shard.
 SHARD_BYTES = 1 << 16
 #: Reaches of a core that are merged in one task.
@@ -214,20 +219,23 @@ def units(data: bytes, lengths: np.ndarray, found: Anchors) -> Units:
     row = np.searchsorted(ends, first, "right")
     begin = np.maximum(top - CELL + 1, (ends - lengths)[row])
     stop = np.minimum(top + LENGTH, ends[row])
-    digest = xxhash.xxh3_64_intdigest
     # The seeds keep units of other anchors apart, and other places in the reach.
-    cells = cell.tolist()
-    cuts = (CELL * cell + begin - (top - CELL + 1)).tolist()
-    tops, begins, stops = top.tolist(), begin.tolist(), stop.tolist()
-    core = np.fromiter(
-        (digest(data[t : t + CORE], c) for t, c in zip(tops, cells)), np.uint64, len(tops)
-    )
-    reach = np.fromiter(
-        (digest(data[b:s], c) for b, s, c in zip(begins, stops, cuts)), np.uint64, len(tops)
-    )
+    core = _digests(data, top, top + CORE, cell)
+    reach = _digests(data, begin, stop, CELL * cell + begin - (top - CELL + 1))
     return Units(begin, stop, first, last, row, core, reach)
 
 
+def _digests(data: bytes, begin: np.ndarray, stop: np.ndarray, seed: np.ndarray) -> np.ndarray:
+    """Hashes of strings of a block; Python's numbers for a part of them at a time."""
+    digest = xxhash.xxh3_64_intdigest
+    made = np.empty(len(begin), np.uint64)
+    for a in range(0, len(begin), HASHED):
+        part = slice(a, a + HASHED)
+        asked = zip(begin[part].tolist(), stop[part].tolist(), seed[part].tolist())
+        made[part] = np.fromiter((digest(data[b:s], c) for b, s, c in asked), np.uint64)
+    return made
+
+
 # -- questions and answers between blocks ---------------------------------------------
 
 #: What a block asks: is the hash in another block (REPEATED); is the thing with
@@ -346,16 +354,20 @@ class Block:
         return np.frombuffer(self.data, np.uint8)
 
 
-def _each_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Block]]:
+def _each_block(
+    batches: Iterator[pa.RecordBatch], folder: str
+) -> Iterator[tuple[pa.RecordBatch, Block]]:
+    """The listed blocks, one at a time, and their columns."""
     for batch in batches:
-        for k in range(batch.num_rows):
+        for number, name in zip(batch["block"].to_pylist(), batch["file"].to_pylist()):
+            row = _load_columns(folder, name)
             yield (
-                batch.slice(k, 1),
+                row,
                 Block(
-                    batch["block"][k].as_py(),
-                    batch["docs"][k].values.fill_null(_LAST).to_numpy(zero_copy_only=False),
-                    np.asarray(batch["lengths"][k].values).astype(np.int64),
-                    batch["data"][k].as_py(),
+                    number,
+                    row["docs"][0].values.fill_null(_LAST).to_numpy(zero_copy_only=False),
+                    np.asarray(row["lengths"][0].values).astype(np.int64),
+                    row["data"][0].as_py(),
                 ),
             )
     give_back()
@@ -562,9 +574,9 @@ def _messages(rows: Iterator[dict]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pylist(list(rows), schema)
 
 
-def _sending(work: Callable[[Block], Iterator[dict]]):
+def _sending(work: Callable[[Block], Iterator[dict]], folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, block in _each_block(batches):
+        for _, block in _each_block(batches, folder):
             batch = _messages(work(block))
             if batch.num_rows:
                 yield batch
@@ -572,31 +584,54 @@ def _sending(work: Callable[[Block], Iterator[dict]]):
     return run
 
 
-def _blocks(docs: DataFrame, carry: list[str], block_bytes: int) -> DataFrame:
-    """One row per block; the documents' other columns travel in ``carried``."""
+LISTED = "block long, bytes long, file string"
+
+
+def _blocks(chosen: DataFrame, folder: str, block_bytes: int) -> list[Row]:
+    """The blocks, each in a file of the shared folder; the column ``carried``, if
+    there is one, travels in the file too.
+
+    Tasks read the files themselves. As rows of a table, blocks would be held
+    many at once: Parquet's writer looks at the size of its rows after 100 rows
+    for the first time, and its reader takes all rows of a row group together.
+    """
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 32
         for number, batch in enumerate(pieces(batches, limit=block_bytes)):
             raw = [t.encode() for t in batch["text"].to_pylist()]
             columns = {
-                "block": pa.array([base + number], pa.int64()),
                 "docs": _one_list(batch["doc_id"]),
                 "lengths": _one_list(pa.array([len(t) for t in raw], pa.int64())),
                 "data": pa.array([b"".join(raw)], pa.binary()),
             }
-            if carry:
+            if "carried" in batch.schema.names:
                 columns["carried"] = _one_list(batch["carried"])
-            yield pa.record_batch(columns)
+            # Another attempt of the task writes other files, should its rows come
+            # in another order.
+            name = f"block-{base + number:016x}-{uuid.uuid4().hex}"
+            save_file(folder, name, iter([_packed(pa.record_batch(columns))]))
+            listed = [[base + number], [sum(map(len, raw))], [name]]
+            yield pa.record_batch(
+                [pa.array(c) for c in listed], names=["block", "bytes", "file"]
+            )
 
-    reach_workers(docs.sparkSession)
-    text = F.coalesce("text", F.lit("")).alias("text")
-    others = [F.struct(*carry).alias("carried")] if carry else []
-    chosen = docs.select("doc_id", text, *others)
-    schema = "block long, docs array<long>, lengths array<long>, data binary"
-    if carry:
-        schema += f", carried array<{dict(chosen.dtypes)['carried']}>"
-    return written(docs.sparkSession, chosen.mapInArrow(make, schema), "blocks", "zstd")
+    return chosen.mapInArrow(make, LISTED).collect()
+
+
+def _packed(columns: pa.RecordBatch) -> pa.Buffer:
+    sink = pa.BufferOutputStream()
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3), use_threads=False)
+    with pa.ipc.new_stream(sink, columns.schema, options=options) as out:
+        out.write_batch(columns)
+    return sink.getvalue()
+
+
+def _load_columns(folder: str, name: str) -> pa.RecordBatch:
+    system, path = file_system(folder)
+    with system.open_input_stream(f"{path}/{name}", compression=None) as f:
+        options = pa.ipc.IpcReadOptions(use_threads=False)
+        return pa.ipc.open_stream(f, options=options).read_next_batch()
 
 
 def _one_list(values: pa.Array) -> pa.Array:
@@ -608,6 +643,15 @@ def _bits(size: int, each: int) -> int:
     return min(MOST_BUCKETS, max(LEAST_BUCKETS, size // each)).bit_length() - 1
 
 
+def _dealt(messages: DataFrame, size: int) -> DataFrame:
+    """Messages dealt by bucket to tasks whose number follows the size of the input."""
+    return messages.repartition(_tasks(size), "kind", "bucket")
+
+
+def _tasks(size: int) -> int:
+    return max(1, size // TASK_BYTES)
+
+
 def repeated_spans(
     docs: DataFrame,
     carry: list[str] | None = None,
@@ -624,9 +668,15 @@ def repeated_spans(
     """
     spark = docs.sparkSession
     carry = carry or []
-    blocks = _blocks(docs, carry, block_bytes)
-    shown = blocks.select("block", "docs", "lengths", "data")
-    size = shown.agg(F.sum(F.octet_length("data")).alias("n")).first()["n"] or 0
+    reach_workers(spark)
+    text = F.coalesce("text", F.lit("")).alias("text")
+    others = [F.struct(*carry).alias("carried")] if carry else []
+    chosen = docs.select("doc_id", text, *others)
+    texts = new_workspace(spark, "llm-blocks")
+    made = _blocks(chosen, texts, block_bytes)
+    size = sum(row["bytes"] for row in made)
+    # From one partition they are dealt in turn, so that all tasks get as many.
+    listed = spark.createDataFrame(made, LISTED).coalesce(1).repartition(_tasks(size))
     bits = _bits(size, ASK_BYTES)
     merge_bits = _bits(size, MERGE_BYTES)
     one, two, three = (new_workspace(spark, f"llm-answers{k}") for k in (1, 2, 3))
@@ -655,7 +705,7 @@ def repeated_spans(
         return _answer_bucket(rows, hot)
 
     def answered(work: Callable[[Block], Iterator[dict]]) -> DataFrame:
-        asked = shown.mapInArrow(_sending(work), MESSAGE)
+        asked = _dealt(listed.mapInArrow(_sending(work, texts), MESSAGE), size)
         return asked.groupBy("kind", "bucket").applyInArrow(reply, MESSAGE)
 
     _come_back(spark, answered(ask_first), one)
@@ -663,7 +713,7 @@ def repeated_spans(
     _come_back(spark, answered(send), three)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, block in _each_block(batches):
+        for row, block in _each_block(batches, texts):
             found, known_ = known(block)
             last = _read_back(three, block.number)
             single = _repeated_windows(block, found, known_.single, last[EARLIER])
@@ -684,8 +734,8 @@ def repeated_spans(
     schema += "string" if as_text else "binary"
     if carry:
         names.append("carried")
-        schema += f", carried {dict(blocks.dtypes)['carried'][6:-1]}"
-    return blocks.mapInArrow(finish, schema)
+        schema += f", carried {dict(chosen.dtypes)['carried']}"
+    return listed.mapInArrow(finish, schema)
 
 
 def _cut(block: Block, first: np.ndarray, stop: np.ndarray) -> dict[str, pa.Array]:
@@ -694,7 +744,8 @@ def _cut(block: Block, first: np.ndarray, stop: np.ndarray) -> dict[str, pa.Arra
     edge = np.zeros(size + 1, np.int32)
     np.add.at(edge, first, 1)
     np.add.at(edge, stop, -1)
-    gone = np.cumsum(edge[:-1]) > 0
+    gone = np.cumsum(edge[:-1], dtype=np.int32, out=edge[:-1]) > 0
+    del edge
     ends = np.cumsum(block.lengths)
     starts = ends - block.lengths
     opens = np.zeros(size + 1, bool)
@@ -708,11 +759,11 @@ def _cut(block: Block, first: np.ndarray, stop: np.ndarray) -> dict[str, pa.Arra
     row = np.searchsorted(ends, begin, "right")
     count = np.bincount(row, minlength=len(ends))
     lists = pa.array(np.concatenate([[0], np.cumsum(count)]), pa.int32())
-    left = ~gone
-    lost = np.concatenate([[0], np.cumsum(left)])
+    lost = np.zeros(len(ends), np.int64)
+    np.add.at(lost, row, end - begin)
     return {
         "n_bytes": pa.array(block.lengths),
         "begins": pa.ListArray.from_arrays(lists, pa.array(begin - starts[row])),
         "ends": pa.ListArray.from_arrays(lists, pa.array(end - starts[row])),
-        "kept": binary_rows(block.array[left], lost[ends] - lost[starts]),
+        "kept": binary_rows(block.array[~gone], block.lengths - lost),
     }

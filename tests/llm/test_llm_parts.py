@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -298,6 +299,33 @@ def test_spans_over_many_blocks(spark, hot):
         assert bytes(r["kept"]) == kept
 
 
+def test_tasks_hold_one_block_at_a_time(spark, tmp_path):
+    """Rows have no text, of which Spark and Parquet would hold many blocks at once."""
+    texts = [(k, "".join(random.Random(k).choices("abcdefgh ", k=400))) for k in range(60)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    made = suffix._blocks(docs, str(tmp_path), 1000)
+    assert [row["bytes"] for row in made] == [800] * 30
+    assert len({row["block"] for row in made}) == len({row["file"] for row in made}) == 30
+    listed = pa.RecordBatch.from_pylist([row.asDict() for row in made])
+    found = []
+    for columns, block in suffix._each_block(iter([listed]), str(tmp_path)):
+        assert columns.num_rows == 1 and len(block.data) == 800
+        assert block.docs.tolist() == columns["docs"][0].as_py()
+        found += zip(block.docs.tolist(), np.split(block.array, np.cumsum(block.lengths)))
+    assert [(k, part.tobytes().decode()) for k, part in found] == texts
+
+
+def test_messages_are_dealt_by_the_size_of_the_input(spark):
+    """Whatever the session's number of partitions, and in a single shuffle."""
+    none = spark.createDataFrame([], suffix.MESSAGE)
+    for tasks in (2, 300):
+        dealt = suffix._dealt(none, tasks * suffix.TASK_BYTES + 1)
+        found = dealt.groupBy("kind", "bucket").applyInArrow(lambda rows: rows, suffix.MESSAGE)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1
+        assert re.search(rf"hashpartitioning\(kind#\d+, bucket#\d+, {tasks}\)", plan)
+
+
 # -- language model ------------------------------------------------------------
 
 
